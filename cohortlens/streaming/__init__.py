@@ -1,0 +1 @@
+"""cohortlens.streaming."""
