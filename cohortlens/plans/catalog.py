@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens import constants as K
-from cohortlens.operators import clean, engineer, features, label
+from cohortlens.operators import clean, engineer, features, label, reports, scoring, timeline
 from cohortlens.plans import workflow as W
 from cohortlens.sources.standin import (ORDERS_THRESHOLD_DAYS, events_profile,
                                         orders_profile)
@@ -259,8 +259,151 @@ def q_numeric_columns(spark, sf):
     return W.round_doubles(t.select(*clean.numeric_columns(t)))
 
 
-def events(spark, sf):
+@register("member_filter")
+def q_member_filter(spark, sf):
+    from cohortlens.operators.select import member_filter
+    return member_filter(features.feature_table(_orders(spark, sf)), MEMBER_PROBE).drop("created_at")
+
+
+@register("align_features")
+def q_align_features(spark, sf):
+    from cohortlens.operators.select import align_features
+    t = label.churn_label(features.feature_table(_orders(spark, sf)), ORDERS_THRESHOLD_DAYS)
+    return W.round_doubles(align_features(t, K.FEATURE_COLUMNS, keep=("member_id",)))
+
+
+# --- 2.10 scoring and serving (rule-scored, so results are exact) ------------------
+
+# fixed values: probe parameters of the serving queries
+MEMBER_PROBE = 42
+SEARCH_PROBE = "ring"
+
+
+def _preds(spark, sf):
+    return W.rule_predictions(_orders(spark, sf), ORDERS_THRESHOLD_DAYS)
+
+
+@register("risk_bucket")
+def q_risk_bucket(spark, sf):
+    return _preds(spark, sf).select("member_id", "churn_probability", "risk_label")
+
+
+@register("rank_by_risk")
+def q_rank_by_risk(spark, sf):
+    return scoring.rank_by_risk(_preds(spark, sf)).select(
+        "member_id", "member_name", "churn_probability", "churn_prediction", "risk_label")
+
+
+@register("prediction_record")
+def q_prediction_record(spark, sf):
+    return W.round_doubles(scoring.prediction_record(_preds(spark, sf)))
+
+
+@register("risk_summary")
+def q_risk_summary(spark, sf):
+    return scoring.risk_summary(_preds(spark, sf))
+
+
+@register("risk_filter")
+def q_risk_filter(spark, sf):
+    return scoring.risk_filter(_preds(spark, sf), "High").select(
+        "member_id", "churn_probability", "risk_label")
+
+
+@register("at_risk_top")
+def q_at_risk_top(spark, sf):
+    return scoring.at_risk_top(_preds(spark, sf), 100, None)
+
+
+@register("at_risk_summary")
+def q_at_risk_summary(spark, sf):
+    return scoring.at_risk_summary(_preds(spark, sf), 100, "Medium")
+
+
+@register("member_search")
+def q_member_search(spark, sf):
+    return scoring.member_search(_preds(spark, sf), SEARCH_PROBE, 20)
+
+
+@register("names_join")
+def q_names_join(spark, sf):
+    d = _orders(spark, sf)
+    preds = _preds(spark, sf).drop("member_name")
+    return scoring.names_join(preds, d.members, "").select("member_id", "member_name")
+
+
+@register("prediction_lookup")
+def q_prediction_lookup(spark, sf):
+    return scoring.prediction_lookup(_preds(spark, sf), MEMBER_PROBE).select(
+        "member_id", "churn_probability", "churn_prediction", "risk_label")
+
+
+@register("key_features")
+def q_key_features(spark, sf):
+    return W.round_doubles(scoring.key_features(_preds(spark, sf)).select("member_id", "key_features.*"))
+
+
+@register("key_features_scored")
+def q_key_features_scored(spark, sf):
+    t = scoring.key_features_scored(_engineered(spark, sf))
+    return W.round_doubles(t.select("member_id", "key_features.*"))
+
+
+# --- 2.11 daily activity timeline (events profile) -----------------------------------
+
+def _events(spark, sf):
     return events_profile(spark, sf)
 
 
-__all__ = ["QUERIES", "register", "F"]
+def _daily_out(daily):
+    return daily.select("member_id", F.date_format("day", "yyyy-MM-dd").alias("date"),
+                        "meal_count", "weight_logged", "exercise_count", "collection_progress")
+
+
+@register("daily_activity")
+def q_daily_activity(spark, sf):
+    return _daily_out(timeline.daily_activity(_events(spark, sf)))
+
+
+@register("timeline_summary")
+def q_timeline_summary(spark, sf):
+    return timeline.timeline_summary(timeline.daily_activity(_events(spark, sf)))
+
+
+@register("member_timeline")
+def q_member_timeline(spark, sf):
+    t = timeline.member_timeline(_events(spark, sf))
+    return t.select("member_id", "member_name", "enrollment_date",
+                    F.inline("activity_timeline"), "summary.*")
+
+
+@register("enrollment_date")
+def q_enrollment_date(spark, sf):
+    return timeline.enrollment_date(_events(spark, sf))
+
+
+# --- 2.12 dashboard projections ------------------------------------------------------
+
+@register("chart_rows")
+def q_chart_rows(spark, sf):
+    return reports.chart_rows(timeline.daily_activity(_events(spark, sf)))
+
+
+@register("gauge_band")
+def q_gauge_band(spark, sf):
+    return reports.gauge_band(_preds(spark, sf))
+
+
+@register("risk_table")
+def q_risk_table(spark, sf):
+    return reports.risk_table(_preds(spark, sf), None)
+
+
+@register("key_indicators")
+def q_key_indicators(spark, sf):
+    return reports.key_indicators(_preds(spark, sf))
+
+
+@register("search_display")
+def q_search_display(spark, sf):
+    return reports.search_display(scoring.member_search(_preds(spark, sf), SEARCH_PROBE, 20))

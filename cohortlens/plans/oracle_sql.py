@@ -309,3 +309,158 @@ ORACLE["clip_quantiles"] = _ctes(*ENGINEERED_CTES, _clipped("engineered")) + "\n
 ORACLE["process_features"] = _ctes(*ENGINEERED_CTES, _IMPUTED, _clipped("imputed")) + "\nSELECT * FROM clipped"
 ORACLE["select_features"] = _ctes(*ENGINEERED_CTES) + "\n" + _select(K.FEATURE_COLUMNS, "engineered")
 ORACLE["numeric_columns"] = _ctes(*ENGINEERED_CTES) + "\n" + _select(ENGINEERED_COLUMNS, "engineered")
+
+
+# --- projections, scoring, serving -----------------------------------------------
+
+MEMBER_PROBE = 42
+SEARCH_PROBE = "ring"
+
+ORACLE["member_filter"] = _ctes(*FEATURE_CTES) + (
+    "\nSELECT member_id, " + ", ".join(K.BASE_FEATURE_COLUMNS)
+    + f" FROM features WHERE member_id = {MEMBER_PROBE}")
+ORACLE["align_features"] = _ctes(*LABEL_CTES) + "\nSELECT member_id, " + ", ".join(
+    _r6(c) if c in K.BASE_FEATURE_COLUMNS else f"CAST(0.0 AS DOUBLE) AS {c}" for c in K.FEATURE_COLUMNS) + " FROM labelled"
+
+_PREDS = f"""preds AS (
+  SELECT member_id, member_name, created_at,
+         round({_RULE_POINTS} / 100.0, 4) AS churn_probability,
+         CAST({_RULE_POINTS} >= 40 AS INTEGER) AS churn_prediction,
+         CASE WHEN {_RULE_POINTS} / 100.0 < 0.3 THEN 'Low'
+              WHEN {_RULE_POINTS} / 100.0 < 0.6 THEN 'Medium' ELSE 'High' END AS risk_label,
+         {', '.join(K.KEY_FEATURES)}
+  FROM engineered)"""
+PRED_CTES = ENGINEERED_CTES + [_PREDS]
+_RANK = "ORDER BY churn_probability DESC, created_at DESC NULLS LAST, member_id ASC"
+
+ORACLE["risk_bucket"] = _ctes(*PRED_CTES) + "\nSELECT member_id, churn_probability, risk_label FROM preds"
+ORACLE["rank_by_risk"] = _ctes(*PRED_CTES) + (
+    "\nSELECT member_id, member_name, churn_probability, churn_prediction, risk_label FROM preds " + _RANK)
+ORACLE["prediction_record"] = _ctes(*PRED_CTES) + """
+SELECT member_id, member_name, churn_probability, churn_prediction, risk_label,
+       total_meal_logs, total_weight_logs, total_exercise_logs, enrollment_age_days,
+       days_since_last_meal, days_since_last_weight,
+       round(meal_compliance_rate, 6) AS meal_compliance_rate,
+       round(collection_completion_rate, 6) AS collection_completion_rate,
+       round(engagement_score, 6) AS engagement_score
+FROM preds"""
+_SUMMARY = """count(*) AS {total}, count(*) FILTER (WHERE risk_label = 'High') AS high_risk,
+       count(*) FILTER (WHERE risk_label = 'Medium') AS medium_risk,
+       count(*) FILTER (WHERE risk_label = 'Low') AS low_risk"""
+ORACLE["risk_summary"] = _ctes(*PRED_CTES) + "\nSELECT " + _SUMMARY.format(total="total_members") + " FROM preds"
+ORACLE["risk_filter"] = _ctes(*PRED_CTES) + (
+    "\nSELECT member_id, churn_probability, risk_label FROM preds WHERE risk_label = 'High'")
+ORACLE["at_risk_top"] = _ctes(*PRED_CTES) + (
+    "\nSELECT member_id, member_name, churn_probability, churn_prediction, risk_label FROM preds "
+    + _RANK + " LIMIT 100")
+ORACLE["at_risk_summary"] = _ctes(*PRED_CTES) + (
+    "\nSELECT " + _SUMMARY.format(total="total_patients")
+    + " FROM (SELECT * FROM preds WHERE risk_label = 'Medium' " + _RANK + " LIMIT 100)")
+_SEARCH = f"""search AS (
+  SELECT member_id,
+         CASE WHEN coalesce(member_name, '') = '' THEN '' ELSE split_part(member_name, ' ', 1) END AS first_name,
+         CASE WHEN coalesce(member_name, '') = '' THEN ''
+              WHEN strpos(member_name, ' ') = 0 THEN NULL
+              ELSE substr(member_name, strpos(member_name, ' ') + 1) END AS last_name,
+         strftime(created_at, '%Y-%m-%d') AS created_at
+  FROM preds
+  WHERE contains(lower(CAST(member_id AS VARCHAR)), '{SEARCH_PROBE}')
+     OR contains(lower(coalesce(member_name, '')), '{SEARCH_PROBE}')
+  {_RANK} LIMIT 20)"""
+ORACLE["member_search"] = _ctes(*PRED_CTES, _SEARCH) + "\nSELECT * FROM search"
+ORACLE["names_join"] = _ctes(*PRED_CTES) + (
+    "\nSELECT p.member_id, coalesce(m.member_name, '') AS member_name FROM preds p "
+    "LEFT JOIN members m ON m.member_id = p.member_id")
+ORACLE["prediction_lookup"] = _ctes(*PRED_CTES) + (
+    f"\nSELECT member_id, churn_probability, churn_prediction, risk_label FROM preds "
+    f"WHERE member_id = {MEMBER_PROBE} LIMIT 1")
+_KEYF = ", ".join(_r6(c, f"coalesce({c}, 0)") if c in DOUBLE_COLUMNS else f"coalesce({c}, 0) AS {c}"
+                  for c in K.KEY_FEATURES)
+ORACLE["key_features"] = _ctes(*PRED_CTES) + f"\nSELECT member_id, {_KEYF} FROM preds"
+ORACLE["key_features_scored"] = _ctes(*ENGINEERED_CTES) + "\nSELECT member_id, " + ", ".join(
+    _r6(c, f"coalesce({c}, 0)") if c in DOUBLE_COLUMNS
+    else f"coalesce({c}, 9999) AS {c}" if c.startswith("days_since") else f"coalesce({c}, 0) AS {c}"
+    for c in K.KEY_FEATURES) + " FROM engineered"
+
+# --- events profile: daily timelines -----------------------------------------------------
+
+_EV = f"ev AS (SELECT * FROM events WHERE ts < {EVENTS_END})"
+_EV_MEMBERS = """ev_members AS (
+  SELECT e.user_id AS member_id, any_value(p.p_name) AS member_name, min(e.ts) AS first_ts
+  FROM ev e LEFT JOIN part p ON p.p_partkey = e.user_id GROUP BY e.user_id)"""
+_EV_DAILY = f"""days AS (
+  SELECT CAST(unnest(generate_series(CAST({EVENTS_AS_OF} - INTERVAL 30 DAY AS DATE), {EVENTS_AS_OF},
+                                     INTERVAL 1 DAY)) AS DATE) AS day),
+ev_counts AS (
+  SELECT user_id AS member_id, CAST(ts AS DATE) AS day,
+         count(*) FILTER (WHERE event_type = 'view') AS meal_count,
+         count(*) FILTER (WHERE event_type = 'click') > 0 AS weight_logged,
+         count(*) FILTER (WHERE event_type = 'purchase') AS exercise_count,
+         count(*) FILTER (WHERE event_type = 'signup') AS collection_progress
+  FROM ev
+  WHERE event_type IN ('view', 'click', 'purchase', 'signup')
+    AND CAST(ts AS DATE) BETWEEN CAST({EVENTS_AS_OF} - INTERVAL 30 DAY AS DATE) AND {EVENTS_AS_OF}
+  GROUP BY 1, 2),
+daily AS (
+  SELECT m.member_id, d.day, coalesce(c.meal_count, 0) AS meal_count,
+         coalesce(c.weight_logged, false) AS weight_logged,
+         coalesce(c.exercise_count, 0) AS exercise_count,
+         coalesce(c.collection_progress, 0) AS collection_progress
+  FROM ev_members m CROSS JOIN days d
+  LEFT JOIN ev_counts c ON c.member_id = m.member_id AND c.day = d.day),
+summary AS (
+  SELECT member_id, 31 AS period_days,
+         count(*) FILTER (WHERE meal_count > 0 OR weight_logged OR exercise_count > 0) AS active_days,
+         sum(meal_count) AS total_meals_logged,
+         count(*) FILTER (WHERE weight_logged) AS weight_log_days,
+         sum(exercise_count) AS total_exercises,
+         round(count(*) FILTER (WHERE meal_count > 0 OR weight_logged OR exercise_count > 0) / 31.0, 4)
+           AS activity_rate
+  FROM daily GROUP BY member_id)"""
+EVENT_CTES = [_EV, _EV_MEMBERS, _EV_DAILY]
+
+ORACLE["daily_activity"] = _ctes(*EVENT_CTES) + (
+    "\nSELECT member_id, strftime(day, '%Y-%m-%d') AS date, meal_count, weight_logged, "
+    "exercise_count, collection_progress FROM daily")
+ORACLE["timeline_summary"] = _ctes(*EVENT_CTES) + "\nSELECT * FROM summary"
+ORACLE["enrollment_date"] = _ctes(*EVENT_CTES) + (
+    f"\nSELECT member_id, strftime(CAST(first_ts AS DATE), '%Y-%m-%d') AS enrollment_date FROM ev_members")
+ORACLE["member_timeline"] = _ctes(*EVENT_CTES) + """
+SELECT m.member_id, coalesce(m.member_name, 'Unknown') AS member_name,
+       strftime(CAST(m.first_ts AS DATE), '%Y-%m-%d') AS enrollment_date,
+       strftime(d.day, '%Y-%m-%d') AS date, d.meal_count, d.weight_logged, d.exercise_count,
+       d.collection_progress, s.period_days, s.active_days, s.total_meals_logged,
+       s.weight_log_days, s.total_exercises, s.activity_rate
+FROM ev_members m JOIN daily d ON d.member_id = m.member_id JOIN summary s ON s.member_id = m.member_id"""
+ORACLE["chart_rows"] = _ctes(*EVENT_CTES) + (
+    "\nSELECT member_id, strftime(day, '%m-%d') AS date, meal_count, CAST(weight_logged AS INTEGER) AS weight, "
+    "exercise_count, collection_progress FROM daily")
+
+# --- dashboard projections ----------------------------------------------------------------
+
+ORACLE["gauge_band"] = _ctes(*PRED_CTES) + """
+SELECT member_id, CAST(round(coalesce(churn_probability, 0.0) * 100) AS INTEGER) AS gauge_percent,
+       CASE WHEN round(coalesce(churn_probability, 0.0) * 100) >= 60 THEN 'high'
+            WHEN round(coalesce(churn_probability, 0.0) * 100) >= 30 THEN 'medium' ELSE 'low' END AS gauge_band
+FROM preds"""
+ORACLE["risk_table"] = _ctes(*PRED_CTES) + f"""
+SELECT coalesce(member_name, '—') AS display_name,
+       substr(CAST(member_id AS VARCHAR), 1, 8) || '...' AS short_id,
+       printf('%.1f%%', round(churn_probability * 100, 1)) AS probability_text,
+       lower(risk_label) AS risk_class
+FROM (SELECT * FROM preds {_RANK} LIMIT 50)"""
+ORACLE["key_indicators"] = _ctes(*PRED_CTES) + """
+SELECT member_id, CAST(round(total_meal_logs) AS BIGINT) AS meals_logged,
+       CAST(round(total_weight_logs) AS BIGINT) AS weight_logs,
+       CAST(round(total_exercise_logs) AS BIGINT) AS exercise_logs,
+       CAST(CAST(round(meal_compliance_rate * 100) AS BIGINT) AS VARCHAR) || '%' AS meal_compliance,
+       CAST(CAST(round(collection_completion_rate * 100) AS BIGINT) AS VARCHAR) || '%' AS completion_rate,
+       CAST(round(enrollment_age_days) AS BIGINT) AS days_enrolled
+FROM preds"""
+ORACLE["search_display"] = _ctes(*PRED_CTES, _SEARCH) + """
+SELECT member_id,
+       CASE WHEN coalesce(first_name, '') <> '' OR coalesce(last_name, '') <> ''
+            THEN trim(coalesce(first_name, '') || ' ' || coalesce(last_name, ''))
+            ELSE 'Unnamed Member' END AS display_name,
+       substr(CAST(member_id AS VARCHAR), 1, 12) || '...' AS short_id
+FROM search"""
