@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens import constants as K
-from cohortlens.operators import clean, engineer, features, label, reports, scoring, timeline
+from cohortlens.operators import (clean, engineer, evaluate, features, label, models, reports,
+                                  scoring, split, timeline)
+from cohortlens import sinks
+from cohortlens.sources import files
 from cohortlens.plans import workflow as W
 from cohortlens.sources.standin import (ORDERS_THRESHOLD_DAYS, events_profile,
                                         orders_profile)
@@ -407,3 +410,249 @@ def q_key_indicators(spark, sf):
 @register("search_display")
 def q_search_display(spark, sf):
     return reports.search_display(scoring.member_search(_preds(spark, sf), SEARCH_PROBE, 20))
+
+
+# --- 2.8 split, folds, weights, scaling ------------------------------------------------
+
+def _split(spark, sf):
+    """Processed features with the stratified hold-out split."""
+    t = W.process_features(_orders(spark, sf), ORDERS_THRESHOLD_DAYS, with_name=True)
+    return split.stratified_split(t)
+
+
+def _rule_split(spark, sf):
+    """Labelled, rule-scored members with the split (exactly reproducible)."""
+    t = label.rule_churn_score(_engineered(spark, sf))
+    return split.stratified_split(t)
+
+
+@register("stratified_split")
+def q_stratified_split(spark, sf):
+    return _rule_split(spark, sf).select("member_id", K.LABEL_COLUMN, "rank_in_label", "n_label", "is_test")
+
+
+@register("stratified_folds")
+def q_stratified_folds(spark, sf):
+    s = _rule_split(spark, sf)
+    k = split.fold_count(s.where(~F.col("is_test")))
+    return split.stratified_folds(s, k).select("member_id", K.LABEL_COLUMN, "fold")
+
+
+@register("class_weights")
+def q_class_weights(spark, sf):
+    s = _rule_split(spark, sf)
+    w = split.class_weights(s.where(~F.col("is_test")))
+    return W.round_doubles(w.select("member_id", K.LABEL_COLUMN, "w_balanced", "w_boost"))
+
+
+@register("standard_scale")
+def q_standard_scale(spark, sf):
+    s = _split(spark, sf)
+    train = s.where(~F.col("is_test"))
+    stats = split.fit_standard_scale(train, list(K.FEATURE_COLUMNS))
+    return W.round_doubles(split.apply_standard_scale(train, stats).select("member_id", *K.FEATURE_COLUMNS))
+
+
+# --- 2.9 evaluation on the deterministic rule score ------------------------------------
+
+def _rule_test(spark, sf):
+    return _rule_split(spark, sf).where(F.col("is_test")).withColumnsRenamed(
+        {"rule_churned": "prediction", "rule_churn_score": "score"})
+
+
+@register("classification_metrics")
+def q_classification_metrics(spark, sf):
+    return evaluate.classification_metrics(_rule_test(spark, sf))
+
+
+@register("roc_auc")
+def q_roc_auc(spark, sf):
+    return evaluate.roc_auc(_rule_test(spark, sf))
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf):
+    return evaluate.confusion_matrix(_rule_test(spark, sf))
+
+
+@register("classification_report")
+def q_classification_report(spark, sf):
+    return evaluate.classification_report(_rule_test(spark, sf))
+
+
+@register("cv_f1")
+def q_cv_f1(spark, sf):
+    s = _rule_split(spark, sf)
+    k = split.fold_count(s.where(~F.col("is_test")))
+    folds = split.stratified_folds(s, k).withColumnRenamed("rule_churned", "prediction")
+    return evaluate.fold_f1(folds)
+
+
+def _rule_metrics(spark, sf):
+    test = _rule_test(spark, sf)
+    m = evaluate.classification_metrics(test).first().asDict()
+    m.update(evaluate.roc_auc(test).first().asDict())
+    m.update(q_cv_f1(spark, sf).first().asDict())
+    return evaluate.mark_best(evaluate.metrics_table(spark, {"Rule Score": m}))
+
+
+@register("rule_metrics")
+def q_rule_metrics(spark, sf):
+    return _rule_metrics(spark, sf).drop("model_order")
+
+
+# --- 2.8 / 2.9 fitted models (row-count checks) -------------------------------------------
+
+def _fit(spark, sf, names=K.MODEL_ORDER, with_cv=False):
+    s = _split(spark, sf)
+    k = split.fold_count(s.where(~F.col("is_test")))
+    return s, models.train_and_compare(spark, s, list(K.FEATURE_COLUMNS), k, names=names,
+                                       with_cv=with_cv)
+
+
+def _test_predictions(spark, sf, name):
+    s, result = _fit(spark, sf, names=(name,))
+    test = s.where(F.col("is_test"))
+    return models.with_probability(result.models[name].transform(test)).select(
+        "member_id", K.LABEL_COLUMN, F.round("score", 4).alias("churn_probability"),
+        F.col("prediction").cast("int").alias("churn_prediction"))
+
+
+@register("fit_logistic")
+def q_fit_logistic(spark, sf):
+    return _test_predictions(spark, sf, K.MODEL_ORDER[0])
+
+
+@register("fit_forest")
+def q_fit_forest(spark, sf):
+    return _test_predictions(spark, sf, K.MODEL_ORDER[1])
+
+
+@register("fit_boosted")
+def q_fit_boosted(spark, sf):
+    return _test_predictions(spark, sf, K.MODEL_ORDER[2])
+
+
+@register("metrics_table")
+def q_metrics_table(spark, sf):
+    return _fit(spark, sf, with_cv=True)[1].metrics
+
+
+@register("best_model")
+def q_best_model(spark, sf):
+    return evaluate.best_model(_fit(spark, sf)[1].metrics).select("model", "f1_score")
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    _, result = _fit(spark, sf)
+    return models.feature_importance(result.models[result.best], result.feature_cols, result.n_train)
+
+
+# --- 2.10 model scoring -------------------------------------------------------------------
+
+def _best_and_features(spark, sf):
+    s, result = _fit(spark, sf)
+    return result.models[result.best], s
+
+
+@register("score_members")
+def q_score_members(spark, sf):
+    model, s = _best_and_features(spark, sf)
+    return scoring.rank_by_risk(scoring.score_members(model, s))
+
+
+@register("score_one")
+def q_score_one(spark, sf):
+    model, s = _best_and_features(spark, sf)
+    return scoring.score_one(model, s, MEMBER_PROBE)
+
+
+@register("save_pipeline")
+def q_save_pipeline(spark, sf):
+    model, s = _best_and_features(spark, sf)
+    path = sinks.scratch_path(spark, "pipeline")
+    sinks.save_pipeline(model, path)
+    return spark.read.json(f"{path}/stages/*/metadata")
+
+
+@register("load_pipeline")
+def q_load_pipeline(spark, sf):
+    model, s = _best_and_features(spark, sf)
+    path = sinks.scratch_path(spark, "pipeline")
+    sinks.save_pipeline(model, path)
+    return scoring.score_members(sinks.load_pipeline(path), s)
+
+
+# --- 2.1 / 2.2 sources and sinks (round trips through the shared folder) -------------------
+
+@register("scan_table")
+def q_scan_table(spark, sf):
+    return files.read_table(spark, sf, "orders").where(
+        F.col("o_orderpriority") == "1-URGENT").select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@register("sink_csv")
+def q_sink_csv(spark, sf):
+    t = features.feature_table(_orders(spark, sf)).drop("created_at")
+    path = sinks.scratch_path(spark, "features-csv")
+    sinks.write_csv(t, path)
+    return files.read_csv(spark, path, t.schema)
+
+
+@register("scan_csv")
+def q_scan_csv(spark, sf):
+    return q_sink_csv(spark, sf)
+
+
+@register("sink_predictions_json")
+def q_sink_predictions_json(spark, sf):
+    p = scoring.prediction_record(_preds(spark, sf))
+    path = sinks.scratch_path(spark, "predictions")
+    sinks.write_json_records(p, path)
+    return W.round_doubles(files.read_json_records(spark, path, p.schema))
+
+
+@register("scan_json_records")
+def q_scan_json_records(spark, sf):
+    return q_sink_predictions_json(spark, sf)
+
+
+@register("sink_names_json")
+def q_sink_names_json(spark, sf):
+    names = _orders(spark, sf).members.select("member_id", "member_name")
+    path = sinks.scratch_path(spark, "names")
+    sinks.write_json_records(names, path)
+    return files.read_json_records(spark, path, names.schema)
+
+
+@register("scan_json_map")
+def q_scan_json_map(spark, sf):
+    names = _orders(spark, sf).members.select("member_id", "member_name")
+    path = sinks.scratch_path(spark, "names-map")
+    sinks.write_json_map(names, "member_id", "member_name", path, keys_per_object=500)
+    m = files.read_json_map(spark, path, "string", "member_id", "member_name", wholetext=False)
+    return m.select(F.col("member_id").cast("long").alias("member_id"), "member_name")
+
+
+@register("sink_timelines_json")
+def q_sink_timelines_json(spark, sf):
+    t = timeline.member_timeline(_events(spark, sf))
+    path = sinks.scratch_path(spark, "timelines")
+    sinks.write_json_records(t, path)
+    back = files.read_json_records(spark, path, t.schema)
+    return back.select("member_id", "member_name", "enrollment_date",
+                       F.inline("activity_timeline"), "summary.*")
+
+
+@register("sink_metrics")
+def q_sink_metrics(spark, sf):
+    m = _rule_metrics(spark, sf)
+    path = sinks.scratch_path(spark, "metrics")
+    sinks.write_metrics(m, path)
+    return files.read_metrics(spark, path).drop("model_order")
+
+
+@register("scan_metrics")
+def q_scan_metrics(spark, sf):
+    return q_sink_metrics(spark, sf)

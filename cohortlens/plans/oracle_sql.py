@@ -204,8 +204,8 @@ def _clipped(src: str) -> str:
     cols = []
     for c in ENGINEERED_COLUMNS:
         if c in CLIP_COLUMNS:
-            cols.append(f"round(CASE WHEN {c} IS NOT NULL THEN greatest(lo_{c}, least(hi_{c}, "
-                        f"CAST({c} AS DOUBLE))) END, 6) AS {c}")
+            cols.append(f"CASE WHEN {c} IS NOT NULL THEN greatest(lo_{c}, least(hi_{c}, "
+                        f"CAST({c} AS DOUBLE))) END AS {c}")
         else:
             cols.append(c)
     return (f"bounds AS (SELECT {bounds} FROM {src}),\n"
@@ -305,8 +305,11 @@ ORACLE["impute_by_name"] = _ctes(*ENGINEERED_CTES, _IMPUTED) + "\n" + _select(EN
 ORACLE["impute_zero"] = _ctes(*ENGINEERED_CTES) + "\nSELECT " + ", ".join(
     _r6(c, f"coalesce({c}, 0.0)") if c in DOUBLE_COLUMNS else f"coalesce({c}, 0) AS {c}"
     for c in ENGINEERED_COLUMNS) + " FROM engineered"
-ORACLE["clip_quantiles"] = _ctes(*ENGINEERED_CTES, _clipped("engineered")) + "\nSELECT * FROM clipped"
-ORACLE["process_features"] = _ctes(*ENGINEERED_CTES, _IMPUTED, _clipped("imputed")) + "\nSELECT * FROM clipped"
+_CLIPPED_OUT = "\nSELECT " + ", ".join(
+    f"round({c}, 6) AS {c}" if c in CLIP_COLUMNS or c in DOUBLE_COLUMNS else c
+    for c in ENGINEERED_COLUMNS) + " FROM clipped"
+ORACLE["clip_quantiles"] = _ctes(*ENGINEERED_CTES, _clipped("engineered")) + _CLIPPED_OUT
+ORACLE["process_features"] = _ctes(*ENGINEERED_CTES, _IMPUTED, _clipped("imputed")) + _CLIPPED_OUT
 ORACLE["select_features"] = _ctes(*ENGINEERED_CTES) + "\n" + _select(K.FEATURE_COLUMNS, "engineered")
 ORACLE["numeric_columns"] = _ctes(*ENGINEERED_CTES) + "\n" + _select(ENGINEERED_COLUMNS, "engineered")
 
@@ -464,3 +467,114 @@ SELECT member_id,
             ELSE 'Unnamed Member' END AS display_name,
        substr(CAST(member_id AS VARCHAR), 1, 12) || '...' AS short_id
 FROM search"""
+
+
+# --- split, folds, weights, scaling, rule evaluation ---------------------------------
+
+_SPLIT = f"""ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY is_churned
+                               ORDER BY md5('42|' || CAST(member_id AS VARCHAR)), member_id) AS rank_in_label,
+         count(*) OVER (PARTITION BY is_churned) AS n_label
+  FROM ruled),
+split AS (SELECT *, rank_in_label <= round(0.2 * n_label) AS is_test FROM ranked),
+train AS (SELECT * FROM split WHERE NOT is_test),
+kfold AS (SELECT greatest(2, least(5, count(*) FILTER (WHERE is_churned = 1),
+                                      count(*) FILTER (WHERE is_churned = 0))) AS k FROM train),
+folds AS (SELECT t.*, CAST((rank_in_label - 1) % k AS INTEGER) AS fold FROM train t CROSS JOIN kfold),
+test AS (SELECT *, rule_churned AS prediction, rule_churn_score AS score FROM split WHERE is_test),
+cm AS (SELECT count(*) FILTER (WHERE is_churned = 1 AND prediction = 1) AS tp,
+              count(*) FILTER (WHERE is_churned = 0 AND prediction = 1) AS fp,
+              count(*) FILTER (WHERE is_churned = 1 AND prediction = 0) AS fn,
+              count(*) FILTER (WHERE is_churned = 0 AND prediction = 0) AS tn FROM test)"""
+SPLIT_CTES = ENGINEERED_CTES + [_RULED, _SPLIT]
+
+
+def _sdiv(a: str, b: str) -> str:
+    return f"CASE WHEN ({b}) > 0 THEN CAST({a} AS DOUBLE) / ({b}) ELSE 0.0 END"
+
+
+_METRICS = (f"round({_sdiv('tp + tn', 'tp + fp + fn + tn')}, 4) AS accuracy, "
+            f"round({_sdiv('tp', 'tp + fp')}, 4) AS precision, "
+            f"round({_sdiv('tp', 'tp + fn')}, 4) AS recall, "
+            f"round({_sdiv('2 * tp', '2 * tp + fp + fn')}, 4) AS f1_score")
+_AUC = """auc_scores AS (
+  SELECT score, count(*) FILTER (WHERE is_churned = 1) AS pos, count(*) FILTER (WHERE is_churned = 0) AS neg
+  FROM test GROUP BY score),
+auc_cum AS (
+  SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+  FROM auc_scores),
+auc AS (
+  SELECT round(CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+                    THEN sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) ELSE 0.0 END, 4) AS roc_auc
+  FROM auc_cum)"""
+_CV = f"""cv_per_fold AS (
+  SELECT fold, {_sdiv("2 * count(*) FILTER (WHERE is_churned = 1 AND rule_churned = 1)",
+                     "2 * count(*) FILTER (WHERE is_churned = 1 AND rule_churned = 1) "
+                     "+ count(*) FILTER (WHERE is_churned = 0 AND rule_churned = 1) "
+                     "+ count(*) FILTER (WHERE is_churned = 1 AND rule_churned = 0)")} AS f1
+  FROM folds GROUP BY fold),
+cv AS (SELECT round(avg(f1), 4) AS cv_f1_mean, round(stddev_pop(f1), 4) AS cv_f1_std FROM cv_per_fold)"""
+
+ORACLE["stratified_split"] = _ctes(*SPLIT_CTES) + (
+    "\nSELECT member_id, is_churned, rank_in_label, n_label, is_test FROM split")
+ORACLE["stratified_folds"] = _ctes(*SPLIT_CTES) + "\nSELECT member_id, is_churned, fold FROM folds"
+ORACLE["class_weights"] = _ctes(*SPLIT_CTES) + """,
+cw AS (SELECT is_churned, count(*) AS nc FROM train GROUP BY is_churned),
+tot AS (SELECT sum(nc) AS n, sum(nc) FILTER (WHERE is_churned = 1) AS pos,
+               sum(nc) FILTER (WHERE is_churned = 0) AS neg FROM cw)
+SELECT t.member_id, t.is_churned, round(tot.n / (2.0 * cw.nc), 6) AS w_balanced,
+       round(CASE WHEN t.is_churned = 1 THEN coalesce(tot.neg, 0) / CAST(greatest(coalesce(tot.pos, 0), 1) AS DOUBLE)
+                  ELSE 1.0 END, 6) AS w_boost
+FROM train t JOIN cw ON cw.is_churned = t.is_churned CROSS JOIN tot"""
+ORACLE["classification_metrics"] = _ctes(*SPLIT_CTES) + f"\nSELECT tp, fp, fn, tn, {_METRICS} FROM cm"
+ORACLE["roc_auc"] = _ctes(*SPLIT_CTES, _AUC) + "\nSELECT roc_auc FROM auc"
+ORACLE["confusion_matrix"] = _ctes(*SPLIT_CTES) + """
+SELECT 0 AS actual, 0 AS predicted, tn AS n FROM cm UNION ALL SELECT 0, 1, fp FROM cm
+UNION ALL SELECT 1, 0, fn FROM cm UNION ALL SELECT 1, 1, tp FROM cm"""
+_P1, _R1, _F1 = _sdiv("tp", "tp + fp"), _sdiv("tp", "tp + fn"), _sdiv("2 * tp", "2 * tp + fp + fn")
+_P0, _R0, _F0 = _sdiv("tn", "tn + fn"), _sdiv("tn", "tn + fp"), _sdiv("2 * tn", "2 * tn + fn + fp")
+ORACLE["classification_report"] = _ctes(*SPLIT_CTES) + f"""
+SELECT class_name, round(precision, 4) AS precision, round(recall, 4) AS recall,
+       round(f1_score, 4) AS f1_score, support
+FROM (
+  SELECT 'Active' AS class_name, {_P0} AS precision, {_R0} AS recall, {_F0} AS f1_score, tn + fp AS support FROM cm
+  UNION ALL SELECT 'Churned', {_P1}, {_R1}, {_F1}, tp + fn FROM cm
+  UNION ALL SELECT 'accuracy', NULL, NULL, {_sdiv('tp + tn', 'tp + fp + fn + tn')}, tp + fp + fn + tn FROM cm
+  UNION ALL SELECT 'macro avg', ({_P0} + {_P1}) / 2, ({_R0} + {_R1}) / 2, ({_F0} + {_F1}) / 2,
+                   tp + fp + fn + tn FROM cm
+  UNION ALL SELECT 'weighted avg',
+                   {_sdiv(f'({_P0}) * (tn + fp) + ({_P1}) * (tp + fn)', 'tp + fp + fn + tn')},
+                   {_sdiv(f'({_R0}) * (tn + fp) + ({_R1}) * (tp + fn)', 'tp + fp + fn + tn')},
+                   {_sdiv(f'({_F0}) * (tn + fp) + ({_F1}) * (tp + fn)', 'tp + fp + fn + tn')},
+                   tp + fp + fn + tn FROM cm)"""
+ORACLE["cv_f1"] = _ctes(*SPLIT_CTES, _CV) + "\nSELECT * FROM cv"
+ORACLE["rule_metrics"] = _ctes(*SPLIT_CTES, _AUC, _CV) + f"""
+SELECT 'Rule Score' AS model, {_METRICS}, roc_auc, cv_f1_mean, cv_f1_std, true AS is_best
+FROM cm CROSS JOIN auc CROSS JOIN cv"""
+ORACLE["sink_metrics"] = ORACLE["rule_metrics"]
+ORACLE["scan_metrics"] = ORACLE["rule_metrics"]
+
+# processed (imputed + clipped) features with the same split, for the scaler
+_PSPLIT = """pranked AS (
+  SELECT *, row_number() OVER (PARTITION BY is_churned
+                               ORDER BY md5('42|' || CAST(member_id AS VARCHAR)), member_id) AS rank_in_label,
+         count(*) OVER (PARTITION BY is_churned) AS n_label
+  FROM clipped),
+ptrain AS (SELECT * FROM pranked WHERE NOT (rank_in_label <= round(0.2 * n_label)))"""
+ORACLE["standard_scale"] = _ctes(*ENGINEERED_CTES, _IMPUTED, _clipped("imputed"), _PSPLIT) + (
+    "\nSELECT member_id, " + ", ".join(
+        f"round((CAST({c} AS DOUBLE) - avg({c}) OVER ()) / CASE WHEN coalesce(stddev_pop({c}) OVER (), 0) = 0 "
+        f"THEN 1.0 ELSE stddev_pop({c}) OVER () END, 6) AS {c}" for c in K.FEATURE_COLUMNS)
+    + " FROM ptrain")
+
+# --- sources and sinks: round trips must give back the written table -----------------------
+
+ORACLE["scan_table"] = ("SELECT o_orderkey, o_custkey, o_totalprice FROM orders "
+                        "WHERE o_orderpriority = '1-URGENT'")
+ORACLE["sink_csv"] = ORACLE["feature_table"]
+ORACLE["scan_csv"] = ORACLE["feature_table"]
+ORACLE["sink_predictions_json"] = ORACLE["prediction_record"]
+ORACLE["scan_json_records"] = ORACLE["prediction_record"]
+ORACLE["sink_names_json"] = _ctes(_ORDERS, _FIRST, _MEMBERS) + "\nSELECT member_id, member_name FROM members"
+ORACLE["scan_json_map"] = ORACLE["sink_names_json"]
+ORACLE["sink_timelines_json"] = ORACLE["member_timeline"]

@@ -12,6 +12,7 @@ from cohortlens.operators.clean import handle_missing_and_outliers
 from cohortlens.operators.engineer import engineer_features
 from cohortlens.operators.features import feature_table
 from cohortlens.operators.label import churn_label, rule_churn_score
+from cohortlens.session import materialize
 from cohortlens.sources.activity import ActivityData
 
 
@@ -23,10 +24,18 @@ def engineered_table(data: ActivityData, threshold_days: int, with_name: bool =
     return engineer_features(labelled_table(data, threshold_days, with_name))
 
 
-def process_features(data: ActivityData, threshold_days: int) -> DataFrame:
-    """Label, engineer, impute and clip: the training table of the reference."""
-    return handle_missing_and_outliers(engineered_table(data, threshold_days),
-                                       exclude=("member_id",))
+def process_features(data: ActivityData, threshold_days: int, with_name: bool = False,
+                     materialize_input: bool = True) -> DataFrame:
+    """Label, engineer, impute and clip: the training table of the reference.
+
+    The engineered table is written once to the shared checkpoint folder
+    before the statistics passes (null counts, medians, clip quantiles), so
+    those passes scan files instead of re-running the aggregation plan.
+    """
+    engineered = engineered_table(data, threshold_days, with_name)
+    if materialize_input:
+        engineered = materialize(engineered, "engineered")
+    return handle_missing_and_outliers(engineered, exclude=("member_id",))
 
 
 def rule_predictions(data: ActivityData, threshold_days: int) -> DataFrame:

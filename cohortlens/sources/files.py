@@ -52,15 +52,16 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def read_json_map(spark: SparkSession, path: str, value_type: str = "string",
-                  key_name: str = "member_id", value_name: str = "value") -> DataFrame:
-    """A JSON object ``{id: value, ...}`` as a two-column table.
+                  key_name: str = "member_id", value_name: str = "value",
+                  wholetext: bool = True) -> DataFrame:
+    """JSON objects ``{id: value, ...}`` as a two-column table.
 
     ``read.json`` would turn every key into a column; parsing the text as a
-    map and exploding it gives one row per key. One file is one object, so
-    this is meant for importing existing exports; tables written by this
-    package are stored row-wise instead.
+    map and exploding it gives one row per key. With ``wholetext`` each file
+    is one (possibly pretty-printed) object, as the reference exports are;
+    without it each line is one object, as ``sinks.write_json_map`` writes.
     """
-    text = spark.read.text(path, wholetext=True)
+    text = spark.read.text(path, wholetext=wholetext)
     parsed = text.select(F.from_json("value", f"map<string,{value_type}>").alias("m"))
     return parsed.select(F.explode("m").alias(key_name, value_name))
 
