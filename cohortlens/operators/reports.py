@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import constants as K
-from cohortlens.operators.scoring import RANK_ORDER, risk_filter
+from cohortlens.operators.scoring import rank_order, risk_filter
 
 
 def chart_rows(daily: DataFrame) -> DataFrame:
@@ -32,7 +32,7 @@ def gauge_band(predictions: DataFrame) -> DataFrame:
 def risk_table(predictions: DataFrame, label: str | None = None,
                rows: int = K.RISK_TABLE_ROWS) -> DataFrame:
     """Top rows of the (filtered) ranked list, formatted for display."""
-    top = risk_filter(predictions, label).orderBy(*RANK_ORDER).limit(rows)
+    top = risk_filter(predictions, label).orderBy(*rank_order()).limit(rows)
     return top.select(
         F.coalesce(F.col("member_name"), F.lit("—")).alias("display_name"),
         F.concat(F.substring(F.col("member_id").cast("string"), 1, 8), F.lit("...")).alias("short_id"),

@@ -23,11 +23,9 @@ _RISK_PATTERN = re.compile(r"^(Low|Medium|High)$")
 
 # the reference keeps a stable sort on its input order (newest member first);
 # that order is made explicit here, with the id as final tie-break
-RANK_ORDER: tuple[Column, ...] = (
-    F.col("churn_probability").desc(),
-    F.col("created_at").desc_nulls_last(),
-    F.col("member_id").asc(),
-)
+def rank_order() -> tuple[Column, ...]:
+    return (F.col("churn_probability").desc(), F.col("created_at").desc_nulls_last(),
+            F.col("member_id").asc())
 
 
 def add_risk_label(df: DataFrame, probability: str = "probability_raw") -> DataFrame:
@@ -37,7 +35,7 @@ def add_risk_label(df: DataFrame, probability: str = "probability_raw") -> DataF
 
 def rank_by_risk(predictions: DataFrame) -> DataFrame:
     """Whole table sorted by rounded probability, descending (a range-partitioned sort)."""
-    return predictions.orderBy(*RANK_ORDER)
+    return predictions.orderBy(*rank_order())
 
 
 def _check_risk_filter(risk_filter: str | None) -> None:
@@ -71,7 +69,7 @@ def at_risk_top(predictions: DataFrame, limit: int = K.AT_RISK_DEFAULT_LIMIT,
                 label: str | None = None) -> DataFrame:
     """The first ``limit`` members of the ranked, optionally filtered list."""
     _check_limit(limit, K.AT_RISK_MAX_LIMIT)
-    top = risk_filter(predictions, label).orderBy(*RANK_ORDER).limit(limit)
+    top = risk_filter(predictions, label).orderBy(*rank_order()).limit(limit)
     return top.select("member_id", "member_name", "churn_probability", "churn_prediction",
                       "risk_label")
 
@@ -110,7 +108,7 @@ def member_search(predictions: DataFrame, q: str = "", limit: int = K.SEARCH_DEF
         hits = predictions.where(F.contains(F.lower(F.col("member_id").cast("string")), needle)
                                  | F.contains(F.lower(name), needle))
     parts = F.split(name, " ", 2)
-    top = hits.orderBy(*RANK_ORDER).limit(limit)
+    top = hits.orderBy(*rank_order()).limit(limit)
     return top.select(
         F.col("member_id"),
         F.when(name == "", F.lit("")).otherwise(F.get(parts, 0)).alias("first_name"),
