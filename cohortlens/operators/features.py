@@ -39,11 +39,17 @@ def _window_count(as_of: dt.date, days: int) -> Column:
 
 # --- members and enrollments --------------------------------------------------
 
-def member_demographics(members: DataFrame, as_of: dt.date) -> DataFrame:
-    """gender_encoded (1 = male), whole years of age, body size, 0/1 flags."""
+def member_demographics(members: DataFrame, as_of: dt.date,
+                        keep: tuple[str, ...] = ()) -> DataFrame:
+    """gender_encoded (1 = male), whole years of age, body size, 0/1 flags.
+
+    ``keep`` passes member columns through (``height_cm_raw`` is the height
+    as stored, for BMI).
+    """
     gender = F.lower(F.trim(F.col("gender")))
+    passed = [F.col("height_cm").alias(c) if c == "height_cm_raw" else F.col(c) for c in keep]
     return members.select(
-        KEY,
+        KEY, *passed,
         flag(gender.isin("male", "m")).alias("gender_encoded"),
         F.floor(F.months_between(as_of_lit(as_of), F.col("birth_date")) / 12).cast("int")
          .alias("age_years"),
@@ -55,12 +61,20 @@ def member_demographics(members: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def _latest_enrollment(enrollments: DataFrame) -> DataFrame:
-    """One enrollment per member: the one with the latest start date."""
-    latest = F.max_by(F.struct("start_date", "is_active", "doctor_id", "nutritionist_id",
-                               "fitness_coach_id"),
-                      F.struct(F.col("start_date"), F.col("doctor_id")))
-    return (enrollments.groupBy(KEY).agg(latest.alias("e"))
-            .select(KEY, "e.*"))
+    """One enrollment per member: the one with the latest start date.
+
+    Each field is taken with ``max_by(field, start_date)`` (a primitive
+    ordering key, so hash aggregation applies); ties on the start date
+    resolve to the larger value of each field.
+    """
+    fields = ("is_active", "doctor_id", "nutritionist_id", "fitness_coach_id")
+    day = F.coalesce(F.unix_date("start_date"), F.lit(-(2 ** 31)))
+    ranked = enrollments.select(KEY, "start_date", *fields,
+                                *[(day.cast("long") * 2 + F.col(f).isNotNull().cast("long")).alias(f"_k_{f}")
+                                  for f in fields])
+    return ranked.groupBy(KEY).agg(
+        F.max("start_date").alias("start_date"),
+        *[F.max_by(f, f"_k_{f}").alias(f) for f in fields])
 
 
 def enrollment_features(enrollments: DataFrame, as_of: dt.date) -> DataFrame:
@@ -122,28 +136,59 @@ def meal_recent_counts(meals: DataFrame, as_of: dt.date) -> DataFrame:
 
 # --- weight channel ---------------------------------------------------------------
 
-def weight_features(weights: DataFrame, members: DataFrame, as_of: dt.date) -> DataFrame:
-    """Weight counts, range, first-to-last change, mean BMI, recency.
+def weight_aggregates(weights: DataFrame, as_of: dt.date) -> DataFrame:
+    """Per-member weight statistics, without BMI (that needs the member's height).
 
-    BMI uses the member's height, constant per member, so the mean BMI is
-    mean(weight) / (height/100)^2: the log table is aggregated first and only
-    the per-member result meets the member table.
+    Two hash aggregations instead of one distinct aggregation: logs are first
+    reduced to one row per (member, day), keeping that day's first and last
+    weight by log id; the per-member step then counts days without a
+    distinct, and picks the first/last weight by day. Every ordering key is a
+    fixed-width primitive, so both steps stay hash aggregations with partial
+    (map-side) combining, and a member with very many logs is spread over
+    its days in the first shuffle.
     """
-    order = F.struct(F.col("log_date"), F.col("log_id"))
-    agg = _until(weights, as_of).groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("total_weight_logs"),
-        F.count_distinct("log_date").alias("distinct_weight_days"),
-        F.round(F.max("weight_kg") - F.min("weight_kg"), 2).alias("weight_range_kg"),
-        F.avg("weight_kg").alias("_avg_weight"),
+    day = _until(weights, as_of).groupBy(KEY, "log_date").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("weight_kg").alias("w_sum"),
+        F.count("weight_kg").alias("w_cnt"),
+        F.max("weight_kg").alias("w_max"),
+        F.min("weight_kg").alias("w_min"),
+        F.min_by("weight_kg", "log_id").alias("w_first"),
+        F.max_by("weight_kg", "log_id").alias("w_last"),
+    )
+    return day.groupBy(KEY).agg(
+        F.sum("n").alias("total_weight_logs"),
+        F.count(F.lit(1)).alias("distinct_weight_days"),
+        F.round(F.max("w_max") - F.min("w_min"), 2).alias("weight_range_kg"),
+        (F.sum("w_sum") / F.sum("w_cnt")).alias("_avg_weight"),
         _recency(as_of).alias("days_since_last_weight"),
-        F.round(F.max_by("weight_kg", order) - F.min_by("weight_kg", order), 2)
+        F.round(F.max_by("w_last", "log_date") - F.min_by("w_first", "log_date"), 2)
          .alias("weight_change_kg"),
     )
-    height = members.select(KEY, F.col("height_cm").cast("double").alias("_h"))
-    bmi = F.when(F.col("_h") > 0, F.col("_avg_weight") / F.pow(F.col("_h") / 100, 2))
+
+
+def bmi_expr(avg_weight: Column, height_cm: Column) -> Column:
+    """Mean BMI from the mean weight: height is constant per member, so
+    mean(w / h^2) = mean(w) / h^2. NULL for a missing or zero height."""
+    h = height_cm.cast("double")
+    return F.round(F.when(h > 0, avg_weight / F.pow(h / 100, 2)), 1)
+
+
+_WEIGHT_OUT = ("total_weight_logs", "distinct_weight_days", "weight_range_kg", "avg_bmi",
+               "days_since_last_weight", "weight_change_kg")
+
+
+def weight_features(weights: DataFrame, members: DataFrame, as_of: dt.date) -> DataFrame:
+    """Weight counts, range, first-to-last change, mean BMI, recency.
+
+    The log table is aggregated first; only the per-member result meets the
+    member table for the height.
+    """
+    agg = weight_aggregates(weights, as_of)
+    height = members.select(KEY, "height_cm")
     return agg.join(height, KEY, "left").select(
-        KEY, "total_weight_logs", "distinct_weight_days", "weight_range_kg",
-        F.round(bmi, 1).alias("avg_bmi"), "days_since_last_weight", "weight_change_kg")
+        KEY, *[bmi_expr(F.col("_avg_weight"), F.col("height_cm")).alias(c) if c == "avg_bmi"
+               else F.col(c) for c in _WEIGHT_OUT])
 
 
 # --- exercise channel ---------------------------------------------------------------
@@ -200,24 +245,28 @@ _DOUBLE_ZERO = {"total_calories_burned", "collection_completion_rate"}
 def feature_table(data: ActivityData, with_name: bool = False) -> DataFrame:
     """member_id + the 42 base features for every member, logs or not.
 
+    The member table is read once (demographics are columns of it), and the
+    enrollment and four channel aggregates are left-joined to it on
+    member_id; each aggregate leaves hash-partitioned on member_id, so the
+    join chain adds no shuffle of its own beyond the member table's.
     Counts are 0 and recencies 9999 for a channel without logs; averages
     stay NULL so that imputation can fill them. ``created_at`` is kept for
     ordering (the reference lists newest members first).
     """
     as_of = data.as_of
-    members = data.members
+    base = member_demographics(data.members, as_of, keep=(
+        "created_at", "height_cm_raw") + (("member_name",) if with_name else ()))
     parts = [
-        member_demographics(members, as_of),
         enrollment_features(data.enrollments, as_of),
         meal_features(data.meals, as_of),
-        weight_features(data.weights, members, as_of),
+        weight_aggregates(data.weights, as_of),
         exercise_features(data.exercises, as_of),
         collection_features(data.collections, as_of),
     ]
-    keep = [KEY, "created_at"] + (["member_name"] if with_name else [])
-    table = members.select(*keep)
+    table = base
     for part in parts:
         table = table.join(part, KEY, "left")
+    table = table.withColumn("avg_bmi", bmi_expr(F.col("_avg_weight"), F.col("height_cm_raw")))
     cols: list[Column] = [F.col(KEY)]
     if with_name:
         cols.append(F.col("member_name"))

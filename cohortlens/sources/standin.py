@@ -67,12 +67,10 @@ def orders_profile(spark: SparkSession, sf_dir: str, as_of: dt.date = ORDERS_AS_
               .where(F.col("o_orderdate") < F.lit(_end_of_day(as_of))))
 
     first_order = orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order_ts"))
-    base = (customer
-            .join(part, customer.c_custkey == part.p_partkey, "left")
-            .join(first_order, customer.c_custkey == first_order.o_custkey, "left"))
+    base = customer.join(first_order, customer.c_custkey == first_order.o_custkey, "left")
     key = F.col("c_custkey")
     demo = _demographics(key, as_of)
-    members = base.select(
+    members = base.join(part, customer.c_custkey == part.p_partkey, "left").select(
         key.alias("member_id"),
         F.col("p_name").alias("member_name"),
         F.when(F.col("c_nationkey") % 2 == 1, F.lit("male")).otherwise(F.lit("female")).alias("gender"),
