@@ -1 +1,11 @@
-"""cohortlens.streaming."""
+"""Streaming.
+
+The reference has no streaming operator: its daily timelines are computed in
+batch. This package therefore adds no operator of its own.
+
+The batch operators are plain DataFrame transformations, so the per-day
+activity counts of ``operators.timeline.daily_counts`` also apply unchanged
+to a ``readStream`` source of activity logs. See ``daily_counts_stream``.
+"""
+
+from cohortlens.streaming.daily import daily_counts_stream  # noqa: F401

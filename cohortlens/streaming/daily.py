@@ -1,0 +1,26 @@
+"""Per-day activity counts over a stream of activity logs.
+
+The stream carries the four channels as rows of (member_id, ts, kind), with
+kind in meal / weight / exercise / collection. Counts per (member, day) are
+kept in Spark's state store; the watermark bounds how long a day stays open
+for late rows, so the state holds only the open days, not the history.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def daily_counts_stream(logs: DataFrame, lateness: str = "2 days") -> DataFrame:
+    """Streaming form of ``timeline.daily_counts``: one row per (member, day)
+    once the watermark passes the end of that day (append mode)."""
+    kind = F.col("kind")
+    return (logs.withWatermark("ts", lateness)
+            .groupBy("member_id", F.window("ts", "1 day").alias("w"))
+            .agg(F.count_if(kind == "meal").alias("meal_count"),
+                 (F.count_if(kind == "weight") > 0).alias("weight_logged"),
+                 F.count_if(kind == "exercise").alias("exercise_count"),
+                 F.count_if(kind == "collection").alias("collection_progress"))
+            .select("member_id", F.to_date(F.col("w.start")).alias("day"), "meal_count",
+                    "weight_logged", "exercise_count", "collection_progress"))
