@@ -416,8 +416,7 @@ def q_search_display(spark, sf):
 
 def _split(spark, sf):
     """Processed features with the stratified hold-out split."""
-    t = W.process_features(_orders(spark, sf), ORDERS_THRESHOLD_DAYS, with_name=True)
-    return split.stratified_split(t)
+    return W.training_split(_orders(spark, sf), ORDERS_THRESHOLD_DAYS)
 
 
 def _rule_split(spark, sf):

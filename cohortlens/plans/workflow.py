@@ -28,14 +28,25 @@ def process_features(data: ActivityData, threshold_days: int, with_name: bool =
                      materialize_input: bool = True) -> DataFrame:
     """Label, engineer, impute and clip: the training table of the reference.
 
-    The engineered table is written once to the shared checkpoint folder
-    before the statistics passes (null counts, medians, clip quantiles), so
-    those passes scan files instead of re-running the aggregation plan.
+    The labelled table (the only part that aggregates the activity logs) is
+    written once to the shared checkpoint folder; the channel maxima, null
+    counts, medians and clip quantiles are then fitted on those files, so
+    the logs are aggregated exactly once.
     """
-    engineered = engineered_table(data, threshold_days, with_name)
+    labelled = labelled_table(data, threshold_days, with_name)
     if materialize_input:
-        engineered = materialize(engineered, "engineered")
-    return handle_missing_and_outliers(engineered, exclude=("member_id",))
+        labelled = materialize(labelled, "labelled")
+    return handle_missing_and_outliers(engineer_features(labelled), exclude=("member_id",))
+
+
+def training_split(data: ActivityData, threshold_days: int, test_fraction: float = 0.2,
+                   seed: int = 42) -> DataFrame:
+    """Processed members with the stratified hold-out split, written once:
+    fold counting, weighting, scaling, fitting and every evaluation pass
+    read the same files."""
+    from cohortlens.operators.split import stratified_split
+    processed = process_features(data, threshold_days, with_name=True)
+    return materialize(stratified_split(processed, test_fraction, seed=seed), "split")
 
 
 def rule_predictions(data: ActivityData, threshold_days: int) -> DataFrame:
