@@ -174,5 +174,13 @@ def score_members(model: PipelineModel, features: DataFrame,
 
 
 def score_one(model: PipelineModel, features: DataFrame, member_id) -> DataFrame:
-    """One member's prediction; zero rows when the member is unknown."""
-    return score_members(model, features.where(F.col("member_id") == F.lit(member_id)))
+    """One member's prediction record; an unknown member gives one record with
+    ``error`` set and no scores (a one-row probe left-joined to the result,
+    so nothing is collected to decide it)."""
+    scored = score_members(model, features.where(F.col("member_id") == F.lit(member_id)))
+    spark = features.sparkSession
+    probe = spark.range(1).select(F.lit(member_id).cast(features.schema["member_id"].dataType)
+                                  .alias("member_id"))
+    out = probe.join(scored, "member_id", "left")
+    return out.withColumn("error", F.when(F.col("churn_probability").isNull(),
+                                          F.lit("Member not found")))

@@ -213,6 +213,15 @@ def q_provider_count(spark, sf):
     return engineer.provider_count(_labelled(spark, sf)).select("member_id", "provider_count")
 
 
+@register("engagement_score_serving")
+def q_engagement_score_serving(spark, sf):
+    """Maxima fitted on the training rows of the split, applied to every member."""
+    t = _rule_split(spark, sf)
+    maxima = engineer.fit_channel_maxima(t.where(~F.col("is_test")))
+    out = engineer.engagement_score(_labelled(spark, sf), maxima)
+    return W.round_doubles(out.select("member_id", "engagement_score"))
+
+
 @register("engineer_features")
 def q_engineer_features(spark, sf):
     t = _engineered(spark, sf)
@@ -380,6 +389,13 @@ def q_member_timeline(spark, sf):
                     F.inline("activity_timeline"), "summary.*")
 
 
+@register("member_activity")
+def q_member_activity(spark, sf):
+    t = timeline.member_activity(timeline.member_timeline(_events(spark, sf)), MEMBER_PROBE)
+    return t.select("member_id", "member_name", "enrollment_date",
+                    F.inline("activity_timeline"), "summary.*")
+
+
 @register("enrollment_date")
 def q_enrollment_date(spark, sf):
     return timeline.enrollment_date(_events(spark, sf))

@@ -578,3 +578,13 @@ ORACLE["scan_json_records"] = ORACLE["prediction_record"]
 ORACLE["sink_names_json"] = _ctes(_ORDERS, _FIRST, _MEMBERS) + "\nSELECT member_id, member_name FROM members"
 ORACLE["scan_json_map"] = ORACLE["sink_names_json"]
 ORACLE["sink_timelines_json"] = ORACLE["member_timeline"]
+
+ORACLE["member_activity"] = ORACLE["member_timeline"] + f" WHERE m.member_id = {MEMBER_PROBE}"
+ORACLE["engagement_score_serving"] = _ctes(*SPLIT_CTES) + """,
+train_max AS (
+  SELECT """ + ", ".join(f"greatest(max({c}), 1) AS tmax_{c}" for c in K.ACTIVITY_COLUMNS) + """
+  FROM train)
+SELECT member_id, round(""" + " + ".join(
+    f"{w} * ({c} / tmax_{c})" for w, c in zip(K.ENGAGEMENT_WEIGHTS, K.ACTIVITY_COLUMNS)) + """, 6)
+  AS engagement_score
+FROM labelled CROSS JOIN train_max"""

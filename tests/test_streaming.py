@@ -1,0 +1,23 @@
+import datetime as dt
+
+from cohortlens.streaming import daily_counts_stream
+
+
+def test_daily_counts_stream_matches_batch_rule(spark, tmp_path):
+    t0 = dt.datetime(2024, 1, 5, 8)
+    rows = [(1, t0, "meal"), (1, t0 + dt.timedelta(hours=2), "meal"), (1, t0, "weight"),
+            (1, t0 + dt.timedelta(days=1), "collection"), (2, t0, "exercise")]
+    schema = "member_id long, ts timestamp, kind string"
+    src = str(tmp_path / "logs")
+    spark.createDataFrame(rows, schema).write.parquet(src)
+    stream = spark.readStream.schema(schema).parquet(src)
+    q = (daily_counts_stream(stream).writeStream.outputMode("update").format("memory")
+         .queryName("daily_counts_test").option("checkpointLocation", str(tmp_path / "ck")).start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {(r.member_id, r.day.isoformat()): r for r in spark.sql("SELECT * FROM daily_counts_test").collect()}
+    assert got[(1, "2024-01-05")].meal_count == 2 and got[(1, "2024-01-05")].weight_logged
+    assert got[(1, "2024-01-06")].collection_progress == 1 and not got[(1, "2024-01-06")].weight_logged
+    assert got[(2, "2024-01-05")].exercise_count == 1
