@@ -41,7 +41,8 @@ def _labelled(spark, sf, with_name=False):
 
 
 def _engineered(spark, sf, with_name=False):
-    return W.engineered_table(_orders(spark, sf), ORDERS_THRESHOLD_DAYS, with_name)
+    return W.engineered_table(_orders(spark, sf), ORDERS_THRESHOLD_DAYS, with_name,
+                              materialize_labels=True)
 
 
 # --- 2.3 activity aggregation ---------------------------------------------------

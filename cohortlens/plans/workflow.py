@@ -20,8 +20,19 @@ def labelled_table(data: ActivityData, threshold_days: int, with_name: bool = Fa
     return churn_label(feature_table(data, with_name=with_name), threshold_days)
 
 
-def engineered_table(data: ActivityData, threshold_days: int, with_name: bool = False) -> DataFrame:
-    return engineer_features(labelled_table(data, threshold_days, with_name))
+def engineered_table(data: ActivityData, threshold_days: int, with_name: bool = False,
+                     materialize_labels: bool = False) -> DataFrame:
+    """Labelled table plus the nine derived features.
+
+    Fitting the channel maxima is an action over the labelled table; with
+    ``materialize_labels`` that table is written once to the shared folder
+    first, so the activity logs are aggregated once instead of twice (for
+    the maxima, then for the result).
+    """
+    labelled = labelled_table(data, threshold_days, with_name)
+    if materialize_labels:
+        labelled = materialize(labelled, "labelled")
+    return engineer_features(labelled)
 
 
 def process_features(data: ActivityData, threshold_days: int, with_name: bool = False,
@@ -56,7 +67,8 @@ def rule_predictions(data: ActivityData, threshold_days: int) -> DataFrame:
     exactly (serving queries, evaluation checks): probability = rule score,
     prediction = score >= 0.40, risk band from the unrounded score.
     """
-    t = rule_churn_score(engineered_table(data, threshold_days, with_name=True))
+    t = rule_churn_score(engineered_table(data, threshold_days, with_name=True,
+                                          materialize_labels=True))
     p = F.col("rule_churn_score")
     return t.select(
         "member_id", "member_name", "created_at",
