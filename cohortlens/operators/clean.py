@@ -1,8 +1,9 @@
 """Missing values and outliers.
 
-Statistics are computed in as few passes as possible (one pass for all null
-counts, one shared quantile search for all medians or all clip bounds) and
-applied as literals.
+Statistics are computed in as few passes as possible and applied as
+literals: one pass gives row count, non-null counts, min and max of every
+numeric column; one shared quantile search finds all medians, and one all
+clip bounds.
 """
 
 from __future__ import annotations
@@ -37,7 +38,8 @@ def _zero_imputed(name: str) -> bool:
     return any(part in name for part in K.ZERO_IMPUTE_NAME_PARTS)
 
 
-def fit_imputation(df: DataFrame, exclude: tuple[str, ...] = ("member_id",)) -> dict[str, float | None]:
+def fit_imputation(df: DataFrame, exclude: tuple[str, ...] = ("member_id",),
+                   stats: dict[str, tuple] | None = None) -> dict[str, float | None]:
     """Fill value per numeric column that has missing values.
 
     Names containing ``count``, ``total`` or ``days`` get 0, all others their
@@ -46,16 +48,41 @@ def fit_imputation(df: DataFrame, exclude: tuple[str, ...] = ("member_id",)) ->
     no value at all keeps NULL (its median is undefined).
     """
     cols = numeric_columns(df, exclude)
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-    missing = [c for c in cols if nulls[c]]
+    stats = stats or _stats_with_rows(df, cols)
+    rows = stats["__rows__"]
+    missing = [c for c in cols if stats[c][0] < rows]
     fills: dict[str, float | None] = {c: 0 for c in missing if _zero_imputed(c)}
     median_cols = [c for c in missing if not _zero_imputed(c)]
-    medians = exact_quantiles(df, median_cols, [0.5])
+    medians = exact_quantiles(df, median_cols, [0.5], stats=stats)
     for c in median_cols:
         fills[c] = medians[c][0]
     return fills
 
 
+def _stats_with_rows(df: DataFrame, cols: list[str]) -> dict[str, tuple]:
+    """count / min / max per column plus the row count, in one pass."""
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[x for c in cols for x in (
+        F.count(c), F.min(F.col(c).cast("double")), F.max(F.col(c).cast("double")))]).first()
+    out = {c: (row[1 + 3 * i], row[2 + 3 * i], row[3 + 3 * i]) for i, c in enumerate(cols)}
+    out["__rows__"] = row["_rows"]
+    return out
+
+
+def _stats_after_fill(stats: dict[str, tuple], fills: dict[str, float | None]) -> dict[str, tuple]:
+    """Column stats after imputation, without another pass: a fill value
+    raises the count to the row count and can only widen min/max (a median
+    lies inside them, a zero may not)."""
+    out = dict(stats)
+    rows = stats["__rows__"]
+    for c, v in fills.items():
+        if v is None:
+            continue
+        n, lo, hi = stats[c]
+        v = float(v)
+        out[c] = (rows, v if lo is None else min(lo, v), v if hi is None else max(hi, v))
+    return out
+
+
 def apply_imputation(df: DataFrame, fills: dict[str, float | None]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.items()
                            if v is not None})
@@ -78,9 +105,10 @@ def clip_columns(df: DataFrame, exclude: tuple[str, ...] = ("member_id",)) -> li
 
 
 def fit_clip_bounds(df: DataFrame, exclude: tuple[str, ...] = ("member_id",),
-                    quantiles: tuple[float, float] = K.CLIP_QUANTILES) -> dict[str, tuple]:
+                    quantiles: tuple[float, float] = K.CLIP_QUANTILES,
+                    stats: dict[str, tuple] | None = None) -> dict[str, tuple]:
     cols = clip_columns(df, exclude)
-    q = exact_quantiles(df, cols, list(quantiles))
+    q = exact_quantiles(df, cols, list(quantiles), stats=stats)
     return {c: tuple(q[c]) for c in cols}
 
 
@@ -98,5 +126,13 @@ def clip_quantiles(df: DataFrame, exclude: tuple[str, ...] = ("member_id",)) ->
 
 
 def handle_missing_and_outliers(df: DataFrame, exclude: tuple[str, ...] = ("member_id",)) -> DataFrame:
-    """Impute by name, then clip every eligible column to its [q01, q99]."""
-    return clip_quantiles(impute_by_name(df, exclude), exclude)
+    """Impute by name, then clip every eligible column to its [q01, q99].
+
+    One statistics pass serves both steps: the clip search starts from the
+    pre-imputation count/min/max adjusted for the fill values.
+    """
+    stats = _stats_with_rows(df, numeric_columns(df, exclude))
+    fills = fit_imputation(df, exclude, stats)
+    imputed = apply_imputation(df, fills)
+    bounds = fit_clip_bounds(imputed, exclude, stats=_stats_after_fill(stats, fills))
+    return apply_clip_bounds(imputed, bounds)

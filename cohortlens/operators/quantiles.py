@@ -38,18 +38,29 @@ class _Target:
         self.exact = False
 
 
+def column_stats(df: DataFrame, cols: list[str]) -> dict[str, tuple]:
+    """(non-null count, min, max) of each column, in one pass."""
+    if not cols:
+        return {}
+    row = df.agg(*[x for c in cols for x in (
+        F.count(c), F.min(F.col(c).cast("double")), F.max(F.col(c).cast("double")))]).first()
+    return {c: (row[3 * i], row[3 * i + 1], row[3 * i + 2]) for i, c in enumerate(cols)}
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                     buckets: int = 1024, exact_below: int = 4096,
-                    max_rounds: int = 16) -> dict[str, list[float | None]]:
+                    max_rounds: int = 16,
+                    stats: dict[str, tuple] | None = None) -> dict[str, list[float | None]]:
+    """``stats`` (from ``column_stats``) saves the first pass when known."""
     if not cols:
         return {}
     data = df.select(*[F.col(c).cast("double").alias(f"_q{i}") for i, c in enumerate(cols)])
     names = {c: f"_q{i}" for i, c in enumerate(cols)}
-    stats_row = data.agg(*[x for c in cols for x in (
-        F.count(names[c]), F.min(names[c]), F.max(names[c]))]).first()
+    if stats is None or any(c not in stats for c in cols):
+        stats = column_stats(df, cols)
     counts, targets, plan = {}, {}, {}
-    for i, c in enumerate(cols):
-        n, lo, hi = stats_row[3 * i], stats_row[3 * i + 1], stats_row[3 * i + 2]
+    for c in cols:
+        n, lo, hi = stats[c]
         counts[c] = n
         if not n:
             continue

@@ -521,7 +521,7 @@ def q_rule_metrics(spark, sf):
 
 def _fit(spark, sf, names=K.MODEL_ORDER, with_cv=False):
     s = _split(spark, sf)
-    k = split.fold_count(s.where(~F.col("is_test")))
+    k = split.fold_count(s.where(~F.col("is_test"))) if with_cv else 5
     return s, models.train_and_compare(spark, s, list(K.FEATURE_COLUMNS), k, names=names,
                                        with_cv=with_cv)
 
