@@ -260,6 +260,12 @@ def q_process_features(spark, sf):
 
 # --- 2.4 projections ---------------------------------------------------------------
 
+@register("serving_features")
+def q_serving_features(spark, sf):
+    t = W.serving_features(_orders(spark, sf))
+    return W.round_doubles(t.select("member_id", *K.FEATURE_COLUMNS, "total_activity_count"))
+
+
 @register("select_features")
 def q_select_features(spark, sf):
     from cohortlens.operators.select import select_features

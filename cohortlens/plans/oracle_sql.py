@@ -588,3 +588,24 @@ SELECT member_id, round(""" + " + ".join(
     f"{w} * ({c} / tmax_{c})" for w, c in zip(K.ENGAGEMENT_WEIGHTS, K.ACTIVITY_COLUMNS)) + """, 6)
   AS engagement_score
 FROM labelled CROSS JOIN train_max"""
+
+# serving path: batch maxima over the unlabelled table, zeros for every gap, no clipping
+_SERVING = """serving_base AS (
+  SELECT f.*, """ + " + ".join(K.ACTIVITY_COLUMNS) + """ AS total_activity_count FROM features f),
+smax AS (SELECT """ + ", ".join(f"greatest(max({c}), 1) AS smax_{c}" for c in K.ACTIVITY_COLUMNS) + """
+         FROM serving_base),
+serving AS (
+  SELECT b.*, """ + " + ".join(f"{w} * ({c} / smax_{c})" for w, c in zip(K.ENGAGEMENT_WEIGHTS, K.ACTIVITY_COLUMNS)) + """
+           AS engagement_score,
+         """ + ", ".join(f"CASE WHEN {c} IS NOT NULL THEN exp(-0.05 * least({c}, 365)) END AS "
+                         f"{c.replace('days_since_last_', '')}_recency_score" for c in _REC) + """,
+         CASE WHEN enrollment_age_days > 0 THEN distinct_meal_days / enrollment_age_days ELSE 0.0 END
+           AS meal_logging_rate,
+         CASE WHEN enrollment_age_days > 0 THEN distinct_weight_days / enrollment_age_days ELSE 0.0 END
+           AS weight_logging_rate,
+         CAST(coalesce(meals_last_7_days > 0, false) AS INTEGER) AS has_recent_meals,
+         has_doctor + has_nutritionist + has_fitness_coach AS provider_count
+  FROM serving_base b CROSS JOIN smax)"""
+ORACLE["serving_features"] = _ctes(*FEATURE_CTES, _SERVING) + "\nSELECT member_id, " + ", ".join(
+    _r6(c, f"coalesce({c}, 0.0)") if c in DOUBLE_COLUMNS else f"coalesce({c}, 0) AS {c}"
+    for c in (*K.FEATURE_COLUMNS, "total_activity_count")) + " FROM serving"

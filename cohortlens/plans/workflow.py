@@ -60,6 +60,20 @@ def training_split(data: ActivityData, threshold_days: int, test_fraction: float
     return materialize(stratified_split(processed, test_fraction, seed=seed), "split")
 
 
+def serving_features(data: ActivityData, maxima: dict[str, float] | None = None,
+                     with_name: bool = True) -> DataFrame:
+    """Model input at scoring time, as the reference's serving path builds it:
+    no label, the helper ``total_activity_count``, derived features, every
+    numeric gap filled with 0, no clipping. ``maxima=None`` divides by the
+    scored batch's own maxima (the reference's behaviour); pass the maxima
+    saved at training time for scores consistent with training."""
+    from cohortlens.operators.clean import impute_zero
+    from cohortlens.operators.label import total_activity_expr
+    table = materialize(feature_table(data, with_name=with_name), "serving-base")
+    table = table.withColumn("total_activity_count", total_activity_expr(table))
+    return impute_zero(engineer_features(table, maxima))
+
+
 def rule_predictions(data: ActivityData, threshold_days: int) -> DataFrame:
     """Prediction records scored by the deterministic rule score.
 
