@@ -39,12 +39,19 @@ def build_session(master: str = "local[8]", app: str = "cohortlens",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of this session; error when none is set."""
+    """The shared checkpoint folder of this session.
+
+    On a cluster it must be configured (``spark.checkpoint.dir``, a folder
+    every executor can reach); only a local-mode session without one gets a
+    local folder filled in.
+    """
     path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        raise RuntimeError(
-            f"{CHECKPOINT_CONF} is not set; point it at a folder every executor can reach")
-    return path
+    if path:
+        return path
+    if spark.sparkContext.master.startswith("local"):
+        return ensure_local_checkpoint_dir(spark)
+    raise RuntimeError(
+        f"{CHECKPOINT_CONF} is not set; point it at a folder every executor can reach")
 
 
 def ensure_local_checkpoint_dir(spark: SparkSession) -> str:

@@ -40,9 +40,12 @@ COLLECTION_PRIORITY = "4-NOT SPECIFIED"
 MEAL_EVENT, WEIGHT_EVENT, EXERCISE_EVENT, COLLECTION_EVENT = "view", "click", "purchase", "signup"
 
 
-def _end_of_day(as_of: dt.date) -> dt.datetime:
-    """First instant after ``as_of``: logs at or after it are in the future."""
-    return dt.datetime.combine(as_of + dt.timedelta(days=1), dt.time())
+def _before_next_day(df: DataFrame, ts: str, as_of: dt.date) -> F.Column:
+    """``ts`` earlier than the day after ``as_of``, as a plain comparison with a
+    literal of the column's own type (wall-clock for TIMESTAMP_NTZ, session
+    time zone for TIMESTAMP), so it is constant-folded and reaches the scan."""
+    bound = f"{(as_of + dt.timedelta(days=1)).isoformat()} 00:00:00"
+    return F.col(ts) < F.lit(bound).cast(df.schema[ts].dataType)
 
 
 def _demographics(key: F.Column, as_of: dt.date) -> dict[str, F.Column]:
@@ -60,11 +63,9 @@ def orders_profile(spark: SparkSession, sf_dir: str, as_of: dt.date = ORDERS_AS_
     customer = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    # the timestamp bound is a plain comparison, so it reaches the Parquet scan
-    orders = (read_table(spark, sf_dir, "orders")
-              .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                      "o_orderdate", "o_orderpriority")
-              .where(F.col("o_orderdate") < F.lit(_end_of_day(as_of))))
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    orders = orders.where(_before_next_day(orders, "o_orderdate", as_of))
 
     first_order = orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order_ts"))
     base = customer.join(first_order, customer.c_custkey == first_order.o_custkey, "left")
@@ -131,9 +132,8 @@ def orders_profile(spark: SparkSession, sf_dir: str, as_of: dt.date = ORDERS_AS_
 
 def events_profile(spark: SparkSession, sf_dir: str, as_of: dt.date = EVENTS_AS_OF) -> ActivityData:
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    events = (read_table(spark, sf_dir, "events")
-              .select("event_id", "ts", "user_id", "event_type", "value")
-              .where(F.col("ts") < F.lit(_end_of_day(as_of))))
+    events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    events = events.where(_before_next_day(events, "ts", as_of))
     first_seen = events.groupBy("user_id").agg(F.min("ts").alias("first_ts"))
     base = first_seen.join(part, first_seen.user_id == part.p_partkey, "left")
     key = F.col("user_id")
