@@ -77,8 +77,7 @@ def at_risk_top(predictions: DataFrame, limit: int = K.AT_RISK_DEFAULT_LIMIT,
 def at_risk_summary(predictions: DataFrame, limit: int = K.AT_RISK_DEFAULT_LIMIT,
                     label: str | None = None) -> DataFrame:
     """Band counts over the limited list only (as the reference reports them)."""
-    return risk_summary(at_risk_top(predictions, limit, label)).withColumnRenamed(
-        "total_members", "total_patients")
+    return risk_summary(at_risk_top(predictions, limit, label))
 
 
 def names_join(df: DataFrame, names: DataFrame, default: str = "") -> DataFrame:

@@ -357,7 +357,7 @@ ORACLE["at_risk_top"] = _ctes(*PRED_CTES) + (
     "\nSELECT member_id, member_name, churn_probability, churn_prediction, risk_label FROM preds "
     + _RANK + " LIMIT 100")
 ORACLE["at_risk_summary"] = _ctes(*PRED_CTES) + (
-    "\nSELECT " + _SUMMARY.format(total="total_patients")
+    "\nSELECT " + _SUMMARY.format(total="total_members")
     + " FROM (SELECT * FROM preds WHERE risk_label = 'Medium' " + _RANK + " LIMIT 100)")
 _SEARCH = f"""search AS (
   SELECT member_id,

@@ -39,7 +39,7 @@ def test_at_risk_counts_cover_limited_rows(spark):
     df = preds(spark, [(i, f"n{i}", t, p, 1, lab) for i, (p, lab) in
                        enumerate([(0.9, "High"), (0.8, "High"), (0.5, "Medium"), (0.1, "Low")])])
     s = scoring.at_risk_summary(df, 2).first()
-    assert (s.total_patients, s.high_risk, s.medium_risk, s.low_risk) == (2, 2, 0, 0)
+    assert (s.total_members, s.high_risk, s.medium_risk, s.low_risk) == (2, 2, 0, 0)
     assert scoring.risk_summary(df).first().low_risk == 1
     with pytest.raises(ValueError):
         scoring.at_risk_top(df, 10, "Severe")
