@@ -98,3 +98,40 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column; used where results are compared across engines."""
     return df.withColumns({f.name: F.round(F.col(f.name), digits) for f in df.schema.fields
                            if isinstance(f.dataType, (T.DoubleType, T.FloatType))})
+
+
+def run_training(spark, data: ActivityData, timeline_data: ActivityData, out_dir: str,
+                 threshold_days: int, params=None, with_cv: bool = True) -> dict[str, str]:
+    """The whole batch chain in one call: features, training and comparison,
+    then every artifact the serving side reads, written under ``out_dir``.
+
+    Writes: processed features (Parquet and CSV), the best pipeline, metrics
+    (one row per model, ``is_best``), the ordered feature list, feature
+    importances, ranked predictions with names and key indicators, the
+    member -> name table, and nested 31-day timelines. Returns the paths.
+    """
+    from cohortlens import constants as K
+    from cohortlens import sinks
+    from cohortlens.operators import models, scoring, split, timeline
+
+    params = params or models.ModelParams()
+    split_df = training_split(data, threshold_days)
+    k = split.fold_count(split_df.where(~F.col("is_test")))
+    result = models.train_and_compare(spark, split_df, list(K.FEATURE_COLUMNS), k, params, with_cv)
+    best = result.models[result.best]
+    out = {name: f"{out_dir.rstrip('/')}/{name}" for name in (
+        "features", "features_csv", "model", "metrics", "feature_columns", "feature_importance",
+        "predictions", "names", "timelines")}
+    features = split_df.drop("rank_in_label", "n_label", "is_test")
+    sinks.write_table(features, out["features"])
+    sinks.write_csv(features.drop("created_at"), out["features_csv"])
+    sinks.save_pipeline(best, out["model"])
+    sinks.write_metrics(result.metrics, out["metrics"])
+    sinks.write_feature_columns(spark, result.feature_cols, out["feature_columns"])
+    sinks.write_table(models.feature_importance(best, result.feature_cols, result.n_train),
+                      out["feature_importance"])
+    predictions = scoring.prediction_record(scoring.score_members(best, split_df))
+    sinks.write_json_records(predictions, out["predictions"])
+    sinks.write_json_records(data.members.select("member_id", "member_name"), out["names"])
+    sinks.write_json_records(timeline.member_timeline(timeline_data), out["timelines"])
+    return out
