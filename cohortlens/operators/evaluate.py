@@ -45,22 +45,30 @@ def roc_auc(pred: DataFrame, label: str = K.LABEL_COLUMN, score: str = "score",
     """Exact area under the ROC curve with ties counted half (Mann-Whitney).
 
     AUC = sum over scores of pos(s) * (neg below s + neg(s) / 2) / (P * N).
-    Rows are first reduced to one per distinct score. The running count of
-    negatives is built in two levels, like the stratified rank: score buckets
-    ``floor(score * buckets)`` (monotone) get cumulated offsets from a small
-    table, and the running sum inside a bucket is a window over that
-    bucket's distinct scores only. One class only gives 0.0, as the
-    reference's fallback does.
+    Rows are first reduced to one per distinct score (a score shared by a
+    third of all rows is one row). The running count of negatives is built
+    in two levels: equal-frequency buckets of the distinct scores (bounds
+    from one ``percentile_approx`` pass, at most ``buckets - 1`` values,
+    applied with ``Bucketizer``) get cumulated offsets from a table of at
+    most ``buckets`` rows, and the running sum inside a bucket is a window
+    over that bucket's share of distinct scores only, however the scores
+    crowd. Bucket bounds only organise the sum, so the result stays exact.
+    One class only gives 0.0, as the reference's fallback does.
     """
+    from pyspark.ml.feature import Bucketizer
+
     y = F.col(label)
-    per_score = pred.groupBy(F.col(score).alias("s")).agg(
+    per_score = pred.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
-    per_score = per_score.withColumn("b", F.floor(F.col("s") * buckets))
-    per_bucket = per_score.groupBy("b").agg(F.sum("neg").alias("bneg"))
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = per_score.agg(F.percentile_approx("s", probs, 10 * buckets).alias("q")).first()["q"]
+    splits = [float("-inf")] + sorted({float(b) for b in (bounds or [])}) + [float("inf")]
+    bucketed = Bucketizer(splits=splits, inputCol="s", outputCol="b").transform(per_score)
+    per_bucket = bucketed.groupBy("b").agg(F.sum("neg").alias("bneg"))
     offsets = per_bucket.select(
         "b", (F.sum("bneg").over(Window.orderBy("b")) - F.col("bneg")).alias("off"))
     inside = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (per_score.join(F.broadcast(offsets), "b")
+    ranked = (bucketed.join(F.broadcast(offsets), "b")
               .withColumn("below", F.col("off") + F.coalesce(F.sum("neg").over(inside), F.lit(0))))
     total = ranked.agg(
         F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2.0)).alias("area"),

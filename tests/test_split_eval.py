@@ -69,3 +69,18 @@ def test_confusion_matrix_has_four_cells(spark):
     df = spark.createDataFrame([(1, 1)], "is_churned int, prediction int")
     cells = {(r.actual, r.predicted): r.n for r in evaluate.confusion_matrix(df).collect()}
     assert cells == {(0, 0): 0, (0, 1): 0, (1, 0): 0, (1, 1): 1}
+
+
+def test_auc_exact_when_scores_crowd_near_zero(spark):
+    rng = np.random.default_rng(9)
+    n = 3000
+    y = rng.integers(0, 2, n)
+    s = np.where(rng.random(n) < 0.34, rng.random(n) * 1e-6, rng.random(n))  # a third crowd at ~0
+    s = s + y * 0.05
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "is_churned int, score double")
+    order = np.argsort(s, kind="mergesort")
+    ranks = np.empty(n)
+    ranks[order] = np.arange(1, n + 1)
+    pos = y == 1
+    brute = (ranks[pos].sum() - pos.sum() * (pos.sum() + 1) / 2) / (pos.sum() * (~pos).sum())
+    assert evaluate.roc_auc(df, buckets=32).first().roc_auc == round(brute, 4)
