@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens import constants as K
+from cohortlens.session import materialize
 
 
 def _div(a, b):
@@ -53,13 +54,14 @@ def roc_auc(pred: DataFrame, label: str = K.LABEL_COLUMN, score: str = "score",
     most ``buckets`` rows, and the running sum inside a bucket is a window
     over that bucket's share of distinct scores only, however the scores
     crowd. Bucket bounds only organise the sum, so the result stays exact.
+    The per-score table feeds two passes, so it is written once.
     One class only gives 0.0, as the reference's fallback does.
     """
     from pyspark.ml.feature import Bucketizer
 
     y = F.col(label)
-    per_score = pred.groupBy(F.col(score).cast("double").alias("s")).agg(
-        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
+    per_score = materialize(pred.groupBy(F.col(score).cast("double").alias("s")).agg(
+        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")), "auc-scores")
     probs = [i / buckets for i in range(1, buckets)]
     bounds = per_score.agg(F.percentile_approx("s", probs, 10 * buckets).alias("q")).first()["q"]
     splits = [float("-inf")] + sorted({float(b) for b in (bounds or [])}) + [float("inf")]
