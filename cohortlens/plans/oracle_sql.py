@@ -569,8 +569,7 @@ ORACLE["standard_scale"] = _ctes(*ENGINEERED_CTES, _IMPUTED, _clipped("imputed")
 
 # --- sources and sinks: round trips must give back the written table -----------------------
 
-ORACLE["scan_table"] = ("SELECT o_orderkey, o_custkey, o_totalprice FROM orders "
-                        "WHERE o_orderpriority = '1-URGENT'")
+ORACLE["scan_table"] = "SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice FROM orders"
 ORACLE["sink_csv"] = ORACLE["feature_table"]
 ORACLE["scan_csv"] = ORACLE["feature_table"]
 ORACLE["sink_predictions_json"] = ORACLE["prediction_record"]
