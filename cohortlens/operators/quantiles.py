@@ -23,6 +23,7 @@ skipped; a column without values gives ``None``.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,10 +83,11 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
         for t in active:
             groups.setdefault((t.col, t.lo, t.hi, t.below, t.exact), []).append(t)
         keys = list(groups)
-        entries = []
+        entries, insides = [], []
         for gi, (c, lo, hi, _below, exact) in enumerate(keys):
             v = F.col(names[c])
             inside = (v >= F.lit(lo)) & (v <= F.lit(hi))
+            insides.append(inside)
             if exact:
                 bin_ = v
             else:
@@ -94,8 +96,11 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                                F.lit(buckets - 1)).cast("double")
             entries.append(F.when(inside, F.struct(F.lit(gi).alias("g"), bin_.alias("b"),
                                                    v.alias("v"))))
-        exploded = data.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull()))
-                               .alias("e"))
+        # later rounds search narrow intervals: rows outside all of them are
+        # dropped before any array is built
+        hit = reduce(lambda a, b: a | b, insides)
+        exploded = data.where(hit).select(
+            F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
         hist = (exploded.groupBy(F.col("e.g").alias("g"), F.col("e.b").alias("b"))
                 .agg(F.count(F.lit(1)).alias("n"), F.min("e.v").alias("lo"),
                      F.max("e.v").alias("hi"))
