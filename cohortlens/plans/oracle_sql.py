@@ -414,9 +414,9 @@ daily AS (
 summary AS (
   SELECT member_id, 31 AS period_days,
          count(*) FILTER (WHERE meal_count > 0 OR weight_logged OR exercise_count > 0) AS active_days,
-         sum(meal_count) AS total_meals_logged,
+         CAST(sum(meal_count) AS INTEGER) AS total_meals_logged,
          count(*) FILTER (WHERE weight_logged) AS weight_log_days,
-         sum(exercise_count) AS total_exercises,
+         CAST(sum(exercise_count) AS INTEGER) AS total_exercises,
          round(count(*) FILTER (WHERE meal_count > 0 OR weight_logged OR exercise_count > 0) / 31.0, 4)
            AS activity_rate
   FROM daily GROUP BY member_id)"""
