@@ -72,7 +72,9 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
             ranks = [k0] if frac == 0 else [k0, min(k0 + 1, n - 1)]
             plan[(c, p)] = (ranks, frac)
             for k in ranks:
-                targets.setdefault((c, k), _Target(c, k, lo, hi))
+                t = targets.setdefault((c, k), _Target(c, k, lo, hi))
+                # few values: count them directly instead of bucketing first
+                t.exact = n <= exact_below
 
     for _ in range(max_rounds):
         active = [t for t in targets.values() if t.value is None]
