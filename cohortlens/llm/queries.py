@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortlens.llm.common import table
 from cohortlens.llm.host_quality import host_quality
+from cohortlens.llm.pii import BASE_KINDS, find_pii
+from cohortlens.llm.simhash import near_duplicates
 
 
 def op1_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +20,30 @@ def op1_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests of the personal data in every document."""
+    found = find_pii(table(spark, sf_dir, "documents"))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id", *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS),
+        F.sha2(joined(of(*BASE_KINDS)).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_quality": op1_host_quality,
+    "op7_simhash": op7_simhash,
+    "op8_pii": op8_pii,
 }
