@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlens.llm.bitmix import score
 from cohortlens.llm.common import table
 from cohortlens.llm.host_quality import host_quality
+from cohortlens.llm.packing import pack
 from cohortlens.llm.pii import BASE_KINDS, find_pii
 from cohortlens.llm.simhash import near_duplicates
 
@@ -20,6 +23,17 @@ def op1_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def vocabulary() -> tuple[str, str, str]:
+    """The tokenizer file, the rank file of the same vocabulary, and its split pattern."""
+    return (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+            public_tokenizers.PATTERN)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    return pack(table(spark, sf_dir, "documents"), *vocabulary())
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
@@ -42,8 +56,15 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(F.col("spans")).alias("spans"))
 
 
+def op10_bitmix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and context-mixing score of every document."""
+    return score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_quality": op1_host_quality,
+    "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
     "op8_pii": op8_pii,
+    "op10_bitmix": op10_bitmix,
 }
