@@ -46,3 +46,34 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        (NOT base_failed AND rate <= 0.5) AS kept
 FROM judged JOIN rates ON judged.source IS NOT DISTINCT FROM rates.source
 """
+
+ORACLE["op2_voronoi"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id
+  WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 10
+"""
+
+ORACLE["op4_warc"] = """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""

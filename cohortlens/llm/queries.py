@@ -14,6 +14,8 @@ from cohortlens.llm.host_quality import host_quality
 from cohortlens.llm.packing import pack
 from cohortlens.llm.pii import BASE_KINDS, find_pii
 from cohortlens.llm.simhash import near_duplicates
+from cohortlens.llm.voronoi import top_k
+from cohortlens.llm.warc import archive_folder, read_archives, write_archives
 
 
 def op1_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +25,20 @@ def op1_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op2_voronoi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best inner products of every hundredth vector."""
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back."""
+    folder = archive_folder(spark)
+    rows = read_archives(write_archives(table(spark, sf_dir, "pages"), folder), folder)
+    sound = F.when(F.col("problem").isNull(), F.col("page_id")).otherwise(
+        F.raise_error(F.concat(F.lit("damaged record: "), F.col("problem"))).cast("long"))
+    return rows.select(sound.alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def vocabulary() -> tuple[str, str, str]:
     """The tokenizer file, the rank file of the same vocabulary, and its split pattern."""
     return (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -63,6 +79,8 @@ def op10_bitmix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_quality": op1_host_quality,
+    "op2_voronoi": op2_voronoi,
+    "op4_warc": op4_warc,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
     "op8_pii": op8_pii,
