@@ -77,3 +77,19 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
 FROM f
 """
+
+ORACLE["op5_replytrees"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(len(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(len('<|im_start|>') + len(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g')) + 1
+                + len(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + len('<|im_end|>') + 1) AS BIGINT)
+         AS formatted_chars
+FROM t GROUP BY conv_id
+"""

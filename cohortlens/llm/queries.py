@@ -13,6 +13,7 @@ from cohortlens.llm.common import table
 from cohortlens.llm.host_quality import host_quality
 from cohortlens.llm.packing import pack
 from cohortlens.llm.pii import BASE_KINDS, find_pii
+from cohortlens.llm.replytrees import Digest, format_trees, output_folder, read_conversations, reply_chain
 from cohortlens.llm.simhash import near_duplicates
 from cohortlens.llm.voronoi import top_k
 from cohortlens.llm.warc import archive_folder, read_archives, write_archives
@@ -39,6 +40,18 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(sound.alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_replytrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that quotes control strings, formatted and read back."""
+    own = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.createDataFrame([(-1, 0, "user", own), (-1, 1, "assistant", own)],
+                                  "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(extra)
+    folder = output_folder(spark)
+    found = read_conversations(format_trees(reply_chain(turns), folder), folder, Digest)
+    return found.withColumnRenamed("tree_id", "conv_id").drop("branch")
+
+
 def vocabulary() -> tuple[str, str, str]:
     """The tokenizer file, the rank file of the same vocabulary, and its split pattern."""
     return (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -81,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_quality": op1_host_quality,
     "op2_voronoi": op2_voronoi,
     "op4_warc": op4_warc,
+    "op5_replytrees": op5_replytrees,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
     "op8_pii": op8_pii,

@@ -49,7 +49,7 @@ def test_edge_cases(spark):
     assert run(spark, rows[:1], 10) == []
     assert run(spark, [], 10) == []
     huge = [(i, [3e10 * (i + 1), 1.0]) for i in range(3)]
-    assert len(run(spark, [(i, [3e5 * (i + 1), 1e5]) for i in range(12)], 10)) == 20
+    assert len(run(spark, [(i, [1e5 * (i + 1), 1e5]) for i in range(12)], 10)) == 20
     with pytest.raises(Exception):
         run(spark, huge, 1)
 
