@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from cohortlens.llm.bitmix import score
 from cohortlens.llm.common import table
 from cohortlens.llm.host_quality import host_quality
+from cohortlens.llm.mixing import label_domains, mix
+from cohortlens.llm.ordinal import KEEP, WANTED, fit_ratings, judge, label_grades
 from cohortlens.llm.packing import pack
 from cohortlens.llm.pii import BASE_KINDS, find_pii
 from cohortlens.llm.replytrees import Digest, format_trees, output_folder, read_conversations, reply_chain
@@ -31,6 +33,14 @@ def op2_voronoi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
 
+def op3_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade, probability of the wanted grade, and selection of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_ratings(docs, label_grades(table(spark, sf_dir, "labels")))
+    judged = judge(docs.select("doc_id", "text"), model, WANTED)
+    return judged.select("doc_id", "expected_grade", "tail_prob", (F.col("tail_prob") >= KEEP).alias("kept"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to archives and read back."""
     folder = archive_folder(spark)
@@ -85,6 +95,18 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(F.col("spans")).alias("spans"))
 
 
+#: target shares of the emitted tokens by domain
+TARGETS = {"clean": 0.96, "poor": 0.03, "toxic": 0.01}
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors, fitted rate and emitted copies of every document."""
+    docs = table(spark, sf_dir, "documents")
+    mixed, domains = mix(docs, docs, label_domains(table(spark, sf_dir, "labels")), TARGETS)
+    chances = [F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(domains)]
+    return mixed.select("doc_id", "tokens", *chances, "rate", "copies")
+
+
 def op10_bitmix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and context-mixing score of every document."""
     return score(table(spark, sf_dir, "documents"))
@@ -93,10 +115,12 @@ def op10_bitmix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_quality": op1_host_quality,
     "op2_voronoi": op2_voronoi,
+    "op3_ordinal": op3_ordinal,
     "op4_warc": op4_warc,
     "op5_replytrees": op5_replytrees,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
     "op8_pii": op8_pii,
+    "op9_mixing": op9_mixing,
     "op10_bitmix": op10_bitmix,
 }
