@@ -74,6 +74,17 @@ RECENCY_COLUMNS: tuple[str, ...] = (
     "days_since_last_exercise",
     "days_since_last_collection",
 )
+# the score made from each recency column, and the rate from each day count
+RECENCY_SCORES: dict[str, str] = {
+    "days_since_last_meal": "meal_recency_score",
+    "days_since_last_weight": "weight_recency_score",
+    "days_since_last_exercise": "exercise_recency_score",
+    "days_since_last_collection": "collection_recency_score",
+}
+LOGGING_RATES: dict[str, str] = {
+    "distinct_meal_days": "meal_logging_rate",
+    "distinct_weight_days": "weight_logging_rate",
+}
 ACTIVITY_COLUMNS: tuple[str, ...] = (
     "total_meal_logs",
     "total_weight_logs",

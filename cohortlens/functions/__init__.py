@@ -13,7 +13,6 @@ from cohortlens.functions.expressions import (  # noqa: F401
     null_to_sentinel,
     present,
     risk_bucket,
-    round_half_up,
     safe_rate,
     sentinel_to_null,
 )

@@ -70,8 +70,3 @@ def risk_bucket(probability: Column) -> Column:
     return (F.when(probability < F.lit(K.RISK_LOW_BELOW), F.lit(K.RISK_LABELS[0]))
             .when(probability < F.lit(K.RISK_MEDIUM_BELOW), F.lit(K.RISK_LABELS[1]))
             .otherwise(F.lit(K.RISK_LABELS[2])))
-
-
-def round_half_up(c: Column, digits: int) -> Column:
-    """Spark's ``round`` is decimal HALF_UP; named here to make that explicit."""
-    return F.round(c, digits)

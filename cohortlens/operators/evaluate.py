@@ -28,17 +28,15 @@ def confusion_counts(pred: DataFrame, label: str = K.LABEL_COLUMN,
 
 def classification_metrics(pred: DataFrame, label: str = K.LABEL_COLUMN,
                            prediction: str = "prediction") -> DataFrame:
-    """accuracy, precision, recall, F1 of class 1 (0 when undefined), 4 places."""
+    """accuracy, precision, recall, F1 of class 1 (0 when undefined), unrounded."""
     c = confusion_counts(pred, label, prediction)
     tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
     precision, recall = _div(tp, tp + fp), _div(tp, tp + fn)
     f1 = _div(2 * tp, 2 * tp + fp + fn)
     return c.select(
         "tp", "fp", "fn", "tn",
-        F.round(_div(tp + tn, tp + fp + fn + tn), 4).alias("accuracy"),
-        F.round(precision, 4).alias("precision"),
-        F.round(recall, 4).alias("recall"),
-        F.round(f1, 4).alias("f1_score"))
+        _div(tp + tn, tp + fp + fn + tn).alias("accuracy"),
+        precision.alias("precision"), recall.alias("recall"), f1.alias("f1_score"))
 
 
 def roc_auc(pred: DataFrame, label: str = K.LABEL_COLUMN, score: str = "score",
@@ -73,11 +71,11 @@ def roc_auc(pred: DataFrame, label: str = K.LABEL_COLUMN, score: str = "score",
     ranked = (bucketed.join(F.broadcast(offsets), "b")
               .withColumn("below", F.col("off") + F.coalesce(F.sum("neg").over(inside), F.lit(0))))
     total = ranked.agg(
-        F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2.0)).alias("area"),
+        F.sum(F.col("pos").cast("double") * (F.col("below") + F.col("neg") / 2.0)).alias("area"),
         F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     auc = F.when((F.col("P") > 0) & (F.col("N") > 0),
-                 F.col("area") / (F.col("P") * F.col("N"))).otherwise(F.lit(0.0))
-    return total.select(F.round(auc, 4).alias("roc_auc"))
+                 F.col("area") / F.col("P").cast("double") / F.col("N").cast("double")).otherwise(F.lit(0.0))
+    return total.select(auc.alias("roc_auc"))
 
 
 def confusion_matrix(pred: DataFrame, label: str = K.LABEL_COLUMN,
@@ -124,13 +122,17 @@ def fold_f1(pred: DataFrame, label: str = K.LABEL_COLUMN, prediction: str = "pre
         F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
         F.count_if((y == 1) & (p == 0)).alias("fn"))
     per = per.withColumn("f1", _div(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")))
-    return per.agg(F.round(F.avg("f1"), 4).alias("cv_f1_mean"),
-                   F.round(F.stddev_pop("f1"), 4).alias("cv_f1_std"))
+    return per.agg(F.avg("f1").alias("cv_f1_mean"), F.stddev_pop("f1").alias("cv_f1_std"))
 
 
 METRIC_COLUMNS = ("accuracy", "precision", "recall", "f1_score", "roc_auc", "cv_f1_mean", "cv_f1_std")
 
 
+def rounded(metrics: DataFrame) -> DataFrame:
+    """Metrics as shown and saved: four places. Compare models before this."""
+    return metrics.withColumns({c: F.round(c, 4) for c in METRIC_COLUMNS if c in metrics.columns})
+
+
 def metrics_table(spark: SparkSession, rows: dict[str, dict[str, float]]) -> DataFrame:
     """One row per model from already computed one-row metric results."""
     schema = T.StructType([T.StructField("model", T.StringType(), False),
@@ -143,7 +145,7 @@ def metrics_table(spark: SparkSession, rows: dict[str, dict[str, float]]) -> Dat
 
 
 def best_model(metrics: DataFrame) -> DataFrame:
-    """Highest F1; a tie goes to the earliest model in the comparison order."""
+    """Highest unrounded F1; a tie goes to the earliest model in the comparison order."""
     return metrics.orderBy(F.col("f1_score").desc(), F.col("model_order").asc()).limit(1)
 
 

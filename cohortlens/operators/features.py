@@ -2,9 +2,9 @@
 
 Each channel is one ``groupBy(member_id).agg(...)``: partial aggregation runs
 before the shuffle, so a member holding a large share of all logs costs one
-pre-aggregated row per map task, not its raw rows. Distinct counts shuffle
-on (member_id, value) first, which spreads a hot member over its distinct
-days/types. All channel results come out hash-partitioned on ``member_id``,
+pre-aggregated row per map task, not its raw rows. Logs with days and types
+to count are first reduced to one row per (member, day, type), which spreads
+a hot member over its days. All channel results come out hash-partitioned on ``member_id``,
 so the final left joins to the member table reuse that partitioning.
 
 Logs dated after ``as_of`` are dropped in every channel first.
@@ -28,13 +28,14 @@ def _until(logs: DataFrame, as_of: dt.date) -> DataFrame:
     return logs.where(F.col("log_date") <= as_of_lit(as_of))
 
 
-def _recency(as_of: dt.date) -> Column:
-    return days_before(as_of, F.max("log_date"))
+def _rounded_mean(total: Column, count: Column, digits: int) -> Column:
+    """total / count; the first rounding takes out the noise of the summing order,
+    so a mean that lies on a rounding boundary does not depend on it."""
+    return F.round(F.round(total / count, 6), digits)
 
 
-def _window_count(as_of: dt.date, days: int) -> Column:
-    age = days_before(as_of, F.col("log_date"))
-    return F.count_if(age.between(0, days))
+def _recency(as_of: dt.date) -> Column:
+    return days_before(as_of, F.max("log_date"))
 
 
 # --- members and enrollments --------------------------------------------------
@@ -61,20 +62,12 @@ def member_demographics(members: DataFrame, as_of: dt.date,
 
 
 def _latest_enrollment(enrollments: DataFrame) -> DataFrame:
-    """One enrollment per member: the one with the latest start date.
-
-    Each field is taken with ``max_by(field, start_date)`` (a primitive
-    ordering key, so hash aggregation applies); ties on the start date
-    resolve to the larger value of each field.
-    """
+    """One whole enrollment row per member: the latest by start date, ties by the
+    larger fields in order (a missing value is the smallest). The total order
+    makes the choice independent of the row order."""
     fields = ("is_active", "doctor_id", "nutritionist_id", "fitness_coach_id")
-    day = F.coalesce(F.unix_date("start_date"), F.lit(-(2 ** 31)))
-    ranked = enrollments.select(KEY, "start_date", *fields,
-                                *[(day.cast("long") * 2 + F.col(f).isNotNull().cast("long")).alias(f"_k_{f}")
-                                  for f in fields])
-    return ranked.groupBy(KEY).agg(
-        F.max("start_date").alias("start_date"),
-        *[F.max_by(f, f"_k_{f}").alias(f) for f in fields])
+    latest = F.max(F.struct("start_date", *fields)).alias("e")
+    return enrollments.groupBy(KEY).agg(latest).select(KEY, "e.*")
 
 
 def enrollment_features(enrollments: DataFrame, as_of: dt.date) -> DataFrame:
@@ -98,19 +91,38 @@ def provider_flags(enrollments: DataFrame, as_of: dt.date) -> DataFrame:
 # --- meal channel ---------------------------------------------------------------
 
 def meal_features(meals: DataFrame, as_of: dt.date) -> DataFrame:
-    """All eleven meal features in one aggregation pass."""
-    return _until(meals, as_of).groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("total_meal_logs"),
+    """All eleven meal features from one pass over the log.
+
+    The log is first reduced to one row per (member, day, type), combined
+    before the shuffle; days and types are then counted on those few rows.
+    Meal types are a short list of the application, so a member's set is small.
+    """
+    nutrition = ("calories", "protein_g", "carbs_g", "fat_g")
+    day = _until(meals, as_of).groupBy(KEY, "log_date", "meal_type").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[f(c).alias(f"{c}_{k}") for c in nutrition for k, f in (("sum", F.sum), ("cnt", F.count))],
+        F.sum(F.col("is_compliant").cast("double")).alias("ok_sum"),
+        F.count("is_compliant").alias("ok_cnt"))
+
+    def mean(c: str, digits: int) -> Column:
+        return _rounded_mean(F.sum(f"{c}_sum"), F.sum(f"{c}_cnt"), digits)
+
+    def recent(days: int) -> Column:
+        inside = days_before(as_of, F.col("log_date")).between(0, days)
+        return F.coalesce(F.sum(F.when(inside, F.col("n"))), F.lit(0))
+
+    return day.groupBy(KEY).agg(
+        F.sum("n").alias("total_meal_logs"),
         F.count_distinct("log_date").alias("distinct_meal_days"),
-        F.round(F.avg("calories"), 1).alias("avg_calories_per_meal"),
-        F.round(F.avg("protein_g"), 1).alias("avg_protein_g"),
-        F.round(F.avg("carbs_g"), 1).alias("avg_carbs_g"),
-        F.round(F.avg("fat_g"), 1).alias("avg_fat_g"),
-        F.count_distinct("meal_type").alias("distinct_meal_types"),
-        F.round(F.avg(F.col("is_compliant").cast("double")), 4).alias("meal_compliance_rate"),
+        mean("calories", 1).alias("avg_calories_per_meal"),
+        mean("protein_g", 1).alias("avg_protein_g"),
+        mean("carbs_g", 1).alias("avg_carbs_g"),
+        mean("fat_g", 1).alias("avg_fat_g"),
+        F.size(F.collect_set("meal_type")).cast("long").alias("distinct_meal_types"),
+        mean("ok", 4).alias("meal_compliance_rate"),
         _recency(as_of).alias("days_since_last_meal"),
-        _window_count(as_of, 7).alias("meals_last_7_days"),
-        _window_count(as_of, 14).alias("meals_last_14_days"),
+        recent(7).alias("meals_last_7_days"),
+        recent(14).alias("meals_last_14_days"),
     )
 
 
@@ -147,22 +159,26 @@ def weight_aggregates(weights: DataFrame, as_of: dt.date) -> DataFrame:
     (map-side) combining, and a member with very many logs is spread over
     its days in the first shuffle.
     """
+    def weighed(c: str) -> Column:  # rows without a weight are not ranked
+        return F.when(F.col("weight_kg").isNotNull(), F.col(c))
+
     day = _until(weights, as_of).groupBy(KEY, "log_date").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("weight_kg").alias("w_sum"),
         F.count("weight_kg").alias("w_cnt"),
         F.max("weight_kg").alias("w_max"),
         F.min("weight_kg").alias("w_min"),
-        F.min_by("weight_kg", "log_id").alias("w_first"),
-        F.max_by("weight_kg", "log_id").alias("w_last"),
+        F.min_by("weight_kg", weighed("log_id")).alias("w_first"),
+        F.max_by("weight_kg", weighed("log_id")).alias("w_last"),
     )
+    weighed_day = F.when(F.col("w_cnt") > 0, F.col("log_date"))
     return day.groupBy(KEY).agg(
         F.sum("n").alias("total_weight_logs"),
         F.count(F.lit(1)).alias("distinct_weight_days"),
         F.round(F.max("w_max") - F.min("w_min"), 2).alias("weight_range_kg"),
         (F.sum("w_sum") / F.sum("w_cnt")).alias("_avg_weight"),
         _recency(as_of).alias("days_since_last_weight"),
-        F.round(F.max_by("w_last", "log_date") - F.min_by("w_first", "log_date"), 2)
+        F.round(F.max_by("w_last", weighed_day) - F.min_by("w_first", weighed_day), 2)
          .alias("weight_change_kg"),
     )
 
@@ -171,7 +187,7 @@ def bmi_expr(avg_weight: Column, height_cm: Column) -> Column:
     """Mean BMI from the mean weight: height is constant per member, so
     mean(w / h^2) = mean(w) / h^2. NULL for a missing or zero height."""
     h = height_cm.cast("double")
-    return F.round(F.when(h > 0, avg_weight / F.pow(h / 100, 2)), 1)
+    return _rounded_mean(F.when(h > 0, avg_weight), F.pow(h / 100, 2), 1)
 
 
 _WEIGHT_OUT = ("total_weight_logs", "distinct_weight_days", "weight_range_kg", "avg_bmi",
@@ -194,15 +210,20 @@ def weight_features(weights: DataFrame, members: DataFrame, as_of: dt.date) -> D
 # --- exercise channel ---------------------------------------------------------------
 
 def exercise_features(exercises: DataFrame, as_of: dt.date) -> DataFrame:
-    return _until(exercises, as_of).groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("total_exercise_logs"),
+    """Exercise features, reduced to (member, day, type) first like the meals."""
+    day = _until(exercises, as_of).groupBy(KEY, "log_date", "exercise_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("minutes").alias("minutes"),
+        F.count("minutes").alias("minutes_cnt"), F.sum("calories_burned").alias("burned"),
+        F.sum("steps").alias("steps"))
+    return day.groupBy(KEY).agg(
+        F.sum("n").alias("total_exercise_logs"),
         F.count_distinct("log_date").alias("distinct_exercise_days"),
         F.sum("minutes").cast("long").alias("total_exercise_minutes"),
-        F.round(F.avg("minutes"), 1).alias("avg_exercise_minutes"),
-        F.round(F.sum("calories_burned"), 1).alias("total_calories_burned"),
+        _rounded_mean(F.sum("minutes"), F.sum("minutes_cnt"), 1).alias("avg_exercise_minutes"),
+        _rounded_mean(F.sum("burned"), F.lit(1), 1).alias("total_calories_burned"),
         F.sum("steps").cast("long").alias("total_steps"),
         _recency(as_of).alias("days_since_last_exercise"),
-        F.count_distinct("exercise_type").alias("distinct_exercise_types"),
+        F.size(F.collect_set("exercise_type")).cast("long").alias("distinct_exercise_types"),
     )
 
 

@@ -2,165 +2,128 @@
 
 Spark's exact ``percentile`` merges every distinct value of a column into one
 aggregation buffer in one task; on a wide member table that buffer grows with
-the data. Here the order statistics are found by distributed histogram
-narrowing instead:
+the data. Here every wanted order statistic is bracketed and the bracket is
+narrowed, for all columns together, by plain aggregates of fixed size:
 
 1. one pass: count, min and max of every column;
-2. each round, one pass for all unresolved targets together: values inside
-   a target's current [lo, hi] are bucketed (``buckets`` equal-width bins),
-   counted per (target, bin) with partial aggregation, and the driver reads
-   back at most ``buckets`` rows per target to pick the bin holding the
-   wanted rank; the new interval is that bin's actual min..max;
-3. when a bin holds at most ``exact_below`` values, one last pass counts its
-   distinct values and the rank is read off directly.
-
-A value shared by a third of all rows is one (value, count) pair, never a
-list. Results equal pandas ``quantile`` / DuckDB ``quantile_cont``:
-``v[k] + (v[k+1] - v[k]) * frac`` at position ``p * (n - 1)``. NULLs are
-skipped; a column without values gives ``None``.
+2. a round has two passes over the values inside the brackets: a bounded
+   sketch (``percentile_approx``) proposes a narrower bracket around the rank,
+   then exact counts below, at and inside its edges (and the edges' inner
+   neighbours) confirm it. If the rank falls on an edge, that edge is the
+   value; else the search goes on strictly between the edges.
+
+The sketch's rank error is at most ``1 / ACCURACY`` of the bracket, so a
+round leaves a bracket of a few ``1 / ACCURACY`` of its values, or ends. The
+driver reads one row of a few numbers per wanted rank and pass, whatever the
+data. A value shared by a third of all rows is never repeated. Results equal
+pandas ``quantile`` / DuckDB ``quantile_cont``:
+``v[k] + (v[k+1] - v[k]) * frac`` at position ``p * (n - 1)``. NULL and NaN
+are skipped; a column without values gives ``None``.
 """
 
 from __future__ import annotations
 
+import dataclasses
 import math
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+ACCURACY = 10_000   # of the sketch; its size is proportional to it
 
-class _Target:
-    __slots__ = ("col", "rank", "lo", "hi", "below", "value", "exact")
 
-    def __init__(self, col: str, rank: int, lo: float, hi: float):
-        self.col, self.rank, self.lo, self.hi = col, rank, lo, hi
-        self.below = 0          # values strictly below lo
-        self.value = lo if lo == hi else None
-        self.exact = False
+@dataclasses.dataclass
+class _Rank:
+    """One wanted order statistic: the value of rank ``rank`` among ``n``."""
+
+    column: str
+    rank: int
+    low: float
+    high: float
+    inside: int             # values within [low, high]
+    below: int = 0          # values less than low
+    value: float | None = None
+
+
+def _present(c: str) -> Column:
+    v = F.col(c).cast("double")
+    return F.when(~F.isnan(v), v)
 
 
 def column_stats(df: DataFrame, cols: list[str]) -> dict[str, tuple]:
-    """(non-null count, min, max) of each column, in one pass."""
+    """(count of values, min, max) of each column, in one pass."""
     if not cols:
         return {}
-    row = df.agg(*[x for c in cols for x in (
-        F.count(c), F.min(F.col(c).cast("double")), F.max(F.col(c).cast("double")))]).first()
+    row = df.agg(*[x for c in cols for x in (F.count(_present(c)), F.min(_present(c)), F.max(_present(c)))]).first()
     return {c: (row[3 * i], row[3 * i + 1], row[3 * i + 2]) for i, c in enumerate(cols)}
 
 
+def _narrow(data: DataFrame, active: list[_Rank]) -> None:
+    """One round for all unresolved ranks."""
+    proposals = []
+    for r in active:
+        v, m, k = F.col(r.column), r.inside, r.rank - r.below
+        fractions = [max(0.0, k / m - 2 / ACCURACY), min(1.0, (k + 1) / m + 2 / ACCURACY)]
+        inside = F.when(v.between(F.lit(r.low), F.lit(r.high)), v)
+        proposals.append(F.percentile_approx(inside, fractions, ACCURACY))
+    brackets = []
+    for r, (a, b) in zip(active, data.agg(*proposals).first()):
+        k = r.rank - r.below
+        low = r.low if k / r.inside <= 2 / ACCURACY else a
+        high = r.high if (k + 1) / r.inside >= 1 - 2 / ACCURACY else b
+        brackets.append((low, high))
+    facts = []
+    for r, (low, high) in zip(active, brackets):
+        v = F.col(r.column)
+        within = (v > F.lit(low)) & (v < F.lit(high))
+        facts += [F.count_if(v < F.lit(low)), F.count_if(v == F.lit(low)), F.count_if(within),
+                  F.min(F.when(within, v)), F.max(F.when(within, v)), F.count_if(v == F.lit(high))]
+    row = data.agg(*facts).first()
+    for i, (r, (low, high)) in enumerate(zip(active, brackets)):
+        below, at_low, within, first, last, at_high = row[6 * i:6 * i + 6]
+        k = r.rank - below
+        if 0 <= k < at_low:
+            r.value = low
+        elif at_low <= k < at_low + within:
+            r.low, r.high, r.below, r.inside = first, last, below + at_low, within
+            if first == last:
+                r.value = first
+        elif at_low + within <= k < at_low + within + at_high:
+            r.value = high
+        else:
+            raise RuntimeError(f"rank {r.rank} of {r.column} left its bracket: the data changed between passes")
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    buckets: int = 1024, exact_below: int = 4096,
-                    max_rounds: int = 16,
                     stats: dict[str, tuple] | None = None) -> dict[str, list[float | None]]:
-    """``stats`` (from ``column_stats``) saves the first pass when known."""
+    """``probs`` quantiles of each column; ``stats`` (from ``column_stats``) saves the first pass."""
     if not cols:
         return {}
-    data = df.select(*[F.col(c).cast("double").alias(f"_q{i}") for i, c in enumerate(cols)])
     names = {c: f"_q{i}" for i, c in enumerate(cols)}
+    data = df.select(*[_present(c).alias(names[c]) for c in cols])
     if stats is None or any(c not in stats for c in cols):
         stats = column_stats(df, cols)
-    counts, targets, plan = {}, {}, {}
+    ranks: dict[tuple[str, int], _Rank] = {}
+    plan: dict[tuple[str, float], tuple[int, float]] = {}
     for c in cols:
-        n, lo, hi = stats[c]
-        counts[c] = n
-        if not n:
-            continue
-        for p in probs:
-            pos = p * (n - 1)
-            k0 = int(math.floor(pos))
-            frac = pos - k0
-            ranks = [k0] if frac == 0 else [k0, min(k0 + 1, n - 1)]
-            plan[(c, p)] = (ranks, frac)
-            for k in ranks:
-                t = targets.setdefault((c, k), _Target(c, k, lo, hi))
-                # few values: count them directly instead of bucketing first
-                t.exact = n <= exact_below
-
-    for _ in range(max_rounds):
-        active = [t for t in targets.values() if t.value is None]
-        if not active:
-            break
-        # targets sharing the same column and interval share one histogram
-        groups: dict[tuple, list[_Target]] = {}
-        for t in active:
-            groups.setdefault((t.col, t.lo, t.hi, t.below, t.exact), []).append(t)
-        keys = list(groups)
-        entries, insides = [], []
-        for gi, (c, lo, hi, _below, exact) in enumerate(keys):
-            v = F.col(names[c])
-            inside = (v >= F.lit(lo)) & (v <= F.lit(hi))
-            insides.append(inside)
-            if exact:
-                bin_ = v
-            else:
-                width = hi - lo
-                bin_ = F.least(F.floor((v - F.lit(lo)) / F.lit(width) * buckets),
-                               F.lit(buckets - 1)).cast("double")
-            entries.append(F.when(inside, F.struct(F.lit(gi).alias("g"), bin_.alias("b"),
-                                                   v.alias("v"))))
-        # later rounds search narrow intervals: rows outside all of them are
-        # dropped before any array is built
-        hit = reduce(lambda a, b: a | b, insides)
-        exploded = data.where(hit).select(
-            F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
-        hist = (exploded.groupBy(F.col("e.g").alias("g"), F.col("e.b").alias("b"))
-                .agg(F.count(F.lit(1)).alias("n"), F.min("e.v").alias("lo"),
-                     F.max("e.v").alias("hi"))
-                .collect())
-        by_group: dict[int, list] = {}
-        for r in hist:
-            by_group.setdefault(r["g"], []).append(r)
-        for gi, key in enumerate(keys):
-            rows = sorted(by_group.get(gi, []), key=lambda r: r["b"])
-            for t in groups[key]:
-                seen = t.below
-                for r in rows:
-                    if seen + r["n"] > t.rank:
-                        t.below, t.lo, t.hi = seen, r["lo"], r["hi"]
-                        if t.exact or r["lo"] == r["hi"]:
-                            t.value = r["lo"]
-                        elif r["n"] <= exact_below:
-                            t.exact = True
-                        break
-                    seen += r["n"]
-                else:  # pragma: no cover - interval lost its values (data changed)
-                    raise RuntimeError(f"quantile search lost rank {t.rank} of {t.col}")
-    else:
-        # still unresolved after max_rounds: finish with exact value counts
-        return _finish_exact(data, names, targets, counts, plan, cols, probs)
-
-    return _assemble(targets, counts, plan, cols, probs)
-
-
-def _finish_exact(data, names, targets, counts, plan, cols, probs):
-    for t in targets.values():
-        if t.value is None:
-            v = F.col(names[t.col])
-            rows = (data.where((v >= F.lit(t.lo)) & (v <= F.lit(t.hi)))
-                    .groupBy(v.alias("v")).count().orderBy("v").collect())
-            seen = t.below
-            for r in rows:
-                if seen + r["count"] > t.rank:
-                    t.value = r["v"]
-                    break
-                seen += r["count"]
-    return _assemble(targets, counts, plan, cols, probs)
-
-
-def _assemble(targets, counts, plan, cols, probs):
+        n, low, high = stats[c]
+        for p in probs if n else ():
+            position = p * (n - 1)
+            k = int(math.floor(position))
+            plan[c, p] = (k, position - k)
+            for rank in {k, min(k + 1, n - 1)} if position > k else {k}:
+                known = low if low == high or rank == 0 else high if rank == n - 1 else None
+                ranks.setdefault((c, rank), _Rank(names[c], rank, low, high, n, 0, known))
+    while active := [r for r in ranks.values() if r.value is None]:
+        _narrow(data, active)
     out: dict[str, list[float | None]] = {}
     for c in cols:
-        vals = []
+        out[c] = []
         for p in probs:
-            if not counts.get(c):
-                vals.append(None)
+            if (c, p) not in plan:
+                out[c].append(None)
                 continue
-            ranks, frac = plan[(c, p)]
-            v0 = targets[(c, ranks[0])].value
-            if len(ranks) == 1:
-                vals.append(v0)
-            else:
-                v1 = targets[(c, ranks[1])].value
-                vals.append(v0 + (v1 - v0) * frac)
-        out[c] = vals
+            k, frac = plan[c, p]
+            v = ranks[c, k].value
+            out[c].append(v + (ranks[c, k + 1].value - v) * frac if frac else v)
     return out

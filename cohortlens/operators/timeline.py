@@ -1,16 +1,16 @@
 """Daily activity timelines: 31 zero-filled days per member, plus summaries.
 
 Logs are first reduced to one row per (member, day) with partial aggregation
-(a member with very many logs still yields at most 31 rows), then joined to
-the member x day grid on both keys. Every per-member collection is bounded
-by the 31-day window.
+(a member with very many logs still yields at most 31 rows), then to one row
+per member holding its active days; quiet days are filled in within the row.
+Every per-member collection is bounded by the 31-day window.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import constants as K
@@ -34,43 +34,63 @@ def daily_counts(data: ActivityData) -> DataFrame:
             .unionByName(_window(data.collections, data.as_of, "collection")))
     kind = F.col("kind")
     return logs.groupBy("member_id", "day").agg(
-        F.count_if(kind == "meal").alias("meal_count"),
+        F.count_if(kind == "meal").cast("int").alias("meal_count"),
         (F.count_if(kind == "weight") > 0).alias("weight_logged"),
-        F.count_if(kind == "exercise").alias("exercise_count"),
-        F.count_if(kind == "collection").alias("collection_progress"),
+        F.count_if(kind == "exercise").cast("int").alias("exercise_count"),
+        F.count_if(kind == "collection").cast("int").alias("collection_progress"),
     )
 
 
-def daily_activity(data: ActivityData) -> DataFrame:
-    """One row per member and day, as_of - 30 ... as_of, zeros on quiet days."""
+def member_days(data: ActivityData) -> DataFrame:
+    """One row per member with ``days``: 31 ordered structs, zeros on quiet days.
+
+    The active days of a member (31 at most) become a map; the calendar is
+    filled from it within the row, without a member x day grid.
+    """
     as_of = data.as_of
     start = as_of - dt.timedelta(days=K.TIMELINE_DAYS - 1)
-    grid = data.members.select(
-        "member_id",
-        F.explode(F.sequence(as_of_lit(start), as_of_lit(as_of), F.expr("INTERVAL 1 DAY"))).alias("day"))
     counts = daily_counts(data)
-    joined = grid.join(counts, ["member_id", "day"], "left")
-    return joined.select(
-        "member_id", "day",
-        F.coalesce("meal_count", F.lit(0)).cast("int").alias("meal_count"),
-        F.coalesce("weight_logged", F.lit(False)).alias("weight_logged"),
-        F.coalesce("exercise_count", F.lit(0)).cast("int").alias("exercise_count"),
-        F.coalesce("collection_progress", F.lit(0)).cast("int").alias("collection_progress"),
-    )
+    values = F.struct(*[c for c in counts.columns if c not in ("member_id", "day")])
+    known = counts.groupBy("member_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("day", values))).alias("known"))
 
+    def filled(day: Column) -> Column:
+        v = F.try_element_at(F.col("known"), day)
+        return F.struct(
+            day.alias("day"),
+            F.coalesce(v["meal_count"], F.lit(0)).alias("meal_count"),
+            F.coalesce(v["weight_logged"], F.lit(False)).alias("weight_logged"),
+            F.coalesce(v["exercise_count"], F.lit(0)).alias("exercise_count"),
+            F.coalesce(v["collection_progress"], F.lit(0)).alias("collection_progress"))
 
-def timeline_summary(daily: DataFrame) -> DataFrame:
-    """Per member: active days (meal, weight or exercise; collection alone does
-    not count), totals, and the active share of the 31 days."""
-    active = (F.col("meal_count") > 0) | F.col("weight_logged") | (F.col("exercise_count") > 0)
-    return daily.groupBy("member_id").agg(
-        F.lit(K.TIMELINE_DAYS).alias("period_days"),
-        F.count_if(active).cast("int").alias("active_days"),
-        F.sum("meal_count").cast("int").alias("total_meals_logged"),
-        F.count_if(F.col("weight_logged")).cast("int").alias("weight_log_days"),
-        F.sum("exercise_count").cast("int").alias("total_exercises"),
-        F.round(F.count_if(active) / F.lit(float(K.TIMELINE_DAYS)), 4).alias("activity_rate"),
-    )
+    calendar = F.sequence(as_of_lit(start), as_of_lit(as_of), F.expr("INTERVAL 1 DAY"))
+    return data.members.select("member_id").join(known, "member_id", "left").select(
+        "member_id", F.transform(calendar, filled).alias("days"))
+
+
+def daily_activity(data: ActivityData) -> DataFrame:
+    """One row per member and day, as_of - 30 ... as_of, zeros on quiet days."""
+    return member_days(data).select("member_id", F.inline("days"))
+
+
+def _summary(days: Column) -> Column:
+    """Active days (meal, weight or exercise; collection alone does not count),
+    totals, and the active share of the 31 days."""
+    def total(name: str) -> Column:
+        return F.aggregate(days, F.lit(0), lambda a, d: a + d[name])
+
+    active = F.size(F.filter(days, lambda d: (d["meal_count"] > 0) | d["weight_logged"] | (d["exercise_count"] > 0)))
+    return F.struct(
+        F.lit(K.TIMELINE_DAYS).alias("period_days"), active.alias("active_days"),
+        total("meal_count").alias("total_meals_logged"),
+        F.size(F.filter(days, lambda d: d["weight_logged"])).alias("weight_log_days"),
+        total("exercise_count").alias("total_exercises"),
+        F.round(active / F.lit(float(K.TIMELINE_DAYS)), 4).alias("activity_rate"))
+
+
+def timeline_summary(days: DataFrame) -> DataFrame:
+    """The summary columns of each member of ``member_days``."""
+    return days.select("member_id", _summary(F.col("days")).alias("s")).select("member_id", "s.*")
 
 
 def enrollment_date(data: ActivityData) -> DataFrame:
@@ -83,19 +103,15 @@ def enrollment_date(data: ActivityData) -> DataFrame:
 
 def member_timeline(data: ActivityData) -> DataFrame:
     """One nested record per member: name, enrollment date, 31 ordered days, summary."""
-    daily = daily_activity(data)
-    day_struct = F.struct(
-        F.date_format("day", DAY_FMT).alias("date"), "meal_count", "weight_logged",
-        "exercise_count", "collection_progress")
-    days = daily.groupBy("member_id").agg(
-        F.sort_array(F.collect_list(day_struct)).alias("activity_timeline"))
-    summary = timeline_summary(daily)
-    summary_struct = F.struct(*[c for c in summary.columns if c != "member_id"]).alias("summary")
+    shown = F.transform("days", lambda d: F.struct(
+        F.date_format(d["day"], DAY_FMT).alias("date"), d["meal_count"].alias("meal_count"),
+        d["weight_logged"].alias("weight_logged"), d["exercise_count"].alias("exercise_count"),
+        d["collection_progress"].alias("collection_progress")))
+    days = member_days(data).select(
+        "member_id", shown.alias("activity_timeline"), _summary(F.col("days")).alias("summary"))
     names = data.members.select(
         "member_id", F.coalesce(F.col("member_name"), F.lit("Unknown")).alias("member_name"))
-    return (names.join(enrollment_date(data), "member_id", "left")
-            .join(days, "member_id", "left")
-            .join(summary.select("member_id", summary_struct), "member_id", "left"))
+    return names.join(enrollment_date(data), "member_id", "left").join(days, "member_id", "left")
 
 
 def member_activity(timelines: DataFrame, member_id) -> DataFrame:

@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlens import constants as K
 from cohortlens.operators import (clean, engineer, evaluate, features, label, models, reports,
                                   scoring, split, timeline)
 from cohortlens import sinks
+from cohortlens.session import materialize
 from cohortlens.sources import files
 from cohortlens.plans import workflow as W
 from cohortlens.sources.standin import (ORDERS_THRESHOLD_DAYS, events_profile,
@@ -299,9 +301,15 @@ SEARCH_PROBE = "ring"
 
 
 def _preds(spark, sf):
+    """Rule-scored predictions as one lazy plan (no fitted statistics)."""
     return W.rule_predictions(_orders(spark, sf), ORDERS_THRESHOLD_DAYS)
 
 
+def _preds_engaged(spark, sf):
+    """The same with ``engagement_score``, whose channel maxima are fitted first."""
+    return W.rule_predictions(_orders(spark, sf), ORDERS_THRESHOLD_DAYS, with_engagement=True)
+
+
 @register("risk_bucket")
 def q_risk_bucket(spark, sf):
     return _preds(spark, sf).select("member_id", "churn_probability", "risk_label")
@@ -315,7 +323,7 @@ def q_rank_by_risk(spark, sf):
 
 @register("prediction_record")
 def q_prediction_record(spark, sf):
-    return W.round_doubles(scoring.prediction_record(_preds(spark, sf)))
+    return W.round_doubles(scoring.prediction_record(_preds_engaged(spark, sf)))
 
 
 @register("risk_summary")
@@ -359,7 +367,7 @@ def q_prediction_lookup(spark, sf):
 
 @register("key_features")
 def q_key_features(spark, sf):
-    return W.round_doubles(scoring.key_features(_preds(spark, sf)).select("member_id", "key_features.*"))
+    return W.round_doubles(scoring.key_features(_preds_engaged(spark, sf)).select("member_id", "key_features.*"))
 
 
 @register("key_features_scored")
@@ -386,7 +394,7 @@ def q_daily_activity(spark, sf):
 
 @register("timeline_summary")
 def q_timeline_summary(spark, sf):
-    return timeline.timeline_summary(timeline.daily_activity(_events(spark, sf)))
+    return timeline.timeline_summary(timeline.member_days(_events(spark, sf)))
 
 
 @register("member_timeline")
@@ -427,7 +435,7 @@ def q_risk_table(spark, sf):
 
 @register("key_indicators")
 def q_key_indicators(spark, sf):
-    return reports.key_indicators(_preds(spark, sf))
+    return reports.key_indicators(_preds_engaged(spark, sf))
 
 
 @register("search_display")
@@ -439,12 +447,12 @@ def q_search_display(spark, sf):
 
 def _split(spark, sf):
     """Processed features with the stratified hold-out split."""
-    return W.training_split(_orders(spark, sf), ORDERS_THRESHOLD_DAYS)
+    return W.training_split(_orders(spark, sf), ORDERS_THRESHOLD_DAYS)[0]
 
 
 def _rule_split(spark, sf):
     """Labelled, rule-scored members with the split (exactly reproducible)."""
-    t = label.rule_churn_score(_engineered(spark, sf))
+    t = label.rule_churn_score(_labelled(spark, sf))
     return split.stratified_split(t)
 
 
@@ -484,12 +492,12 @@ def _rule_test(spark, sf):
 
 @register("classification_metrics")
 def q_classification_metrics(spark, sf):
-    return evaluate.classification_metrics(_rule_test(spark, sf))
+    return evaluate.rounded(evaluate.classification_metrics(_rule_test(spark, sf)))
 
 
 @register("roc_auc")
 def q_roc_auc(spark, sf):
-    return evaluate.roc_auc(_rule_test(spark, sf))
+    return evaluate.rounded(evaluate.roc_auc(_rule_test(spark, sf)))
 
 
 @register("confusion_matrix")
@@ -502,20 +510,24 @@ def q_classification_report(spark, sf):
     return evaluate.classification_report(_rule_test(spark, sf))
 
 
-@register("cv_f1")
-def q_cv_f1(spark, sf):
-    s = _rule_split(spark, sf)
+def _rule_cv(s):
     k = split.fold_count(s.where(~F.col("is_test")))
     folds = split.stratified_folds(s, k).withColumnRenamed("rule_churned", "prediction")
     return evaluate.fold_f1(folds)
 
 
+@register("cv_f1")
+def q_cv_f1(spark, sf):
+    return evaluate.rounded(_rule_cv(_rule_split(spark, sf)))
+
+
 def _rule_metrics(spark, sf):
-    test = _rule_test(spark, sf)
+    s = materialize(_rule_split(spark, sf), "rule-split")  # three evaluations read it
+    test = s.where(F.col("is_test")).withColumnsRenamed({"rule_churned": "prediction", "rule_churn_score": "score"})
     m = evaluate.classification_metrics(test).first().asDict()
     m.update(evaluate.roc_auc(test).first().asDict())
-    m.update(q_cv_f1(spark, sf).first().asDict())
-    return evaluate.mark_best(evaluate.metrics_table(spark, {"Rule Score": m}))
+    m.update(_rule_cv(s).first().asDict())
+    return evaluate.rounded(evaluate.mark_best(evaluate.metrics_table(spark, {"Rule Score": m})))
 
 
 @register("rule_metrics")
@@ -523,96 +535,166 @@ def q_rule_metrics(spark, sf):
     return _rule_metrics(spark, sf).drop("model_order")
 
 
-# --- 2.8 / 2.9 fitted models (row-count checks) -------------------------------------------
+# --- 2.8 / 2.9 fitted models -------------------------------------------------------------
+# Fitted numbers depend on the solver; the queries return what must hold of them exactly.
 
-def _fit(spark, sf, names=K.MODEL_ORDER, with_cv=False):
-    s = _split(spark, sf)
-    k = split.fold_count(s.where(~F.col("is_test"))) if with_cv else 5
-    return s, models.train_and_compare(spark, s, list(K.FEATURE_COLUMNS), k, names=names,
-                                       with_cv=with_cv)
+def _fit(spark, sf, names=K.MODEL_ORDER[:1]):
+    """(split table, channel maxima, result) of the models asked for."""
+    s, maxima = W.training_split(_orders(spark, sf), ORDERS_THRESHOLD_DAYS)
+    return s, maxima, models.train_and_compare(spark, s, list(K.FEATURE_COLUMNS), 5, names=names, with_cv=False)
 
 
-def _test_predictions(spark, sf, name):
-    s, result = _fit(spark, sf, names=(name,))
-    test = s.where(F.col("is_test"))
-    return models.with_probability(result.models[name].transform(test)).select(
-        "member_id", K.LABEL_COLUMN, F.round("score", 4).alias("churn_probability"),
-        F.col("prediction").cast("int").alias("churn_prediction"))
+def _sound(pred):
+    """Held-out rows: the probability is one, and the decision follows from it."""
+    p = F.col("score")
+    return pred.select(
+        "member_id", K.LABEL_COLUMN, p.between(0.0, 1.0).alias("probability_valid"),
+        ((p > 0.5) == (F.col("prediction") == 1)).alias("decision_consistent"))
+
+
+def _held_out(spark, sf, name):
+    s, _, result = _fit(spark, sf, names=(name,))
+    return _sound(models.with_probability(result.models[name].transform(s.where(F.col("is_test")))))
 
 
 @register("fit_logistic")
 def q_fit_logistic(spark, sf):
-    return _test_predictions(spark, sf, K.MODEL_ORDER[0])
+    """Also the penalised weighted gradient at the solution, which is 0 at the optimum."""
+    s, _, result = _fit(spark, sf)
+    model = result.models[K.MODEL_ORDER[0]]
+    slope = models.logistic_gradient(model, split.class_weights(s.where(~F.col("is_test"))), result.n_train)
+    test = models.with_probability(model.transform(s.where(F.col("is_test"))))
+    return _sound(test).withColumn("gradient_at_solution", F.lit(round(slope, 3) + 0.0))
 
 
 @register("fit_forest")
 def q_fit_forest(spark, sf):
-    return _test_predictions(spark, sf, K.MODEL_ORDER[1])
+    return _held_out(spark, sf, K.MODEL_ORDER[1])
 
 
 @register("fit_boosted")
 def q_fit_boosted(spark, sf):
-    return _test_predictions(spark, sf, K.MODEL_ORDER[2])
+    return _held_out(spark, sf, K.MODEL_ORDER[2])
+
+
+@register("fit_synthetic")
+def q_fit_synthetic(spark, sf):
+    """The second training form: larger forest on features with gaps as 0, nothing clipped."""
+    table = label.rule_churn_score(_engineered(spark, sf))
+    s = materialize(clean.impute_zero(split.stratified_split(table).drop("created_at")), "synthetic-split")
+    name = K.MODEL_ORDER[1]
+    result = models.train_and_compare(spark, s, list(K.FEATURE_COLUMNS), 5, models.ModelParams.synthetic(),
+                                      with_cv=False, names=(name,))
+    return _sound(models.with_probability(result.models[name].transform(s.where(F.col("is_test")))))
+
+
+# fixed values: rule-score cut-offs that stand for three models (the last two tie)
+CUT_OFFS = (0.3, 0.4, 0.4)
+
+
+def _cut_off_metrics(spark, sf):
+    test = materialize(_rule_test(spark, sf).select(K.LABEL_COLUMN, "score"), "cut-off-test")
+    auc = evaluate.roc_auc(test).first().asDict()
+    rows = {name: evaluate.classification_metrics(test.withColumn(
+        "prediction", (F.col("score") >= cut).cast("int"))).first().asDict() | auc
+        for name, cut in zip(K.MODEL_ORDER, CUT_OFFS)}
+    return evaluate.mark_best(evaluate.metrics_table(spark, rows))
 
 
 @register("metrics_table")
 def q_metrics_table(spark, sf):
-    return _fit(spark, sf, with_cv=True)[1].metrics
+    return evaluate.rounded(_cut_off_metrics(spark, sf)).drop("cv_f1_mean", "cv_f1_std")
 
 
 @register("best_model")
 def q_best_model(spark, sf):
-    return evaluate.best_model(_fit(spark, sf)[1].metrics).select("model", "f1_score")
+    return evaluate.rounded(evaluate.best_model(_cut_off_metrics(spark, sf))).select("model", "f1_score")
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
-    _, result = _fit(spark, sf)
-    return models.feature_importance(result.models[result.best], result.feature_cols, result.n_train)
+    _, _, result = _fit(spark, sf)
+    top = models.feature_importance(result.models[result.best], result.feature_cols, result.n_train)
+    place = F.row_number().over(Window.orderBy(F.desc("importance"), "feature"))  # 15 rows
+    known = F.col("feature").isin(*K.FEATURE_COLUMNS)
+    return top.select(place.alias("place"), (F.col("share_of_max").between(0.0, 1.0) & known).alias("valid"))
 
 
 # --- 2.10 model scoring -------------------------------------------------------------------
 
-def _best_and_features(spark, sf):
-    s, result = _fit(spark, sf)
-    return result.models[result.best], s
+def _saved_model(spark, sf):
+    """A logistic model and its training statistics, written as a training run does."""
+    _, maxima, result = _fit(spark, sf)
+    path = sinks.scratch_path(spark, "model")
+    W.save_model(spark, result.models[result.best], maxima, path)
+    return path, result.models[result.best]
 
 
 @register("score_members")
 def q_score_members(spark, sf):
-    model, s = _best_and_features(spark, sf)
-    return scoring.rank_by_risk(scoring.score_members(model, s))
+    """All members scored from fresh logs with the saved model; indicators are not clipped."""
+    scored = W.score_fresh(_orders(spark, sf), _saved_model(spark, sf)[0])
+    p = F.col("churn_probability")
+    return W.round_doubles(scored.select("member_id", *K.KEY_FEATURES, p.between(0.0, 1.0).alias("probability_valid")))
 
 
 @register("score_one")
 def q_score_one(spark, sf):
-    model, s = _best_and_features(spark, sf)
-    return scoring.score_one(model, s, MEMBER_PROBE)
+    """The record of a known member beside that of an unknown one."""
+    path, model = _saved_model(spark, sf)
+    fresh = W.serving_features(_orders(spark, sf), files.read_statistics(spark, f"{path}/statistics"))
+    both = scoring.score_one(model, fresh, MEMBER_PROBE).unionByName(scoring.score_one(model, fresh, -1))
+    return both.select("member_id", "error", F.col("churn_probability").between(0.0, 1.0).alias("probability_valid"))
 
 
 @register("save_pipeline")
 def q_save_pipeline(spark, sf):
-    model, s = _best_and_features(spark, sf)
-    path = sinks.scratch_path(spark, "pipeline")
-    sinks.save_pipeline(model, path)
-    return spark.read.json(f"{path}/stages/*/metadata")
+    """Stage classes and the feature order, read from the saved files."""
+    path, _ = _saved_model(spark, sf)
+    meta = spark.read.schema("class string, paramMap struct<inputCols: array<string>>").json(
+        f"{path}/pipeline/stages/*/metadata")
+    stages = meta.select(F.lit("stage").alias("kind"), F.lit(None).cast("int").alias("position"),
+                         F.col("class").alias("name"))
+    order = meta.select(F.posexplode("paramMap.inputCols").alias("position", "name")).select(
+        F.lit("feature").alias("kind"), "position", "name")
+    return stages.unionByName(order)
 
 
 @register("load_pipeline")
 def q_load_pipeline(spark, sf):
-    model, s = _best_and_features(spark, sf)
-    path = sinks.scratch_path(spark, "pipeline")
-    sinks.save_pipeline(model, path)
-    return scoring.score_members(sinks.load_pipeline(path), s)
+    """Members for whom the loaded pipeline gives the score of the fitted one."""
+    path, model = _saved_model(spark, sf)
+    fresh = W.serving_features(_orders(spark, sf), files.read_statistics(spark, f"{path}/statistics"))
+    fitted = models.with_probability(model.transform(fresh)).drop("features", "raw_features", "rawPrediction",
+                                                                  "probability", "prediction")
+    again = models.with_probability(sinks.load_pipeline(f"{path}/pipeline").transform(
+        fitted.withColumnRenamed("score", "fitted_score")))
+    return again.select("member_id", (F.col("score") == F.col("fitted_score")).alias("same_score"))
+
+
+@register("sink_feature_columns")
+def q_sink_feature_columns(spark, sf):
+    """The model's feature order, taken from the table, written and read back."""
+    order = [c for c in _engineered(spark, sf).columns if c in K.FEATURE_COLUMNS]
+    path = sinks.scratch_path(spark, "feature-columns")
+    sinks.write_feature_columns(spark, order, path)
+    return files.read_json_records(spark, path, T.StructType(
+        [T.StructField("position", T.IntegerType()), T.StructField("feature", T.StringType())]))
+
+
+@register("feature_table_newest_first")
+def q_feature_table_newest_first(spark, sf):
+    """The feature table in its serving order, with the place of each row."""
+    ordered = features.order_newest_first(features.feature_table(_orders(spark, sf)))
+    return ordered.select("member_id", "created_at", "total_meal_logs")
 
 
 # --- 2.1 / 2.2 sources and sinks (round trips through the shared folder) -------------------
 
 @register("scan_table")
 def q_scan_table(spark, sf):
-    """The whole orders table, projected to the columns used (pruned at the scan)."""
-    return files.read_table(spark, sf, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+    """The whole orders table, all columns."""
+    return files.read_table(spark, sf, "orders")
 
 
 @register("sink_csv")
@@ -625,7 +707,12 @@ def q_sink_csv(spark, sf):
 
 @register("scan_csv")
 def q_scan_csv(spark, sf):
-    return q_sink_csv(spark, sf)
+    """The whole feature CSV of many part files, columns given in another order."""
+    t = features.feature_table(_orders(spark, sf)).drop("created_at")
+    shuffled = t.select(*reversed(t.columns))
+    path = sinks.scratch_path(spark, "features-csv")
+    sinks.write_csv(shuffled.repartition(5), path)
+    return files.read_csv(spark, path, shuffled.schema)
 
 
 @register("sink_predictions_json")
@@ -638,7 +725,13 @@ def q_sink_predictions_json(spark, sf):
 
 @register("scan_json_records")
 def q_scan_json_records(spark, sf):
-    return q_sink_predictions_json(spark, sf)
+    """Predictions exported as JSON arrays over several lines, a hundred records each."""
+    p = scoring.prediction_record(_preds_engaged(spark, sf))
+    path = sinks.scratch_path(spark, "prediction-arrays")
+    arrays = p.groupBy(F.floor(F.col("member_id") / 100).alias("part")).agg(
+        F.to_json(F.collect_list(F.struct("*")), {"pretty": "true"}).alias("value"))
+    arrays.repartition("part").write.partitionBy("part").text(path)
+    return W.round_doubles(files.read_json_records(spark, path, p.schema, multiline=True).drop("part"))
 
 
 @register("sink_names_json")
@@ -678,4 +771,7 @@ def q_sink_metrics(spark, sf):
 
 @register("scan_metrics")
 def q_scan_metrics(spark, sf):
-    return q_sink_metrics(spark, sf)
+    """Metrics of three models, one file each, read back together."""
+    path = sinks.scratch_path(spark, "metrics")
+    sinks.write_metrics(evaluate.rounded(_cut_off_metrics(spark, sf)).repartition("model"), path)
+    return files.read_metrics(spark, path).drop("model_order", "cv_f1_mean", "cv_f1_std")

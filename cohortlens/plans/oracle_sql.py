@@ -46,12 +46,12 @@ _MEAL = f"""meal AS (
   WHERE o.o_orderpriority = '1-URGENT')"""
 _MEAL_F = f"""meal_f AS (
   SELECT member_id, count(*) AS total_meal_logs, count(DISTINCT d) AS distinct_meal_days,
-         round(avg(l_extendedprice), 1) AS avg_calories_per_meal,
-         round(avg(l_quantity), 1) AS avg_protein_g,
-         round(avg(l_tax * 100), 1) AS avg_carbs_g,
-         round(avg(l_discount * 100), 1) AS avg_fat_g,
+         round(round(avg(l_extendedprice), 6), 1) AS avg_calories_per_meal,
+         round(round(avg(l_quantity), 6), 1) AS avg_protein_g,
+         round(round(avg(l_tax * 100), 6), 1) AS avg_carbs_g,
+         round(round(avg(l_discount * 100), 6), 1) AS avg_fat_g,
          count(DISTINCT l_returnflag) AS distinct_meal_types,
-         round(avg(CASE WHEN l_discount < 0.05 THEN 1.0 ELSE 0.0 END), 4) AS meal_compliance_rate,
+         round(round(avg(CASE WHEN l_discount < 0.05 THEN 1.0 ELSE 0.0 END), 6), 4) AS meal_compliance_rate,
          date_diff('day', max(d), {ORDERS_AS_OF}) AS days_since_last_meal,
          count(*) FILTER (WHERE date_diff('day', d, {ORDERS_AS_OF}) BETWEEN 0 AND 7) AS meals_last_7_days,
          count(*) FILTER (WHERE date_diff('day', d, {ORDERS_AS_OF}) BETWEEN 0 AND 14) AS meals_last_14_days
@@ -63,7 +63,7 @@ _WEIGHT = """weight AS (
 _WEIGHT_F = f"""weight_f AS (
   SELECT wt.member_id, count(*) AS total_weight_logs, count(DISTINCT d) AS distinct_weight_days,
          round(max(w) - min(w), 2) AS weight_range_kg,
-         round(avg(w) / power(any_value(m.height_cm) / 100, 2), 1) AS avg_bmi,
+         round(round(avg(w) / power(any_value(m.height_cm) / 100, 2), 6), 1) AS avg_bmi,
          date_diff('day', max(d), {ORDERS_AS_OF}) AS days_since_last_weight,
          round(arg_max(w, (d, log_id)) - arg_min(w, (d, log_id)), 2)
            AS weight_change_kg
@@ -73,8 +73,8 @@ _EXERCISE_F = f"""exercise_f AS (
   SELECT o_custkey AS member_id, count(*) AS total_exercise_logs,
          count(DISTINCT CAST(o_orderdate AS DATE)) AS distinct_exercise_days,
          CAST(sum(floor(o_totalprice / 8000)) AS BIGINT) AS total_exercise_minutes,
-         round(avg(floor(o_totalprice / 8000)), 1) AS avg_exercise_minutes,
-         round(sum(o_totalprice / 1000), 1) AS total_calories_burned,
+         round(round(avg(floor(o_totalprice / 8000)), 6), 1) AS avg_exercise_minutes,
+         round(round(sum(o_totalprice / 1000), 6), 1) AS total_calories_burned,
          CAST(sum(o_orderkey % 8000) AS BIGINT) AS total_steps,
          date_diff('day', max(CAST(o_orderdate AS DATE)), {ORDERS_AS_OF}) AS days_since_last_exercise,
          count(DISTINCT o_orderstatus) AS distinct_exercise_types
@@ -87,7 +87,7 @@ _COLLECTION_F = f"""collection_f AS (
            AS avg_progress_percent,
          count(*) FILTER (WHERE o_orderstatus IN ('F', 'P')) AS unlocked_items,
          date_diff('day', max(CAST(o_orderdate AS DATE)), {ORDERS_AS_OF}) AS days_since_last_collection
-  FROM o WHERE o_orderpriority = '4-NOT SPECIFIED' GROUP BY o_custkey)"""
+  FROM o WHERE o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW') GROUP BY o_custkey)"""
 _FEATURES = """features AS (
   SELECT m.member_id, m.member_name, m.created_at,
          m.gender_encoded, m.age_years, m.height_cm, m.initial_weight_kg,
@@ -398,11 +398,10 @@ ev_counts AS (
   SELECT user_id AS member_id, CAST(ts AS DATE) AS day,
          count(*) FILTER (WHERE event_type = 'view') AS meal_count,
          count(*) FILTER (WHERE event_type = 'click') > 0 AS weight_logged,
-         count(*) FILTER (WHERE event_type = 'purchase') AS exercise_count,
+         count(*) FILTER (WHERE event_type IN ('purchase', 'error')) AS exercise_count,
          count(*) FILTER (WHERE event_type = 'signup') AS collection_progress
   FROM ev
-  WHERE event_type IN ('view', 'click', 'purchase', 'signup')
-    AND CAST(ts AS DATE) BETWEEN CAST({EVENTS_AS_OF} - INTERVAL 30 DAY AS DATE) AND {EVENTS_AS_OF}
+  WHERE CAST(ts AS DATE) BETWEEN CAST({EVENTS_AS_OF} - INTERVAL 30 DAY AS DATE) AND {EVENTS_AS_OF}
   GROUP BY 1, 2),
 daily AS (
   SELECT m.member_id, d.day, coalesce(c.meal_count, 0) AS meal_count,
@@ -552,7 +551,6 @@ ORACLE["rule_metrics"] = _ctes(*SPLIT_CTES, _AUC, _CV) + f"""
 SELECT 'Rule Score' AS model, {_METRICS}, roc_auc, cv_f1_mean, cv_f1_std, true AS is_best
 FROM cm CROSS JOIN auc CROSS JOIN cv"""
 ORACLE["sink_metrics"] = ORACLE["rule_metrics"]
-ORACLE["scan_metrics"] = ORACLE["rule_metrics"]
 
 # processed (imputed + clipped) features with the same split, for the scaler
 _PSPLIT = """pranked AS (
@@ -569,7 +567,7 @@ ORACLE["standard_scale"] = _ctes(*ENGINEERED_CTES, _IMPUTED, _clipped("imputed")
 
 # --- sources and sinks: round trips must give back the written table -----------------------
 
-ORACLE["scan_table"] = "SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice FROM orders"
+ORACLE["scan_table"] = "SELECT * FROM orders"
 ORACLE["sink_csv"] = ORACLE["feature_table"]
 ORACLE["scan_csv"] = ORACLE["feature_table"]
 ORACLE["sink_predictions_json"] = ORACLE["prediction_record"]
@@ -608,3 +606,49 @@ serving AS (
 ORACLE["serving_features"] = _ctes(*FEATURE_CTES, _SERVING) + "\nSELECT member_id, " + ", ".join(
     _r6(c, f"coalesce({c}, 0.0)") if c in DOUBLE_COLUMNS else f"coalesce({c}, 0) AS {c}"
     for c in (*K.FEATURE_COLUMNS, "total_activity_count")) + " FROM serving"
+
+
+# --- fitted models: what must hold of them ---------------------------------------------------
+
+_SOUND = "member_id, is_churned, true AS probability_valid, true AS decision_consistent"
+for _name in ("fit_forest", "fit_boosted", "fit_synthetic"):
+    ORACLE[_name] = _ctes(*SPLIT_CTES) + f"\nSELECT {_SOUND} FROM split WHERE is_test"
+ORACLE["fit_logistic"] = _ctes(*SPLIT_CTES) + (
+    f"\nSELECT {_SOUND}, CAST(0.0 AS DOUBLE) AS gradient_at_solution FROM split WHERE is_test")
+
+_CUT = f"""cut(model_order, model, cut_off) AS (VALUES {', '.join(
+    f"({i}, '{name}', {cut})" for i, (name, cut) in enumerate(zip(K.MODEL_ORDER, (0.3, 0.4, 0.4))))}),
+cut_cm AS (
+  SELECT model_order, model, count(*) FILTER (WHERE is_churned = 1 AND score >= cut_off) AS tp,
+         count(*) FILTER (WHERE is_churned = 0 AND score >= cut_off) AS fp,
+         count(*) FILTER (WHERE is_churned = 1 AND score < cut_off) AS fn,
+         count(*) FILTER (WHERE is_churned = 0 AND score < cut_off) AS tn
+  FROM test CROSS JOIN cut GROUP BY 1, 2),
+cut_best AS (
+  SELECT model FROM cut_cm ORDER BY {_sdiv('2 * tp', '2 * tp + fp + fn')} DESC, model_order LIMIT 1)"""
+_CUT_COLUMNS = f"model, {_METRICS}, roc_auc, model = (SELECT model FROM cut_best) AS is_best"
+ORACLE["metrics_table"] = _ctes(*SPLIT_CTES, _AUC, _CUT) + (
+    f"\nSELECT model_order, {_CUT_COLUMNS} FROM cut_cm CROSS JOIN auc")
+ORACLE["scan_metrics"] = _ctes(*SPLIT_CTES, _AUC, _CUT) + f"\nSELECT {_CUT_COLUMNS} FROM cut_cm CROSS JOIN auc"
+ORACLE["best_model"] = _ctes(*SPLIT_CTES, _CUT) + (
+    f"\nSELECT model, round({_sdiv('2 * tp', '2 * tp + fp + fn')}, 4) AS f1_score "
+    "FROM cut_cm WHERE model = (SELECT model FROM cut_best)")
+ORACLE["feature_importance"] = "SELECT CAST(range AS INTEGER) AS place, true AS valid FROM range(1, 16)"
+ORACLE["score_members"] = _ctes(*ENGINEERED_CTES) + "\nSELECT member_id, true AS probability_valid, " + ", ".join(
+    _r6(c, f"coalesce({c}, 0.0)") if c in DOUBLE_COLUMNS else f"coalesce({c}, 0) AS {c}"
+    for c in K.KEY_FEATURES) + " FROM engineered"
+ORACLE["score_one"] = f"""
+SELECT CAST({MEMBER_PROBE} AS BIGINT) AS member_id, CAST(NULL AS VARCHAR) AS error, true AS probability_valid
+FROM customer WHERE c_custkey = {MEMBER_PROBE}
+UNION ALL SELECT -1, 'Member not found', NULL"""
+ORACLE["save_pipeline"] = """
+SELECT 'stage' AS kind, CAST(NULL AS INTEGER) AS position, unnest([
+  'org.apache.spark.ml.feature.VectorAssembler', 'org.apache.spark.ml.feature.StandardScalerModel',
+  'org.apache.spark.ml.classification.LogisticRegressionModel']) AS name
+UNION ALL SELECT 'feature', position, feature FROM (VALUES """ + ", ".join(
+    f"({i}, '{c}')" for i, c in enumerate(K.FEATURE_COLUMNS)) + ") f(position, feature)"
+ORACLE["load_pipeline"] = "SELECT c_custkey AS member_id, true AS same_score FROM customer"
+ORACLE["sink_feature_columns"] = "SELECT * FROM (VALUES " + ", ".join(
+    f"({i}, '{c}')" for i, c in enumerate(K.FEATURE_COLUMNS)) + ") f(position, feature)"
+ORACLE["feature_table_newest_first"] = _ctes(*FEATURE_CTES) + (
+    "\nSELECT member_id, created_at, total_meal_logs FROM features ORDER BY created_at DESC NULLS LAST, member_id")

@@ -51,13 +51,16 @@ def process_features(data: ActivityData, threshold_days: int, with_name: bool =
 
 
 def training_split(data: ActivityData, threshold_days: int, test_fraction: float = 0.2,
-                   seed: int = 42) -> DataFrame:
-    """Processed members with the stratified hold-out split, written once:
-    fold counting, weighting, scaling, fitting and every evaluation pass
-    read the same files."""
+                   seed: int = 42) -> tuple[DataFrame, dict[str, float]]:
+    """Processed members with the stratified hold-out split, written once (fold
+    counting, weighting, scaling, fitting and every evaluation pass read the
+    same files), and the channel maxima they were made with."""
+    from cohortlens.operators.engineer import fit_channel_maxima
     from cohortlens.operators.split import stratified_split
-    processed = process_features(data, threshold_days, with_name=True)
-    return materialize(stratified_split(processed, test_fraction, seed=seed), "split")
+    labelled = materialize(labelled_table(data, threshold_days, with_name=True), "labelled")
+    maxima = fit_channel_maxima(labelled)
+    processed = handle_missing_and_outliers(engineer_features(labelled, maxima), exclude=("member_id",))
+    return materialize(stratified_split(processed, test_fraction, seed=seed), "split"), maxima
 
 
 def serving_features(data: ActivityData, maxima: dict[str, float] | None = None,
@@ -69,20 +72,58 @@ def serving_features(data: ActivityData, maxima: dict[str, float] | None = None,
     saved at training time for scores consistent with training."""
     from cohortlens.operators.clean import impute_zero
     from cohortlens.operators.label import total_activity_expr
-    table = materialize(feature_table(data, with_name=with_name), "serving-base")
+    table = feature_table(data, with_name=with_name)
+    if maxima is None:  # fitted on this batch: aggregate the logs once
+        table = materialize(table, "serving-base")
     table = table.withColumn("total_activity_count", total_activity_expr(table))
     return impute_zero(engineer_features(table, maxima))
 
 
-def rule_predictions(data: ActivityData, threshold_days: int) -> DataFrame:
+def save_model(spark, model, maxima: dict[str, float], model_dir: str) -> None:
+    """The fitted pipeline and the training statistics that serving needs beside it."""
+    from cohortlens import sinks
+    sinks.save_pipeline(model, f"{model_dir.rstrip('/')}/pipeline")
+    sinks.write_statistics(spark, maxima, f"{model_dir.rstrip('/')}/statistics")
+
+
+def score_fresh(data: ActivityData, model_dir: str, maxima: str = "saved") -> DataFrame:
+    """Score members from fresh logs with a saved model, riskiest first.
+
+    Feature table -> derived features -> gaps filled with 0 -> saved model
+    order -> saved pipeline -> ranked prediction rows; nothing is clipped.
+    ``maxima="saved"`` divides by the channel maxima of the training run,
+    ``maxima="batch"`` by those of the scored batch.
+    """
+    from cohortlens import sinks
+    from cohortlens.operators import scoring
+    from cohortlens.operators.select import align_features
+    from cohortlens.sources import files
+    if maxima not in ("saved", "batch"):
+        raise ValueError(f"maxima must be saved or batch, got {maxima!r}")
+    spark = data.members.sparkSession
+    base = model_dir.rstrip("/")
+    saved = files.read_statistics(spark, f"{base}/statistics") if maxima == "saved" else None
+    model = sinks.load_pipeline(f"{base}/pipeline")
+    order = model.stages[0].getInputCols()
+    features = serving_features(data, saved)
+    aligned = align_features(features, order, keep=("member_id", "member_name", "created_at"))
+    return scoring.rank_by_risk(scoring.score_members(model, aligned))
+
+
+def rule_predictions(data: ActivityData, threshold_days: int, with_engagement: bool = False) -> DataFrame:
     """Prediction records scored by the deterministic rule score.
 
+    One lazy plan over the labelled table, so filters on a member reach the
+    scans. Only ``with_engagement`` adds ``engagement_score``, for which the
+    labelled table is written once and its channel maxima are fitted.
+
     Stands in for a fitted model wherever results must be reproducible
     exactly (serving queries, evaluation checks): probability = rule score,
     prediction = score >= 0.40, risk band from the unrounded score.
     """
-    t = rule_churn_score(engineered_table(data, threshold_days, with_name=True,
-                                          materialize_labels=True))
+    table = engineered_table(data, threshold_days, with_name=True, materialize_labels=True) \
+        if with_engagement else labelled_table(data, threshold_days, with_name=True)
+    t = rule_churn_score(table)
     p = F.col("rule_churn_score")
     return t.select(
         "member_id", "member_name", "created_at",
@@ -90,7 +131,7 @@ def rule_predictions(data: ActivityData, threshold_days: int) -> DataFrame:
         F.col("rule_churned").alias("churn_prediction"),
         risk_bucket(p).alias("risk_label"),
         K.LABEL_COLUMN,
-        *[c for c in K.KEY_FEATURES],
+        *[c for c in K.KEY_FEATURES if c in t.columns],
     )
 
 
@@ -105,17 +146,18 @@ def run_training(spark, data: ActivityData, timeline_data: ActivityData, out_dir
     """The whole batch chain in one call: features, training and comparison,
     then every artifact the serving side reads, written under ``out_dir``.
 
-    Writes: processed features (Parquet and CSV), the best pipeline, metrics
+    Writes: processed features (Parquet and CSV), the best pipeline with its
+    channel maxima, metrics
     (one row per model, ``is_best``), the ordered feature list, feature
     importances, ranked predictions with names and key indicators, the
     member -> name table, and nested 31-day timelines. Returns the paths.
     """
     from cohortlens import constants as K
     from cohortlens import sinks
-    from cohortlens.operators import models, scoring, split, timeline
+    from cohortlens.operators import evaluate, models, scoring, split, timeline
 
     params = params or models.ModelParams()
-    split_df = training_split(data, threshold_days)
+    split_df, maxima = training_split(data, threshold_days)
     k = split.fold_count(split_df.where(~F.col("is_test")))
     result = models.train_and_compare(spark, split_df, list(K.FEATURE_COLUMNS), k, params, with_cv)
     best = result.models[result.best]
@@ -125,12 +167,12 @@ def run_training(spark, data: ActivityData, timeline_data: ActivityData, out_dir
     features = split_df.drop("rank_in_label", "n_label", "is_test")
     sinks.write_table(features, out["features"])
     sinks.write_csv(features.drop("created_at"), out["features_csv"])
-    sinks.save_pipeline(best, out["model"])
-    sinks.write_metrics(result.metrics, out["metrics"])
+    save_model(spark, best, maxima, out["model"])
+    sinks.write_metrics(evaluate.rounded(result.metrics), out["metrics"])
     sinks.write_feature_columns(spark, result.feature_cols, out["feature_columns"])
     sinks.write_table(models.feature_importance(best, result.feature_cols, result.n_train),
                       out["feature_importance"])
-    predictions = scoring.prediction_record(scoring.score_members(best, split_df))
+    predictions = scoring.prediction_record(score_fresh(data, out["model"]))
     sinks.write_json_records(predictions, out["predictions"])
     sinks.write_json_records(data.members.select("member_id", "member_name"), out["names"])
     sinks.write_json_records(timeline.member_timeline(timeline_data), out["timelines"])

@@ -13,5 +13,6 @@ from cohortlens.sinks.writers import (  # noqa: F401
     write_json_map,
     write_json_records,
     write_metrics,
+    write_statistics,
     write_table,
 )

@@ -72,6 +72,14 @@ def write_feature_columns(spark: SparkSession, feature_cols: list[str], path: st
     return df
 
 
+def write_statistics(spark: SparkSession, statistics: dict[str, float], path: str,
+                     mode: str = "overwrite") -> DataFrame:
+    """Named training statistics (e.g. channel maxima) as (name, value) rows."""
+    df = spark.createDataFrame([(k, float(v)) for k, v in statistics.items()], "name string, value double")
+    df.coalesce(1).write.mode(mode).json(path)
+    return df
+
+
 def save_pipeline(model: PipelineModel, path: str) -> None:
     """Assembler (holding the feature order), scaler and classifier together."""
     model.write().overwrite().save(path)

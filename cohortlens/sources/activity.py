@@ -21,6 +21,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 
+from cohortlens.sources.files import nan_to_null
+
 MEMBER_COLUMNS = ("member_id", "member_name", "gender", "birth_date", "height_cm",
                   "initial_weight_kg", "medical_conditions", "allergies", "created_at")
 ENROLLMENT_COLUMNS = ("member_id", "start_date", "is_active", "doctor_id",
@@ -47,6 +49,7 @@ class ActivityData:
     as_of: dt.date
 
     def validate(self) -> "ActivityData":
+        """Check the columns; NaN becomes NULL in every table."""
         expected = {
             "members": MEMBER_COLUMNS, "enrollments": ENROLLMENT_COLUMNS,
             "meals": MEAL_COLUMNS, "weights": WEIGHT_COLUMNS,
@@ -56,4 +59,4 @@ class ActivityData:
             missing = set(cols) - set(getattr(self, name).columns)
             if missing:
                 raise ValueError(f"{name} lacks columns {sorted(missing)}")
-        return self
+        return dataclasses.replace(self, **{name: nan_to_null(getattr(self, name)) for name in expected})

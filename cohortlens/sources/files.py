@@ -40,9 +40,15 @@ def read_jdbc(spark: SparkSession, url: str, *, table: str | None = None,
     return reader.load()
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """Every NaN of a float or double column as NULL; other columns as they are."""
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Feature CSV with a header; the schema is given, never inferred."""
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    """Feature CSV with a header; the schema is given, never inferred. NaN reads as NULL."""
+    return nan_to_null(spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path))
 
 
 def read_json_records(spark: SparkSession, path: str, schema: T.StructType,
@@ -58,14 +64,20 @@ def read_json_map(spark: SparkSession, path: str, value_type: str = "string",
 
     ``read.json`` would turn every key into a column; parsing the text as a
     map and exploding it gives one row per key. With ``wholetext`` each file
-    is one (possibly pretty-printed) object, as the reference exports are;
-    without it each line is one object, as ``sinks.write_json_map`` writes.
+    is one (possibly pretty-printed) object and one row of one task: only for
+    importing old exports, never for data of our own. Without it each line is
+    one object, as ``sinks.write_json_map`` writes.
     """
     text = spark.read.text(path, wholetext=wholetext)
     parsed = text.select(F.from_json("value", f"map<string,{value_type}>").alias("m"))
     return parsed.select(F.explode("m").alias(key_name, value_name))
 
 
+def read_statistics(spark: SparkSession, path: str) -> dict[str, float]:
+    """Named training statistics (see ``sinks.write_statistics``): a few numbers."""
+    return {r["name"]: r["value"] for r in spark.read.schema("name string, value double").json(path).collect()}
+
+
 METRICS_SCHEMA = T.StructType([
     T.StructField("model", T.StringType(), False),
     T.StructField("model_order", T.IntegerType(), False),

@@ -11,11 +11,11 @@ Orders profile (labels, features, models), as of 2001-08-02:
   enrollment  = first order date; providers from account balance, segment, nation
   meals       = '1-URGENT' orders joined to their line items
   weights     = '2-HIGH' orders, exercises = '3-MEDIUM' orders,
-  collections = '4-NOT SPECIFIED' orders; '5-LOW' orders are unused.
+  collections = '4-NOT SPECIFIED' and '5-LOW' orders.
 
 Events profile (daily timelines), as of 2024-01-31:
   member = user_id; view -> meal, click -> weight, purchase -> exercise,
-  signup -> collection; error events are unused.
+  error -> exercise of a second type, signup -> collection.
 """
 
 from __future__ import annotations
@@ -36,8 +36,9 @@ EVENTS_THRESHOLD_DAYS = 14
 MEAL_PRIORITY = "1-URGENT"
 WEIGHT_PRIORITY = "2-HIGH"
 EXERCISE_PRIORITY = "3-MEDIUM"
-COLLECTION_PRIORITY = "4-NOT SPECIFIED"
-MEAL_EVENT, WEIGHT_EVENT, EXERCISE_EVENT, COLLECTION_EVENT = "view", "click", "purchase", "signup"
+COLLECTION_PRIORITIES = ("4-NOT SPECIFIED", "5-LOW")
+MEAL_EVENT, WEIGHT_EVENT, COLLECTION_EVENT = "view", "click", "signup"
+EXERCISE_EVENTS = ("purchase", "error")
 
 
 def _before_next_day(df: DataFrame, ts: str, as_of: dt.date) -> F.Column:
@@ -87,8 +88,8 @@ def orders_profile(spark: SparkSession, sf_dir: str, as_of: dt.date = ORDERS_AS_
         F.when(F.col("c_nationkey") % 3 == 0, key).alias("fitness_coach_id"),
     )
 
-    def channel(priority: str) -> DataFrame:
-        return orders.where(F.col("o_orderpriority") == priority)
+    def channel(*priorities: str) -> DataFrame:
+        return orders.where(F.col("o_orderpriority").isin(*priorities))
 
     lineitem = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_returnflag", "l_extendedprice", "l_quantity", "l_tax", "l_discount")
@@ -118,7 +119,7 @@ def orders_profile(spark: SparkSession, sf_dir: str, as_of: dt.date = ORDERS_AS_
         (F.col("o_orderkey") % 8000).alias("steps"),
     )
     status = F.col("o_orderstatus")
-    collections = channel(COLLECTION_PRIORITY).select(
+    collections = channel(*COLLECTION_PRIORITIES).select(
         F.col("o_custkey").alias("member_id"),
         F.col("o_orderkey").alias("item_id"),
         F.to_date("o_orderdate").alias("log_date"),
@@ -154,8 +155,8 @@ def events_profile(spark: SparkSession, sf_dir: str, as_of: dt.date = EVENTS_AS_
         F.when(key % 5 == 0, key).alias("fitness_coach_id"),
     )
 
-    def channel(kind: str) -> DataFrame:
-        return events.where(F.col("event_type") == kind)
+    def channel(*kinds: str) -> DataFrame:
+        return events.where(F.col("event_type").isin(*kinds))
 
     member, day, value = F.col("user_id").alias("member_id"), F.to_date("ts").alias("log_date"), F.col("value")
     meals = channel(MEAL_EVENT).select(
@@ -164,7 +165,7 @@ def events_profile(spark: SparkSession, sf_dir: str, as_of: dt.date = EVENTS_AS_
         F.lit(None).cast("double").alias("fat_g"), (value < 50).alias("is_compliant"))
     weights = channel(WEIGHT_EVENT).select(
         member, day, F.col("event_id").alias("log_id"), value.alias("weight_kg"))
-    exercises = channel(EXERCISE_EVENT).select(
+    exercises = channel(*EXERCISE_EVENTS).select(
         member, day, F.col("event_type").alias("exercise_type"),
         F.floor(value).cast("int").alias("minutes"), value.alias("calories_burned"),
         F.col("event_id").alias("steps"))

@@ -3,7 +3,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from cohortlens.operators import clean
+from cohortlens.operators import clean, quantiles
 from cohortlens.operators.quantiles import exact_quantiles
 
 
@@ -33,18 +33,33 @@ def test_null_profile(spark):
     assert [(r.column_name, r.missing_count, r.row_count) for r in rows] == [("b", 1, 2)]
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.one_of(st.integers(-5, 5).map(float),
                           st.floats(-1e6, 1e6, allow_nan=False)), min_size=1, max_size=300))
 def test_exact_quantiles_property(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = exact_quantiles(df, ["x"], [0.01, 0.5, 0.99], buckets=8, exact_below=4)["x"]
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(quantiles, "ACCURACY", 25)  # coarse sketches, so several rounds are needed
+        got = exact_quantiles(df, ["x"], [0.01, 0.5, 0.99])["x"]
     want = np.quantile(np.array(values), [0.01, 0.5, 0.99])
     assert got == pytest.approx(list(want), rel=1e-12, abs=1e-9)
 
 
-def test_exact_quantiles_heavy_tie(spark):
-    vals = [0.0] * 500 + [float(v) for v in np.linspace(1, 2, 200)] + [1e9]
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
-    got = exact_quantiles(df, ["x"], [0.5, 0.9, 0.999], buckets=4, exact_below=2)["x"]
-    assert got == pytest.approx(list(np.quantile(vals, [0.5, 0.9, 0.999])))
+@pytest.mark.parametrize("accuracy", [25, 10_000])
+def test_exact_quantiles_ties_nan_and_wide_scales(spark, monkeypatch, accuracy):
+    """Bounded rounds and reads also with NaN, with e^+-700 and with a crowd of equal values."""
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+    tied = [0.0] * 500 + [float(v) for v in np.linspace(1, 2, 200)] + [1e9]
+    wide = [float(np.exp(v)) for v in np.linspace(-700, 700, 701)]
+    rows = [(a, b, float("nan") if i % 7 == 0 else a, None) for i, (a, b) in enumerate(zip(tied, wide))]
+    df = spark.createDataFrame(rows, "tied double, wide double, nan double, none double")
+    rounds = []
+    narrow = quantiles._narrow
+    monkeypatch.setattr(quantiles, "_narrow", lambda data, active: (rounds.append(len(active)), narrow(data, active)))
+    probs = [0.0, 0.01, 0.5, 0.9, 0.999, 1.0]
+    got = exact_quantiles(df, ["tied", "wide", "nan", "none"], probs)
+    assert got["tied"] == pytest.approx(list(np.quantile(tied, probs)))
+    assert got["wide"] == pytest.approx(list(np.quantile(wide, probs)))
+    assert got["nan"] == pytest.approx(list(np.quantile([a for i, a in enumerate(tied) if i % 7], probs)))
+    assert got["none"] == [None] * 6
+    assert len(rounds) <= 6

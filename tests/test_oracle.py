@@ -8,7 +8,8 @@ from conftest import SF001
 
 FAST = ["feature_table", "churn_label", "rule_churn_score", "engineer_features", "process_features",
         "at_risk_top", "member_search", "daily_activity", "member_timeline", "stratified_split",
-        "classification_report", "roc_auc", "scan_json_map"]
+        "classification_report", "roc_auc", "scan_json_map", "scan_json_records", "scan_csv", "best_model",
+        "score_one", "save_pipeline", "sink_feature_columns"]
 
 
 def _norm(rows, cols):
@@ -36,12 +37,11 @@ def test_query_matches_sql(spark, con, name):
     assert _norm([tuple(r) for r in df.collect()], df.columns) == _norm(res.fetchall(), ocols)
 
 
-def test_every_query_has_sql_or_is_a_model_query():
-    q, sql = entry.queries(), entry.oracle_sql()
-    assert set(sql) <= set(q)
-    model_queries = {"fit_logistic", "fit_forest", "fit_boosted", "metrics_table", "best_model",
-                     "feature_importance", "score_members", "score_one", "save_pipeline", "load_pipeline"}
-    assert set(q) - set(sql) == model_queries
+def test_every_query_of_the_catalog_has_sql():
+    from cohortlens.plans.catalog import QUERIES
+    from cohortlens.plans.oracle_sql import ORACLE
+    assert set(QUERIES) == set(ORACLE)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_smoke(spark):

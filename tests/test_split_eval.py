@@ -56,7 +56,7 @@ def test_auc_matches_brute_force(spark):
     df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "is_churned int, score double")
     pos, neg = s[y == 1], s[y == 0]
     brute = np.mean([(p > q) + 0.5 * (p == q) for p in pos for q in neg])
-    assert evaluate.roc_auc(df, buckets=16).first().roc_auc == round(brute, 4)
+    assert evaluate.roc_auc(df, buckets=16).first().roc_auc == pytest.approx(brute)
 
 
 def test_best_model_tie_goes_first(spark):
@@ -83,4 +83,11 @@ def test_auc_exact_when_scores_crowd_near_zero(spark):
     ranks[order] = np.arange(1, n + 1)
     pos = y == 1
     brute = (ranks[pos].sum() - pos.sum() * (pos.sum() + 1) / 2) / (pos.sum() * (~pos).sum())
-    assert evaluate.roc_auc(df, buckets=32).first().roc_auc == round(brute, 4)
+    assert evaluate.roc_auc(df, buckets=32).first().roc_auc == pytest.approx(brute)
+
+
+def test_near_tie_is_decided_on_unrounded_f1(spark):
+    rows = {"Logistic Regression": {"f1_score": 0.97001}, "Random Forest": {"f1_score": 0.97004}}
+    m = evaluate.mark_best(evaluate.metrics_table(spark, rows))
+    assert m.where("is_best").first().model == "Random Forest"
+    assert {r.f1_score for r in evaluate.rounded(m).collect()} == {0.97}

@@ -15,7 +15,7 @@ def test_zero_filled_31_days_and_active_rule(spark):
         collections=[(1, 7, day, False, True, 10.0)])
     daily = timeline.daily_activity(data)
     assert daily.count() == 62
-    s = {r.member_id: r for r in timeline.timeline_summary(daily).collect()}
+    s = {r.member_id: r for r in timeline.timeline_summary(timeline.member_days(data)).collect()}
     assert s[1].active_days == 1 and s[1].total_meals_logged == 2 and s[1].activity_rate == round(1 / 31, 4)
     assert s[2].active_days == 0
     t = {r.member_id: r for r in timeline.member_timeline(data).collect()}

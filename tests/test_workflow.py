@@ -20,6 +20,6 @@ def test_run_training_writes_every_artifact(spark, tmp_path):
     assert spark.read.json(out["timelines"]).count() == spark.read.parquet(
         f"{SF001}/events.parquet").select("user_id").distinct().count()
     from cohortlens import sinks
-    model = sinks.load_pipeline(out["model"])
+    model = sinks.load_pipeline(out["model"] + "/pipeline")
     scored = model.transform(spark.read.parquet(out["features"]))
     assert scored.count() == 150 and "probability" in scored.columns
