@@ -17,9 +17,9 @@
 3. Decision: a document is emitted floor(r + u) times, u a uniform hash of
    its id.
 
-The budget, unless given, is the largest total that meets the targets without
-repeating a domain, times ``BUDGET_ROOM``; with ``max_rate`` 1 the scarcest
-domain is then kept whole.
+The budget, unless given, is the total at which the domain of the largest
+target (of several, the scarcest) is used up, times ``BUDGET_ROOM``; with
+``max_rate`` 1 that domain is then kept whole, however rare the others are.
 
 Defined results: a null or empty text has no tokens and the prior as
 posterior. Rows with equal ids (null is an id) are one document and share a
@@ -182,8 +182,8 @@ def fit_rates(soft: DataFrame, domains: list[str], targets: dict[str, float], bu
         return []
     share = [targets.get(d, 0.0) / weight for d in domains]
     if budget is None:
-        reach = [m / s for m, s in zip(mass, share) if s > 0 and m > 0]
-        budget = BUDGET_ROOM * min(reach) if reach else sum(mass)
+        reach = [m / s for m, s in zip(mass, share) if s == max(share)]
+        budget = BUDGET_ROOM * min(reach) if min(reach) > 0 else sum(mass)
     wanted = [s * budget for s in share]
     history, now = [], mass
     for _ in range(rounds):

@@ -59,6 +59,13 @@ def test_reaches_targets_when_rates_may_rise(spark):
     assert out.columns == docs.columns and out.count() == mixed.agg(F.sum("copies")).first()[0]
 
 
+def test_a_vanishing_domain_does_not_empty_the_corpus(spark):
+    docs, labelled, domains = tables(spark)
+    main = documents(spark, [r.text for r in docs.orderBy("doc_id").collect() if domains[r.doc_id] == "a"])
+    mixed, names = mixing.mix(main, docs, labelled, {"a": 0.9, "b": 0.1})
+    assert mixed.filter("copies = 1").count() >= 0.99 * main.count()
+
+
 def test_edge_cases(spark):
     docs = documents(spark, [None, "", "sun", "sun", "eel eel", " "], ids=[None, 1, 2, 2, 3, 4])
     labelled = spark.createDataFrame([(2, "a"), (3, "b"), (None, "a"), (4, None), (2, "a")], "doc_id long, domain string")
