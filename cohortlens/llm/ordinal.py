@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from cohortlens.llm.common import slices, token_lists
 
 BUCKET_BITS = 22        # hashed features, as a power of two
-SAMPLE = 20_000         # graded rows that the fit uses at most
+SAMPLE = 12_000         # graded rows that the fit uses at most
 EPOCHS = 25
 BATCH = 64
 RATE = 0.7
@@ -139,7 +139,8 @@ class OrdinalModel:
 
 def _telling(column: np.ndarray, starts: np.ndarray, y: np.ndarray, seen: np.ndarray) -> np.ndarray:
     """Features whose presence shifts some P(grade <= g) by ``LEAST_SHIFT`` and ``LEAST_Z`` standard errors."""
-    of, n, best = np.repeat(np.arange(len(y)), np.diff(starts)), len(y), np.zeros(len(seen))
+    of = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(starts))
+    n, best = len(y), np.zeros(len(seen))
     for level in range(y.max()):
         low = y <= level
         share = low.mean()
@@ -159,9 +160,13 @@ def fit(starts: np.ndarray, buckets: np.ndarray, grades: np.ndarray, epochs: int
     levels, y = np.unique(grades, return_inverse=True)
     if len(levels) < 2:
         return OrdinalModel(np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0), levels)
-    known, column, seen = np.unique(buckets, return_inverse=True, return_counts=True)
+    seen = np.bincount(buckets, minlength=1 << BUCKET_BITS)
+    known = np.flatnonzero(seen)
+    place = np.zeros(1 << BUCKET_BITS, dtype=np.int32)
+    place[known] = np.arange(len(known))
+    column, seen = place[buckets], seen[known]
     kept = _telling(column, starts, y, seen) & (seen >= LEAST_DOCS)
-    column = np.where(kept[column], column, len(known))
+    column = np.where(kept[column], column, np.int32(len(known)))
     w, g2 = np.zeros(len(known) + 1), np.full(len(known) + 1, 1e-3)  # the last one stands for rare features
     below = np.cumsum(np.bincount(y))[:-1] / len(y)
     t, t2 = np.log(below / (1 - below)), np.full(len(levels) - 1, 1e-3)
@@ -215,10 +220,11 @@ def fit_ratings(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", tex
     rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("rated_id")).select("doc_id", "grade", "text") \
         .mapInArrow(run, "doc_id long, grade long, buckets binary").toArrow().to_pylist()
     rows.sort(key=lambda r: (r["doc_id"], r["buckets"]))
-    parts = [np.frombuffer(r["buckets"], "<i4") for r in rows]
-    starts = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64)
-    return fit(starts, np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64),
-               np.array([r["grade"] for r in rows], dtype=np.int64))
+    grades = np.array([r["grade"] for r in rows], dtype=np.int64)
+    starts = np.concatenate(([0], np.cumsum([len(r["buckets"]) // 4 for r in rows]))).astype(np.int64)
+    buckets = np.frombuffer(b"".join(r["buckets"] for r in rows), "<i4")
+    del rows
+    return fit(starts, buckets, grades)
 
 
 def _scores(texts: pa.Array, dense: np.ndarray) -> np.ndarray:
