@@ -47,6 +47,7 @@ START_BYTES = 5         # of a word that make a feature beside the word itself
 SLICE_BYTES = 16 << 20
 
 # fixed values of the selection: the lowest grade that is wanted, and its least probability
+# as a share of that of a document without any telling feature
 WANTED = 2
 KEEP = 0.8
 
@@ -137,6 +138,17 @@ class OrdinalModel:
         return np.diff(edges, axis=1)
 
 
+def bar(model: OrdinalModel, wanted: int = WANTED, keep: float = KEEP) -> float:
+    """The tail probability from which documents are kept.
+
+    It is relative to a document of score 0, so a model that few ratings have
+    taught little keeps what it knows nothing against.
+    """
+    if not len(model.grades):
+        return 0.0
+    return keep * float(model.chances(np.zeros(1))[0, model.grades >= wanted].sum())
+
+
 def _telling(column: np.ndarray, starts: np.ndarray, y: np.ndarray, seen: np.ndarray) -> np.ndarray:
     """Features whose presence shifts some P(grade <= g) by ``LEAST_SHIFT`` and ``LEAST_Z`` standard errors."""
     of = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(starts))

@@ -12,7 +12,7 @@ from cohortlens.llm.bitmix import score
 from cohortlens.llm.common import table
 from cohortlens.llm.host_quality import host_quality
 from cohortlens.llm.mixing import label_domains, mix
-from cohortlens.llm.ordinal import KEEP, WANTED, fit_ratings, judge, label_grades
+from cohortlens.llm.ordinal import WANTED, bar, fit_ratings, judge, label_grades
 from cohortlens.llm.packing import pack
 from cohortlens.llm.pii import BASE_KINDS, find_pii
 from cohortlens.llm.replytrees import Digest, format_trees, output_folder, read_conversations, reply_chain
@@ -38,7 +38,7 @@ def op3_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_ratings(docs, label_grades(table(spark, sf_dir, "labels")))
     judged = judge(docs.select("doc_id", "text"), model, WANTED)
-    return judged.select("doc_id", "expected_grade", "tail_prob", (F.col("tail_prob") >= KEEP).alias("kept"))
+    return judged.select("doc_id", "expected_grade", "tail_prob", (F.col("tail_prob") >= bar(model)).alias("kept"))
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

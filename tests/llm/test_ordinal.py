@@ -42,13 +42,18 @@ def test_held_out_accuracy(spark):
     model = o.fit_ratings(docs, known)
     test = docs.join(ratings.filter("doc_id % 3 = 0"), "doc_id")
     rows = o.judge(test, model, o.WANTED).select("grade", "tail_prob", "expected_grade").collect()
-    kept = {g: np.mean([r.tail_prob >= o.KEEP for r in rows if r.grade == g]) for g in (0, 1, 2)}
+    kept = {g: np.mean([r.tail_prob >= o.bar(model) for r in rows if r.grade == g]) for g in (0, 1, 2)}
     print(kept)
     assert kept[2] > 0.95 and kept[0] < 0.05 and kept[1] < 0.25
     mean = {g: np.mean([r.expected_grade for r in rows if r.grade == g]) for g in (0, 1, 2)}
     assert mean[0] < mean[1] < mean[2]
 
 
+def test_a_model_that_knows_nothing_keeps_all():
+    model = o.fit(np.array([0, 1, 2, 3, 4]), np.array([1, 2, 3, 4]), np.array([0, 2, 2, 2]))
+    assert not len(model.weights) and model.chances(np.zeros(1))[0, 1] >= o.bar(model)
+
+
 def test_edge_cases(spark):
     texts = [None, "", "good text here", "good text here", "BAD!! BAD!!"]
     docs = clash(documents(spark, texts, ids=[None, 1, 2, 2, 3]), "grade", "tail_prob")
