@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from cohortlens.plans.catalog import QUERIES  # noqa: E402
-from cohortlens.session import build_session  # noqa: E402
+from cohortlens.session import build_session, clear_scratch  # noqa: E402
 
 HEADLINE = (
     "feature_table",        # 4 channel aggregations + member joins
@@ -45,6 +45,7 @@ def main() -> None:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         timings[name] = round(time.perf_counter() - t0, 3)
+        clear_scratch(spark)
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(timings.values()), 3),
                       "unit": "sec", "queries": timings, "sf": sf}))

@@ -12,7 +12,7 @@ from cohortlens.operators.clean import handle_missing_and_outliers
 from cohortlens.operators.engineer import engineer_features
 from cohortlens.operators.features import feature_table
 from cohortlens.operators.label import churn_label, rule_churn_score
-from cohortlens.session import materialize
+from cohortlens.session import materialize, scratch_run
 from cohortlens.sources.activity import ActivityData
 
 
@@ -152,7 +152,11 @@ def run_training(spark, data: ActivityData, timeline_data: ActivityData, out_dir
     importances, ranked predictions with names and key indicators, the
     member -> name table, and nested 31-day timelines. Returns the paths.
     """
-    from cohortlens import constants as K
+    with scratch_run(spark):
+        return _run_training(spark, data, timeline_data, out_dir, threshold_days, params, with_cv)
+
+
+def _run_training(spark, data, timeline_data, out_dir, threshold_days, params, with_cv) -> dict[str, str]:
     from cohortlens import sinks
     from cohortlens.operators import evaluate, models, scoring, split, timeline
 

@@ -7,8 +7,11 @@ Only local runs (tests, bench) fill that setting in when it is unset.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,8 +19,10 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def build_session(master: str = "local[8]", app: str = "cohortlens",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    """Session for local runs. On a cluster, pass your own builder instead."""
+                  shuffle_partitions: int = 8, extra: dict | None = None,
+                  driver_memory: str = "8g", checkpoint_folder: str | None = None) -> SparkSession:
+    """Session for local runs; ``checkpoint_folder`` holds its scratch tables (a
+    fresh temporary folder if unset). On a cluster, pass your own builder instead."""
     builder = (
         SparkSession.builder.master(master).appName(app)
         .config("spark.ui.enabled", "false")
@@ -28,8 +33,10 @@ def build_session(master: str = "local[8]", app: str = "cohortlens",
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", driver_memory)
     )
+    if checkpoint_folder:
+        builder = builder.config(CHECKPOINT_CONF, checkpoint_folder)
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -67,6 +74,33 @@ def ensure_local_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_RUN: contextvars.ContextVar[str] = contextvars.ContextVar("scratch_run", default="")
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """This application's scratch folder (inside ``scratch_run``: the run's)."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/cohortlens/{spark.sparkContext.applicationId}"
+    return f"{base}/{_RUN.get()}" if _RUN.get() else base
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables below ``scratch_root``. DataFrames that still read
+    them stop working, so call it when a result has been written or counted."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables written inside go to a folder of their own, deleted at the end."""
+    token = _RUN.set(f"run-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        clear_scratch(spark)
+        _RUN.reset(token)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
@@ -75,6 +109,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     input many times).
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/cohortlens/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

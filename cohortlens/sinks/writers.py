@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.session import checkpoint_dir
+from cohortlens.session import scratch_root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the session's shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/cohortlens/{name}-{uuid.uuid4().hex}"
+    """A fresh folder under the session's scratch folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",

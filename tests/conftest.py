@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from cohortlens.session import build_session  # noqa: E402
+from cohortlens.session import build_session, clear_scratch  # noqa: E402
 
 SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
@@ -17,6 +17,7 @@ AS_OF = dt.date(2024, 3, 31)
 def spark():
     s = build_session(master="local[4]", shuffle_partitions=8)
     yield s
+    clear_scratch(s)
     s.stop()
 
 

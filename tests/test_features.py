@@ -3,6 +3,7 @@ import datetime as dt
 from conftest import AS_OF, make_activity, member_row
 
 from cohortlens import constants as K
+from cohortlens.operators import features
 from cohortlens.operators.features import feature_table
 
 
@@ -75,3 +76,31 @@ def test_every_member_appears_once(spark):
     bad = t.where("meals_last_7_days > meals_last_14_days or distinct_meal_days > total_meal_logs"
                   " or completed_items > unlocked_items or unlocked_items > total_collection_items")
     assert bad.count() == 0
+
+
+def test_enrollment_ties_take_one_whole_row_in_any_order(spark):
+    rows = [(1, AS_OF, True, 7, None, None), (1, AS_OF, False, None, 8, None), (1, None, True, 9, 9, 9)]
+    for order in (rows, rows[::-1]):
+        data = make_activity(spark, [member_row(1)], enrollments=order)
+        r = features.enrollment_features(data.enrollments.coalesce(1), AS_OF).first()
+        assert (r.is_enrolled_active, r.has_doctor, r.has_nutritionist, r.has_fitness_coach) == (1, 1, 0, 0)
+
+
+def test_weights_without_a_value_are_not_first_or_last(spark):
+    days = [AS_OF - dt.timedelta(days=d) for d in (9, 5, 1)]
+    data = make_activity(spark, [member_row(1)], weights=[
+        (1, days[0], 1, None), (1, days[0], 2, 80.0), (1, days[1], 3, 70.0), (1, days[2], 4, None)])
+    r = features.weight_features(data.weights, data.members, AS_OF).first()
+    assert (r.weight_range_kg, r.weight_change_kg, r.total_weight_logs) == (10.0, -10.0, 4)
+
+
+def test_nan_is_missing(spark):
+    data = make_activity(spark, [member_row(1)], meals=[
+        (1, AS_OF, "b", float("nan"), 1.0, 1.0, 1.0, True), (1, AS_OF, "b", 100.0, 1.0, 1.0, 1.0, True)])
+    assert features.meal_features(data.meals, AS_OF).first().avg_calories_per_meal == 100.0
+
+
+def test_no_expand_on_the_logs(spark):
+    data = make_activity(spark, [member_row(1)])
+    for df in (features.meal_features(data.meals, AS_OF), features.exercise_features(data.exercises, AS_OF)):
+        assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
