@@ -1,7 +1,7 @@
 """Language-model scores by online logistic context mixing.
 
-Tokens are lower-cased words plus one end per text. A token has a 12-bit code
-(5 bits from its last two bytes, 7 from the whole token); its bits are
+Tokens are lower-cased words plus one end per text. A token has a 10-bit code
+(5 bits from its last two bytes, 5 from the whole token); its bits are
 predicted one by one from three hashed contexts: none, the token before, and
 the endings of the two tokens before. Each context slot counts zeros and
 ones; the stretched predictions are mixed by weights that a gate picks (bit
@@ -14,8 +14,8 @@ score of a text is the log10 of the product over its tokens.
 How it runs: one pass turns texts into chunks of token codes (written once).
 Exact corpus counts come from one shuffle of the distinct tokens per chunk
 and go back to their chunks. Training reads the chunks of every partition
-online: it predicts each block first, then corrects the weights by the error,
-then counts the block. The slot counts of all partitions are added, the
+online: it predicts each portion first, then corrects the weights by the
+error, and counts the portions block by block. The slot counts of all partitions are added, the
 weights averaged; their size is fixed by the parameters below, whatever the
 corpus, so the model may be broadcast.
 
@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from cohortlens.llm.common import slices, token_lists
 from cohortlens.session import materialize
 
-DEPTH = 12                      # bits of a token's code
+DEPTH = 10                      # bits of a token's code
 SUFFIX_BITS = 5                 # of which from its last two bytes
 NODES = 1 << DEPTH
 SLOT_BITS = 18                  # slots of a hashed context, as a power of two
@@ -51,13 +51,15 @@ LEVELS = 4                      # how often a context was seen: 0, 1-3, 4-31, mo
 GATES = DEPTH * LEVELS * LEVELS
 INPUTS = 4                      # three contexts and a constant
 BINS = 32                       # of the probability map, per bit position
-BLOCK = 32_768                  # tokens predicted before they are learned
+BLOCK = 32_768                  # tokens predicted before they are counted
+PORTION = 4_096                 # tokens mixed at a time, before the weights move
 CHUNK_BYTES = 24 << 20          # text of one chunk (a longer text is a chunk alone)
 RATE = 0.02
 
 #: the arrays of a model and their sizes
 SIZES = {"c0": 2 * NODES, "c1": 2 * SLOTS, "c2": 2 * SLOTS, "weights": GATES * INPUTS,
          "map_ones": DEPTH * BINS, "map_all": DEPTH * BINS, "tokens": 1}
+_TABLES = ("c0", "c1", "c2")
 PIECE = 1 << 14                 # numbers per merged row
 
 _END = b"\n"                    # not a word, so never equal to one
@@ -161,12 +163,15 @@ def corpus_counts(chunks: DataFrame) -> DataFrame:
 
 # --- the mixer --------------------------------------------------------------------------
 
+_PRIOR = np.float32(0.4)
+
+
 def _stretch(zeros, ones):
-    return np.log((ones + 0.4) / (zeros + 0.4))
+    return np.log((ones + _PRIOR) / (zeros + _PRIOR))
 
 
 def _level(seen: np.ndarray) -> np.ndarray:
-    return (seen > 0).astype(np.int32) + (seen > 3) + (seen > 31)
+    return (seen > 0).astype(np.int8) + (seen > 3) + (seen > 31)
 
 
 def new_state() -> dict[str, np.ndarray]:
@@ -190,17 +195,25 @@ def _slots(symbol, one, two):
     return bit, node.astype(np.int64), h1.astype(np.int64), h2.astype(np.int64)
 
 
-def _predict(weights, table, levels, slots):
-    """Mixed stretch and gates of all bits; table and levels are looked up per context."""
-    x0, x1, x2 = (table(k, s) for k, s in zip(("c0", "c1", "c2"), slots))
-    gate = (np.arange(DEPTH)[:, None] * LEVELS + levels("c1", slots[1])) * LEVELS + levels("c2", slots[2])
-    w = weights[gate]
-    return (x0, x1, x2), gate, w[..., 0] * x0 + w[..., 1] * x1 + w[..., 2] * x2 + w[..., 3]
+_BASE_GATE = (np.arange(DEPTH, dtype=np.int64) * LEVELS * LEVELS)[:, None]
+_BASE_BIN = (np.arange(DEPTH, dtype=np.int64) * BINS)[:, None]
+
+
+def _mix(weights, xs, level1, level2):
+    """Mixed stretch and gate of all bits (32-bit arithmetic)."""
+    gate = _BASE_GATE + (level1 * np.int8(LEVELS) + level2)
+    dot = weights[3][gate]
+    for w, x in zip(weights, xs):
+        dot += w[gate] * x
+    return gate, dot
+
+
+def _squash(dot: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-dot))
 
 
 def _bins(dot: np.ndarray) -> np.ndarray:
-    place = np.clip((dot * 2 + BINS / 2).astype(np.int64), 0, BINS - 1)
-    return place + np.arange(DEPTH)[:, None] * BINS
+    return _BASE_BIN + np.clip(dot * 2 + np.float32(BINS / 2), 0, BINS - 1).astype(np.int64)
 
 
 def learn(state: dict[str, np.ndarray], chunk: _Chunk, seen: np.ndarray) -> None:
@@ -209,28 +222,26 @@ def learn(state: dict[str, np.ndarray], chunk: _Chunk, seen: np.ndarray) -> None
     symbol, one, two = (a[use] for a in chunk.contexts())
     weights = state["weights"].reshape(GATES, INPUTS)
     for i in range(0, len(symbol), BLOCK):
-        bit, *slots = _slots(symbol[i:i + BLOCK], one[i:i + BLOCK], two[i:i + BLOCK])
-
-        def table(k, s):
-            return _stretch(state[k][2 * s], state[k][2 * s + 1])
-
-        def levels(k, s):
-            return _level(state[k][2 * s] + state[k][2 * s + 1])
-
-        xs, gate, dot = _predict(weights, table, levels, slots)
-        p = 1 / (1 + np.exp(-dot))
-        place = _bins(dot).ravel()
-        error = (bit - p).ravel()
-        flat = gate.ravel()
-        for j, x in enumerate((*xs, None)):
-            gain = error if x is None else error * x.ravel()
-            slope = np.bincount(flat, weights=gain, minlength=GATES)
-            seen[:, j] += slope * slope
-            weights[:, j] += RATE * slope / np.sqrt(seen[:, j] + 1e-6)
-        state["map_ones"] += np.bincount(place, weights=bit.ravel(), minlength=DEPTH * BINS)
-        state["map_all"] += np.bincount(place, minlength=DEPTH * BINS)
-        for k, s in zip(("c0", "c1", "c2"), slots):
-            state[k] += np.bincount((2 * s + bit).ravel(), minlength=SIZES[k])
+        used: list[list[np.ndarray]] = [[], [], []]
+        for j in range(i, min(i + BLOCK, len(symbol)), PORTION):
+            bit, *slots = _slots(symbol[j:min(j + PORTION, i + BLOCK)], one[j:min(j + PORTION, i + BLOCK)],
+                                 two[j:min(j + PORTION, i + BLOCK)])
+            counts = [state[k].view(np.complex64)[s] for k, s in zip(_TABLES, slots)]  # zeros and ones at once
+            xs = [_stretch(c.real, c.imag) for c in counts]
+            gate, dot = _mix(weights.T.astype(np.float32), xs, *(_level(c.real + c.imag) for c in counts[1:]))
+            place, flat = _bins(dot).ravel(), gate.ravel()
+            error = bit.astype(np.float32) - _squash(dot)
+            for n, x in enumerate((*xs, None)):
+                gain = error if x is None else error * x
+                slope = np.bincount(flat, weights=gain.ravel(), minlength=GATES)
+                seen[:, n] += slope * slope
+                weights[:, n] += RATE * slope / np.sqrt(seen[:, n] + 1e-6)
+            state["map_ones"] += np.bincount(place, weights=bit.ravel(), minlength=DEPTH * BINS)
+            state["map_all"] += np.bincount(place, minlength=DEPTH * BINS)
+            for list_, s in zip(used, slots):
+                list_.append((2 * s + bit).ravel())
+        for k, list_ in zip(_TABLES, used):
+            state[k] += np.bincount(np.concatenate(list_), minlength=SIZES[k])
     state["tokens"] += len(symbol)
 
 
@@ -289,9 +300,9 @@ def train(chunks: DataFrame) -> dict[str, np.ndarray]:
 
 def _frozen(state: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """What scoring looks up: stretched predictions, levels, weights, map."""
-    out = {"weights": state["weights"].reshape(GATES, INPUTS).astype(np.float32),
+    out = {"weights": np.ascontiguousarray(state["weights"].reshape(GATES, INPUTS).T.astype(np.float32)),
            "map": ((state["map_ones"] + 0.5) / (state["map_all"] + 1)).astype(np.float32)}
-    for k in ("c0", "c1", "c2"):
+    for k in _TABLES:
         zeros, ones = state[k][0::2], state[k][1::2]
         out[k] = _stretch(zeros, ones).astype(np.float32)
         out[k + "_level"] = _level(zeros + ones).astype(np.int8)
@@ -302,12 +313,12 @@ def code_log10(model: dict[str, np.ndarray], chunk: _Chunk) -> np.ndarray:
     """log10 probability of every token's code given its contexts."""
     symbol, one, two = chunk.contexts()
     out = np.empty(len(symbol))
-    for i in range(0, len(symbol), BLOCK):
-        bit, *slots = _slots(symbol[i:i + BLOCK], one[i:i + BLOCK], two[i:i + BLOCK])
-        _, _, dot = _predict(model["weights"], lambda k, s: model[k][s], lambda k, s: model[k + "_level"][s], slots)
-        p = (1 / (1 + np.exp(-dot)) + model["map"][_bins(dot)]) / 2
-        p = np.clip(p, 1e-6, 1 - 1e-6)
-        out[i:i + BLOCK] = np.log10(np.where(bit, p, 1 - p)).sum(axis=0)
+    for i in range(0, len(symbol), PORTION):
+        bit, *slots = _slots(symbol[i:i + PORTION], one[i:i + PORTION], two[i:i + PORTION])
+        xs = [model[k][s] for k, s in zip(_TABLES, slots)]
+        _, dot = _mix(model["weights"], xs, model["c1_level"][slots[1]], model["c2_level"][slots[2]])
+        p = np.clip((_squash(dot) + model["map"][_bins(dot)]) / 2, 1e-6, 1 - 1e-6)
+        out[i:i + PORTION] = np.log10(np.where(bit, p, 1 - p)).sum(axis=0, dtype=np.float64)
     return out
 
 
