@@ -53,7 +53,7 @@ INPUTS = 4                      # three contexts and a constant
 BINS = 32                       # of the probability map, per bit position
 BLOCK = 32_768                  # tokens predicted before they are counted
 PORTION = 4_096                 # tokens mixed at a time, before the weights move
-CHUNK_BYTES = 24 << 20          # text of one chunk (a longer text is a chunk alone)
+CHUNK_BYTES = 12 << 20          # text of one chunk (a longer text is a chunk alone)
 RATE = 0.02
 
 #: the arrays of a model and their sizes
