@@ -44,7 +44,7 @@ LEAST_SHIFT = 0.3       # nor one whose rows differ less from the rest in P(grad
 LEAST_Z = 7.0           # or by fewer standard errors
 SHARES = (0.0, 0.02, 0.1, 0.3, 0.6)  # steps of a shape's share of the words
 START_BYTES = 5         # of a word that make a feature beside the word itself
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 
 # fixed values of the selection: the lowest grade that is wanted, and its least probability
 # as a share of that of a document without any telling feature
