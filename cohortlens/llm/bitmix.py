@@ -1,8 +1,8 @@
 """Language-model scores by online logistic context mixing.
 
-Tokens are lower-cased words plus one end per text. A token has a 10-bit code
-(5 bits from its last two bytes, 5 from the whole token); its bits are
-predicted one by one from three hashed contexts: none, the token before, and
+Tokens are lower-cased words plus one end per text. A token has a code
+of 12 to 14 bits (5 from its last two bytes, the others from the whole token);
+its bits are predicted one by one from three hashed contexts: none, the token before, and
 the endings of the two tokens before. Each context slot counts zeros and
 ones; the stretched predictions are mixed by weights that a gate picks (bit
 position and how often the contexts were seen), and an adaptive probability
@@ -16,8 +16,9 @@ Exact corpus counts come from one shuffle of the distinct tokens per chunk
 and go back to their chunks. Training reads the chunks of every partition
 online: it predicts each portion first, then corrects the weights by the
 error, and counts the portions block by block. The slot counts of all partitions are added, the
-weights averaged; their size is fixed by the parameters below, whatever the
-corpus, so the model may be broadcast.
+weights averaged. Code bits follow the counted distinct tokens, context slots
+the counted distinct (context, node) pairs, each up to a largest size, at
+which the model still may be broadcast.
 
 Defined results: a null or empty text is the end alone. Repeated rows and
 null ids are scored row by row; a null id counts as a text "" for the split.
@@ -42,26 +43,29 @@ from pyspark.sql import functions as F
 from cohortlens.llm.common import slices, token_lists
 from cohortlens.session import materialize
 
-DEPTH = 10                      # bits of a token's code
+DEPTH, MAX_DEPTH = 12, 14       # bits of a token's code, at least and at most
 SUFFIX_BITS = 5                 # of which from its last two bytes
 NODES = 1 << DEPTH
-SLOT_BITS = 18                  # slots of a hashed context, as a power of two
-SLOTS = 1 << SLOT_BITS
+SLOT_BITS, MAX_SLOT_BITS = 18, 21  # slots of a hashed context, as a power of two
 LEVELS = 4                      # how often a context was seen: 0, 1-3, 4-31, more
 GATES = DEPTH * LEVELS * LEVELS
 INPUTS = 4                      # three contexts and a constant
 BINS = 32                       # of the probability map, per bit position
 BLOCK = 32_768                  # tokens predicted before they are counted
 PORTION = 4_096                 # tokens mixed at a time, before the weights move
-CHUNK_BYTES = 12 << 20          # text of one chunk (a longer text is a chunk alone)
+CHUNK_BYTES = 8 << 20           # text of one chunk (a longer text is a chunk alone)
 RATE = 0.02
 
-#: the arrays of a model and their sizes
-SIZES = {"c0": 2 * NODES, "c1": 2 * SLOTS, "c2": 2 * SLOTS, "weights": GATES * INPUTS,
-         "map_ones": DEPTH * BINS, "map_all": DEPTH * BINS, "tokens": 1}
 _TABLES = ("c0", "c1", "c2")
 PIECE = 1 << 14                 # numbers per merged row
 
+
+def sizes_of(depth: int = DEPTH, bits1: int = SLOT_BITS, bits2: int = SLOT_BITS) -> dict[str, int]:
+    """The arrays of a model and their sizes."""
+    return {"c0": 2 << depth, "c1": 2 << bits1, "c2": 2 << bits2, "weights": depth * LEVELS * LEVELS * INPUTS,
+            "map_ones": depth * BINS, "map_all": depth * BINS, "tokens": 1}
+
+
 _END = b"\n"                    # not a word, so never equal to one
 _CHUNK = ("chunk long, doc_ids array<long>, train array<boolean>, sizes array<long>, bytes array<long>, "
           "codes binary, hashes binary, symbols binary")
@@ -70,12 +74,12 @@ _CHUNK = ("chunk long, doc_ids array<long>, train array<boolean>, sizes array<lo
 # --- chunks of token codes -----------------------------------------------------------
 
 def _symbols(words: pa.Array, hashes: np.ndarray) -> np.ndarray:
-    """The code of each distinct token."""
+    """The code of each distinct token at ``MAX_DEPTH`` bits; a shorter code is its beginning."""
     tails = pc.binary_slice(words.cast(pa.large_binary()), -2).dictionary_encode()
     tail = np.array([xxhash.xxh32_intdigest(t) for t in tails.dictionary.to_pylist()], dtype=np.uint32)
     tail = tail[tails.indices.to_numpy()] if len(tail) else np.zeros(0, np.uint32)
-    low = DEPTH - SUFFIX_BITS
-    return ((tail % (1 << SUFFIX_BITS)).astype(np.int16) << low) | (hashes % np.uint64(1 << low)).astype(np.int16)
+    low = MAX_DEPTH - SUFFIX_BITS
+    return ((tail % (1 << SUFFIX_BITS)).astype(np.uint16) << low) | (hashes % np.uint64(1 << low)).astype(np.uint16)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +98,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "chunk": number, "doc_ids": batch.column("doc_id").to_pylist(),
             "train": batch.column("train").to_pylist(), "sizes": sizes.tolist(), "bytes": length.to_pylist(),
             "codes": codes.astype("<i4").tobytes(), "hashes": hashes.astype("<u8").tobytes(),
-            "symbols": _symbols(distinct, hashes).astype("<i2").tobytes()}], schema=_CHUNK_ARROW)
+            "symbols": _symbols(distinct, hashes).astype("<u2").tobytes()}], schema=_CHUNK_ARROW)
         number += 1
 
 
@@ -105,15 +109,16 @@ _CHUNK_ARROW = pa.schema([
 
 
 class _Chunk:
-    """One chunk's arrays."""
+    """One chunk's arrays; codes of ``coded`` bits are shortened to ``depth``."""
 
-    def __init__(self, row: dict):
+    def __init__(self, row: dict, depth: int = DEPTH, coded: int = DEPTH):
+        self.depth = depth
         self.number = row["chunk"]
         self.doc_ids, self.train = row["doc_ids"], np.array(row["train"], dtype=bool)
         self.sizes, self.bytes = np.array(row["sizes"], dtype=np.int64), np.array(row["bytes"], dtype=np.int64)
         self.codes = np.frombuffer(row["codes"], "<i4")
         self.hashes = np.frombuffer(row["hashes"], "<u8")
-        self.symbols = np.frombuffer(row["symbols"], "<i2")
+        self.symbols = np.frombuffer(row["symbols"], "<u2") >> np.uint16(coded - depth)
 
     def contexts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per token its code's symbol and its two context hashes; a text starts afresh."""
@@ -122,17 +127,17 @@ class _Chunk:
         before = np.empty_like(symbol)
         before[1:] = symbol[:-1] + 1
         before[first] = 0
-        tail = (before + ((1 << (DEPTH - SUFFIX_BITS)) - 1)) >> (DEPTH - SUFFIX_BITS)
+        tail = (before + ((1 << (self.depth - SUFFIX_BITS)) - 1)) >> (self.depth - SUFFIX_BITS)
         tail2 = np.empty_like(tail)
         tail2[1:] = tail[:-1]
         tail2[first] = 0
         return symbol, before, tail * 40 + tail2
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunk]:
+def _rows(batches: Iterator[pa.RecordBatch], depth: int = MAX_DEPTH) -> Iterator[_Chunk]:
     for batch in batches:
         for i in range(batch.num_rows):
-            yield _Chunk(batch.slice(i, 1).to_pylist()[0])
+            yield _Chunk(batch.slice(i, 1).to_pylist()[0], depth, MAX_DEPTH)
 
 
 # --- exact counts ---------------------------------------------------------------------
@@ -146,7 +151,7 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             s = slice(i, i + 100_000)
             yield pa.RecordBatch.from_arrays([
                 pa.array(c.hashes[s].view(np.int64)), pa.array(np.full(len(slot[s]), c.number)),
-                pa.array(slot[s].astype(np.int32)), pa.array(counted[s] * NODES + c.symbols[s])],
+                pa.array(slot[s].astype(np.int32)), pa.array((counted[s] << MAX_DEPTH) + c.symbols[s])],
                 names=["hash", "chunk", "slot", "n"])
 
 
@@ -155,10 +160,39 @@ def corpus_counts(chunks: DataFrame) -> DataFrame:
     symbol is set on one row per token and null on its others."""
     found = chunks.mapInArrow(_distinct, "hash long, chunk long, slot int, n long")
     same = Window.partitionBy("hash")
-    total = F.sum(F.shiftright("n", DEPTH)).over(same)
+    total = F.sum(F.shiftright("n", MAX_DEPTH)).over(same)
     first = F.row_number().over(same.orderBy("chunk")) == 1
     return found.select("chunk", "slot", total.alias("c"),
-                        F.when(first, F.col("n").bitwiseAND(F.lit(NODES - 1))).cast("int").alias("symbol"))
+                        F.when(first, F.col("n").bitwiseAND(F.lit((1 << MAX_DEPTH) - 1))).cast("int").alias("symbol"))
+
+
+def _pairs(depth: int):
+    """Distinct (context, node) pairs of each chunk's training tokens, a column per context."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c in _rows(batches, depth):
+            use = np.repeat(c.train, c.sizes)
+            symbol, one, two = (a[use].astype(np.int64) for a in c.contexts())
+            for name, context in (("one", one), ("two", two)):
+                keys = np.unique((context << depth) | symbol)
+                for d in range(depth):  # sorted, so equal beginnings are neighbours
+                    begin = keys >> (depth - d)
+                    begin = begin[np.concatenate((begin[:1] == begin[:1], begin[1:] != begin[:-1]))]
+                    both = ((begin >> d) << depth) | (1 << d) | (begin & ((1 << d) - 1))
+                    for i in range(0, len(both), 100_000):
+                        part = pa.array(both[i:i + 100_000])
+                        none = pa.nulls(len(part), pa.int64())
+                        yield pa.RecordBatch.from_arrays([part, none] if name == "one" else [none, part],
+                                                         names=["one", "two"])
+
+    return run
+
+
+def model_shape(chunks: DataFrame, distinct: int) -> tuple[int, int, int]:
+    """Code bits for so many distinct tokens, and slot bits for twice the counted (context, node) pairs."""
+    depth = min(MAX_DEPTH, max(DEPTH, math.ceil(math.log2(max(1, distinct)))))
+    found = chunks.mapInArrow(_pairs(depth), "one long, two long").agg(
+        F.approx_count_distinct("one").alias("one"), F.approx_count_distinct("two").alias("two")).first()
+    return depth, *(min(MAX_SLOT_BITS, max(SLOT_BITS, math.ceil(math.log2(max(1, 2 * n))))) for n in found)
 
 
 # --- the mixer --------------------------------------------------------------------------
@@ -174,34 +208,39 @@ def _level(seen: np.ndarray) -> np.ndarray:
     return (seen > 0).astype(np.int8) + (seen > 3) + (seen > 31)
 
 
-def new_state() -> dict[str, np.ndarray]:
-    state = {k: np.zeros(n, dtype=np.float64 if k == "weights" else np.float32) for k, n in SIZES.items()}
-    state["weights"].reshape(GATES, INPUTS)[:] = (0.6, 0.2, 0.2, 0.0)
+def new_state(*shape: int) -> dict[str, np.ndarray]:
+    state = {k: np.zeros(n, dtype=np.float64 if k == "weights" else np.float32) for k, n in sizes_of(*shape).items()}
+    state["weights"].reshape(-1, INPUTS)[:] = (0.6, 0.2, 0.2, 0.0)
     state["map_all"] += 4.0
     centre = 1 / (1 + np.exp(-(np.arange(BINS) - BINS / 2 + 0.5) / 2))
-    state["map_ones"] += np.tile(4 * centre, DEPTH).astype(np.float32)
+    state["map_ones"] += np.tile(4 * centre, len(state["map_all"]) // BINS).astype(np.float32)
     return state
 
 
-def _slots(symbol, one, two):
-    """For all bits of the tokens: bit value and slot of each context, arrays (DEPTH, n)."""
-    d = np.arange(DEPTH, dtype=np.uint32)[:, None]
-    node = (np.uint32(1) << d) | (symbol >> (DEPTH - d))
-    bit = ((symbol >> (DEPTH - 1 - d)) & np.uint32(1)).astype(np.int64)
+def _shape(state: dict[str, np.ndarray], per_slot: int) -> tuple[int, int, int]:
+    """Code bits and slot bits of a model with so many numbers per slot."""
+    return tuple((len(state[k]) // per_slot).bit_length() - 1 for k in _TABLES)
+
+
+def _slots(symbol, one, two, shape):
+    """For all bits of the tokens: bit value and slot of each context, arrays (depth, n)."""
+    depth, bits1, bits2 = shape
+    d = np.arange(depth, dtype=np.uint32)[:, None]
+    node = (np.uint32(1) << d) | (symbol >> (depth - d))
+    bit = ((symbol >> (depth - 1 - d)) & np.uint32(1)).astype(np.int64)
     mixed = node * np.uint32(0x9E3779B1)
-    shift = np.uint32(32 - SLOT_BITS)
-    h1 = ((one * np.uint32(0x85EBCA6B) + mixed) * np.uint32(0xC2B2AE35)) >> shift
-    h2 = ((two * np.uint32(0x27D4EB2F) + mixed) * np.uint32(0x165667B1)) >> shift
+    h1 = ((one * np.uint32(0x85EBCA6B) + mixed) * np.uint32(0xC2B2AE35)) >> np.uint32(32 - bits1)
+    h2 = ((two * np.uint32(0x27D4EB2F) + mixed) * np.uint32(0x165667B1)) >> np.uint32(32 - bits2)
     return bit, node.astype(np.int64), h1.astype(np.int64), h2.astype(np.int64)
 
 
-_BASE_GATE = (np.arange(DEPTH, dtype=np.int64) * LEVELS * LEVELS)[:, None]
-_BASE_BIN = (np.arange(DEPTH, dtype=np.int64) * BINS)[:, None]
+_BASE_GATE = (np.arange(MAX_DEPTH, dtype=np.int64) * LEVELS * LEVELS)[:, None]
+_BASE_BIN = (np.arange(MAX_DEPTH, dtype=np.int64) * BINS)[:, None]
 
 
 def _mix(weights, xs, level1, level2):
     """Mixed stretch and gate of all bits (32-bit arithmetic)."""
-    gate = _BASE_GATE + (level1 * np.int8(LEVELS) + level2)
+    gate = _BASE_GATE[:len(level1)] + (level1 * np.int8(LEVELS) + level2)
     dot = weights[3][gate]
     for w, x in zip(weights, xs):
         dot += w[gate] * x
@@ -213,19 +252,19 @@ def _squash(dot: np.ndarray) -> np.ndarray:
 
 
 def _bins(dot: np.ndarray) -> np.ndarray:
-    return _BASE_BIN + np.clip(dot * 2 + np.float32(BINS / 2), 0, BINS - 1).astype(np.int64)
+    return _BASE_BIN[:len(dot)] + np.clip(dot * 2 + np.float32(BINS / 2), 0, BINS - 1).astype(np.int64)
 
 
 def learn(state: dict[str, np.ndarray], chunk: _Chunk, seen: np.ndarray) -> None:
     """One online pass over a chunk's training tokens; ``seen`` sums squared gradients."""
     use = np.repeat(chunk.train, chunk.sizes)
     symbol, one, two = (a[use] for a in chunk.contexts())
-    weights = state["weights"].reshape(GATES, INPUTS)
+    shape, weights = _shape(state, 2), state["weights"].reshape(-1, INPUTS)
     for i in range(0, len(symbol), BLOCK):
         used: list[list[np.ndarray]] = [[], [], []]
         for j in range(i, min(i + BLOCK, len(symbol)), PORTION):
             bit, *slots = _slots(symbol[j:min(j + PORTION, i + BLOCK)], one[j:min(j + PORTION, i + BLOCK)],
-                                 two[j:min(j + PORTION, i + BLOCK)])
+                                 two[j:min(j + PORTION, i + BLOCK)], shape)
             counts = [state[k].view(np.complex64)[s] for k, s in zip(_TABLES, slots)]  # zeros and ones at once
             xs = [_stretch(c.real, c.imag) for c in counts]
             gate, dot = _mix(weights.T.astype(np.float32), xs, *(_level(c.real + c.imag) for c in counts[1:]))
@@ -233,74 +272,80 @@ def learn(state: dict[str, np.ndarray], chunk: _Chunk, seen: np.ndarray) -> None
             error = bit.astype(np.float32) - _squash(dot)
             for n, x in enumerate((*xs, None)):
                 gain = error if x is None else error * x
-                slope = np.bincount(flat, weights=gain.ravel(), minlength=GATES)
+                slope = np.bincount(flat, weights=gain.ravel(), minlength=len(weights))
                 seen[:, n] += slope * slope
                 weights[:, n] += RATE * slope / np.sqrt(seen[:, n] + 1e-6)
-            state["map_ones"] += np.bincount(place, weights=bit.ravel(), minlength=DEPTH * BINS)
-            state["map_all"] += np.bincount(place, minlength=DEPTH * BINS)
+            state["map_ones"] += np.bincount(place, weights=bit.ravel(), minlength=len(state["map_all"]))
+            state["map_all"] += np.bincount(place, minlength=len(state["map_all"]))
             for list_, s in zip(used, slots):
                 list_.append((2 * s + bit).ravel())
         for k, list_ in zip(_TABLES, used):
-            state[k] += np.bincount(np.concatenate(list_), minlength=SIZES[k])
+            np.add.at(state[k], np.concatenate(list_), np.float32(1))
     state["tokens"] += len(symbol)
 
 
-def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_PARTS = "part long, places binary, numbers binary"
+_PARTS_ARROW = pa.schema([("part", pa.int64()), ("places", pa.binary()), ("numbers", pa.binary())])
+
+
+def _part(part: int, numbers: np.ndarray) -> pa.RecordBatch:
+    """A row of the numbers that are not 0."""
+    places = np.flatnonzero(numbers)
+    return pa.RecordBatch.from_pylist([{"part": part, "places": places.astype("<i4").tobytes(),
+                                        "numbers": numbers[places].astype("<f8").tobytes()}], schema=_PARTS_ARROW)
+
+
+def _train(shape: tuple[int, int, int]):
     """One partition's counts and weighted weights as rows of ``PIECE`` numbers."""
-    state, seen, any_tokens = new_state(), np.zeros((GATES, INPUTS)), False
-    for chunk in _rows(batches):
-        learn(state, chunk, seen)
-        any_tokens |= bool(chunk.train.any())
-    if not any_tokens:
-        return
-    state["weights"] = state["weights"] * state["tokens"][0]
-    for number, (name, n) in enumerate(SIZES.items()):
-        for i in range(0, n, PIECE):
-            yield pa.RecordBatch.from_pylist(
-                [{"part": (number << 32) + i, "numbers": state[name][i:i + PIECE].astype("<f8").tobytes()}],
-                schema=pa.schema([("part", pa.int64()), ("numbers", pa.binary())]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, any_tokens = new_state(*shape), False
+        seen = np.zeros((len(state["weights"]) // INPUTS, INPUTS))
+        for chunk in _rows(batches, shape[0]):
+            learn(state, chunk, seen)
+            any_tokens |= bool(chunk.train.any())
+        if not any_tokens:
+            return
+        state["weights"] = state["weights"] * state["tokens"][0]
+        for number, numbers in enumerate(state.values()):
+            for i in range(0, len(numbers), PIECE):
+                if numbers[i:i + PIECE].any():
+                    yield _part((number << 32) + i, numbers[i:i + PIECE])
+
+    return run
 
 
 def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of the rows of each part; the rows come sorted by part and are added one by one."""
-    part, total = None, None
-
-    def out():
-        return pa.RecordBatch.from_pylist([{"part": part, "numbers": total.tobytes()}],
-                                          schema=pa.schema([("part", pa.int64()), ("numbers", pa.binary())]))
-
+    part, total = None, np.zeros(PIECE)
     for batch in batches:
-        for i, p in enumerate(batch.column("part").to_pylist()):
-            numbers = np.frombuffer(batch.column("numbers")[i].as_py(), "<f8")
-            if p != part:
+        for row in batch.to_pylist():
+            if row["part"] != part:
                 if part is not None:
-                    yield out()
-                part, total = p, np.zeros(len(numbers))
-            total = total + numbers
+                    yield _part(part, total)
+                part, total = row["part"], np.zeros(PIECE)
+            total[np.frombuffer(row["places"], "<i4")] += np.frombuffer(row["numbers"], "<f8")
     if part is not None:
-        yield out()
+        yield _part(part, total)
 
 
-def train(chunks: DataFrame) -> dict[str, np.ndarray]:
-    """The model of all partitions: summed counts, token-weighted mean weights (a fixed size)."""
-    schema = "part long, numbers binary"
-    parts = chunks.mapInArrow(_train, schema).repartition("part").sortWithinPartitions("part").mapInArrow(_add, schema)
-    state = new_state()
-    total = {k: np.zeros(n) for k, n in SIZES.items()}
-    names = list(SIZES)
-    for row in parts.collect():
+def train(chunks: DataFrame, shape: tuple[int, int, int]) -> dict[str, np.ndarray]:
+    """The model of all partitions: summed counts, token-weighted mean weights (sizes of ``shape``)."""
+    parts = chunks.mapInArrow(_train(shape), _PARTS).repartition("part").sortWithinPartitions("part").mapInArrow(
+        _add, _PARTS)
+    total = {k: np.zeros(n) for k, n in sizes_of(*shape).items()}
+    names = list(total)
+    for row in parts.toLocalIterator():
         name, i = names[row["part"] >> 32], row["part"] & 0xFFFFFFFF
-        numbers = np.frombuffer(row["numbers"], "<f8")
-        total[name][i:i + len(numbers)] = numbers
+        total[name][i + np.frombuffer(row["places"], "<i4")] = np.frombuffer(row["numbers"], "<f8")
     if not total["tokens"][0]:
-        return _frozen(state)
+        return _frozen(new_state(*shape))
     total["weights"] /= total["tokens"][0]
     return _frozen(total)
 
 
 def _frozen(state: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """What scoring looks up: stretched predictions, levels, weights, map."""
-    out = {"weights": np.ascontiguousarray(state["weights"].reshape(GATES, INPUTS).T.astype(np.float32)),
+    out = {"weights": np.ascontiguousarray(state["weights"].reshape(-1, INPUTS).T.astype(np.float32)),
            "map": ((state["map_ones"] + 0.5) / (state["map_all"] + 1)).astype(np.float32)}
     for k in _TABLES:
         zeros, ones = state[k][0::2], state[k][1::2]
@@ -312,9 +357,10 @@ def _frozen(state: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 def code_log10(model: dict[str, np.ndarray], chunk: _Chunk) -> np.ndarray:
     """log10 probability of every token's code given its contexts."""
     symbol, one, two = chunk.contexts()
+    shape = _shape(model, 1)
     out = np.empty(len(symbol))
     for i in range(0, len(symbol), PORTION):
-        bit, *slots = _slots(symbol[i:i + PORTION], one[i:i + PORTION], two[i:i + PORTION])
+        bit, *slots = _slots(symbol[i:i + PORTION], one[i:i + PORTION], two[i:i + PORTION], shape)
         xs = [model[k][s] for k, s in zip(_TABLES, slots)]
         _, dot = _mix(model["weights"], xs, model["c1_level"][slots[1]], model["c2_level"][slots[2]])
         p = np.clip((_squash(dot) + model["map"][_bins(dot)]) / 2, 1e-6, 1 - 1e-6)
@@ -339,16 +385,17 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     chunks = materialize(picked.mapInArrow(_chunks, _CHUNK), "lm-chunks")
     counts = materialize(corpus_counts(chunks), "lm-counts")
     known = counts.filter(F.col("symbol").isNotNull() & (F.col("c") > 0)).groupBy("symbol").agg(
-        F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()  # at most NODES rows
+        F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()  # at most 2^MAX_DEPTH rows
     tokens, distinct = sum(r["c"] for r in known), sum(r["v"] for r in known)
-    room = np.ones(NODES)
+    shape = model_shape(chunks, distinct)
+    room = np.ones(1 << shape[0])
     for r in known:
-        room[r["symbol"]] += r["c"] + r["v"]
-    shared = spark.sparkContext.broadcast({"model": train(chunks), "room": np.log10(room)})
+        room[r["symbol"] >> (MAX_DEPTH - shape[0])] += r["c"] + r["v"]
+    shared = spark.sparkContext.broadcast({"model": train(chunks, shape), "room": np.log10(room)})
     base = math.log10(tokens + distinct + 1)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        chunk = _Chunk(left.to_pylist()[0])
+        chunk = _Chunk(left.to_pylist()[0], shape[0], MAX_DEPTH)
         order = np.argsort(right.column("slot").to_numpy(), kind="stable")
         c = right.column("c").to_numpy()[order]
         more = np.log10(c + 1.0)

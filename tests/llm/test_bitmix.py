@@ -80,3 +80,19 @@ def test_chunks_do_not_change_the_base(spark, monkeypatch):
     out = {r.doc_id: r.base_score for r in bitmix.score(docs).collect()}
     for d, (_, _, _, _, base) in brute_base(list(enumerate(texts))).items():
         assert out[d] == pytest.approx(base)
+
+
+def test_codes_and_slots_follow_the_corpus(spark):
+    """Few tokens get 12-bit codes; more tokens and contexts get more bits and slots, up to the largest sizes."""
+    small = documents(spark, ["a b c"] * 9)
+    rng = np.random.default_rng(3)
+    large = documents(spark, [" ".join(f"w{x}" for x in rng.integers(0, 9000, 3000)) for _ in range(20)])
+    shapes = []
+    for docs in (small, large):
+        chunks = docs.selectExpr("doc_id", "text", "true AS train").mapInArrow(bitmix._chunks, bitmix._CHUNK)
+        distinct = len({w for r in docs.collect() for w in r.text.split()}) + 1
+        shapes.append(bitmix.model_shape(chunks, distinct))
+    assert shapes[0] == (12, 18, 18)
+    assert shapes[1][0] == 14 and min(shapes[1][1:]) > 18 and max(shapes[1][1:]) <= bitmix.MAX_SLOT_BITS
+    out = bitmix.score(large).collect()
+    assert len(out) == 20 and all(r.score < 0 and math.isfinite(r.score) for r in out)
