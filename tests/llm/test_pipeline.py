@@ -4,8 +4,8 @@ import numpy as np
 import pyarrow as pa
 
 import corpus_pipeline
-from cohortlens.llm import ordinal, pii, simhash
-from helpers import clash
+from cohortlens.llm import mixing, ordinal, pii, simhash
+from helpers import clash, documents
 from test_packing import check
 from test_pii import brute as brute_spans
 from test_simhash import brute_components, brute_fingerprint
@@ -79,3 +79,26 @@ def test_run_and_odd_rows(spark, tmp_path):
     docs.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
     spark.read.parquet(f"{SF}/labels.parquet").limit(0).write.parquet(str(tmp_path / "none" / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_mixing_reaches_its_targets_behind_the_filter(spark, tmp_path):
+    """Input like that of the stage: clean but for a few toxic documents, more than their target share."""
+    rng = np.random.default_rng(4)
+
+    def text(*own):
+        return " ".join(rng.choice([*own, *(f"w{k}" for k in range(30))], 40, p=[0.1] * 5 + [0.5 / 30] * 30))
+
+    toxic = [i % 4 == 0 for i in range(400)]
+    texts = [text("foul", "vile", "rude", "mean", "grim") if t else text("sun", "moon", "star", "sky", "sea") for t in toxic]
+    documents(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, int(t)) for i, t in enumerate(toxic)], "doc_id long, quality int, toxic int") \
+        .write.parquet(str(tmp_path / "labels.parquet"))
+    clean = [t for t, bad in zip(texts, toxic) if not bad] * 12
+    docs = documents(spark, clean + [t for t, bad in zip(texts, toxic) if bad][:20])  # a share of 0.0055
+    mixed, domains = corpus_pipeline.mixing_rates(spark, docs, str(tmp_path))
+    got = mixing.weights_of(mixed, domains)
+    for domain, share in corpus_pipeline.FILTERED_TARGETS.items():
+        assert abs(got[domain] - share) < 2e-4
+    kept = {r.doc_id for r in corpus_pipeline.mixing(spark, docs, str(tmp_path)).collect()}
+    assert len([d for d in kept if d < len(clean)]) >= 0.999 * len(clean)
+    assert len([d for d in kept if d >= len(clean)]) < 12
