@@ -51,9 +51,9 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _AFTER_CUE = r"""(?:[ _-]?(?:number|no\.?|nr\.?|id))?["']?[ ]{0,3}(?:[:=#]|is)?[ ]{0,3}["']?"""
 _IBAN = re.compile(_AFTER_CUE + r"([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
 _SSN = re.compile(_AFTER_CUE + r"((?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4})(?![0-9-])")
-_ACCOUNT = re.compile(_AFTER_CUE + r"([A-Za-z0-9](?:[A-Za-z0-9_/+.-]{6,126}[A-Za-z0-9]))(?![A-Za-z0-9_])")
+_ACCOUNT = re.compile(_AFTER_CUE + r"([A-Za-z0-9][A-Za-z0-9_/+.-]*+)")
 _SCHEME_BEFORE = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{0,15}")
-_LOGIN = re.compile(r"://[^\s:/@<>\"']{1,64}:[^\s:/@<>\"']{1,128}@[A-Za-z0-9.-]+(?::[0-9]{1,5})?(?:/[^\s<>\"']*)?")
+_LOGIN = re.compile(r"://[^\s:/@<>\"']++:[^\s:/@<>\"']++@[A-Za-z0-9.-]+(?::[0-9]{1,5})?(?:/[^\s<>\"']*)?")
 
 
 @functools.cache
@@ -138,14 +138,17 @@ def _after_cue(text: str, anchor: str, at: int, done: dict[str, int]) -> Iterato
     m = {"iban": _IBAN, "ssn": _SSN, "account": _ACCOUNT}[anchor].match(text, at)
     if not m or m.start(1) == at:  # the cue must stand apart from the identifier
         return
-    value = m[1]
+    value, end = m[1], m.end(1)
+    if anchor == "account":         # the whole run, without marks at its end
+        value = value.rstrip("_/+.-")
+        end = m.start(1) + len(value)
     if anchor == "iban" and not _mod97(value.replace(" ", "")):
         return
-    if anchor == "account" and sum(c.isdigit() for c in value) < 4:
+    if anchor == "account" and (len(value) < 8 or sum(c.isdigit() for c in value) < 4 or text[end:end + 1] == "_"):
         return
     if m.start(1) >= done[anchor]:
-        done[anchor] = m.end(1)
-        yield anchor, m.start(1), m.end(1)
+        done[anchor] = end
+        yield anchor, m.start(1), end
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),

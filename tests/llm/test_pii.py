@@ -1,6 +1,7 @@
 import random
 import re
 
+from cohortlens.llm import pii
 from cohortlens.llm.pii import BASE_KINDS, find_pii, find_spans, luhn, mask, redact
 from helpers import clash, documents
 
@@ -71,3 +72,12 @@ def test_tables(spark):
     assert sorted((str(r.text), str(r.n_chars)) for r in out.collect()) == [
         ("", "0"), ("None", "None"), ("mail [EMAIL] now", "16"), ("mail [EMAIL] now", "16")]
     assert find_pii(documents(spark, [])).count() == 0
+
+
+def test_long_secrets_are_found_to_their_end():
+    for secret in ("a1B2" * 100, ".".join(("eyJ0" * 30, "c3Vi" * 60, "s1-G_" * 20 + "9")), "Ab1/" * 50 + "7"):
+        text = f"my token: {secret}. Then more"
+        assert pii.find_spans(text) == [("account", 10, 10 + len(secret))]
+        assert pii.mask(text, pii.find_spans(text)) == "my token: [ACCOUNT]. Then more"
+    login = "https://" + "u" * 100 + ":" + "p4" * 200 + "@host.example.org/x"
+    assert ("login", 4, 4 + len(login)) in pii.find_spans(f"see {login} there")
