@@ -10,7 +10,8 @@ hash; every document is scored over its whole text.
 
 Defined results: a null or empty text has the single feature "no words".
 Grades may be any integers; a row with a null grade or id is ignored, and of
-repeated ratings the lowest holds. Without ratings every document has the
+repeated ratings the lowest holds; of repeated documents with a rating one
+row is fitted. Without ratings every document has the
 tail probability 1 and an expected grade of 0. Repeated rows and null ids are
 scored row by row. An empty table gives an empty result.
 """
@@ -229,8 +230,12 @@ def fit_ratings(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"),
                                               pa.array(packed, pa.binary())], names=["doc_id", "grade", "buckets"])
 
-    rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("rated_id")).select("doc_id", "grade", "text") \
-        .mapInArrow(run, "doc_id long, grade long, buckets binary").toArrow().to_pylist()
+    # one row per chosen id: the text of the smallest hash (of equal hashes, the smallest text)
+    matched = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("rated_id"))
+    single = matched.groupBy("doc_id").agg(F.min("grade").alias("grade"), F.min_by(
+        "text", F.struct(F.xxhash64("text"), F.coalesce("text", F.lit("")))).alias("text"))
+    rows = single.select("doc_id", "grade", "text").mapInArrow(
+        run, "doc_id long, grade long, buckets binary").toArrow().to_pylist()
     rows.sort(key=lambda r: (r["doc_id"], r["buckets"]))
     grades = np.array([r["grade"] for r in rows], dtype=np.int64)
     starts = np.concatenate(([0], np.cumsum([len(r["buckets"]) // 4 for r in rows]))).astype(np.int64)

@@ -67,3 +67,13 @@ def test_edge_cases(spark):
     assert [(r.expected_grade, r.tail_prob) for r in o.judge(docs, one, 1).collect()] == [(1.0, 1.0)] * 5
     assert o.judge(documents(spark, []), model, 1).count() == 0
     assert model.thresholds == pytest.approx(sorted(model.thresholds))
+
+
+def test_repeated_rated_rows_are_fitted_once(spark, monkeypatch):
+    texts = [f"good line {i}" if i % 2 else f"bad stuff {i}" for i in range(20)]
+    docs = documents(spark, texts + [texts[3]] * 500 + ["other text", None], ids=[*range(20), *[3] * 500, 3, 4])
+    ratings = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, grade long")
+    seen = []
+    monkeypatch.setattr(o, "fit", lambda starts, buckets, grades: seen.append((len(starts) - 1, list(grades))))
+    o.fit_ratings(docs, ratings)
+    assert seen == [(20, [i % 2 for i in range(20)])]
