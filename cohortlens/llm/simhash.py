@@ -36,6 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlens.llm.common import attach
 from cohortlens.llm.components import components
@@ -211,6 +212,12 @@ def links(fps: DataFrame, count: int, max_bits: int = MAX_BITS) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words_per_shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id) for every document."""
+    return _grouped(docs, id_col, text_col, words_per_shingle, max_bits)[0]
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int,
+             max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """The documents' groups, and (fp, first_id, copies, root) per fingerprint."""
     rows = materialize(fingerprints(docs, id_col, text_col, words_per_shingle), "simhash-docs")
     fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")),
                       "simhash-fps")
@@ -222,21 +229,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         grouped.filter(F.col("node").isNotNull() | (F.col("copies") > 1)).select("fp", "root")
         .join(ids, "root").select("fp", "component_id"), "simhash-groups")
     out = attach(rows, named, "fp", named.count())
-    return out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    return out.withColumn("component_id", F.coalesce("component_id", "doc_id")), grouped
+
+
+def _marked(docs: DataFrame, text_col: str, words_per_shingle: int) -> DataFrame:
+    """All rows and columns of ``docs`` with the fingerprint as ``__fp``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.array([fingerprint(x.as_py(), words_per_shingle) for x in batch.column(text_col)],
+                           dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps, pa.int64())],
+                                             names=[*batch.schema.names, "__fp"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())]))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              words_per_shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` that name their group (its smallest id), one row each.
+    """One row of ``docs`` per group: of its smallest id, then of its smallest fingerprint.
 
-    Rows without an id cannot be told apart by it and all stay.
+    Where no id is repeated, an id tells the row; else rows are told apart by
+    fingerprint and id. Rows without an id cannot be told apart by it and all stay.
     """
-    groups = near_duplicates(docs, id_col, text_col, words_per_shingle, max_bits)
+    groups, grouped = _grouped(docs, id_col, text_col, words_per_shingle, max_bits)
     groups = materialize(groups.select("doc_id", "component_id"), "simhash-decisions")
-    gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone"))
-    kept = docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
-    repeated = groups.groupBy("doc_id").count().filter((F.col("count") > 1) & F.col("doc_id").isNotNull())
-    if repeated.isEmpty():
-        return kept
-    return kept.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(
-        kept.filter(F.col(id_col).isNull()))
+    if groups.groupBy("doc_id").count().filter((F.col("count") > 1) & F.col("doc_id").isNotNull()).isEmpty():
+        gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone"))
+        return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    first = F.min(F.struct(F.col("first_id").isNull().alias("last"), "first_id", "fp")).alias("first")
+    chosen = materialize(grouped.groupBy("root").agg(first).select(
+        F.col("first.fp").alias("__fp"), F.col("first.first_id").alias("__id"), F.lit(True).alias("__chosen")),
+        "simhash-chosen")
+    marked = _marked(docs.filter(F.col(id_col).isNotNull()), text_col, words_per_shingle)
+    found = attach(marked, chosen, "__fp", chosen.count())
+    kept = found.filter(F.col("__chosen") & (F.col(id_col).cast("long") == F.col("__id")))
+    return kept.dropDuplicates(["__fp", "__id"]).select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))

@@ -136,3 +136,14 @@ def test_documents(spark):
     nulls = documents(spark, ["a b", "a b", "c d"], ids=[None, 4, None])
     assert sorted(str(r.component_id) for r in simhash.near_duplicates(nulls).collect()) == ["4", "4", "None"]
     assert simhash.keep_one(nulls).filter("doc_id is null").count() == 2
+
+
+def test_keep_one_with_equal_ids_and_different_texts(spark):
+    """Decided per fingerprint and id: no group is lost, none keeps two rows with ids."""
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(40)) for w in "abcd")
+    # id 5: once a copy of id 1, once alone; id 6: twice alone, with different texts, and once repeated
+    rows = [(1, a), (5, a), (5, b), (6, c), (6, c), (6, d), (None, a)]
+    docs = documents(spark, [t for _, t in rows], ids=[i for i, _ in rows])
+    out = simhash.keep_one(clash(docs, "fp", "first_id", "root"))
+    assert out.columns == [*docs.columns, "fp", "first_id", "root"]
+    assert sorted((r.text[0], r.doc_id) for r in out.filter("doc_id IS NOT NULL").collect()) == [("a", 1), ("b", 5), ("c", 6), ("d", 6)]
