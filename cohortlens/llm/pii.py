@@ -10,8 +10,10 @@ digits, Luhn), ``phone`` (10 to 15 digits). Added kinds: ``iban`` (mod 97),
 ``ssn`` and ``account`` (an identifier or secret after a cue), ``login`` (a
 web address that carries a user name and password).
 
-Defined results: a null or empty text has no spans. Positions are code
-points, ends exclusive. Spans come sorted by start, then by kind as listed.
+Defined results: a null or empty text has no spans, an empty table gives an
+empty result. Whole texts are searched in time proportional to their length:
+the end of a run of digits or identifier characters is found once, however
+many cues stand in it. Positions are code points, ends exclusive. Spans come sorted by start, then by kind as listed.
 Kinds may overlap each other; ``redact`` masks the union of the spans. Null
 ids and repeated rows are treated row by row; other columns are kept by
 ``redact`` and ignored by ``find_pii``.
@@ -51,7 +53,8 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _AFTER_CUE = r"""(?:[ _-]?(?:number|no\.?|nr\.?|id))?["']?[ ]{0,3}(?:[:=#]|is)?[ ]{0,3}["']?"""
 _IBAN = re.compile(_AFTER_CUE + r"([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
 _SSN = re.compile(_AFTER_CUE + r"((?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4})(?![0-9-])")
-_ACCOUNT = re.compile(_AFTER_CUE + r"([A-Za-z0-9][A-Za-z0-9_/+.-]*+)")
+_ACCOUNT = re.compile(_AFTER_CUE + r"(?=([A-Za-z0-9]))")
+_RUN = re.compile(r"[A-Za-z0-9_/+.-]+")
 _SCHEME_BEFORE = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{0,15}")
 _LOGIN = re.compile(r"://[^\s:/@<>\"']++:[^\s:/@<>\"']++@[A-Za-z0-9.-]+(?::[0-9]{1,5})?(?:/[^\s<>\"']*)?")
 
@@ -93,6 +96,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
     out: list[tuple[str, int, int]] = []
     done = dict.fromkeys(KINDS, 0)  # where the last match of a kind ended
     run_end = 0                     # end of the last run of digits
+    run = _Run()
     for last, (anchor, length) in _automaton().iter(text):
         at = last - length + 1
         if anchor == "digit":
@@ -128,27 +132,51 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
                 done["login"] = m.end()
                 out.append(("login", start, m.end()))
         elif at >= done[anchor] and not text[at - 1:at].isalnum():
-            out.extend(_after_cue(text, anchor, last + 1, done))
+            out.extend(_after_cue(text, anchor, last + 1, done, run))
     out.sort(key=lambda s: (s[1], _RANK[s[0]]))
     return out
 
 
-def _after_cue(text: str, anchor: str, at: int, done: dict[str, int]) -> Iterator[tuple[str, int, int]]:
+class _Run:
+    """The last run of identifier characters after an account cue, measured once."""
+
+    def __init__(self):
+        self.start = self.end = 0   # of the whole run
+        self.last = 0               # its end without marks
+        self.digits = -1            # where its last four digits start, -1 if it has fewer
+        self.sound = True           # no underscore follows ``last``
+
+    def reach(self, text: str, at: int) -> None:
+        """Make this the run that holds ``at``."""
+        if self.start <= at < self.end:
+            return
+        self.start, self.end = at, _RUN.match(text, at).end()
+        value = text[at:self.end]
+        self.last = at + len(value.rstrip("_/+.-"))
+        self.sound = text[self.last:self.last + 1] != "_"
+        left, i = 4, len(value)
+        while left and i:
+            i -= 1
+            left -= "0" <= value[i] <= "9"
+        self.digits = -1 if left else at + i
+
+
+def _after_cue(text: str, anchor: str, at: int, done: dict[str, int], run: _Run) -> Iterator[tuple[str, int, int]]:
     """The identifier that follows a cue ending at ``at``, if it is a valid one."""
     m = {"iban": _IBAN, "ssn": _SSN, "account": _ACCOUNT}[anchor].match(text, at)
     if not m or m.start(1) == at:  # the cue must stand apart from the identifier
         return
-    value, end = m[1], m.end(1)
+    start, end = m.start(1), m.end(1)
     if anchor == "account":         # the whole run, without marks at its end
-        value = value.rstrip("_/+.-")
-        end = m.start(1) + len(value)
-    if anchor == "iban" and not _mod97(value.replace(" ", "")):
-        return
-    if anchor == "account" and (len(value) < 8 or sum(c.isdigit() for c in value) < 4 or text[end:end + 1] == "_"):
+        run.reach(text, start)
+        end = run.last
+        if end - start < 8 or run.digits < start or not run.sound:
+            return
+    if anchor == "iban" and not _mod97(m[1].replace(" ", "")):
         return
-    if m.start(1) >= done[anchor]:
+    if start >= done[anchor]:
         done[anchor] = end
-        yield anchor, m.start(1), end
+        yield anchor, start, end
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
