@@ -21,21 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def attach(big: DataFrame, small: DataFrame, on: str, small_rows: int,
-           limit: int = BROADCAST_ROWS, salts: int = 64) -> DataFrame:
+def attach(big: DataFrame, small: DataFrame, on: str, small_rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Left join of ``small`` (one row per ``on``, null allowed as a key).
 
-    ``small_rows`` is its counted size: up to ``limit`` rows it is broadcast,
-    beyond that both sides are dealt by (key, salt), so one key with a third
-    of all rows is spread over ``salts`` tasks.
+    ``small_rows`` is its counted size: up to ``limit`` rows it is broadcast, beyond
+    that both sides are shuffled once by key, and AQE splits the tasks of hot keys.
     """
     small = small.withColumnRenamed(on, "__key")
     if small_rows <= limit:
-        return big.join(F.broadcast(small), F.col(on).eqNullSafe(F.col("__key")), "left").drop("__key")
-    salted = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    left = big.withColumn("__s", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)).cast("int"))
-    cond = F.col(on).eqNullSafe(F.col("__key")) & (F.col("__s") == F.col("__salt"))
-    return left.join(salted, cond, "left").drop("__key", "__salt", "__s")
+        small = F.broadcast(small)
+    return big.join(small, F.col(on).eqNullSafe(F.col("__key")), "left").drop("__key")
 
 
 def token_lists(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, pa.Array]:

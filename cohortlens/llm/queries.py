@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlens.llm import veccodes
 from cohortlens.llm.bitmix import score
-from cohortlens.llm.common import table
+from cohortlens.llm.common import attach, table
+from cohortlens.llm.divergence import divergence
 from cohortlens.llm.host_quality import host_quality
 from cohortlens.llm.mixing import label_domains, mix
 from cohortlens.llm.ordinal import WANTED, bar, fit_ratings, judge, label_grades
@@ -19,6 +21,7 @@ from cohortlens.llm.replytrees import Digest, format_trees, output_folder, read_
 from cohortlens.llm.simhash import near_duplicates
 from cohortlens.llm.voronoi import top_k
 from cohortlens.llm.warc import archive_folder, read_archives, write_archives
+from cohortlens.session import materialize
 
 
 def op1_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +115,25 @@ def op10_bitmix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language, and each source's own terms."""
+    return divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_veccodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector, with the error of its label and the digest of the codebooks."""
+    rows = veccodes.integers(table(spark, sf_dir, "embeddings"), F.col("vec_id").cast("long").alias("vec_id"),
+                             F.col("label"))
+    books = veccodes.fit(rows)
+    if books is None:
+        return spark.createDataFrame([], "vec_id long, code string, error long, label_error long, codebooks_sha256 string")
+    coded = materialize(veccodes.encode(rows, books), "veccodes-coded")
+    by_label = materialize(coded.groupBy("label").agg(F.sum("error").alias("label_error")), "veccodes-labels")
+    code = F.lower(F.array_join(F.transform("codes", lambda c: F.lpad(F.hex(c), 2, "0")), ""))
+    return attach(coded, by_label, "label", by_label.count()).select(
+        "vec_id", code.alias("code"), "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_quality": op1_host_quality,
     "op2_voronoi": op2_voronoi,
@@ -123,4 +145,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_mixing": op9_mixing,
     "op10_bitmix": op10_bitmix,
+    "op11_divergence": op11_divergence,
+    "op12_veccodes": op12_veccodes,
 }
