@@ -17,6 +17,7 @@ from cohortlens.llm.mixing import label_domains, mix
 from cohortlens.llm.ordinal import WANTED, bar, fit_ratings, judge, label_grades
 from cohortlens.llm.packing import pack
 from cohortlens.llm.pii import BASE_KINDS, find_pii
+from cohortlens.llm.projections import nearest
 from cohortlens.llm.replytrees import Digest, format_trees, output_folder, read_conversations, reply_chain
 from cohortlens.llm.simhash import near_duplicates
 from cohortlens.llm.voronoi import top_k
@@ -134,6 +135,11 @@ def op12_veccodes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", code.alias("code"), "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
 
 
+def op13_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors found for every fiftieth vector."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_quality": op1_host_quality,
     "op2_voronoi": op2_voronoi,
@@ -147,4 +153,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bitmix": op10_bitmix,
     "op11_divergence": op11_divergence,
     "op12_veccodes": op12_veccodes,
+    "op13_projections": op13_projections,
 }
