@@ -11,7 +11,7 @@ larger share than in the language. All arithmetic is exact.
 1. Every task indexes its documents in one pass: a block of postings
    (language, source, term -> occurrences, documents) grows in memory until
    it holds ``BLOCK_POSTINGS``, then it is spilled as a run sorted by term, cut
-   by hash shard.
+   by hash shard into pieces of ``PIECE_POSTINGS``.
 2. A shard's task heap-merges the sorted pieces of all runs into
    frequencies. Pieces arrive in the order of their first term, so only those
    that overlap the current term are open. A posting's shard is the hash of
@@ -22,8 +22,8 @@ larger share than in the language. All arithmetic is exact.
    sources, and add ``|p - q| - |floor p - floor q|`` for the terms that occur.
 
 Defined results: a null text, language or source is read as empty. Rows are
-documents, repeated ones too. Whole texts are indexed, very long ones in
-pieces of ``PIECE`` bytes. Every occurring (language, source) has its rows,
+documents, repeated ones too. Whole texts are indexed, a very long one by
+itself. Every occurring (language, source) has its rows,
 also without terms; a language with one source has no pairs, and one without
 kept terms has distance 0 and no terms. Ties go to the smaller item in UTF-8
 order. An empty table gives an empty result. Other columns are ignored.
@@ -32,17 +32,17 @@ order. An empty table gives an empty result. Other columns are ignored.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import BROADCAST_ROWS
+from cohortlens.llm.common import BROADCAST_ROWS, slices, token_lists
 from cohortlens.session import materialize
 
 MIN_DOCS = 30
@@ -50,88 +50,122 @@ SMOOTH = 5
 SCALE = 10**9
 TOP_TERMS = 50
 
-BLOCK_POSTINGS = 300_000    # postings of a block in memory, about 100 MB
+BLOCK_POSTINGS = 1_000_000  # postings of a block in memory, about 100 MB
 PIECE_POSTINGS = 4096       # postings of a spilled piece
-PIECE = 1 << 20             # bytes of a text that are split at a time
+MERGE_POSTINGS = 100_000    # postings that are added up together
+SLICE = 4 << 20             # bytes of whole texts that are indexed together
 SOURCE_BLOCK = 128          # sources of a block in the pair sums
 TERM_BLOCK = 4096           # terms whose shares a task holds
 LEAST_TERM_BLOCK = 256      # fewer terms together for smaller tables, so that all cores work
 LEAST_GROUPS = 32
 
 #: bytes of terms: letters (A-Z lower-cased) and whatever is not ASCII; the rest separates
-_TERM_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+_TERM_BYTES = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)],
+                       dtype=np.uint8)
 
 
 # --- 1: blocks of postings, spilled as sorted runs ------------------------------------
 
 class _Block:
-    """Postings in memory: per (language, source) the occurrences and documents of each term."""
+    """Postings in memory: (term, group, occurrences, documents); a group is a (language, source)."""
 
     def __init__(self):
-        self.groups: dict[tuple[bytes, bytes], tuple[Counter, Counter]] = {}
+        self.groups: dict[tuple[bytes, bytes], int] = {}
+        self.tables: list[pa.Table] = []
         self.size = 0
 
-    def add(self, lang: bytes, source: bytes, text: bytes) -> None:
-        if (lang, source) not in self.groups:
-            self.groups[lang, source] = (Counter(), Counter())
-        occurrences, documents = self.groups[lang, source]
-        before = len(occurrences)
-        if len(text) <= PIECE:
-            terms = text.translate(_TERM_BYTES).split()
-            occurrences.update(terms)
-            documents.update(set(terms))
-        else:
-            seen, rest = set(), b""
-            for at in range(0, len(text), PIECE):
-                part = rest + text[at:at + PIECE].translate(_TERM_BYTES)
-                cut = part.rfind(b" ") + 1      # the term at the end may go on
-                terms, rest = part[:cut].split(), part[cut:]
-                occurrences.update(terms)
-                seen.update(terms)
-            terms = rest.split()
-            occurrences.update(terms)
-            seen.update(terms)
-            documents.update(seen)
-        self.size += len(occurrences) - before
+    def add(self, langs: pa.Array, sources: pa.Array, texts: pa.Array) -> None:
+        """Index some whole documents."""
+        offsets, words = token_lists(_letters(texts))
+        coded = words.dictionary_encode()
+        group = np.array([self.groups.setdefault(g, len(self.groups))
+                          for g in zip(langs.to_pylist(), sources.to_pylist())], dtype=np.int64)
+        n, terms = len(group), max(1, len(coded.dictionary))
+        doc = np.repeat(np.arange(n), np.diff(offsets))
+        # one sort by (group, term, document): runs of equal values are counted, runs of equal (group, term) summed
+        key = np.sort((group[doc] * terms + coded.indices.to_numpy()) * n + doc)
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        times, posting = np.diff(np.append(first, len(key))), key[first] // max(1, n)
+        start = np.flatnonzero(np.diff(posting, prepend=-1))
+        if not len(start):
+            return
+        self.tables.append(pa.table({
+            "term": coded.dictionary.cast(pa.binary()).take(pa.array(posting[start] % terms)),
+            "group": pa.array(posting[start] // terms), "n": pa.array(np.add.reduceat(times, start)),
+            "docs": pa.array(np.diff(np.append(start, len(posting))))}))
+        self.size += len(start)
+
+    def full(self, limit: int) -> bool:
+        """Whether the postings fill the block even when equal ones are added up."""
+        if self.size < limit:
+            return False
+        self.tables = [_summed(pa.concat_tables(self.tables), ["term", "group"])]
+        self.size = self.tables[0].num_rows
+        return self.size >= limit // 2
 
     def run(self, shards: int) -> Iterator[pa.RecordBatch]:
-        """The postings as sorted pieces per shard."""
-        postings = sorted((term, lang, source, n, documents[term])
-                          for (lang, source), (occurrences, documents) in self.groups.items()
-                          for term, n in occurrences.items())
-        shard = np.fromiter((crc32(p[2], crc32(p[1], crc32(p[0]))) % shards for p in postings), np.int32, len(postings))
+        """The postings sorted by term, cut into pieces per shard."""
+        if not self.size:
+            return
+        postings = _summed(pa.concat_tables(self.tables), ["term", "group"])
+        names = sorted(self.groups)
+        rank = np.empty(len(names), dtype=np.int64)     # of each group number among the sorted names
+        rank[[self.groups[g] for g in names]] = np.arange(len(names))
+        postings = postings.set_column(1, "group", pa.array(rank[postings["group"].to_numpy()]))
+        postings = postings.take(pc.sort_indices(postings, [("term", "ascending"), ("group", "ascending")]))
+        group, coded = postings["group"].to_numpy(), postings["term"].combine_chunks().dictionary_encode()
+        of_term = np.array([crc32(t) for t in coded.dictionary.to_pylist()], dtype=np.uint64)
+        of_group = np.array([crc32(source, crc32(lang)) for lang, source in names], dtype=np.uint64)
+        mixed = of_term[coded.indices.to_numpy()] * np.uint64(2654435761) + of_group[group] * np.uint64(40503)
+        shard = ((mixed >> np.uint64(16)) % np.uint64(shards)).astype(np.int32)
         order = np.argsort(shard, kind="stable")
-        shard = shard[order]
+        shard, postings = shard[order], postings.take(pa.array(order)).combine_chunks()
+        group = pa.array(group[order])
         edges = [0]
         for end in [*(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(order)]:
             edges += range(edges[-1] + PIECE_POSTINGS, end, PIECE_POSTINGS)
             edges.append(end)
-        if len(order) == 0:
-            return
-        columns = list(zip(*postings))
+        starts, ends = pa.array(edges[:-1]), pa.array(edges[1:])
+        term = postings["term"].combine_chunks()
+        columns = [term, pa.array([g[0] for g in names], pa.binary()).take(group),
+                   pa.array([g[1] for g in names], pa.binary()).take(group),
+                   postings["n"].combine_chunks(), postings["docs"].combine_chunks()]
         offsets = pa.array(edges, pa.int32())
-        taken = [pa.array(c, t).take(pa.array(order)) for c, t in zip(columns, _POSTING)]
-        starts = np.array(edges[:-1])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(shard[starts]), taken[0].take(pa.array(starts)),
-             *(pa.ListArray.from_arrays(offsets, values) for values in taken)],
-            names=["shard", "first", "term", "lang", "source", "n", "docs"])
+            [pa.array(shard[edges[:-1]]), term.take(starts), term.take(pc.subtract(ends, 1)),
+             *(pa.ListArray.from_arrays(offsets, c) for c in columns)], names=["shard", "first", "last", *_POSTING])
 
 
-_POSTING = (pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-_RUN = ("shard int, first binary, term array<binary>, lang array<binary>, source array<binary>, "
+_POSTING = {"term": pa.binary(), "lang": pa.binary(), "source": pa.binary(), "n": pa.int64(), "docs": pa.int64()}
+_RUN = ("shard int, first binary, last binary, term array<binary>, lang array<binary>, source array<binary>, "
         "n array<long>, docs array<long>")
 
 
+def _letters(texts: pa.Array) -> pa.Array:
+    """The texts with every byte that is in no term as a space, and A-Z lower-cased."""
+    texts = pa.concat_arrays([texts]).cast(pa.large_binary())
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    if not len(texts) or offsets[0] == offsets[-1]:
+        return pa.array([""] * len(texts), pa.large_string())
+    data = _TERM_BYTES[np.frombuffer(texts.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]]]
+    return pa.Array.from_buffers(pa.large_string(), len(texts), [
+        None, pa.py_buffer((offsets - offsets[0]).tobytes()), pa.py_buffer(data)])
+
+
+def _summed(postings: pa.Table, keys: list[str]) -> pa.Table:
+    """Postings of equal keys added up."""
+    sums = postings.group_by(keys, use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
+    return sums.rename_columns([c.removesuffix("_sum") for c in sums.column_names]).select([*keys, "n", "docs"])
+
+
 def _index(shards: int, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = _Block()
-        for batch in batches:
-            for lang, source, text in zip(*(batch.column(c) for c in ("lang", "source", "text"))):
-                block.add(lang.as_py(), source.as_py(), text.as_py())
-                if block.size >= limit:
-                    yield from block.run(shards)
-                    block = _Block()
+        for batch in slices(batches, "text", SLICE):
+            block.add(batch.column("lang"), batch.column("source"), batch.column("text"))
+            if block.full(limit):
+                yield from block.run(shards)
+                block = _Block()
         yield from block.run(shards)
     return run
 
@@ -139,46 +173,40 @@ def _index(shards: int, limit: int):
 # --- 2: heap merge of the runs of a shard -----------------------------------------------
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Frequencies of each (term, language, source); pieces come ordered by first term."""
-    heap: list[tuple] = []              # (next posting, number of the piece, its other postings)
-    merged: list[tuple] = []
-    key, n, documents, number = None, 0, 0, 0
-
-    def drain(until: bytes | None) -> None:
-        nonlocal key, n, documents
-        while heap and (until is None or heap[0][0][0] < until):
-            posting, piece, rest = heap[0]
-            if posting[:3] == key:
-                n += posting[3]
-                documents += posting[4]
-            else:
-                if key is not None:
-                    merged.append((*key, n, documents))
-                key, n, documents = posting[:3], posting[3], posting[4]
-            following = next(rest, None)
-            if following is None:
-                heapq.heappop(heap)
-            else:
-                heapq.heapreplace(heap, (following, piece, rest))
-
-    def rows() -> pa.RecordBatch:
-        columns = list(zip(*merged)) or [()] * 5
-        merged.clear()
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _POSTING)],
-                                          names=["term", "lang", "source", "n", "docs"])
+    """Frequencies of each (term, language, source); pieces come ordered by first term.
+
+    A heap holds the open pieces by last term. Those that end before the next
+    piece starts are popped; when they hold ``MERGE_POSTINGS``, all open postings
+    before that start are complete, and are added up and returned together.
+    """
+    heap: list[tuple[bytes, int]] = []      # (last term, postings) of the open pieces
+    opened: list[pa.Table] = []
+    ended = 0
+
+    def complete(before: bytes | None) -> Iterator[pa.RecordBatch]:
+        nonlocal opened
+        postings = pa.concat_tables(opened)
+        opened = []
+        if before is not None:
+            done = pc.less(postings["term"], pa.scalar(before, pa.binary()))
+            opened, postings = [postings.filter(pc.invert(done))], postings.filter(done)
+        yield from _summed(postings, ["term", "lang", "source"]).to_batches()
 
     for batch in batches:
-        for i, first in enumerate(batch.column("first").to_pylist()):
-            drain(first)
-            piece = zip(*(batch.column(c)[i].as_py() for c in ("term", "lang", "source", "n", "docs")))
-            number += 1
-            heapq.heappush(heap, (next(piece), number, piece))
-            if len(merged) >= 50_000:
-                yield rows()
-    drain(None)
-    if key is not None:
-        merged.append((*key, n, documents))
-    yield rows()
+        firsts, lasts = batch.column("first").to_pylist(), batch.column("last").to_pylist()
+        edges, taken = batch.column("term").offsets.to_numpy(), 0
+        flat = pa.table({c: batch.column(c).flatten() for c in _POSTING})
+        for i, (first, last) in enumerate(zip(firsts, lasts)):
+            while heap and heap[0][0] < first:
+                ended += heapq.heappop(heap)[1]
+            if ended >= MERGE_POSTINGS:
+                opened.append(flat.slice(edges[taken] - edges[0], edges[i] - edges[taken]))
+                yield from complete(first)
+                taken, ended = i, 0
+            heapq.heappush(heap, (last, int(edges[i + 1] - edges[i])))
+        opened.append(flat.slice(edges[taken] - edges[0]))
+    if opened:
+        yield from complete(None)
 
 
 def frequencies(docs: DataFrame, block_postings: int = BLOCK_POSTINGS, shards: int | None = None) -> DataFrame:

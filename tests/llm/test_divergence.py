@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+
 from cohortlens.llm import divergence as dv
 from cohortlens.llm.divergence import divergence
 from helpers import DOCS, clash
@@ -76,31 +78,42 @@ def test_empty_table_and_no_kept_terms(spark):
         ("en", "x", "pair", "y", 0, 1), ("en", "y", "pair", "x", 0, 1)]
 
 
-def test_long_texts_are_indexed_in_pieces(monkeypatch):
-    monkeypatch.setattr(dv, "PIECE", 11)
-    text = "Aé bb, " * 50 + "c" * 60 + " bb"
-    whole, block = Counter(t.translate(LOWER).encode() for t in TERM.findall(text)), dv._Block()
-    block.add(b"en", b"s", text.encode())
-    occurrences, documents = block.groups[b"en", b"s"]
-    assert occurrences == whole and documents == dict.fromkeys(whole, 1) and block.size == len(whole)
-
-
 def test_runs_are_sorted_pieces_and_merge_to_sums(monkeypatch):
     monkeypatch.setattr(dv, "PIECE_POSTINGS", 3)
-    rng, want, batches = random.Random(3), Counter(), []
-    for _ in range(9):
+    monkeypatch.setattr(dv, "MERGE_POSTINGS", 5)
+    rng, want, docs, batches = random.Random(3), Counter(), Counter(), []
+    for _ in range(12):
         block = dv._Block()
-        for _ in range(rng.randint(0, 30)):
-            words = [rng.choice("abcdefghij").encode() for _ in range(rng.randint(0, 6))]
-            source = rng.choice([b"x", b"y"])
-            block.add(b"l", source, b" ".join(words))
-            want.update((w, b"l", source) for w in words)
+        for _ in range(rng.randint(0, 4)):
+            rows = [(rng.choice(["x", "y"]), " ".join(rng.choice("abcdEfghij") * 2 for _ in range(rng.randint(0, 6))))
+                    for _ in range(rng.randint(0, 8))]
+            block.add(pa.array(["l"] * len(rows), pa.binary()), pa.array([r[0] for r in rows], pa.binary()),
+                      pa.array([r[1] for r in rows], pa.binary()))
+            assert block.full(40) in (False, True)
+            for source, text in rows:
+                terms = [(w.encode(), b"l", source.encode()) for w in text.lower().split()]
+                want.update(terms)
+                docs.update(set(terms))
         batches += block.run(1)
     for b in batches:
-        for piece in b.column("term").to_pylist():
-            assert piece == sorted(piece) and len(piece) <= 3
+        for piece, first, last in zip(b.column("term").to_pylist(), b.column("first").to_pylist(), b.column("last").to_pylist()):
+            assert piece == sorted(piece) and len(piece) <= 3 and (piece[0], piece[-1]) == (first, last)
     pieces = sorted(((b.column("first")[i].as_py(), b.slice(i, 1)) for b in batches for i in range(b.num_rows)),
                     key=lambda x: x[0])
-    merged = [r for b in dv._merge(p for _, p in pieces) for r in b.to_pylist()]
-    assert [(r["term"], r["lang"], r["source"]) for r in merged] == sorted(want)
-    assert all(want[r["term"], r["lang"], r["source"]] == r["n"] for r in merged)
+    whole = pa.Table.from_batches([p for _, p in pieces]).combine_chunks()
+    for size in (1, 4, 1000):
+        merged = [r for b in dv._merge(iter(whole.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+        keys = [(r["term"], r["lang"], r["source"]) for r in merged]
+        assert sorted(keys) == sorted(want) and len(set(keys)) == len(keys)
+        assert all((want[k], docs[k]) == (r["n"], r["docs"]) for k, r in zip(keys, merged))
+
+
+def test_long_and_odd_texts():
+    text = "Aé bb, " * 50_000 + "c" * 60 + " bb\x00日本İx"
+    whole, block = Counter(t.translate(LOWER).encode() for t in TERM.findall(text)), dv._Block()
+    block.add(pa.array(["en"] * 3, pa.binary()), pa.array(["s"] * 3, pa.binary()),
+              pa.array(["", text, "zz"], pa.binary())[1:2].take(pa.array([0, 0, 0])))
+    [run] = block.run(1)
+    got = dict(zip(run.column("term").flatten().to_pylist(), zip(run.column("n").flatten().to_pylist(),
+                                                                run.column("docs").flatten().to_pylist())))
+    assert got == {t: (3 * n, 3) for t, n in whole.items()}
