@@ -1,9 +1,9 @@
 """Missing values and outliers.
 
-Statistics are computed in as few passes as possible and applied as
-literals: one pass gives row count, non-null counts, min and max of every
-numeric column; one shared quantile search finds all medians, and one all
-clip bounds.
+NULL and NaN are missing throughout. Statistics are computed in as few passes
+as possible and applied as literals: one pass gives the row count and each
+column's number of values, min and max; one search (a sketch, then exact
+counts) finds all medians and clip bounds together.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from cohortlens import constants as K
 from cohortlens.functions import clip
-from cohortlens.operators.quantiles import exact_quantiles
+from cohortlens.operators.quantiles import (between, column_stats, exact_quantiles, missing, order_statistics,
+                                            position)
 
 
 def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
@@ -27,7 +28,7 @@ def null_profile(df: DataFrame) -> DataFrame:
     """Per column: missing count, only where it is above zero; with table size."""
     cols = df.columns
     counts = df.agg(F.count(F.lit(1)).alias("_rows"),
-                    *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)])
+                    *[F.count_if(missing(df, c)).alias(f"_n{i}") for i, c in enumerate(cols)])
     pairs = ", ".join(f"'{c}', _n{i}" for i, c in enumerate(cols))
     long = counts.selectExpr("_rows AS row_count", f"{len(cols)} AS column_count",
                              f"stack({len(cols)}, {pairs}) AS (column_name, missing_count)")
@@ -48,44 +49,15 @@ def fit_imputation(df: DataFrame, exclude: tuple[str, ...] = ("member_id",),
     no value at all keeps NULL (its median is undefined).
     """
     cols = numeric_columns(df, exclude)
-    stats = stats or _stats_with_rows(df, cols)
-    rows = stats["__rows__"]
-    missing = [c for c in cols if stats[c][0] < rows]
-    fills: dict[str, float | None] = {c: 0 for c in missing if _zero_imputed(c)}
-    median_cols = [c for c in missing if not _zero_imputed(c)]
-    medians = exact_quantiles(df, median_cols, [0.5], stats=stats)
-    for c in median_cols:
-        fills[c] = medians[c][0]
-    return fills
-
-
-def _stats_with_rows(df: DataFrame, cols: list[str]) -> dict[str, tuple]:
-    """count / min / max per column plus the row count, in one pass."""
-    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[x for c in cols for x in (
-        F.count(c), F.min(F.col(c).cast("double")), F.max(F.col(c).cast("double")))]).first()
-    out = {c: (row[1 + 3 * i], row[2 + 3 * i], row[3 + 3 * i]) for i, c in enumerate(cols)}
-    out["__rows__"] = row["_rows"]
-    return out
-
-
-def _stats_after_fill(stats: dict[str, tuple], fills: dict[str, float | None]) -> dict[str, tuple]:
-    """Column stats after imputation, without another pass: a fill value
-    raises the count to the row count and can only widen min/max (a median
-    lies inside them, a zero may not)."""
-    out = dict(stats)
-    rows = stats["__rows__"]
-    for c, v in fills.items():
-        if v is None:
-            continue
-        n, lo, hi = stats[c]
-        v = float(v)
-        out[c] = (rows, v if lo is None else min(lo, v), v if hi is None else max(hi, v))
-    return out
+    stats = stats or column_stats(df, cols)
+    gaps = [c for c in cols if stats[c][0] < stats["__rows__"]]
+    medians = exact_quantiles(df, [c for c in gaps if not _zero_imputed(c)], [0.5], stats=stats)
+    return {c: 0 if _zero_imputed(c) else medians[c][0] for c in gaps}
 
 
 def apply_imputation(df: DataFrame, fills: dict[str, float | None]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.items()
-                           if v is not None})
+    """Missing values replaced; without a fill value they become NULL."""
+    return df.withColumns({c: F.when(missing(df, c), F.lit(v)).otherwise(F.col(c)) for c, v in fills.items()})
 
 
 def impute_by_name(df: DataFrame, exclude: tuple[str, ...] = ("member_id",)) -> DataFrame:
@@ -113,10 +85,10 @@ def fit_clip_bounds(df: DataFrame, exclude: tuple[str, ...] = ("member_id",),
 
 
 def apply_clip_bounds(df: DataFrame, bounds: dict[str, tuple]) -> DataFrame:
-    """``greatest(q01, least(q99, x))`` as double; no bounds means no clipping."""
+    """``greatest(q01, least(q99, x))`` as double; a missing value stays NULL, no bounds means no clipping."""
     out = {}
     for c, (lo, hi) in bounds.items():
-        x = F.col(c).cast("double")
+        x = F.when(~missing(df, c), F.col(c).cast("double"))
         out[c] = x if lo is None or hi is None else clip(x, float(lo), float(hi))
     return df.withColumns(out)
 
@@ -125,14 +97,56 @@ def clip_quantiles(df: DataFrame, exclude: tuple[str, ...] = ("member_id",)) ->
     return apply_clip_bounds(df, fit_clip_bounds(df, exclude))
 
 
-def handle_missing_and_outliers(df: DataFrame, exclude: tuple[str, ...] = ("member_id",)) -> DataFrame:
-    """Impute by name, then clip every eligible column to its [q01, q99].
+def fit_missing_and_outliers(df: DataFrame, exclude: tuple[str, ...] = ("member_id",),
+                             quantiles: tuple[float, float] = K.CLIP_QUANTILES
+                             ) -> tuple[dict[str, float | None], dict[str, tuple]]:
+    """Fill values, and the clip bounds of the filled columns, from one search.
 
-    One statistics pass serves both steps: the clip search starts from the
-    pre-imputation count/min/max adjusted for the fill values.
+    Filling puts ``m`` equal values v into a column, so rank k of the filled
+    column is rank k of the present values if that is below v, rank k - m if
+    that is above v, and else v itself. All these ranks are known before v is.
     """
-    stats = _stats_with_rows(df, numeric_columns(df, exclude))
-    fills = fit_imputation(df, exclude, stats)
-    imputed = apply_imputation(df, fills)
-    bounds = fit_clip_bounds(imputed, exclude, stats=_stats_after_fill(stats, fills))
-    return apply_clip_bounds(imputed, bounds)
+    cols = numeric_columns(df, exclude)
+    stats = column_stats(df, cols)
+    rows = stats["__rows__"]
+    gaps = [c for c in cols if stats[c][0] < rows]
+    medians = [c for c in gaps if not _zero_imputed(c) and stats[c][0]]
+    clipped = [c for c in clip_columns(df, exclude)]
+    wanted: dict[str, set[int]] = {c: set() for c in {*medians, *clipped} if stats[c][0]}
+    for c in medians:
+        wanted[c].update(position(0.5, stats[c][0])[:2])
+    size = {c: rows if _zero_imputed(c) or stats[c][0] else 0 for c in clipped}     # of the filled column
+    for c in clipped:
+        n = stats[c][0]
+        for k in (k for p in quantiles if n for k in position(p, size[c])[:2]):
+            wanted[c].update(x for x in (k, k - (rows - n)) if 0 <= x < n)
+    values = order_statistics(df, wanted, stats)
+
+    fills: dict[str, float | None] = {}
+    for c in gaps:
+        if _zero_imputed(c):
+            fills[c] = 0
+        else:
+            low, high, share = position(0.5, stats[c][0]) if stats[c][0] else (0, 0, 0)
+            fills[c] = between(values[c, low], values[c, high], share) if stats[c][0] else None
+
+    def filled(c: str, k: int) -> float:
+        """Rank ``k`` of the filled column."""
+        if c not in fills:
+            return values[c, k]
+        v, before = float(fills[c]), k - (rows - stats[c][0])
+        if (c, k) in values and values[c, k] < v:
+            return values[c, k]
+        return values[c, before] if (c, before) in values and values[c, before] > v else v
+
+    bounds = {}
+    for c in clipped:
+        places = [position(p, size[c]) for p in quantiles] if size[c] else []
+        bounds[c] = tuple(between(filled(c, low), filled(c, high), share) for low, high, share in places) or (None, None)
+    return fills, bounds
+
+
+def handle_missing_and_outliers(df: DataFrame, exclude: tuple[str, ...] = ("member_id",)) -> DataFrame:
+    """Impute by name, then clip every eligible column to its [q01, q99]."""
+    fills, bounds = fit_missing_and_outliers(df, exclude)
+    return apply_clip_bounds(apply_imputation(df, fills), bounds)

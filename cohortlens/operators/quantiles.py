@@ -2,23 +2,24 @@
 
 Spark's exact ``percentile`` merges every distinct value of a column into one
 aggregation buffer in one task; on a wide member table that buffer grows with
-the data. Here every wanted order statistic is bracketed and the bracket is
-narrowed, for all columns together, by plain aggregates of fixed size:
-
-1. one pass: count, min and max of every column;
-2. a round has two passes over the values inside the brackets: a bounded
-   sketch (``percentile_approx``) proposes a narrower bracket around the rank,
-   then exact counts below, at and inside its edges (and the edges' inner
-   neighbours) confirm it. If the rank falls on an edge, that edge is the
-   value; else the search goes on strictly between the edges.
-
-The sketch's rank error is at most ``1 / ACCURACY`` of the bracket, so a
-round leaves a bracket of a few ``1 / ACCURACY`` of its values, or ends. The
-driver reads one row of a few numbers per wanted rank and pass, whatever the
-data. A value shared by a third of all rows is never repeated. Results equal
-pandas ``quantile`` / DuckDB ``quantile_cont``:
-``v[k] + (v[k+1] - v[k]) * frac`` at position ``p * (n - 1)``. NULL and NaN
-are skipped; a column without values gives ``None``.
+the data. Here every wanted order statistic is found in three passes, for all
+columns together:
+
+1. count, min and max of every column;
+2. one bounded sketch a column (``percentile_approx``) proposes a bracket
+   around each of its wanted ranks; overlapping brackets are united;
+3. exact counts: every value becomes the number of its bracket, or of the gap
+   between two, and only values inside a bracket are kept apart. Running
+   counts over these few rows name the value of each rank, and prove that it
+   lay in its bracket.
+
+The sketch's rank error is at most ``1 / ACCURACY``, so a bracket holds a few
+``1 / ACCURACY`` of a column's values. Counting is pre-aggregated before its
+shuffle, and a value shared by a third of all rows is one row. The driver reads
+a few numbers per wanted rank, whatever the data. Results equal pandas
+``quantile`` / DuckDB ``quantile_cont``: ``v[k] + (v[k+1] - v[k]) * frac`` at
+position ``p * (n - 1)``. NULL and NaN are skipped; a column without values
+gives ``None``.
 """
 
 from __future__ import annotations
@@ -26,72 +27,127 @@ from __future__ import annotations
 import dataclasses
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000   # of the sketch; its size is proportional to it
+ACCURACY = 2_000    # of the sketch; its size is proportional to it
 
 
 @dataclasses.dataclass
 class _Rank:
-    """One wanted order statistic: the value of rank ``rank`` among ``n``."""
+    """One wanted order statistic: the value of rank ``rank`` among the ``n`` of column number ``column``."""
 
-    column: str
+    column: int
     rank: int
     low: float
     high: float
-    inside: int             # values within [low, high]
-    below: int = 0          # values less than low
+    n: int
     value: float | None = None
 
 
-def _present(c: str) -> Column:
-    v = F.col(c).cast("double")
-    return F.when(~F.isnan(v), v)
+def missing(df: DataFrame, c: str) -> Column:
+    """NULL, or NaN in a floating-point column."""
+    floating = dict(df.dtypes)[c] in ("double", "float")
+    return F.col(c).isNull() | F.isnan(c) if floating else F.col(c).isNull()
+
+
+def _long(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(c, v): the number of the column and the value, for every value; c = -1 once for every row.
+
+    One row a value keeps the plans small and lets each column be merged in
+    a task of its own; aggregates combine before the shuffle.
+    """
+    types = dict(df.dtypes)
+    cells = [F.struct(F.lit(-1).alias("c"), F.lit(0.0).alias("v"))]
+    cells += [F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)]
+    v = F.col("x.v")
+    if any(types[c] in ("double", "float") for c in cols):
+        v = F.when(~F.isnan(v), v)
+    return df.select(F.explode(F.array(*cells)).alias("x")).select("x.c", v.alias("v")).filter("v IS NOT NULL")
 
 
 def column_stats(df: DataFrame, cols: list[str]) -> dict[str, tuple]:
-    """(count of values, min, max) of each column, in one pass."""
-    if not cols:
-        return {}
-    row = df.agg(*[x for c in cols for x in (F.count(_present(c)), F.min(_present(c)), F.max(_present(c)))]).first()
-    return {c: (row[3 * i], row[3 * i + 1], row[3 * i + 2]) for i, c in enumerate(cols)}
+    """(count of values, min, max) of each column, and the row count as ``__rows__``, in one pass."""
+    found = {r["c"]: (r["n"], r["low"], r["high"]) for r in _long(df, cols).groupBy("c").agg(
+        F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()}
+    out: dict[str, tuple] = {c: found.get(i, (0, None, None)) for i, c in enumerate(cols)}
+    return {**out, "__rows__": found.get(-1, (0,))[0]}
+
+
+def _brackets(data: DataFrame, active: list[_Rank]) -> dict[int, list[tuple[float, float]]]:
+    """Disjoint ascending brackets of each column around its wanted ranks, from one sketch a column."""
+    room = 2 / ACCURACY
+    around = {(r.rank, r.n): (max(0.0, r.rank / r.n - room), min(1.0, (r.rank + 1) / r.n + room)) for r in active}
+    fractions = sorted({f for pair in around.values() for f in pair})
+    place = {f: i for i, f in enumerate(fractions)}
+    sketches = {r["c"]: r["q"] for r in data.groupBy("c").agg(
+        F.percentile_approx("v", fractions, ACCURACY).alias("q")).collect()}
+    proposed: dict[int, list[tuple[float, float]]] = {}
+    for r in active:
+        low, high = (sketches[r.column][place[f]] for f in around[r.rank, r.n])
+        proposed.setdefault(r.column, []).append((r.low if r.rank / r.n <= room else low,
+                                                  r.high if (r.rank + 1) / r.n >= 1 - room else high))
+    out = {}
+    for c, pairs in proposed.items():
+        united: list[tuple[float, float]] = []
+        for low, high in sorted(pairs):
+            if united and low <= united[-1][1]:
+                low, high = united[-1][0], max(high, united.pop()[1])
+            united.append((low, high))
+        out[c] = united
+    return out
 
 
 def _narrow(data: DataFrame, active: list[_Rank]) -> None:
-    """One round for all unresolved ranks."""
-    proposals = []
+    """Find all wanted values: bracket them, then count exactly."""
+    brackets = _brackets(data, active)
+    spark = data.sparkSession
+    edges = spark.createDataFrame([(c, [x[0] for x in found], [x[1] for x in found]) for c, found in brackets.items()],
+                                  "c int, lows array<double>, highs array<double>")
+    v = F.col("v")
+    before = F.size(F.filter("highs", lambda high: high < v))       # brackets that end before the value
+    inside = (F.col("before") < F.size("highs")) & (v >= F.get("lows", F.col("before")))
+    counts = (data.join(F.broadcast(edges), "c")                    # one row a column
+              .withColumn("before", before).withColumn("inside", inside)
+              .groupBy("c", "before", "inside", F.when(F.col("inside"), v).alias("v")).agg(F.count(F.lit(1)).alias("n")))
+    upto = Window.partitionBy("c").orderBy("before", "inside", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wanted = spark.createDataFrame([(r.column, r.rank) for r in active], "c int, rank long")
+    found = counts.withColumn("upto", F.sum("n").over(upto)).join(F.broadcast(wanted), "c").filter(   # a few ranks a column
+        (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+    values = {(x["c"], x["rank"]): x["v"] for x in found.select("c", "rank", "v").collect()}
     for r in active:
-        v, m, k = F.col(r.column), r.inside, r.rank - r.below
-        fractions = [max(0.0, k / m - 2 / ACCURACY), min(1.0, (k + 1) / m + 2 / ACCURACY)]
-        inside = F.when(v.between(F.lit(r.low), F.lit(r.high)), v)
-        proposals.append(F.percentile_approx(inside, fractions, ACCURACY))
-    brackets = []
-    for r, (a, b) in zip(active, data.agg(*proposals).first()):
-        k = r.rank - r.below
-        low = r.low if k / r.inside <= 2 / ACCURACY else a
-        high = r.high if (k + 1) / r.inside >= 1 - 2 / ACCURACY else b
-        brackets.append((low, high))
-    facts = []
-    for r, (low, high) in zip(active, brackets):
-        v = F.col(r.column)
-        within = (v > F.lit(low)) & (v < F.lit(high))
-        facts += [F.count_if(v < F.lit(low)), F.count_if(v == F.lit(low)), F.count_if(within),
-                  F.min(F.when(within, v)), F.max(F.when(within, v)), F.count_if(v == F.lit(high))]
-    row = data.agg(*facts).first()
-    for i, (r, (low, high)) in enumerate(zip(active, brackets)):
-        below, at_low, within, first, last, at_high = row[6 * i:6 * i + 6]
-        k = r.rank - below
-        if 0 <= k < at_low:
-            r.value = low
-        elif at_low <= k < at_low + within:
-            r.low, r.high, r.below, r.inside = first, last, below + at_low, within
-            if first == last:
-                r.value = first
-        elif at_low + within <= k < at_low + within + at_high:
-            r.value = high
-        else:
-            raise RuntimeError(f"rank {r.rank} of {r.column} left its bracket: the data changed between passes")
+        r.value = values.get((r.column, r.rank))
+        if r.value is None:
+            raise RuntimeError(f"rank {r.rank} of column {r.column} left its bracket: the data changed between passes")
+
+
+def order_statistics(df: DataFrame, wanted: dict[str, set[int]], stats: dict[str, tuple]) -> dict[tuple[str, int], float]:
+    """The values of the wanted ranks (from 0) among the values of each column."""
+    ranks: dict[tuple[str, int], _Rank] = {}
+    for c, positions in wanted.items():
+        n, low, high = stats[c]
+        for k in positions:
+            known = low if low == high or k == 0 else high if k == n - 1 else None
+            ranks[c, k] = _Rank(0, k, low, high, n, known)
+    open_ = {c: None for (c, _), r in ranks.items() if r.value is None}
+    cols = list(open_)
+    active = [r for (c, _), r in ranks.items() if r.value is None]
+    for (c, _), r in ranks.items():
+        r.column = cols.index(c) if c in open_ else -1
+    if active:
+        _narrow(_long(df, cols).filter("c >= 0"), active)
+    return {key: r.value for key, r in ranks.items()}
+
+
+def position(p: float, n: int) -> tuple[int, int, float]:
+    """(rank below, rank above, share of the way) of the ``p`` quantile of ``n`` values."""
+    at = p * (n - 1)
+    k = int(math.floor(at))
+    return k, min(k + 1, n - 1) if at > k else k, at - k
+
+
+def between(low: float, high: float, share: float) -> float:
+    return low + (high - low) * share if share else low
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
@@ -99,31 +155,9 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     """``probs`` quantiles of each column; ``stats`` (from ``column_stats``) saves the first pass."""
     if not cols:
         return {}
-    names = {c: f"_q{i}" for i, c in enumerate(cols)}
-    data = df.select(*[_present(c).alias(names[c]) for c in cols])
     if stats is None or any(c not in stats for c in cols):
         stats = column_stats(df, cols)
-    ranks: dict[tuple[str, int], _Rank] = {}
-    plan: dict[tuple[str, float], tuple[int, float]] = {}
-    for c in cols:
-        n, low, high = stats[c]
-        for p in probs if n else ():
-            position = p * (n - 1)
-            k = int(math.floor(position))
-            plan[c, p] = (k, position - k)
-            for rank in {k, min(k + 1, n - 1)} if position > k else {k}:
-                known = low if low == high or rank == 0 else high if rank == n - 1 else None
-                ranks.setdefault((c, rank), _Rank(names[c], rank, low, high, n, 0, known))
-    while active := [r for r in ranks.values() if r.value is None]:
-        _narrow(data, active)
-    out: dict[str, list[float | None]] = {}
-    for c in cols:
-        out[c] = []
-        for p in probs:
-            if (c, p) not in plan:
-                out[c].append(None)
-                continue
-            k, frac = plan[c, p]
-            v = ranks[c, k].value
-            out[c].append(v + (ranks[c, k + 1].value - v) * frac if frac else v)
-    return out
+    places = {c: [position(p, stats[c][0]) for p in probs] if stats[c][0] else [] for c in cols}
+    values = order_statistics(df, {c: {k for below, above, _ in at for k in (below, above)} for c, at in places.items()}, stats)
+    return {c: [between(values[c, below], values[c, above], share) for below, above, share in at] or [None] * len(probs)
+            for c, at in places.items()}

@@ -63,3 +63,51 @@ def test_exact_quantiles_ties_nan_and_wide_scales(spark, monkeypatch, accuracy):
     assert got["nan"] == pytest.approx(list(np.quantile([a for i, a in enumerate(tied) if i % 7], probs)))
     assert got["none"] == [None] * 6
     assert len(rounds) <= 6
+
+
+def _with_gaps(seed, n):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=n) * 10
+    gap = rng.random(n)
+    rows = []
+    for i in range(n):
+        hole = None if gap[i] < .1 else float("nan") if gap[i] < .2 else float(x[i])
+        rows.append((i, hole, None if gap[i] > .7 else int(x[i]), hole, float(round(x[i])),
+                     None if gap[i] < .995 else 1.0, float("nan") if i % 2 else None))
+    return rows
+
+
+@pytest.mark.parametrize("seed,n", [(1, 1000), (2, 37), (3, 2)])
+def test_nan_is_missing_in_every_step(spark, seed, n):
+    """Profile, fill and clip against pandas, through the operators."""
+    pd = pytest.importorskip("pandas")
+    schema = "member_id long, avg_x double, step_count int, total_x double, full double, rare double, none double"
+    rows = _with_gaps(seed, n)
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    table = pd.DataFrame(rows, columns=df.columns).astype(float)
+    profile = {r.column_name: r.missing_count for r in clean.null_profile(df).collect()}
+    assert profile == {c: int(v) for c, v in table.isna().sum().items() if v}
+    fill = {"step_count": 0.0, "total_x": 0.0} | {c: table[c].median() for c in ("avg_x", "full", "rare", "none")}
+    imputed = table.fillna(fill)
+    got = clean.impute_by_name(df).toPandas().sort_values("member_id").astype(float)
+    pd.testing.assert_frame_equal(got.reset_index(drop=True), imputed, check_exact=False, rtol=1e-12)
+    want = imputed.copy()
+    for c in want.columns[1:]:
+        want[c] = imputed[c].clip(*imputed[c].quantile([.01, .99]))
+    out = clean.handle_missing_and_outliers(df)
+    got = out.toPandas().sort_values("member_id").astype(float).reset_index(drop=True)
+    pd.testing.assert_frame_equal(got, want, check_exact=False, rtol=1e-12)
+    assert out.filter("none IS NOT NULL").count() == 0
+    clipped = clean.clip_quantiles(df).toPandas().sort_values("member_id").astype(float).reset_index(drop=True)
+    for c in ("avg_x", "step_count", "full"):
+        pd.testing.assert_series_equal(clipped[c], table[c].clip(*table[c].quantile([.01, .99])), rtol=1e-12)
+
+
+def test_fit_takes_three_passes(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    df = spark.createDataFrame(_with_gaps(4, 500), "member_id long, a double, b int, c_total double, d double, e double, f double")
+    calls = []
+    for name in ("first", "collect"):
+        monkeypatch.setattr(DataFrame, name, lambda self, *a, f=getattr(DataFrame, name), n=name: (calls.append(n), f(self, *a))[1])
+    clean.fit_missing_and_outliers(df)
+    assert calls == ["collect"] * 3
