@@ -144,6 +144,33 @@ def metrics_table(spark: SparkSession, rows: dict[str, dict[str, float]]) -> Dat
     return spark.createDataFrame(data, schema)
 
 
+def compare(spark: SparkSession, held_out: DataFrame, out_of_fold: DataFrame | None, names) -> DataFrame:
+    """``metrics_table`` of the models in (model, label, prediction, score) tables: held-out
+    metrics of each, and F1 over the folds of the out-of-fold table (with ``fold``)."""
+    rows = {}
+    for name in names:
+        mine = held_out.where(F.col("model") == name)
+        rows[name] = classification_metrics(mine).first().asDict() | roc_auc(mine).first().asDict()
+        if out_of_fold is not None:
+            rows[name] |= fold_f1(out_of_fold.where(F.col("model") == name)).first().asDict()
+    return metrics_table(spark, rows)
+
+
+def part_counts(held_out: DataFrame, out_of_fold: DataFrame) -> DataFrame:
+    """Confusion counts of every model on the held-out rows (part ``held out``) and on each fold, and
+    whether its F1 is higher than that of calling every member churned."""
+    y, p = F.col(K.LABEL_COLUMN), F.col("prediction")
+    parts = held_out.withColumn("part", F.lit("held out")).unionByName(
+        out_of_fold.withColumn("part", F.concat(F.lit("fold "), F.col("fold"))).drop("fold"))
+    counts = parts.groupBy("model", "part").agg(
+        F.count(F.lit(1)).alias("members"), F.count_distinct("member_id").alias("distinct_members"),
+        F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
+        F.count_if((y == 1) & (p == 0)).alias("fn"), F.count_if((y == 0) & (p == 0)).alias("tn"))
+    f1 = _div(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))
+    positives, negatives = F.col("tp") + F.col("fn"), F.col("fp") + F.col("tn")
+    return counts.withColumn("beats_constant", f1 > _div(2 * positives, 2 * positives + negatives))
+
+
 def best_model(metrics: DataFrame) -> DataFrame:
     """Highest unrounded F1; a tie goes to the earliest model in the comparison order."""
     return metrics.orderBy(F.col("f1_score").desc(), F.col("model_order").asc()).limit(1)

@@ -9,15 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens import constants as K
 from cohortlens.operators import (clean, engineer, evaluate, features, label, models, reports,
-                                  scoring, split, timeline)
+                                  scoring, split, timeline, trees)
 from cohortlens import sinks
-from cohortlens.session import materialize
+from cohortlens.session import materialize, path_exists
 from cohortlens.sources import files
 from cohortlens.plans import workflow as W
 from cohortlens.sources.standin import (ORDERS_THRESHOLD_DAYS, events_profile,
@@ -544,6 +545,20 @@ def _fit(spark, sf, names=K.MODEL_ORDER[:1]):
     return s, maxima, models.train_and_compare(spark, s, list(K.FEATURE_COLUMNS), 5, names=names, with_cv=False)
 
 
+_RUNS: dict[tuple[str, str], W.TrainedRun] = {}
+
+
+def _trained(spark, sf) -> W.TrainedRun:
+    """The training run of this application on these tables: all three models, cross-validated.
+
+    The first query that needs it trains; the others read what it wrote, as serving does.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _RUNS or not path_exists(spark, _RUNS[key].folder):
+        _RUNS[key] = W.train(spark, _orders(spark, sf), ORDERS_THRESHOLD_DAYS, sinks.scratch_path(spark, "training-run"))
+    return _RUNS[key]
+
+
 def _sound(pred):
     """Held-out rows: the probability is one, and the decision follows from it."""
     p = F.col("score")
@@ -552,9 +567,20 @@ def _sound(pred):
         ((p > 0.5) == (F.col("prediction") == 1)).alias("decision_consistent"))
 
 
-def _held_out(spark, sf, name):
-    s, _, result = _fit(spark, sf, names=(name,))
-    return _sound(models.with_probability(result.models[name].transform(s.where(F.col("is_test")))))
+def _by_nodes(spark, model, path, rows, held_out):
+    """Held-out rows scored by the model and by joins over its saved node table, with the trees whose
+    leaf was reached, and whether the model ranks churned members first."""
+    by_joins = trees.relational_scores(spark, path, model, rows)
+    auc = evaluate.roc_auc(held_out).first()["roc_auc"]
+    return held_out.join(by_joins, "member_id").select(
+        "member_id", K.LABEL_COLUMN, "trees",
+        (F.abs(F.col("score") - F.col("relational_score")) < 1e-9).alias("same_score"), F.lit(auc > 0.9).alias("ranks_well"))
+
+
+def _held_out_by_nodes(spark, sf, name):
+    run = _trained(spark, sf)
+    return _by_nodes(spark, sinks.load_pipeline(f"{run.model_dir(name)}/pipeline"), f"{run.model_dir(name)}/pipeline",
+                     run.table("split").where("is_test"), run.table("held_out").where(F.col("model") == name))
 
 
 @register("fit_logistic")
@@ -563,18 +589,17 @@ def q_fit_logistic(spark, sf):
     s, _, result = _fit(spark, sf)
     model = result.models[K.MODEL_ORDER[0]]
     slope = models.logistic_gradient(model, split.class_weights(s.where(~F.col("is_test"))), result.n_train)
-    test = models.with_probability(model.transform(s.where(F.col("is_test"))))
-    return _sound(test).withColumn("gradient_at_solution", F.lit(round(slope, 3) + 0.0))
+    return _sound(result.held_out).withColumn("gradient_at_solution", F.lit(round(slope, 3) + 0.0))
 
 
 @register("fit_forest")
 def q_fit_forest(spark, sf):
-    return _held_out(spark, sf, K.MODEL_ORDER[1])
+    return _held_out_by_nodes(spark, sf, K.MODEL_ORDER[1])
 
 
 @register("fit_boosted")
 def q_fit_boosted(spark, sf):
-    return _held_out(spark, sf, K.MODEL_ORDER[2])
+    return _held_out_by_nodes(spark, sf, K.MODEL_ORDER[2])
 
 
 @register("fit_synthetic")
@@ -585,7 +610,32 @@ def q_fit_synthetic(spark, sf):
     name = K.MODEL_ORDER[1]
     result = models.train_and_compare(spark, s, list(K.FEATURE_COLUMNS), 5, models.ModelParams.synthetic(),
                                       with_cv=False, names=(name,))
-    return _sound(models.with_probability(result.models[name].transform(s.where(F.col("is_test")))))
+    path = sinks.scratch_path(spark, "synthetic-model")
+    sinks.save_pipeline(result.models[name], path)
+    return _by_nodes(spark, result.models[name], path, s.where("is_test"), result.held_out)
+
+
+@register("metrics_table")
+def q_metrics_table(spark, sf):
+    """Every fitted model on the held-out rows and on each fold (of the out-of-fold predictions)."""
+    run = _trained(spark, sf)
+    parts = evaluate.part_counts(run.table("held_out"), run.table("out_of_fold"))
+    return parts.select("model", "part", "members", "distinct_members", (F.col("tp") + F.col("fn")).alias("positives"),
+                        (F.col("fp") + F.col("tn")).alias("negatives"), "beats_constant")
+
+
+@register("best_model")
+def q_best_model(spark, sf):
+    """The chosen model's held-out rows, and the rule by which it was chosen, from the written predictions."""
+    run = _trained(spark, sf)
+    chosen = evaluate.best_model(run.result.metrics).select("model")
+    f1 = F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))
+    order = F.array_position(F.array(*map(F.lit, K.MODEL_ORDER)), F.col("model"))
+    place = F.row_number().over(Window.orderBy(F.coalesce(f1, F.lit(0.0)).desc(), order))   # three rows
+    ranked = evaluate.part_counts(run.table("held_out"), run.table("out_of_fold")).where("part = 'held out'").withColumn(
+        "place", place)
+    return ranked.join(F.broadcast(chosen), "model").select(
+        "place", "members", (F.col("tp") + F.col("fn")).alias("positives"), "beats_constant")
 
 
 # fixed values: rule-score cut-offs that stand for three models (the last two tie)
@@ -601,69 +651,90 @@ def _cut_off_metrics(spark, sf):
     return evaluate.mark_best(evaluate.metrics_table(spark, rows))
 
 
-@register("metrics_table")
-def q_metrics_table(spark, sf):
+@register("cut_off_metrics")
+def q_cut_off_metrics(spark, sf):
     return evaluate.rounded(_cut_off_metrics(spark, sf)).drop("cv_f1_mean", "cv_f1_std")
 
 
-@register("best_model")
-def q_best_model(spark, sf):
+@register("cut_off_best")
+def q_cut_off_best(spark, sf):
     return evaluate.rounded(evaluate.best_model(_cut_off_metrics(spark, sf))).select("model", "f1_score")
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
-    _, _, result = _fit(spark, sf)
-    top = models.feature_importance(result.models[result.best], result.feature_cols, result.n_train)
-    place = F.row_number().over(Window.orderBy(F.desc("importance"), "feature"))  # 15 rows
-    known = F.col("feature").isin(*K.FEATURE_COLUMNS)
-    return top.select(place.alias("place"), (F.col("share_of_max").between(0.0, 1.0) & known).alias("valid"))
+    """The forest's importances, of the model and from the gains in its saved node table."""
+    run = _trained(spark, sf)
+    path = f"{run.model_dir(K.MODEL_ORDER[1])}/pipeline"
+    ensemble = sinks.load_pipeline(path)
+    top = models.feature_importance(ensemble, run.result.feature_cols, run.result.n_train, top=len(K.FEATURE_COLUMNS))
+    number = spark.createDataFrame(list(enumerate(run.result.feature_cols)), "feature int, name string")
+    by_nodes = trees.relational_importances(trees.tree_nodes(spark, path)).join(F.broadcast(number), "feature").select(
+        F.col("name").alias("feature"), F.col("importance").alias("relational"))
+    train = run.table("split").where(~F.col("is_test"))
+    flat = train.agg(*[(F.min(c) == F.max(c)).alias(c) for c in K.FEATURE_COLUMNS]).unpivot(
+        [], list(K.FEATURE_COLUMNS), "feature", "constant")
+    same = F.abs(F.col("importance") - F.coalesce("relational", F.lit(0.0))) < 1e-9
+    return top.join(by_nodes, "feature", "left").join(flat, "feature").select(
+        "feature", "constant", (same & (~F.col("constant") | (F.col("importance") == 0))).alias("sound"))
 
 
 # --- 2.10 model scoring -------------------------------------------------------------------
 
-def _saved_model(spark, sf):
-    """A logistic model and its training statistics, written as a training run does."""
-    _, maxima, result = _fit(spark, sf)
-    path = sinks.scratch_path(spark, "model")
-    W.save_model(spark, result.models[result.best], maxima, path)
-    return path, result.models[result.best]
+def _best(spark, sf):
+    """(folder, fitted pipeline) of the best model of the training run."""
+    run = _trained(spark, sf)
+    return run.model_dir(run.result.best), run.result.models[run.result.best]
 
 
 @register("score_members")
 def q_score_members(spark, sf):
-    """All members scored from fresh logs with the saved model; indicators are not clipped."""
-    scored = W.score_fresh(_orders(spark, sf), _saved_model(spark, sf)[0])
-    p = F.col("churn_probability")
-    return W.round_doubles(scored.select("member_id", *K.KEY_FEATURES, p.between(0.0, 1.0).alias("probability_valid")))
+    """All members scored from fresh logs with the best saved model; indicators are not clipped.
+
+    ``score_follows``: the model ranks inactive members first (area under the curve above 0.8)
+    and each rounded score is that of the fitted pipeline on the same features.
+    """
+    folder, model = _best(spark, sf)
+    data = _orders(spark, sf)
+    scored = W.score_fresh(data, folder)
+    fresh = W.serving_features(data, files.read_statistics(spark, f"{folder}/statistics"))
+    again = models.with_probability(model.transform(fresh)).select("member_id", F.round("score", 4).alias("again"))
+    labels = _labelled(spark, sf).select("member_id", K.LABEL_COLUMN)
+    auc = evaluate.roc_auc(again.join(labels, "member_id").withColumnRenamed("again", "score")).first()["roc_auc"]
+    both = scored.join(again, "member_id")
+    return W.round_doubles(both.select(
+        "member_id", *K.KEY_FEATURES, ((F.col("churn_probability") == F.col("again")) & F.lit(auc > 0.8)).alias("score_follows")))
 
 
 @register("score_one")
 def q_score_one(spark, sf):
-    """The record of a known member beside that of an unknown one."""
-    path, model = _saved_model(spark, sf)
-    fresh = W.serving_features(_orders(spark, sf), files.read_statistics(spark, f"{path}/statistics"))
+    """The record of a known member beside that of an unknown one; its score is that of the batch."""
+    folder, _ = _best(spark, sf)
+    model = sinks.load_pipeline(f"{folder}/pipeline")
+    fresh = W.serving_features(_orders(spark, sf), files.read_statistics(spark, f"{folder}/statistics"))
     both = scoring.score_one(model, fresh, MEMBER_PROBE).unionByName(scoring.score_one(model, fresh, -1))
-    return both.select("member_id", "error", F.col("churn_probability").between(0.0, 1.0).alias("probability_valid"))
+    batch = W.score_fresh(_orders(spark, sf), folder).select("member_id", F.col("churn_probability").alias("batch"))
+    return both.join(batch, "member_id", "left").select(
+        "member_id", "error", (F.col("churn_probability") == F.col("batch")).alias("same_as_batch"))
 
 
 @register("save_pipeline")
 def q_save_pipeline(spark, sf):
-    """Stage classes and the feature order, read from the saved files."""
-    path, _ = _saved_model(spark, sf)
-    meta = spark.read.schema("class string, paramMap struct<inputCols: array<string>>").json(
-        f"{path}/pipeline/stages/*/metadata")
-    stages = meta.select(F.lit("stage").alias("kind"), F.lit(None).cast("int").alias("position"),
-                         F.col("class").alias("name"))
-    order = meta.select(F.posexplode("paramMap.inputCols").alias("position", "name")).select(
-        F.lit("feature").alias("kind"), "position", "name")
-    return stages.unionByName(order)
+    """Feature order, and the means and deviations of the training rows, from the saved files of the best model."""
+    folder, _ = _best(spark, sf)
+    order = spark.read.schema("class string, paramMap struct<inputCols: array<string>>").json(
+        f"{folder}/pipeline/stages/0_*/metadata").select(F.posexplode("paramMap.inputCols").alias("position", "feature"))
+    scaler = spark.read.parquet(f"{folder}/pipeline/stages/1_*/data").select(
+        F.arrays_zip(vector_to_array("mean").alias("mean"), vector_to_array("std").alias("std")).alias("s"))
+    values = scaler.select(F.posexplode("s").alias("position", "s")).select("position", "s.mean", "s.std")
+    hair = 1e-7     # so that exact ties do not round by the order of summation
+    return order.join(values, "position").withColumns({c: F.round(F.col(c) + hair, 4) for c in ("mean", "std")})
 
 
 @register("load_pipeline")
 def q_load_pipeline(spark, sf):
     """Members for whom the loaded pipeline gives the score of the fitted one."""
-    path, model = _saved_model(spark, sf)
+    path, model = _best(spark, sf)
     fresh = W.serving_features(_orders(spark, sf), files.read_statistics(spark, f"{path}/statistics"))
     fitted = models.with_probability(model.transform(fresh)).drop("features", "raw_features", "rawPrediction",
                                                                   "probability", "prediction")

@@ -611,10 +611,23 @@ ORACLE["serving_features"] = _ctes(*FEATURE_CTES, _SERVING) + "\nSELECT member_i
 # --- fitted models: what must hold of them ---------------------------------------------------
 
 _SOUND = "member_id, is_churned, true AS probability_valid, true AS decision_consistent"
-for _name in ("fit_forest", "fit_boosted", "fit_synthetic"):
-    ORACLE[_name] = _ctes(*SPLIT_CTES) + f"\nSELECT {_SOUND} FROM split WHERE is_test"
+for _name, _trees in (("fit_forest", 100), ("fit_boosted", 100), ("fit_synthetic", 200)):
+    ORACLE[_name] = _ctes(*SPLIT_CTES) + (
+        f"\nSELECT member_id, is_churned, CAST({_trees} AS BIGINT) AS trees, true AS same_score, true AS ranks_well "
+        "FROM split WHERE is_test")
 ORACLE["fit_logistic"] = _ctes(*SPLIT_CTES) + (
     f"\nSELECT {_SOUND}, CAST(0.0 AS DOUBLE) AS gradient_at_solution FROM split WHERE is_test")
+_MODELS = f"models(model) AS (VALUES {', '.join(f"('{m}')" for m in K.MODEL_ORDER)})"
+ORACLE["metrics_table"] = _ctes(*SPLIT_CTES, _MODELS) + """
+SELECT model, part, count(*) AS members, count(DISTINCT member_id) AS distinct_members,
+       count(*) FILTER (WHERE is_churned = 1) AS positives, count(*) FILTER (WHERE is_churned = 0) AS negatives,
+       true AS beats_constant
+FROM (SELECT member_id, is_churned, 'held out' AS part FROM test
+      UNION ALL SELECT member_id, is_churned, 'fold ' || fold FROM folds) CROSS JOIN models
+GROUP BY model, part"""
+ORACLE["best_model"] = _ctes(*SPLIT_CTES) + """
+SELECT 1 AS place, count(*) AS members, count(*) FILTER (WHERE is_churned = 1) AS positives, true AS beats_constant
+FROM test"""
 
 _CUT = f"""cut(model_order, model, cut_off) AS (VALUES {', '.join(
     f"({i}, '{name}', {cut})" for i, (name, cut) in enumerate(zip(K.MODEL_ORDER, (0.3, 0.4, 0.4))))}),
@@ -627,26 +640,25 @@ cut_cm AS (
 cut_best AS (
   SELECT model FROM cut_cm ORDER BY {_sdiv('2 * tp', '2 * tp + fp + fn')} DESC, model_order LIMIT 1)"""
 _CUT_COLUMNS = f"model, {_METRICS}, roc_auc, model = (SELECT model FROM cut_best) AS is_best"
-ORACLE["metrics_table"] = _ctes(*SPLIT_CTES, _AUC, _CUT) + (
+ORACLE["cut_off_metrics"] = _ctes(*SPLIT_CTES, _AUC, _CUT) + (
     f"\nSELECT model_order, {_CUT_COLUMNS} FROM cut_cm CROSS JOIN auc")
 ORACLE["scan_metrics"] = _ctes(*SPLIT_CTES, _AUC, _CUT) + f"\nSELECT {_CUT_COLUMNS} FROM cut_cm CROSS JOIN auc"
-ORACLE["best_model"] = _ctes(*SPLIT_CTES, _CUT) + (
+ORACLE["cut_off_best"] = _ctes(*SPLIT_CTES, _CUT) + (
     f"\nSELECT model, round({_sdiv('2 * tp', '2 * tp + fp + fn')}, 4) AS f1_score "
     "FROM cut_cm WHERE model = (SELECT model FROM cut_best)")
-ORACLE["feature_importance"] = "SELECT CAST(range AS INTEGER) AS place, true AS valid FROM range(1, 16)"
-ORACLE["score_members"] = _ctes(*ENGINEERED_CTES) + "\nSELECT member_id, true AS probability_valid, " + ", ".join(
+_PTRAIN = _ctes(*ENGINEERED_CTES, _IMPUTED, _clipped("imputed"), _PSPLIT)
+ORACLE["feature_importance"] = _PTRAIN + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS feature, min({c}) = max({c}) AS constant, true AS sound FROM ptrain" for c in K.FEATURE_COLUMNS)
+ORACLE["score_members"] = _ctes(*ENGINEERED_CTES) + "\nSELECT member_id, true AS score_follows, " + ", ".join(
     _r6(c, f"coalesce({c}, 0.0)") if c in DOUBLE_COLUMNS else f"coalesce({c}, 0) AS {c}"
     for c in K.KEY_FEATURES) + " FROM engineered"
 ORACLE["score_one"] = f"""
-SELECT CAST({MEMBER_PROBE} AS BIGINT) AS member_id, CAST(NULL AS VARCHAR) AS error, true AS probability_valid
+SELECT CAST({MEMBER_PROBE} AS BIGINT) AS member_id, CAST(NULL AS VARCHAR) AS error, true AS same_as_batch
 FROM customer WHERE c_custkey = {MEMBER_PROBE}
 UNION ALL SELECT -1, 'Member not found', NULL"""
-ORACLE["save_pipeline"] = """
-SELECT 'stage' AS kind, CAST(NULL AS INTEGER) AS position, unnest([
-  'org.apache.spark.ml.feature.VectorAssembler', 'org.apache.spark.ml.feature.StandardScalerModel',
-  'org.apache.spark.ml.classification.LogisticRegressionModel']) AS name
-UNION ALL SELECT 'feature', position, feature FROM (VALUES """ + ", ".join(
-    f"({i}, '{c}')" for i, c in enumerate(K.FEATURE_COLUMNS)) + ") f(position, feature)"
+ORACLE["save_pipeline"] = _PTRAIN + "\n" + "\nUNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS feature, round(avg({c}) + 1e-7, 4) AS mean, round(stddev_samp({c}) + 1e-7, 4) AS std FROM ptrain"
+    for i, c in enumerate(K.FEATURE_COLUMNS))
 ORACLE["load_pipeline"] = "SELECT c_custkey AS member_id, true AS same_score FROM customer"
 ORACLE["sink_feature_columns"] = "SELECT * FROM (VALUES " + ", ".join(
     f"({i}, '{c}')" for i, c in enumerate(K.FEATURE_COLUMNS)) + ") f(position, feature)"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,7 @@ from cohortlens.functions import risk_bucket
 from cohortlens.operators.clean import handle_missing_and_outliers
 from cohortlens.operators.engineer import engineer_features
 from cohortlens.operators.features import feature_table
+from cohortlens.operators import models
 from cohortlens.operators.label import churn_label, rule_churn_score
 from cohortlens.session import materialize, scratch_run
 from cohortlens.sources.activity import ActivityData
@@ -86,6 +89,36 @@ def save_model(spark, model, maxima: dict[str, float], model_dir: str) -> None:
     sinks.write_statistics(spark, maxima, f"{model_dir.rstrip('/')}/statistics")
 
 
+@dataclasses.dataclass
+class TrainedRun:
+    """What a training run wrote under ``folder``: ``split``, ``held_out`` and ``out_of_fold``
+    tables, and a model folder per model (``model_dir``)."""
+
+    folder: str
+    result: "models.TrainingResult"
+
+    def model_dir(self, name: str) -> str:
+        return f"{self.folder}/model-{K.MODEL_ORDER.index(name)}"
+
+    def table(self, name: str) -> DataFrame:
+        return self.result.metrics.sparkSession.read.parquet(f"{self.folder}/{name}")
+
+
+def train(spark, data: ActivityData, threshold_days: int, folder: str, params=None, with_cv: bool = True) -> TrainedRun:
+    """Split, fit and compare the three models; every table and every model is written to ``folder``."""
+    from cohortlens.operators import split
+    split_df, maxima = training_split(data, threshold_days)
+    k = split.fold_count(split_df.where(~F.col("is_test")))
+    result = models.train_and_compare(spark, split_df, list(K.FEATURE_COLUMNS), k, params or models.ModelParams(), with_cv)
+    run = TrainedRun(folder.rstrip("/"), result)
+    for name, table in (("split", split_df), ("held_out", result.held_out), ("out_of_fold", result.out_of_fold)):
+        if table is not None:
+            table.write.mode("overwrite").parquet(f"{run.folder}/{name}")
+    for name, model in result.models.items():
+        save_model(spark, model, maxima, run.model_dir(name))
+    return run
+
+
 def score_fresh(data: ActivityData, model_dir: str, maxima: str = "saved") -> DataFrame:
     """Score members from fresh logs with a saved model, riskiest first.
 
@@ -158,7 +191,7 @@ def run_training(spark, data: ActivityData, timeline_data: ActivityData, out_dir
 
 def _run_training(spark, data, timeline_data, out_dir, threshold_days, params, with_cv) -> dict[str, str]:
     from cohortlens import sinks
-    from cohortlens.operators import evaluate, models, scoring, split, timeline
+    from cohortlens.operators import evaluate, scoring, split, timeline
 
     params = params or models.ModelParams()
     split_df, maxima = training_split(data, threshold_days)

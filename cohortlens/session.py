@@ -74,6 +74,12 @@ def ensure_local_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system that Spark opens."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 _RUN: contextvars.ContextVar[str] = contextvars.ContextVar("scratch_run", default="")
 
 
