@@ -21,16 +21,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened by underscores until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def attach(big: DataFrame, small: DataFrame, on: str, small_rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Left join of ``small`` (one row per ``on``, null allowed as a key).
 
     ``small_rows`` is its counted size: up to ``limit`` rows it is broadcast, beyond
     that both sides are shuffled once by key, and AQE splits the tasks of hot keys.
     """
-    small = small.withColumnRenamed(on, "__key")
+    [key] = free_names(big, "__key")
+    small = small.withColumnRenamed(on, key)
     if small_rows <= limit:
         small = F.broadcast(small)
-    return big.join(small, F.col(on).eqNullSafe(F.col("__key")), "left").drop("__key")
+    return big.join(small, F.col(on).eqNullSafe(F.col(key)), "left").drop(key)
 
 
 def token_lists(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, pa.Array]:

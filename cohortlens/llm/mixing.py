@@ -36,6 +36,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.llm.common import free_names
 from cohortlens.session import materialize
 
 SAMPLE = 20_000         # labelled documents that are counted at most
@@ -214,11 +215,12 @@ def mix(docs: DataFrame, labelled_docs: DataFrame, labelled: DataFrame, targets:
 
 def emit(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs``, each as often as its document's ``copies`` say."""
-    side = mixed.select(F.col("doc_id").alias("__id"), F.col("copies").alias("__copies"))
-    changed = side.filter("__copies <> 1")  # most documents are emitted once
-    joined = docs.join(changed, F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left")
-    times = F.coalesce(F.col("__copies"), F.lit(1))
-    return joined.withColumn("__n", F.explode(F.array_repeat(F.lit(0), times))).drop("__id", "__copies", "__n")
+    doc, copies, number = free_names(docs, "__id", "__copies", "__n")
+    side = mixed.select(F.col("doc_id").alias(doc), F.col("copies").alias(copies))
+    changed = side.filter(F.col(copies) != 1)  # most documents are emitted once
+    joined = docs.join(changed, F.col(id_col).cast("long").eqNullSafe(F.col(doc)), "left")
+    times = F.coalesce(F.col(copies), F.lit(1))
+    return joined.withColumn(number, F.explode(F.array_repeat(F.lit(0), times))).drop(doc, copies, number)
 
 
 def weights_of(mixed: DataFrame, domains: list[str]) -> dict[str, float]:

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortlens.llm.warc import open_folder
-from cohortlens.session import checkpoint_dir, materialize
+from cohortlens.session import materialize, scratch_root
 
 START, END = "<|im_start|>", "<|im_end|>"
 BUCKET = 4096           # turns that are numbered together
@@ -277,5 +277,5 @@ class Digest:
 
 
 def output_folder(spark: SparkSession) -> str:
-    """A fresh folder for formatted conversations below the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/cohortlens/chat-{uuid.uuid4().hex}"
+    """A fresh folder for formatted conversations below the scratch folder of this application."""
+    return f"{scratch_root(spark)}/chat-{uuid.uuid4().hex}"

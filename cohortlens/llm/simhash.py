@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.llm.common import attach
+from cohortlens.llm.common import attach, free_names
 from cohortlens.llm.components import components
 from cohortlens.session import materialize
 
@@ -232,17 +232,17 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int
     return out.withColumn("component_id", F.coalesce("component_id", "doc_id")), grouped
 
 
-def _marked(docs: DataFrame, text_col: str, words_per_shingle: int) -> DataFrame:
-    """All rows and columns of ``docs`` with the fingerprint as ``__fp``."""
+def _marked(docs: DataFrame, text_col: str, words_per_shingle: int, name: str) -> DataFrame:
+    """All rows and columns of ``docs`` with the fingerprint as ``name``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(x.as_py(), words_per_shingle) for x in batch.column(text_col)],
                            dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps, pa.int64())],
-                                             names=[*batch.schema.names, "__fp"])
+                                             names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -252,16 +252,17 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Where no id is repeated, an id tells the row; else rows are told apart by
     fingerprint and id. Rows without an id cannot be told apart by it and all stay.
     """
+    fp, first_id, gone_id, is_chosen = free_names(docs, "__fp", "__id", "__gone", "__chosen")
     groups, grouped = _grouped(docs, id_col, text_col, words_per_shingle, max_bits)
     groups = materialize(groups.select("doc_id", "component_id"), "simhash-decisions")
     if groups.groupBy("doc_id").count().filter((F.col("count") > 1) & F.col("doc_id").isNotNull()).isEmpty():
-        gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone"))
-        return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+        gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(gone_id))
+        return docs.join(gone, F.col(id_col).cast("long") == F.col(gone_id), "left_anti")
     first = F.min(F.struct(F.col("first_id").isNull().alias("last"), "first_id", "fp")).alias("first")
     chosen = materialize(grouped.groupBy("root").agg(first).select(
-        F.col("first.fp").alias("__fp"), F.col("first.first_id").alias("__id"), F.lit(True).alias("__chosen")),
+        F.col("first.fp").alias(fp), F.col("first.first_id").alias(first_id), F.lit(True).alias(is_chosen)),
         "simhash-chosen")
-    marked = _marked(docs.filter(F.col(id_col).isNotNull()), text_col, words_per_shingle)
-    found = attach(marked, chosen, "__fp", chosen.count())
-    kept = found.filter(F.col("__chosen") & (F.col(id_col).cast("long") == F.col("__id")))
-    return kept.dropDuplicates(["__fp", "__id"]).select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
+    marked = _marked(docs.filter(F.col(id_col).isNotNull()), text_col, words_per_shingle, fp)
+    found = attach(marked, chosen, fp, chosen.count())
+    kept = found.filter(F.col(is_chosen) & (F.col(id_col).cast("long") == F.col(first_id)))
+    return kept.dropDuplicates([fp, first_id]).select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))

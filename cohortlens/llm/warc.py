@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import attach
-from cohortlens.session import checkpoint_dir, materialize
+from cohortlens.session import materialize, scratch_root
 
 MIN_BYTES = 100                 # smaller payloads are never revisits
 ARCHIVE_BYTES = 128 << 20       # a task starts another file beyond this size
@@ -260,5 +260,5 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
 
 
 def archive_folder(spark: SparkSession) -> str:
-    """A fresh folder for archives below the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/cohortlens/warc-{uuid.uuid4().hex}"
+    """A fresh folder for archives below the scratch folder of this application."""
+    return f"{scratch_root(spark)}/warc-{uuid.uuid4().hex}"
