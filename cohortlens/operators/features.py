@@ -2,10 +2,10 @@
 
 Each channel is one ``groupBy(member_id).agg(...)``: partial aggregation runs
 before the shuffle, so a member holding a large share of all logs costs one
-pre-aggregated row per map task, not its raw rows. Logs with days and types
-to count are first reduced to one row per (member, day, type), which spreads
-a hot member over its days. All channel results come out hash-partitioned on ``member_id``,
-so the final left joins to the member table reuse that partitioning.
+pre-aggregated row per map task, not its raw rows. Distinct days and types
+are merged as sets, bounded by the calendar and the list of types. All channel
+results come out hash-partitioned on ``member_id``, so the final left joins to
+the member table reuse that partitioning.
 
 Logs dated after ``as_of`` are dropped in every channel first.
 """
@@ -38,6 +38,11 @@ def _recency(as_of: dt.date) -> Column:
     return days_before(as_of, F.max("log_date"))
 
 
+def _distinct(c: str) -> Column:
+    """Distinct values of a column with few of them, merged as sets (no second shuffle)."""
+    return F.size(F.collect_set(c)).cast("long")
+
+
 # --- members and enrollments --------------------------------------------------
 
 def member_demographics(members: DataFrame, as_of: dt.date,
@@ -91,35 +96,27 @@ def provider_flags(enrollments: DataFrame, as_of: dt.date) -> DataFrame:
 # --- meal channel ---------------------------------------------------------------
 
 def meal_features(meals: DataFrame, as_of: dt.date) -> DataFrame:
-    """All eleven meal features from one pass over the log.
+    """All eleven meal features from one pass over the log and one shuffle.
 
-    The log is first reduced to one row per (member, day, type), combined
-    before the shuffle; days and types are then counted on those few rows.
-    Meal types are a short list of the application, so a member's set is small.
+    Every aggregate combines before the shuffle, so a member holding a large
+    share of the log costs one partial row per map task. The sets stay small:
+    days are those of the calendar, types a short list of the application.
     """
-    nutrition = ("calories", "protein_g", "carbs_g", "fat_g")
-    day = _until(meals, as_of).groupBy(KEY, "log_date", "meal_type").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[f(c).alias(f"{c}_{k}") for c in nutrition for k, f in (("sum", F.sum), ("cnt", F.count))],
-        F.sum(F.col("is_compliant").cast("double")).alias("ok_sum"),
-        F.count("is_compliant").alias("ok_cnt"))
-
-    def mean(c: str, digits: int) -> Column:
-        return _rounded_mean(F.sum(f"{c}_sum"), F.sum(f"{c}_cnt"), digits)
+    def mean(c: Column, digits: int) -> Column:
+        return _rounded_mean(F.sum(c), F.count(c), digits)
 
     def recent(days: int) -> Column:
-        inside = days_before(as_of, F.col("log_date")).between(0, days)
-        return F.coalesce(F.sum(F.when(inside, F.col("n"))), F.lit(0))
-
-    return day.groupBy(KEY).agg(
-        F.sum("n").alias("total_meal_logs"),
-        F.count_distinct("log_date").alias("distinct_meal_days"),
-        mean("calories", 1).alias("avg_calories_per_meal"),
-        mean("protein_g", 1).alias("avg_protein_g"),
-        mean("carbs_g", 1).alias("avg_carbs_g"),
-        mean("fat_g", 1).alias("avg_fat_g"),
-        F.size(F.collect_set("meal_type")).cast("long").alias("distinct_meal_types"),
-        mean("ok", 4).alias("meal_compliance_rate"),
+        return F.count_if(days_before(as_of, F.col("log_date")).between(0, days))
+
+    return _until(meals, as_of).groupBy(KEY).agg(
+        F.count(F.lit(1)).alias("total_meal_logs"),
+        _distinct("log_date").alias("distinct_meal_days"),
+        mean(F.col("calories"), 1).alias("avg_calories_per_meal"),
+        mean(F.col("protein_g"), 1).alias("avg_protein_g"),
+        mean(F.col("carbs_g"), 1).alias("avg_carbs_g"),
+        mean(F.col("fat_g"), 1).alias("avg_fat_g"),
+        _distinct("meal_type").alias("distinct_meal_types"),
+        mean(F.col("is_compliant").cast("double"), 4).alias("meal_compliance_rate"),
         _recency(as_of).alias("days_since_last_meal"),
         recent(7).alias("meals_last_7_days"),
         recent(14).alias("meals_last_14_days"),
@@ -210,20 +207,16 @@ def weight_features(weights: DataFrame, members: DataFrame, as_of: dt.date) -> D
 # --- exercise channel ---------------------------------------------------------------
 
 def exercise_features(exercises: DataFrame, as_of: dt.date) -> DataFrame:
-    """Exercise features, reduced to (member, day, type) first like the meals."""
-    day = _until(exercises, as_of).groupBy(KEY, "log_date", "exercise_type").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("minutes").alias("minutes"),
-        F.count("minutes").alias("minutes_cnt"), F.sum("calories_burned").alias("burned"),
-        F.sum("steps").alias("steps"))
-    return day.groupBy(KEY).agg(
-        F.sum("n").alias("total_exercise_logs"),
-        F.count_distinct("log_date").alias("distinct_exercise_days"),
+    """Exercise features from one shuffle by member, like the meals."""
+    return _until(exercises, as_of).groupBy(KEY).agg(
+        F.count(F.lit(1)).alias("total_exercise_logs"),
+        _distinct("log_date").alias("distinct_exercise_days"),
         F.sum("minutes").cast("long").alias("total_exercise_minutes"),
-        _rounded_mean(F.sum("minutes"), F.sum("minutes_cnt"), 1).alias("avg_exercise_minutes"),
-        _rounded_mean(F.sum("burned"), F.lit(1), 1).alias("total_calories_burned"),
+        _rounded_mean(F.sum("minutes"), F.count("minutes"), 1).alias("avg_exercise_minutes"),
+        _rounded_mean(F.sum("calories_burned"), F.lit(1), 1).alias("total_calories_burned"),
         F.sum("steps").cast("long").alias("total_steps"),
         _recency(as_of).alias("days_since_last_exercise"),
-        F.size(F.collect_set("exercise_type")).cast("long").alias("distinct_exercise_types"),
+        _distinct("exercise_type").alias("distinct_exercise_types"),
     )
 
 
@@ -245,9 +238,22 @@ def collection_features(collections: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def channel_recency(data: ActivityData) -> DataFrame:
-    """Days since the last log per channel; 9999 when a channel has no log."""
-    t = feature_table(data)
-    return t.select(KEY, *K.RECENCY_COLUMNS)
+    """Days since the last log per channel; 9999 when a channel has no log.
+
+    The latest days of all four channels come from one aggregation of their
+    union, so one shuffle by member serves them all.
+    """
+    as_of = data.as_of
+    logs = (data.meals, data.weights, data.exercises, data.collections)
+    days = None
+    for channel, df in zip(K.RECENCY_COLUMNS, logs):
+        part = _until(df, as_of).select(KEY, F.lit(channel).alias("channel"), "log_date")
+        days = part if days is None else days.unionByName(part)
+    latest = days.groupBy(KEY).agg(*[
+        days_before(as_of, F.max(F.when(F.col("channel") == c, F.col("log_date")))).alias(c)
+        for c in K.RECENCY_COLUMNS])
+    return data.members.select(KEY).join(latest, KEY, "left").select(
+        KEY, *[F.coalesce(c, F.lit(K.RECENCY_SENTINEL)).alias(c) for c in K.RECENCY_COLUMNS])
 
 
 # --- the whole table ---------------------------------------------------------------

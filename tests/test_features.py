@@ -104,3 +104,30 @@ def test_no_expand_on_the_logs(spark):
     data = make_activity(spark, [member_row(1)])
     for df in (features.meal_features(data.meals, AS_OF), features.exercise_features(data.exercises, AS_OF)):
         assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_member_with_a_third_of_the_log_and_one_shuffle_a_channel(spark):
+    """Counts equal plain Python; a channel's log is shuffled once, by member."""
+    rows = [(1 if i % 3 == 0 else i % 40 + 2, d(i % 900), "bld"[i % 3], float(i % 7), None, 1.0, 1.0, i % 5 == 0)
+            for i in range(3000)]
+    work = [(r[0], r[1], r[2], i % 50, 1.5, i % 9) for i, r in enumerate(rows)]
+    data = make_activity(spark, [member_row(1)], meals=rows, exercises=work)
+    meals = features.meal_features(data.meals.repartition(7), AS_OF)
+    moves = features.exercise_features(data.exercises.repartition(7), AS_OF)
+    for got, days, kinds, total in ((meals, "distinct_meal_days", "distinct_meal_types", "total_meal_logs"),
+                                    (moves, "distinct_exercise_days", "distinct_exercise_types", "total_exercise_logs")):
+        found = {r.member_id: (r[total], r[days], r[kinds]) for r in got.collect()}
+        want = {m: (sum(r[0] == m for r in rows), len({r[1] for r in rows if r[0] == m}),
+                    len({r[2] for r in rows if r[0] == m})) for m in {r[0] for r in rows}}
+        assert found == want
+    for df in (features.meal_features(data.meals, AS_OF), features.exercise_features(data.exercises, AS_OF)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_channel_recency_equals_the_feature_table(spark):
+    data = make_activity(spark, [member_row(1), member_row(2)], weights=[(1, d(4), 1, 80.0), (1, d(-2), 2, 80.0)],
+                         collections=[(1, 5, d(9), True, True, 1.0)], meals=[(7, d(1), "b", 1.0, 1.0, 1.0, 1.0, True)])
+    got = features.channel_recency(data)
+    table = feature_table(data).select("member_id", *K.RECENCY_COLUMNS)
+    assert sorted(got.collect()) == sorted(table.collect())
+    assert got.schema.simpleString() == table.schema.simpleString()
