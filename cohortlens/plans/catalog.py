@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from cohortlens import constants as K
 from cohortlens.operators import (clean, engineer, evaluate, features, label, models, reports,
-                                  scoring, split, timeline, trees)
+                                  scoring, serving, split, timeline, trees)
 from cohortlens import sinks
 from cohortlens.session import materialize, path_exists
 from cohortlens.sources import files
@@ -311,6 +311,30 @@ def _preds_engaged(spark, sf):
     return W.rule_predictions(_orders(spark, sf), ORDERS_THRESHOLD_DAYS, with_engagement=True)
 
 
+_PUBLISH = {"by-id": serving.publish_by_id, "by-rank": serving.publish_by_rank, "search": serving.publish_search}
+_PUBLISHED: dict[tuple[str, str, str], str] = {}
+
+
+def _published_folder(spark, sf, name, write) -> str:
+    """Folder of something written once per application and data folder."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _PUBLISHED or not path_exists(spark, _PUBLISHED[key]):
+        folder = sinks.scratch_path(spark, f"published-{name}")
+        write(folder)
+        _PUBLISHED[key] = folder
+    return _PUBLISHED[key]
+
+
+def _published(spark, sf, layout) -> str:
+    """The whole table's rule-scored predictions in one of the serving layouts. The first query
+    that needs them scores and publishes; the others read what it wrote, as serving does."""
+    def publish(folder):
+        rows = _published_folder(spark, sf, "rows", lambda f: sinks.write_table(_preds(spark, sf), f))
+        _PUBLISH[layout](spark.read.parquet(rows), folder)
+
+    return _published_folder(spark, sf, layout, publish)
+
+
 @register("risk_bucket")
 def q_risk_bucket(spark, sf):
     return _preds(spark, sf).select("member_id", "churn_probability", "risk_label")
@@ -340,17 +364,17 @@ def q_risk_filter(spark, sf):
 
 @register("at_risk_top")
 def q_at_risk_top(spark, sf):
-    return scoring.at_risk_top(_preds(spark, sf), 100, None)
+    return serving.published_top(spark, _published(spark, sf, "by-rank"), 100)
 
 
 @register("at_risk_summary")
 def q_at_risk_summary(spark, sf):
-    return scoring.at_risk_summary(_preds(spark, sf), 100, "Medium")
+    return scoring.risk_summary(serving.published_top(spark, _published(spark, sf, "by-rank"), 100, "Medium"))
 
 
 @register("member_search")
 def q_member_search(spark, sf):
-    return scoring.member_search(_preds(spark, sf), SEARCH_PROBE, 20)
+    return serving.published_search(spark, _published(spark, sf, "search"), SEARCH_PROBE, 20)
 
 
 @register("names_join")
@@ -362,7 +386,7 @@ def q_names_join(spark, sf):
 
 @register("prediction_lookup")
 def q_prediction_lookup(spark, sf):
-    return scoring.prediction_lookup(_preds(spark, sf), MEMBER_PROBE).select(
+    return serving.published_lookup(spark, _published(spark, sf, "by-id"), MEMBER_PROBE).select(
         "member_id", "churn_probability", "churn_prediction", "risk_label")
 
 
@@ -441,7 +465,8 @@ def q_key_indicators(spark, sf):
 
 @register("search_display")
 def q_search_display(spark, sf):
-    return reports.search_display(scoring.member_search(_preds(spark, sf), SEARCH_PROBE, 20))
+    return reports.search_display(
+        serving.published_search(spark, _published(spark, sf, "search"), SEARCH_PROBE, 20))
 
 
 # --- 2.8 split, folds, weights, scaling ------------------------------------------------

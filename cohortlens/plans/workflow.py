@@ -182,8 +182,8 @@ def run_training(spark, data: ActivityData, timeline_data: ActivityData, out_dir
     Writes: processed features (Parquet and CSV), the best pipeline with its
     channel maxima, metrics
     (one row per model, ``is_best``), the ordered feature list, feature
-    importances, ranked predictions with names and key indicators, the
-    member -> name table, and nested 31-day timelines. Returns the paths.
+    importances, ranked predictions with names and key indicators, the same
+    published for lookups (by id) and for top lists and searches, the member -> name table, and nested 31-day timelines. Returns the paths.
     """
     with scratch_run(spark):
         return _run_training(spark, data, timeline_data, out_dir, threshold_days, params, with_cv)
@@ -191,7 +191,7 @@ def run_training(spark, data: ActivityData, timeline_data: ActivityData, out_dir
 
 def _run_training(spark, data, timeline_data, out_dir, threshold_days, params, with_cv) -> dict[str, str]:
     from cohortlens import sinks
-    from cohortlens.operators import evaluate, scoring, split, timeline
+    from cohortlens.operators import evaluate, scoring, serving, split, timeline
 
     params = params or models.ModelParams()
     split_df, maxima = training_split(data, threshold_days)
@@ -200,7 +200,7 @@ def _run_training(spark, data, timeline_data, out_dir, threshold_days, params, w
     best = result.models[result.best]
     out = {name: f"{out_dir.rstrip('/')}/{name}" for name in (
         "features", "features_csv", "model", "metrics", "feature_columns", "feature_importance",
-        "predictions", "names", "timelines")}
+        "predictions", "by_id", "search", "names", "timelines")}
     features = split_df.drop("rank_in_label", "n_label", "is_test")
     sinks.write_table(features, out["features"])
     sinks.write_csv(features.drop("created_at"), out["features_csv"])
@@ -209,8 +209,10 @@ def _run_training(spark, data, timeline_data, out_dir, threshold_days, params, w
     sinks.write_feature_columns(spark, result.feature_cols, out["feature_columns"])
     sinks.write_table(models.feature_importance(best, result.feature_cols, result.n_train),
                       out["feature_importance"])
-    predictions = scoring.prediction_record(score_fresh(data, out["model"]))
-    sinks.write_json_records(predictions, out["predictions"])
+    scored = materialize(score_fresh(data, out["model"]), "scored")
+    sinks.write_json_records(scoring.prediction_record(scored), out["predictions"])
+    serving.publish_by_id(scored, out["by_id"])
+    serving.publish_search(scored, out["search"])  # its table "ranked" also serves top lists
     sinks.write_json_records(data.members.select("member_id", "member_name"), out["names"])
     sinks.write_json_records(timeline.member_timeline(timeline_data), out["timelines"])
     return out

@@ -23,3 +23,11 @@ def test_run_training_writes_every_artifact(spark, tmp_path):
     model = sinks.load_pipeline(out["model"] + "/pipeline")
     scored = model.transform(spark.read.parquet(out["features"]))
     assert scored.count() == 150 and "probability" in scored.columns
+    from cohortlens.operators import serving
+    top = serving.published_top(spark, out["search"] + "/ranked", 10).collect()
+    assert len(top) == 10
+    for row in top[:2]:
+        found = serving.published_lookup(spark, out["by_id"], row.member_id).first()
+        assert found.churn_probability == row.churn_probability
+        hits = serving.published_search(spark, out["search"], row.member_name, 50).collect()
+        assert row.member_id in [r.member_id for r in hits]
