@@ -11,17 +11,21 @@ map refines the result. Among the tokens of one code a token has the share
 probabilities of all known tokens and of the unseen class sum to one, and the
 score of a text is the log10 of the product over its tokens.
 
-How it runs: one pass turns texts into chunks of token codes (written once).
+How it runs: texts are dealt to training parts of about ``PART_BYTES`` by a hash of id and
+text, sorted by it, and turned into chunks of token codes (written once), so parts and
+chunks do not depend on the files or partitions of the input.
 Exact corpus counts come from one shuffle of the distinct tokens per chunk
-and go back to their chunks. Training reads the chunks of every partition
+and go back to their chunks. Training reads the chunks of every part
 online: it predicts each portion first, then corrects the weights by the
-error, and counts the portions block by block. The slot counts of all partitions are added, the
+error, and counts the portions block by block. The slot counts of all parts are added, the
 weights averaged. Code bits follow the counted distinct tokens, context slots
 the counted distinct (context, node) pairs, each up to a largest size, at
 which the model still may be broadcast.
 
 Defined results: a null or empty text is the end alone. Repeated rows and
-null ids are scored row by row; a null id counts as a text "" for the split.
+null ids are scored row by row; a null id counts as a text "" for the split. Copies of one
+row (same id and text) that alone would fill a part are dealt over all parts, at random with a
+fixed seed; only then the score depends slightly on the layout of the input.
 Without training tokens every base probability is 1. An empty table gives an
 empty result. Other columns are ignored. Tokens are told apart by 64-bit
 hashes.
@@ -31,6 +35,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +59,8 @@ BINS = 32                       # of the probability map, per bit position
 BLOCK = 32_768                  # tokens predicted before they are counted
 PORTION = 4_096                 # tokens mixed at a time, before the weights move
 CHUNK_BYTES = 8 << 20           # text of one chunk (a longer text is a chunk alone)
+PART_BYTES = 32 << 20           # text of one training part, about
+ROW_BYTES = 16                  # counted for a row beside its text
 RATE = 0.02
 
 _TABLES = ("c0", "c1", "c2")
@@ -67,10 +74,29 @@ def sizes_of(depth: int = DEPTH, bits1: int = SLOT_BITS, bits2: int = SLOT_BITS)
 
 
 _END = b"\n"                    # not a word, so never equal to one
-_CHUNK = ("chunk long, doc_ids array<long>, train array<boolean>, sizes array<long>, bytes array<long>, "
+_CHUNK = ("part int, chunk long, doc_ids array<long>, train array<boolean>, sizes array<long>, bytes array<long>, "
           "codes binary, hashes binary, symbols binary")
 
 
+# --- training parts ---------------------------------------------------------------------
+
+def deal(rows: DataFrame) -> DataFrame:
+    """(doc_id, text, train) with ``part``: one Spark partition a part, sorted by hash.
+
+    The copies of a row that would fill a part alone are few kinds (at most the
+    table's bytes / ``PART_BYTES``), so these are broadcast.
+    """
+    hashed = rows.withColumn("h", F.xxhash64("doc_id", "text"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + ROW_BYTES
+    kinds = hashed.groupBy("h").agg(F.sum(size).alias("size"), F.count(F.lit(1)).alias("n"))
+    parts = max(1, math.ceil((kinds.agg(F.sum("size")).first()[0] or 0) / PART_BYTES))
+    hot = kinds.filter((F.col("n") > 1) & (F.col("size") > PART_BYTES)).select("h", F.lit(True).alias("hot"))
+    salt = F.when(F.col("hot"), F.floor(F.rand(7) * parts)).otherwise(0)
+    dealt = hashed.join(F.broadcast(hot), "h", "left").withColumn(
+        "part", F.pmod(F.pmod("h", F.lit(parts)) + salt, F.lit(parts)).cast("int"))
+    return dealt.repartitionById(parts, "part").sortWithinPartitions("h").select("part", "doc_id", "text", "train")
+
+
 # --- chunks of token codes -----------------------------------------------------------
 
 def _symbols(words: pa.Array, hashes: np.ndarray) -> np.ndarray:
@@ -95,7 +121,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.diff(offsets) + 1
         length = pc.fill_null(pc.binary_length(batch.column("text")), 0)
         yield pa.RecordBatch.from_pylist([{
-            "chunk": number, "doc_ids": batch.column("doc_id").to_pylist(),
+            "part": batch.column("part")[0].as_py(), "chunk": number, "doc_ids": batch.column("doc_id").to_pylist(),
             "train": batch.column("train").to_pylist(), "sizes": sizes.tolist(), "bytes": length.to_pylist(),
             "codes": codes.astype("<i4").tobytes(), "hashes": hashes.astype("<u8").tobytes(),
             "symbols": _symbols(distinct, hashes).astype("<u2").tobytes()}], schema=_CHUNK_ARROW)
@@ -103,7 +129,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _CHUNK_ARROW = pa.schema([
-    ("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())),
+    ("part", pa.int32()), ("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())),
     ("sizes", pa.list_(pa.int64())), ("bytes", pa.list_(pa.int64())),
     ("codes", pa.binary()), ("hashes", pa.binary()), ("symbols", pa.binary())])
 
@@ -113,7 +139,7 @@ class _Chunk:
 
     def __init__(self, row: dict, depth: int = DEPTH, coded: int = DEPTH):
         self.depth = depth
-        self.number = row["chunk"]
+        self.number, self.part = row["chunk"], row["part"]
         self.doc_ids, self.train = row["doc_ids"], np.array(row["train"], dtype=bool)
         self.sizes, self.bytes = np.array(row["sizes"], dtype=np.int64), np.array(row["bytes"], dtype=np.int64)
         self.codes = np.frombuffer(row["codes"], "<i4")
@@ -296,20 +322,23 @@ def _part(part: int, numbers: np.ndarray) -> pa.RecordBatch:
 
 
 def _train(shape: tuple[int, int, int]):
-    """One partition's counts and weighted weights as rows of ``PIECE`` numbers."""
+    """Each part's counts and weighted weights as rows of ``PIECE`` numbers.
+
+    A task may read several parts, whose chunks follow each other; each starts afresh.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state, any_tokens = new_state(*shape), False
-        seen = np.zeros((len(state["weights"]) // INPUTS, INPUTS))
-        for chunk in _rows(batches, shape[0]):
-            learn(state, chunk, seen)
-            any_tokens |= bool(chunk.train.any())
-        if not any_tokens:
-            return
-        state["weights"] = state["weights"] * state["tokens"][0]
-        for number, numbers in enumerate(state.values()):
-            for i in range(0, len(numbers), PIECE):
-                if numbers[i:i + PIECE].any():
-                    yield _part((number << 32) + i, numbers[i:i + PIECE])
+        for _, chunks in groupby(_rows(batches, shape[0]), key=lambda c: c.part):
+            state = new_state(*shape)
+            seen = np.zeros((len(state["weights"]) // INPUTS, INPUTS))
+            for chunk in chunks:
+                learn(state, chunk, seen)
+            if not state["tokens"][0]:
+                continue
+            state["weights"] = state["weights"] * state["tokens"][0]
+            for number, numbers in enumerate(state.values()):
+                for i in range(0, len(numbers), PIECE):
+                    if numbers[i:i + PIECE].any():
+                        yield _part((number << 32) + i, numbers[i:i + PIECE])
 
     return run
 
@@ -329,7 +358,7 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(chunks: DataFrame, shape: tuple[int, int, int]) -> dict[str, np.ndarray]:
-    """The model of all partitions: summed counts, token-weighted mean weights (sizes of ``shape``)."""
+    """The model of all parts: summed counts, token-weighted mean weights (sizes of ``shape``)."""
     parts = chunks.mapInArrow(_train(shape), _PARTS).repartition("part").sortWithinPartitions("part").mapInArrow(
         _add, _PARTS)
     total = {k: np.zeros(n) for k, n in sizes_of(*shape).items()}
@@ -382,7 +411,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     fold_of = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                          (fold_of != fold).alias("train"))
-    chunks = materialize(picked.mapInArrow(_chunks, _CHUNK), "lm-chunks")
+    chunks = materialize(deal(picked).mapInArrow(_chunks, _CHUNK), "lm-chunks")
     counts = materialize(corpus_counts(chunks), "lm-counts")
     known = counts.filter(F.col("symbol").isNotNull() & (F.col("c") > 0)).groupBy("symbol").agg(
         F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()  # at most 2^MAX_DEPTH rows

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlens.llm import bitmix
 from helpers import clash, documents
@@ -43,7 +44,7 @@ def test_code_probabilities_sum_to_one():
     state, seen = bitmix.new_state(), np.zeros((bitmix.GATES, bitmix.INPUTS))
     rng = np.random.default_rng(1)
     codes = rng.integers(0, 50, 5000).astype("<i4")
-    row = dict(chunk=0, doc_ids=[1, 2], train=[True, True], sizes=[2000, 3000], bytes=[1, 1], codes=codes.tobytes(),
+    row = dict(part=0, chunk=0, doc_ids=[1, 2], train=[True, True], sizes=[2000, 3000], bytes=[1, 1], codes=codes.tobytes(),
                hashes=np.arange(50, dtype="<u8").tobytes(),
                symbols=rng.integers(0, bitmix.NODES, 50).astype("<i2").tobytes())
     bitmix.learn(state, bitmix._Chunk(row), seen)
@@ -89,10 +90,33 @@ def test_codes_and_slots_follow_the_corpus(spark):
     large = documents(spark, [" ".join(f"w{x}" for x in rng.integers(0, 9000, 3000)) for _ in range(20)])
     shapes = []
     for docs in (small, large):
-        chunks = docs.selectExpr("doc_id", "text", "true AS train").mapInArrow(bitmix._chunks, bitmix._CHUNK)
+        chunks = docs.selectExpr("0 AS part", "doc_id", "text", "true AS train").mapInArrow(bitmix._chunks, bitmix._CHUNK)
         distinct = len({w for r in docs.collect() for w in r.text.split()}) + 1
         shapes.append(bitmix.model_shape(chunks, distinct))
     assert shapes[0] == (12, 18, 18)
     assert shapes[1][0] == 14 and min(shapes[1][1:]) > 18 and max(shapes[1][1:]) <= bitmix.MAX_SLOT_BITS
     out = bitmix.score(large).collect()
     assert len(out) == 20 and all(r.score < 0 and math.isfinite(r.score) for r in out)
+
+
+def test_score_does_not_depend_on_the_layout(spark, monkeypatch):
+    """Two, sixteen and shuffled partitions give the same scores, over several training parts."""
+    monkeypatch.setattr(bitmix, "PART_BYTES", 1 << 19)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    more = docs.selectExpr("doc_id + 1000000 AS doc_id", "concat(text, ' ', reverse(text)) AS text").union(docs)
+    assert bitmix.deal(more.withColumn("train", F.lit(True))).select("part").distinct().count() > 1
+    layouts = [more.coalesce(1).repartition(2), more.repartition(16, "doc_id"), more.orderBy(F.xxhash64("text"))]
+    want, *others = [{r.doc_id: r.score for r in bitmix.score(d).collect()} for d in layouts]
+    for got in others:
+        assert got.keys() == want.keys()
+        assert max(abs(got[k] / want[k] - 1) for k in want) < 1e-6
+
+
+def test_many_copies_of_one_row_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(bitmix, "PART_BYTES", 20_000)
+    docs = documents(spark, ["one text that many rows repeat"] * 4000 + ["another text " + str(i) for i in range(99)],
+                     ids=[5] * 4000 + list(range(100, 199)))
+    sizes = bitmix.deal(docs.selectExpr("doc_id", "text", "true AS train")).groupBy("part").count().collect()
+    assert len(sizes) >= 9 and max(r["count"] for r in sizes) < 1000
+    assert sum(r["count"] for r in sizes) == 4099
+    assert bitmix.score(docs).count() == 4099
