@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens import constants as K
-from cohortlens.operators import (clean, engineer, evaluate, features, label, models, reports,
+from cohortlens.operators import (boosting, clean, engineer, evaluate, features, label, models, reports,
                                   scoring, serving, split, timeline, trees)
 from cohortlens import sinks
 from cohortlens.session import materialize, path_exists
@@ -627,6 +627,30 @@ def q_fit_boosted(spark, sf):
     return _held_out_by_nodes(spark, sf, K.MODEL_ORDER[2])
 
 
+@register("fit_second_order")
+def q_fit_second_order(spark, sf):
+    """Boosting on gradient histograms: each tree's training sample, whether the members that reach each leaf by
+    joins over the node table are those it was made from, and whether the model ranks churned held-out members first."""
+    s, _ = W.training_split(_orders(spark, sf), ORDERS_THRESHOLD_DAYS)
+    cols = list(K.FEATURE_COLUMNS)
+    train = split.class_weights(s.where(~F.col("is_test")))
+    params = boosting.BoostParams()
+    model = boosting.fit(train, cols, weight="w_boost", params=params)
+    nodes = materialize(model.table(spark), "boost-nodes")
+    x = train.select("member_id", F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
+    leaves = trees.reached_leaves(x, nodes, params.rounds, params.depth).join(
+        train.select("member_id", K.LABEL_COLUMN), "member_id")
+    drawn = leaves.where(boosting.sampled("member_id", params.seed, F.col("tree"), params.row_sample))
+    made = nodes.where("feature IS NULL AND rows > 0").select("tree", "node", "rows")
+    held = drawn.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("n"), F.sum(K.LABEL_COLUMN).alias("p")).join(
+        made, ["tree", "node"], "full")
+    auc = evaluate.roc_auc(model.score(s.where("is_test"))).first()["roc_auc"]
+    return held.groupBy("tree").agg(
+        F.sum("n").alias("members"), F.sum("p").cast("long").alias("positives"),
+        F.bool_and(F.coalesce(F.col("n") == F.col("rows"), F.lit(False))).alias("leaves_hold"),
+    ).withColumn("ranks_well", F.lit(auc > 0.9))
+
+
 @register("fit_synthetic")
 def q_fit_synthetic(spark, sf):
     """The second training form: larger forest on features with gaps as 0, nothing clipped."""

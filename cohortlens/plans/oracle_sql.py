@@ -615,6 +615,12 @@ for _name, _trees in (("fit_forest", 100), ("fit_boosted", 100), ("fit_synthetic
     ORACLE[_name] = _ctes(*SPLIT_CTES) + (
         f"\nSELECT member_id, is_churned, CAST({_trees} AS BIGINT) AS trees, true AS same_score, true AS ranks_well "
         "FROM split WHERE is_test")
+ORACLE["fit_second_order"] = _ctes(*SPLIT_CTES) + f"""
+SELECT CAST(tree AS INTEGER) AS tree, count(*) AS members, CAST(sum(is_churned) AS BIGINT) AS positives,
+       true AS leaves_hold, true AS ranks_well
+FROM train CROSS JOIN range(100) AS r(tree)
+WHERE CAST('0x' || substr(md5('42|' || tree || '|' || member_id), 1, 8) AS BIGINT) < {int(0.8 * 2 ** 32)}
+GROUP BY tree"""
 ORACLE["fit_logistic"] = _ctes(*SPLIT_CTES) + (
     f"\nSELECT {_SOUND}, CAST(0.0 AS DOUBLE) AS gradient_at_solution FROM split WHERE is_test")
 _MODELS = f"models(model) AS (VALUES {', '.join(f"('{m}')" for m in K.MODEL_ORDER)})"
