@@ -281,15 +281,19 @@ def feature_table(data: ActivityData, with_name: bool = False) -> DataFrame:
     ordering (the reference lists newest members first).
     """
     as_of = data.as_of
-    base = member_demographics(data.members, as_of, keep=(
-        "created_at", "height_cm_raw") + (("member_name",) if with_name else ()))
-    parts = [
+    return assemble(data.members, as_of, [
         enrollment_features(data.enrollments, as_of),
         meal_features(data.meals, as_of),
         weight_aggregates(data.weights, as_of),
         exercise_features(data.exercises, as_of),
         collection_features(data.collections, as_of),
-    ]
+    ], with_name)
+
+
+def assemble(members: DataFrame, as_of: dt.date, parts: list[DataFrame], with_name: bool = False) -> DataFrame:
+    """The feature table from the members and the enrollment and channel aggregates."""
+    base = member_demographics(members, as_of, keep=(
+        "created_at", "height_cm_raw") + (("member_name",) if with_name else ()))
     table = base
     for part in parts:
         table = table.join(part, KEY, "left")

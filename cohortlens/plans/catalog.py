@@ -7,6 +7,7 @@ where results are compared with another engine.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -15,11 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens import constants as K
-from cohortlens.operators import (boosting, clean, engineer, evaluate, features, label, models, reports,
+from cohortlens.operators import (boosting, clean, engineer, evaluate, feature_state, features, label, models, reports,
                                   scoring, serving, split, timeline, trees)
 from cohortlens import sinks
 from cohortlens.session import materialize, path_exists
 from cohortlens.sources import files
+from cohortlens.sources.activity import log_batch
 from cohortlens.plans import workflow as W
 from cohortlens.sources.standin import (ORDERS_THRESHOLD_DAYS, events_profile,
                                         orders_profile)
@@ -55,6 +57,18 @@ def q_feature_table(spark, sf):
     return features.feature_table(_orders(spark, sf)).drop("created_at")
 
 
+@register("feature_table_incremental")
+def q_feature_table_incremental(spark, sf):
+    """The feature table from a state of all logs up to four days before, then four daily merges."""
+    d = _orders(spark, sf)
+    root, before = sinks.scratch_path(spark, "feature-state"), None
+    for back in (4, 3, 2, 1, 0):
+        day = d.as_of - dt.timedelta(days=back)
+        feature_state.advance(spark, root, log_batch(d, before, day), before)
+        before = day
+    return feature_state.feature_table(spark, root, d.as_of, d.members, d.enrollments).drop("created_at")
+
+
 @register("member_demographics")
 def q_member_demographics(spark, sf):
     d = _orders(spark, sf)

@@ -568,6 +568,7 @@ ORACLE["standard_scale"] = _ctes(*ENGINEERED_CTES, _IMPUTED, _clipped("imputed")
 # --- sources and sinks: round trips must give back the written table -----------------------
 
 ORACLE["scan_table"] = "SELECT * FROM orders"
+ORACLE["feature_table_incremental"] = ORACLE["feature_table"]
 ORACLE["sink_csv"] = ORACLE["feature_table"]
 ORACLE["scan_csv"] = ORACLE["feature_table"]
 ORACLE["sink_predictions_json"] = ORACLE["prediction_record"]

@@ -20,6 +20,7 @@ import dataclasses
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cohortlens.sources.files import nan_to_null
 
@@ -60,3 +61,12 @@ class ActivityData:
             if missing:
                 raise ValueError(f"{name} lacks columns {sorted(missing)}")
         return dataclasses.replace(self, **{name: nan_to_null(getattr(self, name)) for name in expected})
+
+
+def log_batch(data: ActivityData, after: dt.date | None, until: dt.date) -> ActivityData:
+    """The logs dated later than ``after`` (None: from the start) up to ``until``, the batch's reference date."""
+    dated = F.col("log_date") <= F.lit(until)
+    if after is not None:
+        dated = dated & (F.col("log_date") > F.lit(after))
+    return dataclasses.replace(data, as_of=until, **{
+        c: getattr(data, c).where(dated) for c in ("meals", "weights", "exercises", "collections")})
