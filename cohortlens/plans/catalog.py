@@ -20,7 +20,7 @@ from cohortlens.operators import (boosting, clean, engineer, evaluate, feature_s
                                   scoring, serving, split, timeline, trees)
 from cohortlens import sinks
 from cohortlens.session import materialize, path_exists
-from cohortlens.sources import files
+from cohortlens.sources import files, json_split
 from cohortlens.sources.activity import log_batch
 from cohortlens.plans import workflow as W
 from cohortlens.sources.standin import (ORDERS_THRESHOLD_DAYS, events_profile,
@@ -885,6 +885,20 @@ def q_scan_json_map(spark, sf):
     return m.select(F.col("member_id").cast("long").alias("member_id"), "member_name")
 
 
+@register("scan_json_object")
+def q_scan_json_object(spark, sf):
+    """Single JSON objects of all timelines by member, written one object a file and read by byte ranges."""
+    t = timeline.member_timeline(_events(spark, sf))
+    path = sinks.scratch_path(spark, "timeline-objects")
+    record = F.struct("member_name", "enrollment_date", "activity_timeline", "summary")
+    sinks.write_json_objects(t.select("member_id", record.alias("record")), "member_id", "record", path, objects=2)
+    back = json_split.read_json_object(spark, path, t.select(record.alias("r")).schema["r"].dataType.simpleString(),
+                                       "member_id", "record")
+    return back.select(F.col("member_id").cast("long").alias("member_id"), "record.member_name", "record.enrollment_date",
+                       F.col("record.summary").alias("summary"), F.inline("record.activity_timeline")) \
+        .select("*", "summary.*").drop("summary")
+
+
 @register("sink_timelines_json")
 def q_sink_timelines_json(spark, sf):
     t = timeline.member_timeline(_events(spark, sf))

@@ -11,6 +11,7 @@ from cohortlens.sinks.writers import (  # noqa: F401
     write_csv,
     write_feature_columns,
     write_json_map,
+    write_json_objects,
     write_json_records,
     write_metrics,
     write_statistics,

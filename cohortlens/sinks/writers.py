@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,6 +57,24 @@ def write_json_map(df: DataFrame, key: str, value: str, path: str,
     grouped.select(F.to_json("m").alias("value")).write.mode(mode).text(path)
 
 
+def write_json_objects(df: DataFrame, key: str, value: str, path: str, objects: int, mode: str = "overwrite") -> None:
+    """Id -> value map as ``objects`` files with one pretty-printed JSON object each (an empty table: none).
+
+    The layout of exports that expect one object per file; each file is sorted by key and written by one task,
+    row by row. Read it back with ``sources.json_split.read_json_object``.
+    """
+    pair = F.regexp_replace(F.to_json(F.map_from_arrays(F.array("k"), F.array("v")), {"ignoreNullFields": "false"}),
+                            r"^\{|\}$", "")
+    rows = df.select(F.col(key).cast("string").alias("k"), F.col(value).alias("v")).where("k IS NOT NULL").select(
+        F.pmod(F.xxhash64("k"), F.lit(objects)).cast("int").alias("part"), "k", pair.alias("line"))
+    order = Window.partitionBy("part").orderBy("k", "line")
+    before = F.when(F.row_number().over(order) == 1, F.lit("{\n  ")).otherwise(F.lit("  "))
+    after = F.when(F.lead("k").over(order).isNull(), F.lit("\n}")).otherwise(F.lit(","))
+    lines = rows.select("part", "k", F.concat(before, "line", after).alias("value"))
+    lines.repartition(objects, "part").sortWithinPartitions("part", "k", "value").select("part", "value") \
+        .write.mode(mode).partitionBy("part").text(path)
+
+
 def write_metrics(metrics: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Metrics, one row per model with ``is_best``."""
     metrics.write.mode(mode).json(path)

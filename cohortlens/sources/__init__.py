@@ -9,3 +9,4 @@ from cohortlens.sources.files import (  # noqa: F401
     read_metrics,
     read_table,
 )
+from cohortlens.sources.json_split import read_json_object  # noqa: F401
