@@ -13,7 +13,8 @@
    (one aggregate of a few numbers) and moves every rate against its
    gradient, in the metric of the tokens:
    r_d <- clip(r_d - step * sum_k p_dk (S_k - T_k) / m_k, 0, max_rate).
-   The rounds' gradients are a short list, so a rate is a fold over them.
+   The rounds' gradients are a short list, so a rate is a fold over them; every
+   ``WRITE_EVERY`` rounds the rates are written, and the fold starts from there.
 3. Decision: a document is emitted floor(r + u) times, u a uniform hash of
    its id.
 
@@ -46,6 +47,7 @@ LEAST_Z = 6.0           # a telling bucket's domain shares are off by so many st
 LEAST_SHIFT = 0.15      # and by so much
 SMOOTH = 0.5
 ROUNDS = 60
+WRITE_EVERY = 10        # rounds folded at most in one pass
 STEP = 1.0
 CLOSE = 1e-4            # rounds end when no expected total moves by more than this share
 BUDGET_ROOM = 1.05
@@ -153,27 +155,29 @@ def posteriors(docs: DataFrame, model: DomainModel, id_col: str = "doc_id", text
         "doc_id", "tokens", F.transform("e", lambda x: x / F.col("mass")).alias("p"))
 
 
-def _rate(p: Column, history: list[list[float]], max_rate: float) -> Column:
-    """The rate after the rounds so far: a fold over their gradients."""
+def _rate(p: Column, history: list[list[float]], max_rate: float, start: Column | None = None) -> Column:
+    """The rate after the rounds so far: a fold over their gradients, from 1 or from an earlier rate."""
+    start = F.lit(1.0) if start is None else start
     if not history:
-        return F.lit(1.0)
+        return start
     steps = F.array(*(F.array(*(F.lit(g) for g in gs)) for gs in history))
 
     def move(rate: Column, gs: Column) -> Column:
         slope = F.aggregate(F.zip_with(p, gs, lambda a, g: a * g), F.lit(0.0), lambda a, x: a + x)
         return F.least(F.lit(max_rate), F.greatest(F.lit(0.0), rate - slope))
 
-    return F.aggregate(steps, F.lit(1.0), move)
+    return F.aggregate(steps, start, move)
 
 
 def fit_rates(soft: DataFrame, domains: list[str], targets: dict[str, float], budget: float | None = None,
               max_rate: float = 1.0, rounds: int = ROUNDS) -> list[list[float]]:
     """The gradients of all rounds; ``soft`` is (doc_id, tokens, p), written once."""
     ks = range(len(domains))
+    from_here = soft.select("tokens", "p", F.lit(1.0).alias("rate"))
 
     def totals(history: list[list[float]]) -> list[float]:
-        rate = _rate(F.col("p"), history, max_rate)
-        row = soft.select((rate * F.col("tokens")).alias("t"), "p").agg(
+        rate = _rate(F.col("p"), history, max_rate, F.col("rate"))
+        row = from_here.select((rate * F.col("tokens")).alias("t"), "p").agg(
             *(F.coalesce(F.sum(F.col("t") * F.col("p")[k]), F.lit(0.0)) for k in ks)).first()
         return list(row)
 
@@ -186,12 +190,15 @@ def fit_rates(soft: DataFrame, domains: list[str], targets: dict[str, float], bu
         reach = [m / s for m, s in zip(mass, share) if s == max(share)]
         budget = BUDGET_ROOM * min(reach) if min(reach) > 0 else sum(mass)
     wanted = [s * budget for s in share]
-    history, now = [], mass
+    history, now, written = [], mass, 0
     for _ in range(rounds):
         history.append([STEP * (s - t) / max(m, 1e-9 * sum(mass)) for s, t, m in zip(now, wanted, mass)])
-        before, now = now, totals(history)
+        before, now = now, totals(history[written:])
         if max(abs(a - b) for a, b in zip(now, before)) <= CLOSE * sum(mass) / len(domains):
             break
+        if len(history) - written == WRITE_EVERY:
+            later = _rate(F.col("p"), history[written:], max_rate, F.col("rate"))
+            from_here, written = materialize(from_here.select("tokens", "p", later.alias("rate")), "mix-rates"), len(history)
     return history
 
 

@@ -51,6 +51,20 @@ def test_rates_equal_plain_projected_gradient(spark):
         assert all(got[i] == pytest.approx(rate[i], abs=1e-9) for i in rate)
 
 
+def test_written_rates_change_nothing(spark, monkeypatch):
+    rng = random.Random(6)
+    df = spark.createDataFrame([(i, rng.randint(1, 50), [p, 1 - p]) for i in range(60) for p in [rng.random()]],
+                               "doc_id long, tokens long, p array<double>")
+    monkeypatch.setattr(mixing, "CLOSE", 0.0)
+    runs = []
+    for every in (100, 10, 1):
+        monkeypatch.setattr(mixing, "WRITE_EVERY", every)
+        runs.append(mixing.fit_rates(df, ["x", "y"], {"x": 0.8, "y": 0.2}, 700.0, 1.0, rounds=23))
+    assert len(runs[0]) == 23
+    for other in runs[1:]:
+        assert all(a == pytest.approx(b, abs=1e-12) for x, y in zip(runs[0], other) for a, b in zip(x, y))
+
+
 def test_reaches_targets_when_rates_may_rise(spark):
     docs, labelled, _ = tables(spark, 200, 9)
     mixed, names = mixing.mix(docs, docs, labelled, {"a": 1, "b": 3}, budget=9000.0, max_rate=50.0)
