@@ -3,6 +3,8 @@
 import numpy as np
 import pyarrow as pa
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from cohortlens.llm import mixing, ordinal, pii, simhash
 from helpers import clash, documents
@@ -102,3 +104,18 @@ def test_mixing_reaches_its_targets_behind_the_filter(spark, tmp_path):
     kept = {r.doc_id for r in corpus_pipeline.mixing(spark, docs, str(tmp_path)).collect()}
     assert len([d for d in kept if d < len(clean)]) >= 0.999 * len(clean)
     assert len([d for d in kept if d >= len(clean)]) < 12
+    # other targets on unfiltered input: the share of toxic tokens falls from a quarter to the target
+    raw = documents(spark, texts)
+    before = mixing.weights_of(mixed_as_given(spark, raw, tmp_path), domains)["toxic"]
+    mixed, domains = corpus_pipeline.mixing_rates(spark, raw, str(tmp_path), {"clean": 0.97, "toxic": 0.03})
+    assert before > 0.24 and abs(mixing.weights_of(mixed, domains)["toxic"] - 0.03) < 2e-3
+    out = corpus_pipeline.mixing(spark, raw, str(tmp_path), {"clean": 0.97, "toxic": 0.03})
+    left = [r.doc_id for r in out.collect()]
+    assert sum(not toxic[d] for d in left) == 300 and 3 <= sum(toxic[d] for d in left) <= 17
+
+
+def mixed_as_given(spark, docs, folder):
+    """The documents' posteriors at rate 1."""
+    labels = mixing.label_domains(spark.read.parquet(str(folder / "labels.parquet")))
+    model = mixing.fit_domains(docs, labels)
+    return mixing.posteriors(docs, model).withColumn("rate", F.lit(1.0))
