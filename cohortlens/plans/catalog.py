@@ -20,7 +20,7 @@ from cohortlens.operators import (boosting, clean, engineer, evaluate, feature_s
                                   scoring, serving, split, timeline, trees)
 from cohortlens import sinks
 from cohortlens.session import materialize, path_exists
-from cohortlens.sources import files, json_split
+from cohortlens.sources import daylogs, files, json_split
 from cohortlens.sources.activity import log_batch
 from cohortlens.plans import workflow as W
 from cohortlens.sources.standin import (ORDERS_THRESHOLD_DAYS, events_profile,
@@ -431,6 +431,15 @@ def q_daily_activity(spark, sf):
     return _daily_out(timeline.daily_activity(_events(spark, sf)))
 
 
+@register("daily_activity_by_day")
+def q_daily_activity_by_day(spark, sf):
+    """Daily activity from logs stored by day; only the window's folders are read."""
+    d = _events(spark, sf)
+    root = sinks.scratch_path(spark, "logs-by-day")
+    daylogs.write_by_day(d, root)
+    return _daily_out(timeline.daily_activity(daylogs.read_by_day(spark, root, d, last_days=K.TIMELINE_DAYS)))
+
+
 @register("timeline_summary")
 def q_timeline_summary(spark, sf):
     return timeline.timeline_summary(timeline.member_days(_events(spark, sf)))

@@ -576,6 +576,7 @@ ORACLE["scan_json_records"] = ORACLE["prediction_record"]
 ORACLE["sink_names_json"] = _ctes(_ORDERS, _FIRST, _MEMBERS) + "\nSELECT member_id, member_name FROM members"
 ORACLE["scan_json_map"] = ORACLE["sink_names_json"]
 ORACLE["sink_timelines_json"] = ORACLE["member_timeline"]
+ORACLE["daily_activity_by_day"] = ORACLE["daily_activity"]
 ORACLE["scan_json_object"] = ORACLE["member_timeline"]
 
 ORACLE["member_activity"] = ORACLE["member_timeline"] + f" WHERE m.member_id = {MEMBER_PROBE}"
