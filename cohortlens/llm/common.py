@@ -56,12 +56,14 @@ def token_lists(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, pa.Ar
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     if len(texts) == 0:
         return np.zeros(1, dtype=np.int64), pa.array([], type=pa.large_string())
-    split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    split = pc.ascii_split_whitespace(texts)
     flat = split.flatten()
     keep = pc.greater(pc.binary_length(flat), 0)
     ends = np.concatenate(([0], np.cumsum(keep.to_numpy(zero_copy_only=False))))
     offsets = split.offsets.to_numpy()
-    return ends[offsets - offsets[0]].astype(np.int64), flat.filter(keep)
+    words = flat.filter(keep)
+    # the words, not the texts: Arrow lower-cases wrong bytes of a slice that was cast
+    return ends[offsets - offsets[0]].astype(np.int64), pc.ascii_lower(words) if lower else words
 
 
 def slices(batches: Iterator[pa.RecordBatch], size_of: str, limit: int) -> Iterator[pa.RecordBatch]:

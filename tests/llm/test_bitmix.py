@@ -4,10 +4,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cohortlens.llm import bitmix
+from cohortlens.llm.common import token_lists
 from helpers import clash, documents
 
 
@@ -83,6 +85,26 @@ def test_chunks_do_not_change_the_base(spark, monkeypatch):
         assert out[d] == pytest.approx(base)
 
 
+def test_texts_of_several_chunks_keep_their_words(spark):
+    """More text than one chunk holds: every word of every slice is counted."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"Word{x}" + "x" * 2000 for x in rng.integers(0, 90, 700)) for _ in range(14)]
+    assert sum(map(len, texts)) > 2 * bitmix.CHUNK_BYTES
+    out = {r.doc_id: r for r in bitmix.score(documents(spark, texts, parts=1)).collect()}
+    for d, (held, n, known, total, base) in brute_base(list(enumerate(texts))).items():
+        r = out[d]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held, n, known, total)
+        assert r.base_score == pytest.approx(base)
+
+
+def test_words_of_a_slice():
+    texts = pa.array([f"Ab{i} C\tdE" for i in range(50)])
+    for start, n in ((0, 50), (1, 7), (20, 30)):
+        offsets, words = token_lists(texts.slice(start, n), lower=True)
+        assert offsets.tolist() == list(range(0, 3 * n + 1, 3))
+        assert words.to_pylist() == [w for i in range(start, start + n) for w in (f"ab{i}", "c", "de")]
+
+
 def test_codes_and_slots_follow_the_corpus(spark):
     """Few tokens get 12-bit codes; more tokens and contexts get more bits and slots, up to the largest sizes."""
     small = documents(spark, ["a b c"] * 9)
