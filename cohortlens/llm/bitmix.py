@@ -123,7 +123,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist([{
             "part": batch.column("part")[0].as_py(), "chunk": number, "doc_ids": batch.column("doc_id").to_pylist(),
             "train": batch.column("train").to_pylist(), "sizes": sizes.tolist(), "bytes": length.to_pylist(),
-            "codes": codes.astype("<i4").tobytes(), "hashes": hashes.astype("<u8").tobytes(),
+            "codes": pa.compress(codes.astype("<i4").tobytes(), "zstd", asbytes=True), "hashes": hashes.astype("<u8").tobytes(),
             "symbols": _symbols(distinct, hashes).astype("<u2").tobytes()}], schema=_CHUNK_ARROW)
         number += 1
 
@@ -134,6 +134,11 @@ _CHUNK_ARROW = pa.schema([
     ("codes", pa.binary()), ("hashes", pa.binary()), ("symbols", pa.binary())])
 
 
+def _plain(row: dict) -> dict:
+    """A row of the chunk table with its codes as they were before compression."""
+    return {**row, "codes": pa.decompress(row["codes"], 4 * sum(row["sizes"]), "zstd", asbytes=True)}
+
+
 class _Chunk:
     """One chunk's arrays; codes of ``coded`` bits are shortened to ``depth``."""
 
@@ -143,7 +148,7 @@ class _Chunk:
         self.doc_ids, self.train = row["doc_ids"], np.array(row["train"], dtype=bool)
         self.sizes, self.bytes = np.array(row["sizes"], dtype=np.int64), np.array(row["bytes"], dtype=np.int64)
         self.codes = np.frombuffer(row["codes"], "<i4")
-        self.hashes = np.frombuffer(row["hashes"], "<u8")
+        self.hashes = np.frombuffer(row.get("hashes", b""), "<u8")
         self.symbols = np.frombuffer(row["symbols"], "<u2") >> np.uint16(coded - depth)
 
     def contexts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,7 +168,7 @@ class _Chunk:
 def _rows(batches: Iterator[pa.RecordBatch], depth: int = MAX_DEPTH) -> Iterator[_Chunk]:
     for batch in batches:
         for i in range(batch.num_rows):
-            yield _Chunk(batch.slice(i, 1).to_pylist()[0], depth, MAX_DEPTH)
+            yield _Chunk(_plain(batch.slice(i, 1).to_pylist()[0]), depth, MAX_DEPTH)
 
 
 # --- exact counts ---------------------------------------------------------------------
@@ -310,15 +315,25 @@ def learn(state: dict[str, np.ndarray], chunk: _Chunk, seen: np.ndarray) -> None
     state["tokens"] += len(symbol)
 
 
-_PARTS = "part long, places binary, numbers binary"
-_PARTS_ARROW = pa.schema([("part", pa.int64()), ("places", pa.binary()), ("numbers", pa.binary())])
+_PARTS = "part long, places binary, small binary, large binary"
+_PARTS_ARROW = pa.schema([("part", pa.int64()), ("places", pa.binary()), ("small", pa.binary()), ("large", pa.binary())])
 
 
 def _part(part: int, numbers: np.ndarray) -> pa.RecordBatch:
-    """A row of the numbers that are not 0."""
-    places = np.flatnonzero(numbers)
-    return pa.RecordBatch.from_pylist([{"part": part, "places": places.astype("<i4").tobytes(),
-                                        "numbers": numbers[places].astype("<f8").tobytes()}], schema=_PARTS_ARROW)
+    """A row of the numbers that are not 0: a bit a place, a byte for each count below 256 (0: the next of ``large``)."""
+    used = numbers != 0
+    values = numbers[used].astype("<f8")
+    fits = (values > 0) & (values < 256) & (values % 1 == 0)
+    return pa.RecordBatch.from_pylist([{
+        "part": part, "places": np.packbits(used).tobytes(), "small": np.where(fits, values, 0).astype(np.uint8).tobytes(),
+        "large": values[~fits].tobytes()}], schema=_PARTS_ARROW)
+
+
+def _numbers(row) -> tuple[np.ndarray, np.ndarray]:
+    """Places and numbers of such a row."""
+    values = np.frombuffer(row["small"], np.uint8).astype(np.float64)
+    values[values == 0] = np.frombuffer(row["large"], "<f8")
+    return np.flatnonzero(np.unpackbits(np.frombuffer(row["places"], np.uint8))), values
 
 
 def _train(shape: tuple[int, int, int]):
@@ -352,7 +367,8 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if part is not None:
                     yield _part(part, total)
                 part, total = row["part"], np.zeros(PIECE)
-            total[np.frombuffer(row["places"], "<i4")] += np.frombuffer(row["numbers"], "<f8")
+            places, numbers = _numbers(row)
+            total[places] += numbers
     if part is not None:
         yield _part(part, total)
 
@@ -365,7 +381,8 @@ def train(chunks: DataFrame, shape: tuple[int, int, int]) -> dict[str, np.ndarra
     names = list(total)
     for row in parts.toLocalIterator():
         name, i = names[row["part"] >> 32], row["part"] & 0xFFFFFFFF
-        total[name][i + np.frombuffer(row["places"], "<i4")] = np.frombuffer(row["numbers"], "<f8")
+        places, numbers = _numbers(row)
+        total[name][i + places] = numbers
     if not total["tokens"][0]:
         return _frozen(new_state(*shape))
     total["weights"] /= total["tokens"][0]
@@ -424,7 +441,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     base = math.log10(tokens + distinct + 1)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        chunk = _Chunk(left.to_pylist()[0], shape[0], MAX_DEPTH)
+        chunk = _Chunk(_plain(left.to_pylist()[0]), shape[0], MAX_DEPTH)
         order = np.argsort(right.column("slot").to_numpy(), kind="stable")
         c = right.column("c").to_numpy()[order]
         more = np.log10(c + 1.0)
@@ -444,5 +461,5 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
             pa.array(-scores / math.log10(2) / np.maximum(1, chunk.bytes))],
             names=[x.split()[0] for x in _SCORES.split(", ")])
 
-    return chunks.groupBy("chunk").cogroup(counts.select("chunk", "slot", "c").groupBy("chunk")).applyInArrow(
+    return chunks.drop("hashes").groupBy("chunk").cogroup(counts.select("chunk", "slot", "c").groupBy("chunk")).applyInArrow(
         run, _SCORES)

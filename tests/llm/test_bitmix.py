@@ -97,6 +97,18 @@ def test_texts_of_several_chunks_keep_their_words(spark):
         assert r.base_score == pytest.approx(base)
 
 
+def test_rows_of_numbers_come_back():
+    numbers = np.zeros(bitmix.PIECE)
+    numbers[[0, 7, 8, 9, 100, bitmix.PIECE - 1]] = (1, 255, 256, 1e9, -0.25, 3.5)
+    for some in (numbers, numbers[:9], numbers.astype(np.float32), np.ones(1)):
+        row = bitmix._part(5, some).to_pylist()[0]
+        places, values = bitmix._numbers(row)
+        back = np.zeros(len(some))
+        back[places] = values
+        assert (back == some).all()
+    assert len(bitmix._part(0, np.ones(bitmix.PIECE)).to_pylist()[0]["large"]) == 0
+
+
 def test_words_of_a_slice():
     texts = pa.array([f"Ab{i} C\tdE" for i in range(50)])
     for start, n in ((0, 50), (1, 7), (20, 30)):
