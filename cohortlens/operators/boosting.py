@@ -5,16 +5,17 @@ This learner works on first and second derivatives of the weighted log loss:
 
 * Every feature is cut once at up to ``bins`` quantiles; a row then carries one
   small array of bin numbers, written once under the checkpoint folder.
-* A level of a tree is one ``groupBy(node, feature, bin)`` of derivative sums.
-  It combines before the shuffle, so what a task sends is bounded by nodes x
-  columns x bins, whatever its rows. Running sums over a feature's bins and a
+* A level of a tree is one sum of derivatives by (node, feature, bin). Every
+  task adds its rows up in an array before the shuffle, so what it holds and
+  sends is bounded by nodes x columns x bins, whatever its rows. Running sums over a feature's bins and a
   maximum per node give the splits; only those (at most 2^depth) are collected.
 * Row samples and column samples are per tree, by md5 of seed, tree and id.
 * Derivatives are summed as integers (multiples of a power of two), so the
   trees do not depend on how rows are spread over tasks.
 
-Margins of finished trees are one expression over the bins; every
-``save_every`` trees they are written, which bounds expression and lineage.
+Tasks walk the trees that were finished since margins were written last, every
+``save_every`` trees. Trees go to the tasks as numbers, not as expressions, so
+the plan of every level is the same and is compiled once.
 NULL and NaN count as larger than every value. Node tables have the columns of
 ``trees.tree_nodes``, so ``trees.reached_leaves`` follows them as well.
 """
@@ -24,7 +25,10 @@ from __future__ import annotations
 import dataclasses
 import hashlib
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -129,8 +133,49 @@ def _walk(tree: dict[int, dict], node: int, goes_low, leaf: str = "prediction")
     return F.when(goes_low(n), _walk(tree, n["low"], goes_low, leaf)).otherwise(_walk(tree, n["high"], goes_low, leaf))
 
 
-def _low_bin(n: dict) -> Column:
-    return F.col("bins")[n["feature"]] <= n["bin"]
+class _Tree:
+    """A tree as arrays by node number; a leaf has the feature -1."""
+
+    def __init__(self, nodes: list[dict]):
+        size = max((n["node"] for n in nodes), default=0) + 1
+        self.feature, self.bin, self.low, self.high = (np.full(size, -1, dtype=np.int64) for _ in range(4))
+        self.value = np.zeros(size)
+        for n in nodes:
+            at = n["node"]
+            self.value[at] = n["prediction"]
+            if n["feature"] is not None:
+                self.feature[at], self.bin[at], self.low[at], self.high[at] = n["feature"], n["bin"], n["low"], n["high"]
+
+    def reached(self, bins: np.ndarray) -> np.ndarray:
+        """The number of the leaf that each row of bins reaches."""
+        at, row = np.zeros(len(bins), dtype=np.int64), np.arange(len(bins))
+        while (inner := self.feature[at] >= 0).any():
+            low = bins[row, self.feature[at]] <= self.bin[at]
+            at = np.where(inner, np.where(low, self.low[at], self.high[at]), at)
+        return at
+
+
+def _bins_of(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("bins").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+
+
+def _margins(batch: pa.RecordBatch, bins: np.ndarray, trees: list[_Tree]) -> np.ndarray:
+    """The written margins plus the values of the trees since."""
+    margin = batch.column("margin").to_numpy(zero_copy_only=False)
+    for t in trees:
+        margin = margin + t.value[t.reached(bins)]
+    return margin
+
+
+def with_margins(data: DataFrame, trees: list[_Tree]) -> DataFrame:
+    """The rows (.., bins, margin) with the values of ``trees`` added to their margin."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                margin = pa.array(_margins(batch, _bins_of(batch), trees))
+                yield batch.set_column(batch.schema.get_field_index("margin"), "margin", margin)
+
+    return data.mapInArrow(run, data.schema)
 
 
 def _unit(rows: int, largest_weight: float) -> float:
@@ -138,10 +183,48 @@ def _unit(rows: int, largest_weight: float) -> float:
     return 2.0 ** min(40, 61 - math.ceil(math.log2(max(rows * max(largest_weight, 1.0), 2.0))))
 
 
-def level_histogram(rows: DataFrame, columns: list[int]) -> DataFrame:
-    """(node, place, bin, n, g, h): derivative sums of rows (node, bins, g, h); ``place`` counts ``columns``."""
-    return rows.select("node", "g", "h", F.posexplode(F.array(*[F.col("bins")[j] for j in columns])).alias("place", "bin")) \
-        .groupBy("node", "place", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("g").alias("g"), F.sum("h").alias("h"))
+def _whole(x: np.ndarray) -> np.ndarray:
+    return np.nan_to_num(np.floor(x + 0.5)).astype(np.int64)
+
+
+def _added(place: np.ndarray, numbers: np.ndarray, size: int) -> np.ndarray:
+    """Sums of whole numbers by place, exactly: halves of 30 bits fit the doubles in which they are added."""
+    high = numbers >> 30
+    return (np.bincount(place, high, size).astype(np.int64) << 30) + np.bincount(
+        place, numbers - (high << 30), size).astype(np.int64)
+
+
+def level_histogram(rows: DataFrame, columns: list[int], width: int, unit: float, before: list[_Tree], tree: _Tree,
+                    open_nodes: list[int]) -> DataFrame:
+    """(node, place, bin, n, g, h): sums of the derivatives of rows (y, w, bins, margin) at the open nodes of ``tree``,
+    times ``unit``; ``place`` counts ``columns``, ``before`` are the trees since margins were written."""
+    slot = np.full(max(len(tree.feature), max(open_nodes) + 1), -1, dtype=np.int64)
+    slot[open_nodes] = np.arange(len(open_nodes))
+    size = len(open_nodes) * len(columns) * width
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((3, size), dtype=np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bins = _bins_of(batch)
+            at = slot[tree.reached(bins)]
+            y, w = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "w"))
+            with np.errstate(over="ignore"):
+                p = 1 / (1 + np.exp(-_margins(batch, bins, before)))
+            g, h = _whole(w * (p - y) * unit), _whole(w * p * (1 - p) * unit)
+            here = at >= 0
+            place = ((at[here, None] * len(columns) + np.arange(len(columns))) * width + bins[here][:, columns]).ravel()
+            for total, x in zip(sums, (np.ones_like(g), g, h)):
+                total += _added(place, np.repeat(x[here], len(columns)), size)
+        found = np.flatnonzero(sums[0])
+        node = np.array(open_nodes)[found // (len(columns) * width)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x.astype(np.int32)) for x in (node, found // width % len(columns), found % width)]
+            + [pa.array(total[found]) for total in sums], names=["node", "place", "bin", "n", "g", "h"])
+
+    return rows.mapInArrow(run, "node int, place int, bin int, n long, g long, h long").repartition(
+        "node", "place").groupBy("node", "place", "bin").agg(*[F.sum(c).alias(c) for c in ("n", "g", "h")])
 
 
 def best_splits(histogram: DataFrame, unit: float, params: BoostParams) -> DataFrame:
@@ -165,8 +248,10 @@ def best_splits(histogram: DataFrame, unit: float, params: BoostParams) -> DataF
     return sums.groupBy("node").agg(F.max(choice).alias("best"), *[F.max(c).alias(c) for c in ("n", "g", "h")])
 
 
-def _grow(rows: DataFrame, tree: int, cuts: list[list[float]], unit: float, params: BoostParams) -> list[dict]:
-    """Nodes of one tree over the sampled rows (bins, g, h), one job a level."""
+def _grow(rows: DataFrame, tree: int, cuts: list[list[float]], unit: float, params: BoostParams,
+          before: list[_Tree]) -> list[dict]:
+    """Nodes of one tree over the sampled rows (y, w, bins, margin), one job a level."""
+    width = max((len(c) for c in cuts), default=0) + 1
     columns = sampled_columns(len(cuts), params.seed, tree, params.column_sample)
 
     def node(number: int, n: int, g: int, h: int) -> dict:
@@ -176,13 +261,9 @@ def _grow(rows: DataFrame, tree: int, cuts: list[list[float]], unit: float, para
 
     nodes: dict[int, dict] = {}
     open_nodes = {0}
-    for level in range(params.depth):
-        if level:   # a leaf has the number -1 on this way
-            at = _walk({k: {**v, "at": k if k in open_nodes else -1} for k, v in nodes.items()}, 0, _low_bin, "at")
-            level_rows = rows.withColumn("node", at).where("node >= 0")
-        else:
-            level_rows = rows.withColumn("node", F.lit(0))
-        found = best_splits(level_histogram(level_rows, columns), unit, params).collect()   # at most 2^level rows
+    for _ in range(params.depth):
+        histogram = level_histogram(rows, columns, width, unit, before, _Tree(list(nodes.values())), sorted(open_nodes))
+        found = best_splits(histogram, unit, params).collect()   # at most 2^level rows
         opened = set()
         for r in found:
             mine = nodes.setdefault(r["node"], node(r["node"], r["n"], r["g"], r["h"]))
@@ -219,16 +300,15 @@ def fit(train: DataFrame, feature_cols: list[str], label: str = K.LABEL_COLUMN,
     n, largest = data.agg(F.count(F.lit(1)), F.max("w")).first()
     unit = _unit(n, largest or 1.0)
     nodes: list[dict] = []
+    recent: list[_Tree] = []     # trees whose values are not yet in the written margins
     for tree in range(params.rounds):
-        p = 1 / (1 + F.exp(-F.col("margin")))
-        derivatives = data.where(sampled("id", params.seed, tree, params.row_sample)).select(
-            "bins", F.floor(F.col("w") * (p - F.col("y")) * unit + 0.5).alias("g"),
-            F.floor(F.col("w") * p * (1 - p) * unit + 0.5).alias("h"))
-        grown = _grow(derivatives, tree, cuts, unit, params)
+        drawn = data.where(sampled("id", params.seed, tree, params.row_sample)).select("y", "w", "bins", "margin")
+        grown = _grow(drawn, tree, cuts, unit, params, recent)
         nodes += grown
-        data = data.withColumn("margin", F.col("margin") + _walk({x["node"]: x for x in grown}, 0, _low_bin))
+        recent.append(_Tree(grown))
         if (tree + 1) % params.save_every == 0 and tree + 1 < params.rounds:
-            data = materialize(data, "boost-rows")
+            data = materialize(with_margins(data, recent), "boost-rows")
+            recent = []
     return BoostedTrees(list(feature_cols), cuts, nodes, params)
 
 
