@@ -7,7 +7,8 @@ logs with map-side combining, ``merge`` adds states, ``finish`` turns it into
 the columns of ``features``. ``advance`` keeps one version per batch under a
 folder: a batch reads the version before it and writes its own, so running a
 failed or repeated batch again gives the same state, and older versions can be
-deleted once a later one is complete.
+deleted once a later one is complete. Only members of the batch are merged by a
+shuffle; the others' rows are copied, if the batch has few members.
 
 Logs dated after a batch's ``as_of`` are left out, as in a full run; they
 belong to the batch of their own day. Late logs, dated before earlier batches,
@@ -25,10 +26,11 @@ from pyspark.sql import functions as F
 from cohortlens.functions import as_of_lit, days_before, safe_rate
 from cohortlens.operators import features
 from cohortlens.operators.features import KEY, _rounded_mean, _until
-from cohortlens.session import path_exists
+from cohortlens.session import materialize, path_exists
 from cohortlens.sources.activity import ActivityData
 
 RECENT_DAYS = 15
+BROADCAST_MEMBERS = 500_000     # members of a batch whose ids may be broadcast
 _MEAL_MEANS = {"calories": "avg_calories_per_meal", "protein_g": "avg_protein_g", "carbs_g": "avg_carbs_g",
                "fat_g": "avg_fat_g"}
 
@@ -101,6 +103,19 @@ def merge(channel: str, states: list[DataFrame], as_of: dt.date) -> DataFrame:
     return rows.groupBy(KEY).agg(*out).withColumn("as_of", as_of_lit(as_of))
 
 
+def merge_batch(channel: str, old: DataFrame, batch: DataFrame, members: int, as_of: dt.date) -> DataFrame:
+    """``merge`` of a state and a batch of ``members`` rows; what the batch does not touch is not shuffled."""
+    if members > BROADCAST_MEMBERS:
+        return merge(channel, [old, batch], as_of)
+    ids = F.broadcast(batch.select(F.col(KEY).alias("_touched")))
+    same = F.col(KEY).eqNullSafe(F.col("_touched"))
+    rest = old.join(ids, same, "left_anti")
+    if channel == "meals":
+        rest = rest.withColumn("recent", _aged(as_of))
+    merged = merge(channel, [old.join(ids, same, "left_semi"), batch], as_of)
+    return merged.unionByName(rest.withColumn("as_of", as_of_lit(as_of)))
+
+
 def finish(channel: str, state: DataFrame, as_of: dt.date) -> DataFrame:
     """The channel's feature columns, equal to those of ``features`` over all merged logs."""
     def size(c: str) -> Column:
@@ -149,7 +164,8 @@ def advance(spark: SparkSession, root: str, batch: ActivityData, before: dt.date
     for channel in CHANNELS:
         state = partial(channel, getattr(batch, channel), batch.as_of)
         if before is not None:
-            state = merge(channel, [read(spark, root, channel, before), state], batch.as_of)
+            state = materialize(state, "state-batch")    # read by its members and by its rows
+            state = merge_batch(channel, read(spark, root, channel, before), state, state.count(), batch.as_of)
         state.write.mode("overwrite").parquet(f"{_folder(root, batch.as_of)}/{channel}")
     return _folder(root, batch.as_of)
 

@@ -99,3 +99,18 @@ def test_the_feature_table_of_a_state_reads_no_log(spark, tmp_path):
     df = feature_state.feature_table(spark, str(tmp_path), AS_OF, data.members, data.enrollments)
     files = [f for f in df.inputFiles() if f.endswith(".parquet")]
     assert files and all("/state-" in f for f in files)
+
+
+@pytest.mark.parametrize("limit", [0, 500_000])
+def test_a_batch_is_merged_alike_with_and_without_a_shuffle_of_the_state(spark, monkeypatch, limit):
+    """A null member in both, a member of the state alone, one of the batch alone; recent meals age everywhere."""
+    monkeypatch.setattr(feature_state, "BROADCAST_MEMBERS", limit)
+    data = activity(spark, dict(logs(n=60), meals=[
+        (m, day(a), "b", 1.0, 1.0, 1.0, 1.0, True) for m, a in ((None, 5), (None, 1), (3, 4), (4, 1))]))
+    old = feature_state.partial("meals", log_batch(data, None, day(3)).meals, day(3))
+    new = feature_state.partial("meals", log_batch(data, day(3), day(0)).meals, day(0))
+    merged = feature_state.merge_batch("meals", old, new, new.count(), day(0))
+    got = {r.member_id: (r.n, [i for i, x in enumerate(r.recent) if x], r.as_of) for r in merged.collect()}
+    assert got == {None: (2, [1, 5], day(0)), 3: (1, [4], day(0)), 4: (1, [1], day(0))}
+    if limit:   # the rows of the state reach the result without an exchange of their own
+        assert "LeftAnti" in merged._jdf.queryExecution().toString()
