@@ -50,7 +50,7 @@ SMOOTH = 5
 SCALE = 10**9
 TOP_TERMS = 50
 
-BLOCK_POSTINGS = 1_000_000  # postings of a block in memory, about 100 MB
+BLOCK_POSTINGS = 400_000    # postings of a block in memory, about 40 MB (several times that while it is sorted)
 PIECE_POSTINGS = 4096       # postings of a spilled piece
 MERGE_POSTINGS = 100_000    # postings that are added up together
 SLICE = 4 << 20             # bytes of whole texts that are indexed together
@@ -166,7 +166,10 @@ def _index(shards: int, limit: int):
             if block.full(limit):
                 yield from block.run(shards)
                 block = _Block()
+                pa.default_memory_pool().release_unused()
         yield from block.run(shards)
+        block = None
+        pa.default_memory_pool().release_unused()   # a waiting worker keeps no memory of this task
     return run
 
 
@@ -207,6 +210,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened.append(flat.slice(edges[taken] - edges[0]))
     if opened:
         yield from complete(None)
+    pa.default_memory_pool().release_unused()
 
 
 def frequencies(docs: DataFrame, block_postings: int = BLOCK_POSTINGS, shards: int | None = None) -> DataFrame:
