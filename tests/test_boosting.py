@@ -140,3 +140,13 @@ def test_edge_rows(spark):
     assert model.cuts[3] == [] and all(n["feature"] != 3 for n in model.nodes)
     assert all(n["rows"] <= 61 for n in model.nodes)    # no label or no weight: no part
     assert model.score(df).where("score IS NULL OR isnan(score)").count() == 0
+
+
+def test_whole_numbers_are_added_exactly_and_trees_are_walked():
+    numbers = np.array([2 ** 60 + 1, -3, 2 ** 59 + 7, -(2 ** 60), 5])
+    assert boosting._added(np.array([0, 0, 2, 1, 1]), numbers, 4).tolist() == [2 ** 60 - 2, 5 - 2 ** 60, 2 ** 59 + 7, 0]
+    leaf = dict(feature=None, bin=None, low=None, high=None)
+    tree = boosting._Tree([dict(node=0, feature=1, bin=3, low=1, high=2, prediction=0.0),
+                           dict(node=1, prediction=-1.0, **leaf), dict(node=2, prediction=2.0, **leaf)])
+    at = tree.reached(np.array([[9, 3], [0, 4]]))
+    assert at.tolist() == [1, 2] and tree.value[at].tolist() == [-1.0, 2.0]
