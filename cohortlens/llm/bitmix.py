@@ -190,34 +190,42 @@ def corpus_counts(chunks: DataFrame) -> DataFrame:
     """(chunk, slot, c, symbol): the corpus count of every chunk's distinct tokens;
     symbol is set on one row per token and null on its others."""
     found = chunks.mapInArrow(_distinct, "hash long, chunk long, slot int, n long")
-    same = Window.partitionBy("hash")
-    total = F.sum(F.shiftright("n", MAX_DEPTH)).over(same)
-    first = F.row_number().over(same.orderBy("chunk")) == 1
+    same = Window.partitionBy("hash").orderBy("chunk")  # one order for both, so one sort
+    total = F.sum(F.shiftright("n", MAX_DEPTH)).over(same.rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing))
+    first = F.row_number().over(same) == 1
     return found.select("chunk", "slot", total.alias("c"),
                         F.when(first, F.col("n").bitwiseAND(F.lit((1 << MAX_DEPTH) - 1))).cast("int").alias("symbol"))
 
 
 def _pairs(depth: int):
-    """Distinct (context, node) pairs of each chunk's training tokens, a column per context."""
+    """Distinct (context, node) pairs of each part's training tokens, a column per context."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in _rows(batches, depth):
-            use = np.repeat(c.train, c.sizes)
-            symbol, one, two = (a[use].astype(np.int64) for a in c.contexts())
-            for name, context in (("one", one), ("two", two)):
-                keys = np.unique((context << depth) | symbol)
-                for d in range(depth):  # sorted, so equal beginnings are neighbours
-                    begin = keys >> (depth - d)
-                    begin = begin[np.concatenate((begin[:1] == begin[:1], begin[1:] != begin[:-1]))]
-                    both = ((begin >> d) << depth) | (1 << d) | (begin & ((1 << d) - 1))
-                    for i in range(0, len(both), 100_000):
-                        part = pa.array(both[i:i + 100_000])
-                        none = pa.nulls(len(part), pa.int64())
-                        yield pa.RecordBatch.from_arrays([part, none] if name == "one" else [none, part],
-                                                         names=["one", "two"])
+        for _, chunks in groupby(_rows(batches, depth), key=lambda c: c.part):
+            found: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
+            for c in chunks:
+                use = np.repeat(c.train, c.sizes)
+                symbol, *contexts = (a[use].astype(np.int64) for a in c.contexts())
+                for keys, context in zip(found, contexts):
+                    keys.append(np.unique((context << depth) | symbol))
+            begins = [keys[0] if len(keys) == 1 else np.unique(np.concatenate(keys)) for keys in found]
+            for d in reversed(range(depth)):  # sorted, so equal beginnings are neighbours
+                begins = [_neighbours_once(begin >> 1) for begin in begins]
+                one, two = (((begin >> d) << depth) | (1 << d) | (begin & ((1 << d) - 1)) for begin in begins)
+                for i in range(0, max(len(one), len(two)), 100_000):
+                    pair = [both[i:i + 100_000] for both in (one, two)]
+                    rows = max(map(len, pair))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.concat_arrays([pa.array(both), pa.nulls(rows - len(both), pa.int64())]) for both in pair],
+                        names=["one", "two"])
 
     return run
 
 
+def _neighbours_once(keys: np.ndarray) -> np.ndarray:
+    return keys[np.concatenate((keys[:1] == keys[:1], keys[1:] != keys[:-1]))]
+
+
 def model_shape(chunks: DataFrame, distinct: int) -> tuple[int, int, int]:
     """Code bits for so many distinct tokens, and slot bits for twice the counted (context, node) pairs."""
     depth = min(MAX_DEPTH, max(DEPTH, math.ceil(math.log2(max(1, distinct)))))
@@ -272,9 +280,9 @@ _BASE_BIN = (np.arange(MAX_DEPTH, dtype=np.int64) * BINS)[:, None]
 def _mix(weights, xs, level1, level2):
     """Mixed stretch and gate of all bits (32-bit arithmetic)."""
     gate = _BASE_GATE[:len(level1)] + (level1 * np.int8(LEVELS) + level2)
-    dot = weights[3][gate]
+    dot = weights[3].take(gate)
     for w, x in zip(weights, xs):
-        dot += w[gate] * x
+        dot += w.take(gate) * x
     return gate, dot
 
 
@@ -296,7 +304,7 @@ def learn(state: dict[str, np.ndarray], chunk: _Chunk, seen: np.ndarray) -> None
         for j in range(i, min(i + BLOCK, len(symbol)), PORTION):
             bit, *slots = _slots(symbol[j:min(j + PORTION, i + BLOCK)], one[j:min(j + PORTION, i + BLOCK)],
                                  two[j:min(j + PORTION, i + BLOCK)], shape)
-            counts = [state[k].view(np.complex64)[s] for k, s in zip(_TABLES, slots)]  # zeros and ones at once
+            counts = [state[k].view(np.complex64).take(s) for k, s in zip(_TABLES, slots)]  # zeros and ones at once
             xs = [_stretch(c.real, c.imag) for c in counts]
             gate, dot = _mix(weights.T.astype(np.float32), xs, *(_level(c.real + c.imag) for c in counts[1:]))
             place, flat = _bins(dot).ravel(), gate.ravel()
@@ -306,8 +314,9 @@ def learn(state: dict[str, np.ndarray], chunk: _Chunk, seen: np.ndarray) -> None
                 slope = np.bincount(flat, weights=gain.ravel(), minlength=len(weights))
                 seen[:, n] += slope * slope
                 weights[:, n] += RATE * slope / np.sqrt(seen[:, n] + 1e-6)
-            state["map_ones"] += np.bincount(place, weights=bit.ravel(), minlength=len(state["map_all"]))
-            state["map_all"] += np.bincount(place, minlength=len(state["map_all"]))
+            seen_bits = np.bincount(2 * place + bit.ravel(), minlength=2 * len(state["map_all"])).reshape(-1, 2)
+            state["map_ones"] += seen_bits[:, 1]
+            state["map_all"] += seen_bits.sum(axis=1)
             for list_, s in zip(used, slots):
                 list_.append((2 * s + bit).ravel())
         for k, list_ in zip(_TABLES, used):
@@ -407,9 +416,9 @@ def code_log10(model: dict[str, np.ndarray], chunk: _Chunk) -> np.ndarray:
     out = np.empty(len(symbol))
     for i in range(0, len(symbol), PORTION):
         bit, *slots = _slots(symbol[i:i + PORTION], one[i:i + PORTION], two[i:i + PORTION], shape)
-        xs = [model[k][s] for k, s in zip(_TABLES, slots)]
-        _, dot = _mix(model["weights"], xs, model["c1_level"][slots[1]], model["c2_level"][slots[2]])
-        p = np.clip((_squash(dot) + model["map"][_bins(dot)]) / 2, 1e-6, 1 - 1e-6)
+        xs = [model[k].take(s) for k, s in zip(_TABLES, slots)]
+        _, dot = _mix(model["weights"], xs, model["c1_level"].take(slots[1]), model["c2_level"].take(slots[2]))
+        p = np.clip((_squash(dot) + model["map"].take(_bins(dot))) / 2, 1e-6, 1 - 1e-6)
         out[i:i + PORTION] = np.log10(np.where(bit, p, 1 - p)).sum(axis=0, dtype=np.float64)
     return out
 

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from cohortlens.llm import bitmix
@@ -154,3 +155,30 @@ def test_many_copies_of_one_row_are_spread(spark, monkeypatch):
     assert len(sizes) >= 9 and max(r["count"] for r in sizes) < 1000
     assert sum(r["count"] for r in sizes) == 4099
     assert bitmix.score(docs).count() == 4099
+
+
+def test_pairs_of_a_part_are_sent_once():
+    """Chunks of one part share their pairs; both contexts go in one row; each pair is that of a plain count."""
+    words = [b"a", b"bb", b"ccc", b"\n"]
+    hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], dtype=np.uint64)
+
+    def chunk(number, part, codes):
+        return {"part": part, "chunk": number, "doc_ids": [1], "train": [True], "sizes": [len(codes)], "bytes": [9],
+                "codes": pa.compress(np.array(codes, "<i4").tobytes(), "zstd", asbytes=True), "hashes": hashes.tobytes(),
+                "symbols": bitmix._symbols(pa.array(words, pa.binary()), hashes).astype("<u2").tobytes()}
+
+    def sent(*chunks):
+        batches = [pa.RecordBatch.from_pylist([c], schema=bitmix._CHUNK_ARROW) for c in chunks]
+        out = [r for b in bitmix._pairs(12)(iter(batches)) for r in b.to_pylist()]
+        return [[r[k] for r in out if r[k] is not None] for k in ("one", "two")], len(out)
+
+    first, second = chunk(0, 0, [0, 1, 2, 0, 3]), chunk(1, 0, [2, 2, 1, 3])
+    (one, two), rows = sent(first, second)
+    assert len(set(one)) == len(one) and len(set(two)) == len(two) and rows < len(one) + len(two)
+    alone = [sent(c)[0] for c in (first, second)]
+    assert set(one) == set(alone[0][0]) | set(alone[1][0]) and set(two) == set(alone[0][1]) | set(alone[1][1])
+    want = set()
+    for c in (first, second):
+        symbol, before, _ = bitmix._Chunk(bitmix._plain(c), 12, 14).contexts()
+        want |= {int(b) << 12 | 1 << d | int(s) >> (12 - d) for s, b in zip(symbol, before) for d in range(12)}
+    assert set(one) == want
