@@ -202,18 +202,21 @@ def _pairs(depth: int):
     """Distinct (context, node) pairs of each part's training tokens, a column per context."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, chunks in groupby(_rows(batches, depth), key=lambda c: c.part):
-            found: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
+            begins = [np.zeros(0, np.uint32)] * 2  # 2 * MAX_DEPTH + 1 bits at most
             for c in chunks:
                 use = np.repeat(c.train, c.sizes)
-                symbol, *contexts = (a[use].astype(np.int64) for a in c.contexts())
-                for keys, context in zip(found, contexts):
-                    keys.append(np.unique((context << depth) | symbol))
-            begins = [keys[0] if len(keys) == 1 else np.unique(np.concatenate(keys)) for keys in found]
+                symbol, *contexts = (a[use] for a in c.contexts())
+                for i, context in enumerate(contexts):
+                    context <<= np.uint32(depth)
+                    context |= symbol
+                    begins[i] = _once(np.concatenate((begins[i], _once(context))))
+            del c, use, symbol, contexts, context
             for d in reversed(range(depth)):  # sorted, so equal beginnings are neighbours
-                begins = [_neighbours_once(begin >> 1) for begin in begins]
-                one, two = (((begin >> d) << depth) | (1 << d) | (begin & ((1 << d) - 1)) for begin in begins)
-                for i in range(0, max(len(one), len(two)), 100_000):
-                    pair = [both[i:i + 100_000] for both in (one, two)]
+                for i in range(2):
+                    begins[i] >>= np.uint32(1)
+                    begins[i] = _neighbours_once(begins[i])
+                for i in range(0, max(map(len, begins)), 100_000):
+                    pair = [_pair(begin[i:i + 100_000].astype(np.int64), d, depth) for begin in begins]
                     rows = max(map(len, pair))
                     yield pa.RecordBatch.from_arrays([
                         pa.concat_arrays([pa.array(both), pa.nulls(rows - len(both), pa.int64())]) for both in pair],
@@ -222,6 +225,17 @@ def _pairs(depth: int):
     return run
 
 
+def _pair(begin: np.ndarray, d: int, depth: int) -> np.ndarray:
+    """Context and node of a context with the first ``d`` bits of a code behind it."""
+    return ((begin >> d) << depth) | (1 << d) | (begin & ((1 << d) - 1))
+
+
+def _once(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys, sorted; sorts ``keys`` in place, which takes no memory beside it."""
+    keys.sort()
+    return _neighbours_once(keys)
+
+
 def _neighbours_once(keys: np.ndarray) -> np.ndarray:
     return keys[np.concatenate((keys[:1] == keys[:1], keys[1:] != keys[:-1]))]
 

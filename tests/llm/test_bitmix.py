@@ -1,5 +1,6 @@
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -182,3 +183,22 @@ def test_pairs_of_a_part_are_sent_once():
         symbol, before, _ = bitmix._Chunk(bitmix._plain(c), 12, 14).contexts()
         want |= {int(b) << 12 | 1 << d | int(s) >> (12 - d) for s, b in zip(symbol, before) for d in range(12)}
     assert set(one) == want
+
+
+def test_pairs_take_little_memory():
+    """Four chunks of one part are counted in less than 120 bytes a token of one chunk."""
+    rng, n, known = np.random.default_rng(2), 300_000, 50_000
+    hashes = rng.integers(0, 1 << 63, known, dtype=np.uint64)
+    symbols = rng.integers(0, 1 << bitmix.MAX_DEPTH, known).astype("<u2").tobytes()
+    batches = [pa.RecordBatch.from_pylist([{
+        "part": 0, "chunk": i, "doc_ids": [1], "train": [True], "sizes": [n], "bytes": [9], "hashes": hashes.tobytes(),
+        "codes": pa.compress(rng.integers(0, known, n).astype("<i4").tobytes(), "zstd", asbytes=True),
+        "symbols": symbols}], schema=bitmix._CHUNK_ARROW) for i in range(4)]
+    pairs = bitmix._pairs(bitmix.MAX_DEPTH)(iter(batches))
+    tracemalloc.start()
+    try:
+        sent = sum(batch.num_rows for batch in pairs)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sent > 4 * n and peak < 120 * n
