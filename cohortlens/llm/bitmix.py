@@ -58,6 +58,8 @@ INPUTS = 4                      # three contexts and a constant
 BINS = 32                       # of the probability map, per bit position
 BLOCK = 32_768                  # tokens predicted before they are counted
 PORTION = 4_096                 # tokens mixed at a time, before the weights move
+SLICE = 1 << 18                 # tokens sorted at a time when scoring
+TWO_BITS = 11                   # of the third context: two endings of 0 to 32, the first times 40
 CHUNK_BYTES = 8 << 20           # text of one chunk (a longer text is a chunk alone)
 PART_BYTES = 32 << 20           # text of one training part, about
 ROW_BYTES = 16                  # counted for a row beside its text
@@ -88,7 +90,7 @@ def deal(rows: DataFrame) -> DataFrame:
     """
     hashed = rows.withColumn("h", F.xxhash64("doc_id", "text"))
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + ROW_BYTES
-    kinds = hashed.groupBy("h").agg(F.sum(size).alias("size"), F.count(F.lit(1)).alias("n"))
+    kinds = materialize(hashed.groupBy("h").agg(F.sum(size).alias("size"), F.count(F.lit(1)).alias("n")), "lm-kinds")  # read twice
     parts = max(1, math.ceil((kinds.agg(F.sum("size")).first()[0] or 0) / PART_BYTES))
     hot = kinds.filter((F.col("n") > 1) & (F.col("size") > PART_BYTES)).select("h", F.lit(True).alias("hot"))
     salt = F.when(F.col("hot"), F.floor(F.rand(7) * parts)).otherwise(0)
@@ -117,7 +119,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = len(distinct)
         codes = np.insert(coded.indices.to_numpy().astype(np.int32), offsets[1:], end)
         distinct = pa.concat_arrays([distinct.cast(pa.large_binary()), pa.array([_END], pa.large_binary())])
-        hashes = np.array([xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()], dtype=np.uint64)
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, distinct.to_numpy(zero_copy_only=False)), np.uint64, len(distinct))
         sizes = np.diff(offsets) + 1
         length = pc.fill_null(pc.binary_length(batch.column("text")), 0)
         yield pa.RecordBatch.from_pylist([{
@@ -198,33 +200,48 @@ def corpus_counts(chunks: DataFrame) -> DataFrame:
                         F.when(first, F.col("n").bitwiseAND(F.lit((1 << MAX_DEPTH) - 1))).cast("int").alias("symbol"))
 
 
-def _pairs(depth: int):
-    """Distinct (context, node) pairs of each part's training tokens, a column per context."""
+def _pairs(depth: int, enough: int | None = None):
+    """Distinct (context, node) pairs of each part's training tokens, a column per context.
+
+    A context that has more than ``enough`` pairs in a part alone is counted no further there: it gets one row
+    that says so (``many_one``, ``many_two``) in place of its pairs.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, chunks in groupby(_rows(batches, depth), key=lambda c: c.part):
             begins = [np.zeros(0, np.uint32)] * 2  # 2 * MAX_DEPTH + 1 bits at most
+            many = [False, False]
             for c in chunks:
+                if all(many):
+                    continue
                 use = np.repeat(c.train, c.sizes)
                 symbol, *contexts = (a[use] for a in c.contexts())
                 for i, context in enumerate(contexts):
                     context <<= np.uint32(depth)
                     context |= symbol
                     begins[i] = _once(np.concatenate((begins[i], _once(context))))
-            del c, use, symbol, contexts, context
+                    many[i] = enough is not None and len(begins[i]) > enough  # those of the last bit alone
+                del use, symbol, contexts, context
+            del c
+            if any(many):
+                yield _pair_rows([np.zeros(0, np.int64)] * 2, many)
+                begins = [begin[:0] if m else begin for begin, m in zip(begins, many)]
             for d in reversed(range(depth)):  # sorted, so equal beginnings are neighbours
                 for i in range(2):
                     begins[i] >>= np.uint32(1)
                     begins[i] = _neighbours_once(begins[i])
                 for i in range(0, max(map(len, begins)), 100_000):
-                    pair = [_pair(begin[i:i + 100_000].astype(np.int64), d, depth) for begin in begins]
-                    rows = max(map(len, pair))
-                    yield pa.RecordBatch.from_arrays([
-                        pa.concat_arrays([pa.array(both), pa.nulls(rows - len(both), pa.int64())]) for both in pair],
-                        names=["one", "two"])
+                    yield _pair_rows([_pair(begin[i:i + 100_000].astype(np.int64), d, depth) for begin in begins])
 
     return run
 
 
+def _pair_rows(pairs: list[np.ndarray], many: list[bool] | None = None) -> pa.RecordBatch:
+    rows = max(1 if many else 0, *map(len, pairs))
+    return pa.RecordBatch.from_arrays(
+        [pa.concat_arrays([pa.array(both), pa.nulls(rows - len(both), pa.int64())]) for both in pairs]
+        + [pa.array([m] * rows) for m in many or (False, False)], names=["one", "two", "many_one", "many_two"])
+
+
 def _pair(begin: np.ndarray, d: int, depth: int) -> np.ndarray:
     """Context and node of a context with the first ``d`` bits of a code behind it."""
     return ((begin >> d) << depth) | (1 << d) | (begin & ((1 << d) - 1))
@@ -243,9 +260,12 @@ def _neighbours_once(keys: np.ndarray) -> np.ndarray:
 def model_shape(chunks: DataFrame, distinct: int) -> tuple[int, int, int]:
     """Code bits for so many distinct tokens, and slot bits for twice the counted (context, node) pairs."""
     depth = min(MAX_DEPTH, max(DEPTH, math.ceil(math.log2(max(1, distinct)))))
-    found = chunks.mapInArrow(_pairs(depth), "one long, two long").agg(
-        F.approx_count_distinct("one").alias("one"), F.approx_count_distinct("two").alias("two")).first()
-    return depth, *(min(MAX_SLOT_BITS, max(SLOT_BITS, math.ceil(math.log2(max(1, 2 * n))))) for n in found)
+    enough = 1 << (MAX_SLOT_BITS - 2)   # more than these need the largest size, however many they are
+    found = chunks.mapInArrow(_pairs(depth, enough), "one long, two long, many_one boolean, many_two boolean").agg(*[
+        f(c).alias(c) for c, f in (("one", F.approx_count_distinct), ("two", F.approx_count_distinct),
+                                   ("many_one", F.bool_or), ("many_two", F.bool_or))]).first()
+    return depth, *(MAX_SLOT_BITS if found[f"many_{c}"] else min(MAX_SLOT_BITS, max(SLOT_BITS, math.ceil(
+        math.log2(max(1, 2 * found[c]))))) for c in ("one", "two"))
 
 
 # --- the mixer --------------------------------------------------------------------------
@@ -275,25 +295,21 @@ def _shape(state: dict[str, np.ndarray], per_slot: int) -> tuple[int, int, int]:
     return tuple((len(state[k]) // per_slot).bit_length() - 1 for k in _TABLES)
 
 
-def _slots(symbol, one, two, shape):
-    """For all bits of the tokens: bit value and slot of each context, arrays (depth, n)."""
-    depth, bits1, bits2 = shape
-    d = np.arange(depth, dtype=np.uint32)[:, None]
-    node = (np.uint32(1) << d) | (symbol >> (depth - d))
-    bit = ((symbol >> (depth - 1 - d)) & np.uint32(1)).astype(np.int64)
+def _slots(node, one, two, shape):
+    """The slot of each context for nodes of the code tree (32-bit arithmetic)."""
     mixed = node * np.uint32(0x9E3779B1)
-    h1 = ((one * np.uint32(0x85EBCA6B) + mixed) * np.uint32(0xC2B2AE35)) >> np.uint32(32 - bits1)
-    h2 = ((two * np.uint32(0x27D4EB2F) + mixed) * np.uint32(0x165667B1)) >> np.uint32(32 - bits2)
-    return bit, node.astype(np.int64), h1.astype(np.int64), h2.astype(np.int64)
+    h1 = ((one * np.uint32(0x85EBCA6B) + mixed) * np.uint32(0xC2B2AE35)) >> np.uint32(32 - shape[1])
+    h2 = ((two * np.uint32(0x27D4EB2F) + mixed) * np.uint32(0x165667B1)) >> np.uint32(32 - shape[2])
+    return node.astype(np.int64), h1.astype(np.int64), h2.astype(np.int64)
 
 
 _BASE_GATE = (np.arange(MAX_DEPTH, dtype=np.int64) * LEVELS * LEVELS)[:, None]
 _BASE_BIN = (np.arange(MAX_DEPTH, dtype=np.int64) * BINS)[:, None]
 
 
-def _mix(weights, xs, level1, level2):
-    """Mixed stretch and gate of all bits (32-bit arithmetic)."""
-    gate = _BASE_GATE[:len(level1)] + (level1 * np.int8(LEVELS) + level2)
+def _mix(weights, xs, level1, level2, base):
+    """Mixed stretch and gate of bits, whose position's first gate is ``base`` (32-bit arithmetic)."""
+    gate = base + (level1 * np.int8(LEVELS) + level2)
     dot = weights[3].take(gate)
     for w, x in zip(weights, xs):
         dot += w.take(gate) * x
@@ -304,8 +320,8 @@ def _squash(dot: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-dot))
 
 
-def _bins(dot: np.ndarray) -> np.ndarray:
-    return _BASE_BIN[:len(dot)] + np.clip(dot * 2 + np.float32(BINS / 2), 0, BINS - 1).astype(np.int64)
+def _bins(dot: np.ndarray, base) -> np.ndarray:
+    return base + np.clip(dot * 2 + np.float32(BINS / 2), 0, BINS - 1).astype(np.int64)
 
 
 def learn(state: dict[str, np.ndarray], chunk: _Chunk, seen: np.ndarray) -> None:
@@ -313,15 +329,20 @@ def learn(state: dict[str, np.ndarray], chunk: _Chunk, seen: np.ndarray) -> None
     use = np.repeat(chunk.train, chunk.sizes)
     symbol, one, two = (a[use] for a in chunk.contexts())
     shape, weights = _shape(state, 2), state["weights"].reshape(-1, INPUTS)
+    d = np.arange(shape[0], dtype=np.uint32)[:, None]
     for i in range(0, len(symbol), BLOCK):
-        used: list[list[np.ndarray]] = [[], [], []]
+        used: list[list[np.ndarray]] = [[], []]
+        unhashed = np.zeros(len(state["c0"]), np.int64)
+        stretched = _stretch(state["c0"][0::2], state["c0"][1::2])    # a small table: once a block
         for j in range(i, min(i + BLOCK, len(symbol)), PORTION):
-            bit, *slots = _slots(symbol[j:min(j + PORTION, i + BLOCK)], one[j:min(j + PORTION, i + BLOCK)],
-                                 two[j:min(j + PORTION, i + BLOCK)], shape)
-            counts = [state[k].view(np.complex64).take(s) for k, s in zip(_TABLES, slots)]  # zeros and ones at once
-            xs = [_stretch(c.real, c.imag) for c in counts]
-            gate, dot = _mix(weights.T.astype(np.float32), xs, *(_level(c.real + c.imag) for c in counts[1:]))
-            place, flat = _bins(dot).ravel(), gate.ravel()
+            p = slice(j, min(j + PORTION, i + BLOCK))
+            node = (np.uint32(1) << d) | (symbol[p] >> (shape[0] - d))
+            bit = ((symbol[p] >> (shape[0] - 1 - d)) & np.uint32(1)).astype(np.int64)
+            slots = _slots(node, one[p], two[p], shape)
+            counts = [state[k].view(np.complex64).take(s) for k, s in zip(_TABLES[1:], slots[1:])]  # zeros and ones at once
+            xs = [stretched.take(slots[0]), *(_stretch(c.real, c.imag) for c in counts)]
+            gate, dot = _mix(weights.T.astype(np.float32), xs, *(_level(c.real + c.imag) for c in counts), _BASE_GATE[:shape[0]])
+            place, flat = _bins(dot, _BASE_BIN[:shape[0]]).ravel(), gate.ravel()
             error = bit.astype(np.float32) - _squash(dot)
             for n, x in enumerate((*xs, None)):
                 gain = error if x is None else error * x
@@ -331,10 +352,13 @@ def learn(state: dict[str, np.ndarray], chunk: _Chunk, seen: np.ndarray) -> None
             seen_bits = np.bincount(2 * place + bit.ravel(), minlength=2 * len(state["map_all"])).reshape(-1, 2)
             state["map_ones"] += seen_bits[:, 1]
             state["map_all"] += seen_bits.sum(axis=1)
-            for list_, s in zip(used, slots):
+            unhashed += np.bincount((2 * slots[0] + bit).ravel(), minlength=len(unhashed))
+            for list_, s in zip(used, slots[1:]):
                 list_.append((2 * s + bit).ravel())
-        for k, list_ in zip(_TABLES, used):
-            np.add.at(state[k], np.concatenate(list_), np.float32(1))
+        state["c0"] += unhashed.astype(np.float32)
+        for k, list_ in zip(_TABLES[1:], used):
+            for places in list_:
+                np.add.at(state[k], places, np.float32(1))
     state["tokens"] += len(symbol)
 
 
@@ -426,17 +450,51 @@ def _frozen(state: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 def code_log10(model: dict[str, np.ndarray], chunk: _Chunk) -> np.ndarray:
     """log10 probability of every token's code given its contexts."""
     symbol, one, two = chunk.contexts()
-    shape = _shape(model, 1)
     out = np.empty(len(symbol))
-    for i in range(0, len(symbol), PORTION):
-        bit, *slots = _slots(symbol[i:i + PORTION], one[i:i + PORTION], two[i:i + PORTION], shape)
-        xs = [model[k].take(s) for k, s in zip(_TABLES, slots)]
-        _, dot = _mix(model["weights"], xs, model["c1_level"].take(slots[1]), model["c2_level"].take(slots[2]))
-        p = np.clip((_squash(dot) + model["map"].take(_bins(dot))) / 2, 1e-6, 1 - 1e-6)
-        out[i:i + PORTION] = np.log10(np.where(bit, p, 1 - p)).sum(axis=0, dtype=np.float64)
+    for i in range(0, len(symbol), SLICE):
+        s = slice(i, i + SLICE)
+        out[s] = _sorted_log10(model, symbol[s], one[s], two[s])
     return out
 
 
+def _sorted_log10(model: dict[str, np.ndarray], symbol: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Sorted by contexts and code, tokens with the same contexts and beginning are neighbours: each such bit is
+    predicted once."""
+    shape, n = _shape(model, 1), len(symbol)
+    depth, place_bits = shape[0], np.uint64(SLICE.bit_length() - 1)
+    key = ((one.astype(np.uint64) << np.uint64(TWO_BITS) | two) << np.uint64(depth) | symbol) << place_bits
+    key |= np.arange(n, dtype=np.uint64)
+    key.sort()
+    at = (key & np.uint64(SLICE - 1)).astype(np.int64)
+    key >>= place_bits
+    # from the first bit in which a key differs from the one before; contexts come before the code
+    differs = np.minimum(key[1:] ^ key[:-1], np.uint64(1 << depth)).astype(np.uint16)
+    p = np.ones(n)      # a product of 14 numbers from 1e-6 on
+    for d in range(depth):
+        first = np.concatenate(([0], np.flatnonzero(differs >= np.uint16(1 << (depth - 1 - d))) + 1))
+        begin = key[first] >> np.uint64(depth - 1 - d)
+        each = np.empty(len(begin), np.float32)
+        for i in range(0, len(begin), PIECE):
+            each[i:i + PIECE] = _bit_probability(model, begin[i:i + PIECE], d, shape)
+        p *= np.repeat(each, np.diff(first, append=n))
+    out = np.empty(n)
+    out[at] = np.log10(p)
+    return out
+
+
+def _bit_probability(model: dict[str, np.ndarray], begin: np.ndarray, d: int, shape: tuple[int, int, int]) -> np.ndarray:
+    """Of the bit at position ``d``, the last of ``begin``, given those before it and both contexts."""
+    bit, begin = (begin & np.uint64(1)).astype(bool), begin >> np.uint64(1)
+    node = np.uint32(1 << d) | begin.astype(np.uint32) & np.uint32((1 << d) - 1)
+    two = (begin >> np.uint64(d)).astype(np.uint32) & np.uint32((1 << TWO_BITS) - 1)
+    one = (begin >> np.uint64(d + TWO_BITS)).astype(np.uint32)
+    slots = _slots(node, one, two, shape)
+    xs = [model[k].take(s) for k, s in zip(_TABLES, slots)]
+    _, dot = _mix(model["weights"], xs, model["c1_level"].take(slots[1]), model["c2_level"].take(slots[2]), _BASE_GATE[d])
+    p = np.clip((_squash(dot) + model["map"].take(_bins(dot, _BASE_BIN[d]))) / 2, 1e-6, 1 - 1e-6)
+    return np.where(bit, p, 1 - p)
+
+
 # --- scores -------------------------------------------------------------------------------
 
 _SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "

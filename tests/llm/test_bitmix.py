@@ -202,3 +202,48 @@ def test_pairs_take_little_memory():
     finally:
         tracemalloc.stop()
     assert sent > 4 * n and peak < 120 * n
+
+
+def coded(number, codes, symbols, known):
+    return pa.RecordBatch.from_pylist([{
+        "part": 0, "chunk": number, "doc_ids": [1], "train": [True], "sizes": [len(codes)], "bytes": [9],
+        "codes": pa.compress(codes.astype("<i4").tobytes(), "zstd", asbytes=True),
+        "hashes": np.arange(known, dtype="<u8").tobytes(), "symbols": symbols.astype("<u2").tobytes()}],
+        schema=bitmix._CHUNK_ARROW)
+
+
+def test_pairs_beyond_the_largest_size_are_not_sent(spark, monkeypatch):
+    """A context with enough pairs sends one row that says so; the shape is that of all pairs."""
+    rng = np.random.default_rng(4)
+    symbols = rng.integers(0, 1 << bitmix.MAX_DEPTH, 900)
+    batches = [coded(i, rng.integers(0, 900, 3000), symbols, 900) for i in range(3)]
+    every = pa.Table.from_batches(bitmix._pairs(14)(iter(batches)))
+    assert every.num_rows > 30_000 and not any(every["many_one"].to_pylist() + every["many_two"].to_pylist())
+    few = pa.Table.from_batches(bitmix._pairs(14, 100)(iter(batches)))
+    assert few.to_pylist() == [{"one": None, "two": None, "many_one": True, "many_two": True}]
+    same = [codes for codes in [np.arange(900)] * 3]        # as many of one as of the other, and none too many
+    some = pa.Table.from_batches(bitmix._pairs(14, 10_000)(iter(coded(i, c, symbols, 900) for i, c in enumerate(same))))
+    assert some.equals(pa.Table.from_batches(bitmix._pairs(14)(iter(coded(i, c, symbols, 900) for i, c in enumerate(same)))))
+    chunks = spark.createDataFrame(pa.Table.from_batches(batches).to_pandas(), bitmix._CHUNK)
+    monkeypatch.setattr(bitmix, "MAX_SLOT_BITS", 19)        # enough: 2^17, more than there are
+    counted = bitmix.model_shape(chunks, 900)
+    monkeypatch.setattr(bitmix, "SLOT_BITS", 10)
+    monkeypatch.setattr(bitmix, "MAX_SLOT_BITS", 13)        # enough: 2^11
+    assert counted == (12, 18, 18) and bitmix.model_shape(chunks, 900) == (12, 13, 13)
+
+
+def test_a_bit_is_predicted_once_for_equal_contexts(monkeypatch):
+    """Repeated texts cost one prediction a bit and slice, and have equal scores."""
+    rng = np.random.default_rng(6)
+    symbols, text = rng.integers(0, bitmix.NODES, 40), rng.integers(0, 40, 100)
+    row = dict(part=0, chunk=0, doc_ids=list(range(50)), train=[True] * 50, sizes=[100] * 50, bytes=[1] * 50,
+               codes=np.tile(text, 50).astype("<i4").tobytes(), hashes=b"", symbols=symbols.astype("<u2").tobytes())
+    state, seen = bitmix.new_state(), np.zeros((bitmix.GATES, bitmix.INPUTS))
+    bitmix.learn(state, bitmix._Chunk(row), seen)
+    asked, plain = [], bitmix._bit_probability
+    monkeypatch.setattr(bitmix, "_bit_probability", lambda model, begin, *rest: asked.append(len(begin)) or plain(
+        model, begin, *rest))
+    logs = bitmix.code_log10(bitmix._frozen(state), bitmix._Chunk(row)).reshape(50, 100)
+    assert sum(asked) <= 100 * bitmix.DEPTH and (logs == logs[0]).all()
+    monkeypatch.setattr(bitmix, "SLICE", 64)
+    assert bitmix.code_log10(bitmix._frozen(state), bitmix._Chunk(row)).reshape(50, 100) == pytest.approx(logs, rel=1e-12)
