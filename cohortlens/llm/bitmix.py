@@ -469,21 +469,21 @@ def _sorted_log10(model: dict[str, np.ndarray], symbol: np.ndarray, one: np.ndar
     key >>= place_bits
     # from the first bit in which a key differs from the one before; contexts come before the code
     differs = np.minimum(key[1:] ^ key[:-1], np.uint64(1 << depth)).astype(np.uint16)
-    p = np.ones(n)      # a product of 14 numbers from 1e-6 on
+    total = np.zeros(n)
     for d in range(depth):
         first = np.concatenate(([0], np.flatnonzero(differs >= np.uint16(1 << (depth - 1 - d))) + 1))
         begin = key[first] >> np.uint64(depth - 1 - d)
         each = np.empty(len(begin), np.float32)
         for i in range(0, len(begin), PIECE):
-            each[i:i + PIECE] = _bit_probability(model, begin[i:i + PIECE], d, shape)
-        p *= np.repeat(each, np.diff(first, append=n))
+            each[i:i + PIECE] = _bit_log10(model, begin[i:i + PIECE], d, shape)
+        total += np.repeat(each, np.diff(first, append=n))
     out = np.empty(n)
-    out[at] = np.log10(p)
+    out[at] = total
     return out
 
 
-def _bit_probability(model: dict[str, np.ndarray], begin: np.ndarray, d: int, shape: tuple[int, int, int]) -> np.ndarray:
-    """Of the bit at position ``d``, the last of ``begin``, given those before it and both contexts."""
+def _bit_log10(model: dict[str, np.ndarray], begin: np.ndarray, d: int, shape: tuple[int, int, int]) -> np.ndarray:
+    """log10 probability of the bit at position ``d``, the last of ``begin``, given those before it and both contexts."""
     bit, begin = (begin & np.uint64(1)).astype(bool), begin >> np.uint64(1)
     node = np.uint32(1 << d) | begin.astype(np.uint32) & np.uint32((1 << d) - 1)
     two = (begin >> np.uint64(d)).astype(np.uint32) & np.uint32((1 << TWO_BITS) - 1)
@@ -492,7 +492,7 @@ def _bit_probability(model: dict[str, np.ndarray], begin: np.ndarray, d: int, sh
     xs = [model[k].take(s) for k, s in zip(_TABLES, slots)]
     _, dot = _mix(model["weights"], xs, model["c1_level"].take(slots[1]), model["c2_level"].take(slots[2]), _BASE_GATE[d])
     p = np.clip((_squash(dot) + model["map"].take(_bins(dot, _BASE_BIN[d]))) / 2, 1e-6, 1 - 1e-6)
-    return np.where(bit, p, 1 - p)
+    return np.log10(np.where(bit, p, 1 - p))
 
 
 # --- scores -------------------------------------------------------------------------------

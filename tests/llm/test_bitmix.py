@@ -240,8 +240,8 @@ def test_a_bit_is_predicted_once_for_equal_contexts(monkeypatch):
                codes=np.tile(text, 50).astype("<i4").tobytes(), hashes=b"", symbols=symbols.astype("<u2").tobytes())
     state, seen = bitmix.new_state(), np.zeros((bitmix.GATES, bitmix.INPUTS))
     bitmix.learn(state, bitmix._Chunk(row), seen)
-    asked, plain = [], bitmix._bit_probability
-    monkeypatch.setattr(bitmix, "_bit_probability", lambda model, begin, *rest: asked.append(len(begin)) or plain(
+    asked, plain = [], bitmix._bit_log10
+    monkeypatch.setattr(bitmix, "_bit_log10", lambda model, begin, *rest: asked.append(len(begin)) or plain(
         model, begin, *rest))
     logs = bitmix.code_log10(bitmix._frozen(state), bitmix._Chunk(row)).reshape(50, 100)
     assert sum(asked) <= 100 * bitmix.DEPTH and (logs == logs[0]).all()
